@@ -1,0 +1,103 @@
+"""Merge trips with the zone lookup, once as pickup and once as dropoff.
+
+Semantics kept from the original merge:
+
+* left outer joins: every trip survives; an unmatched id gives null zone
+  columns; ids compare as strings (``'01'`` does not match ``'1'``);
+* a lookup id listed twice multiplies its trips (fan-out). Pass
+  ``unique_zones=True`` to keep one row per id instead; that also lets
+  Catalyst drop a join whose columns an analysis never reads;
+* all trip columns pass through, and ``date`` is replaced by its
+  ``yyyy-MM-dd`` string.
+
+Join strategy. The lookup is a dimension table (a few hundred rows in the
+real data), so the normal plan is a broadcast hash join: the fact table is
+never shuffled for the merge. The broadcast is only requested after a bounded
+count proves the lookup has at most ``broadcast_max_rows`` rows. Beyond that,
+the lookup is joined by shuffle on ``(id, salt)``: each trip gets a salt from
+a hash of its own columns and each lookup row is copied once per salt, so a
+zone holding a third of all trips is spread over ``salt_buckets`` tasks
+instead of one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ridelens.functions.dates import epoch_to_date
+
+# Lookup rows we are willing to ship to every executor. 265 in the real data.
+BROADCAST_MAX_ROWS = 200_000
+SALT_BUCKETS = 32
+
+# The names the merge produces.
+ROLES = ("Pickup", "Dropoff")
+ROLE_KEY = {"Pickup": "pickup_location", "Dropoff": "dropoff_location"}
+ZONE_ATTRIBUTES = ("Borough", "Zone", "service_zone")
+ZONE_ID = "LocationID"
+
+
+def unique_lookup(zones: DataFrame, key: str = ZONE_ID) -> DataFrame:
+    """One row per id. With duplicates, the smallest attribute tuple wins, so
+    the choice is the same on every run."""
+    attrs = [c for c in zones.columns if c != key]
+    if not attrs:
+        return zones.select(key).distinct()
+    best = F.min(F.struct(*[F.col(c) for c in attrs])).alias("_best")
+    return zones.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in attrs])
+
+
+def lookup_fits_broadcast(zones: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when the lookup has at most ``max_rows`` rows. The ``limit`` stops
+    the count job early on a large table."""
+    return zones.limit(max_rows + 1).count() <= max_rows
+
+
+def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
+    key_alias = f"_{role.lower()}_{ZONE_ID}"
+    return zones.select(
+        F.col(ZONE_ID).alias(key_alias),
+        *[F.col(a).alias(f"{role}_{a}") for a in ZONE_ATTRIBUTES],
+    )
+
+
+def _join_role(trips: DataFrame, lookup: DataFrame, role: str, broadcast: bool, salt_buckets: int) -> DataFrame:
+    key_alias = f"_{role.lower()}_{ZONE_ID}"
+    trip_key = F.col(ROLE_KEY[role])
+    if broadcast:
+        joined = trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
+        return joined.drop(key_alias)
+    trip_salt, lookup_salt = f"_{role.lower()}_trip_salt", f"_{role.lower()}_zone_salt"
+    # Deterministic salt: a recomputed task sends each row to the same bucket.
+    salted_trips = trips.withColumn(
+        trip_salt, F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), F.lit(salt_buckets)).cast("int")
+    )
+    salted_lookup = lookup.withColumn(lookup_salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    joined = salted_trips.join(
+        salted_lookup,
+        (trip_key == F.col(key_alias)) & (F.col(trip_salt) == F.col(lookup_salt)),
+        "left",
+    )
+    return joined.drop(key_alias, trip_salt, lookup_salt)
+
+
+def enrich(
+    trips: DataFrame,
+    zones: DataFrame,
+    unique_zones: bool = False,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    salt_buckets: int = SALT_BUCKETS,
+) -> DataFrame:
+    """Trips with ``Pickup_*`` and ``Dropoff_*`` zone columns and a
+    ``yyyy-MM-dd`` ``date``. Output columns: the trip columns in their order
+    (``date`` replaced in place), then the three pickup and the three dropoff
+    zone columns."""
+    lookup = unique_lookup(zones) if unique_zones else zones
+    broadcast = lookup_fits_broadcast(lookup, broadcast_max_rows)
+    out = trips
+    for role in ROLES:
+        out = _join_role(out, _role_lookup(lookup, role), role, broadcast, salt_buckets)
+    if "date" in trips.columns:
+        out = out.withColumn("date", epoch_to_date("date"))
+    return out
