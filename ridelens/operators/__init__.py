@@ -1,11 +1,11 @@
 from ridelens.operators.aggregate import count_between, count_by, count_by_category, mean_by_sum_count
-from ridelens.operators.enrich import enrich, lookup_fits_broadcast, unique_lookup
+from ridelens.operators.zone_merge import ZoneLookup, enrich, lookup_fits_broadcast, prepare_lookup, unique_lookup
 from ridelens.operators.filters import between_places, equals, in_month
 from ridelens.operators.rank import rank_within, top_k_per_group, top_n
 
 __all__ = [
     "count_between", "count_by", "count_by_category", "mean_by_sum_count",
-    "enrich", "lookup_fits_broadcast", "unique_lookup",
+    "ZoneLookup", "enrich", "lookup_fits_broadcast", "prepare_lookup", "unique_lookup",
     "between_places", "equals", "in_month",
     "rank_within", "top_k_per_group", "top_n",
 ]

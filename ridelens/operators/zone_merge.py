@@ -12,16 +12,23 @@ Semantics kept from the original merge:
 
 Join strategy. The lookup is a dimension table (a few hundred rows in the
 real data), so the normal plan is a broadcast hash join: the fact table is
-never shuffled for the merge. The broadcast is only requested after a bounded
-count proves the lookup has at most ``broadcast_max_rows`` rows. Beyond that,
-the lookup is joined by shuffle on ``(id, salt)``: each trip gets a salt from
-a hash of its own columns and each lookup row is copied once per salt, so a
-zone holding a third of all trips is spread over ``salt_buckets`` tasks
-instead of one.
+never shuffled for the merge. The broadcast is only requested after one
+bounded aggregate over the lookup (:func:`prepare_lookup`) proves it has at
+most ``broadcast_max_rows`` rows. Beyond that, the lookup is joined by shuffle
+on ``(id, salt)``: each trip gets a salt from a hash of its own columns and
+each lookup row is copied once per salt, so a zone holding a third of all
+trips is spread over ``salt_buckets`` tasks instead of one.
+
+The same aggregate tells whether ids are unique. When they are, fan-out
+cannot happen, the plain merge and the ``unique_zones`` merge are the same
+relation, and the deduplicated plan is used for both: Catalyst then removes
+each zone join whose columns the analysis never reads.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +55,45 @@ def unique_lookup(zones: DataFrame, key: str = ZONE_ID) -> DataFrame:
     return zones.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in attrs])
 
 
+@dataclass(frozen=True)
+class ZoneLookup:
+    """A zone lookup with its checked properties.
+
+    ``rows`` is exact when ``broadcastable``; otherwise it is only known to
+    exceed the bound and ``unique_ids`` is not checked (False)."""
+
+    df: DataFrame
+    rows: int
+    broadcastable: bool
+    unique_ids: bool
+    _roles: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def role_frames(self, dedup: bool) -> dict[str, DataFrame]:
+        """The per-role projections of the (optionally deduplicated) lookup,
+        built once and reused by every merge."""
+        if dedup not in self._roles:
+            base = unique_lookup(self.df) if dedup else self.df
+            self._roles[dedup] = {role: _role_lookup(base, role) for role in ROLES}
+        return self._roles[dedup]
+
+
+def prepare_lookup(zones: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> ZoneLookup:
+    """Check the lookup once: row count (bounded by ``limit``, so a large
+    table is not read to the end) and, when small, whether ids are unique.
+    Null ids never match a trip, so they do not count against uniqueness."""
+    probe = zones.limit(broadcast_max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.col(ZONE_ID)).alias("ids"),
+        F.count_distinct(F.col(ZONE_ID)).alias("distinct_ids"),
+    )
+    rows, ids, distinct_ids = probe.first()
+    small = rows <= broadcast_max_rows
+    return ZoneLookup(zones, rows, small, small and ids == distinct_ids)
+
+
 def lookup_fits_broadcast(zones: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when the lookup has at most ``max_rows`` rows. The ``limit`` stops
-    the count job early on a large table."""
-    return zones.limit(max_rows + 1).count() <= max_rows
+    """True when the lookup has at most ``max_rows`` rows."""
+    return prepare_lookup(zones, max_rows).broadcastable
 
 
 def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
@@ -63,11 +105,12 @@ def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
 
 
 def _join_role(trips: DataFrame, lookup: DataFrame, role: str, broadcast: bool, salt_buckets: int) -> DataFrame:
+    """Left join of one role; the lookup's key column stays in the output
+    and is projected away by the caller."""
     key_alias = f"_{role.lower()}_{ZONE_ID}"
     trip_key = F.col(ROLE_KEY[role])
     if broadcast:
-        joined = trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
-        return joined.drop(key_alias)
+        return trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
     trip_salt, lookup_salt = f"_{role.lower()}_trip_salt", f"_{role.lower()}_zone_salt"
     # Deterministic salt: a recomputed task sends each row to the same bucket.
     salted_trips = trips.withColumn(
@@ -79,12 +122,12 @@ def _join_role(trips: DataFrame, lookup: DataFrame, role: str, broadcast: bool,
         (trip_key == F.col(key_alias)) & (F.col(trip_salt) == F.col(lookup_salt)),
         "left",
     )
-    return joined.drop(key_alias, trip_salt, lookup_salt)
+    return joined.drop(trip_salt, lookup_salt)
 
 
 def enrich(
     trips: DataFrame,
-    zones: DataFrame,
+    zones: DataFrame | ZoneLookup,
     unique_zones: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     salt_buckets: int = SALT_BUCKETS,
@@ -92,12 +135,15 @@ def enrich(
     """Trips with ``Pickup_*`` and ``Dropoff_*`` zone columns and a
     ``yyyy-MM-dd`` ``date``. Output columns: the trip columns in their order
     (``date`` replaced in place), then the three pickup and the three dropoff
-    zone columns."""
-    lookup = unique_lookup(zones) if unique_zones else zones
-    broadcast = lookup_fits_broadcast(lookup, broadcast_max_rows)
+    zone columns.
+
+    ``zones`` may be a :class:`ZoneLookup` from :func:`prepare_lookup`, to
+    check a lookup once and merge many times."""
+    checked = zones if isinstance(zones, ZoneLookup) else prepare_lookup(zones, broadcast_max_rows)
+    roles = checked.role_frames(unique_zones or checked.unique_ids)
     out = trips
     for role in ROLES:
-        out = _join_role(out, _role_lookup(lookup, role), role, broadcast, salt_buckets)
-    if "date" in trips.columns:
-        out = out.withColumn("date", epoch_to_date("date"))
-    return out
+        out = _join_role(out, roles[role], role, checked.broadcastable, salt_buckets)
+    trip_cols = [epoch_to_date("date").alias("date") if c == "date" else F.col(c) for c in trips.columns]
+    zone_cols = [F.col(f"{role}_{a}") for role in ROLES for a in ZONE_ATTRIBUTES]
+    return out.select(*trip_cols, *zone_cols)

@@ -1,5 +1,5 @@
 """The trip analyses. Each takes the merged trip table (see
-``ridelens.operators.enrich.enrich``) and returns a DataFrame; the defaults are
+``ridelens.operators.zone_merge.enrich``) and returns a DataFrame; the defaults are
 the original study's constants.
 
 Money columns arrive as text. Monthly money totals round each value to 32-bit
@@ -18,7 +18,7 @@ from ridelens.functions.casts import to_double, to_float, to_int_truncating
 from ridelens.functions.dates import day_of, month_of, year_of
 from ridelens.functions.keys import borough_route, business_month, zone_route
 from ridelens.operators.aggregate import count_between, count_by, count_by_category, mean_by_sum_count
-from ridelens.operators.enrich import enrich
+from ridelens.operators.zone_merge import enrich
 from ridelens.operators.filters import between_places, equals, in_month
 from ridelens.operators.rank import top_k_per_group, top_n
 

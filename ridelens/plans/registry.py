@@ -18,14 +18,14 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from ridelens.functions.dates import day_of, epoch_to_date, month_of, year_of
 from ridelens.functions.keys import borough_route, business_month, zone_route
 from ridelens.operators.aggregate import count_by
-from ridelens.operators.enrich import enrich
+from ridelens.operators.zone_merge import enrich
 from ridelens.operators.rank import rank_within
 from ridelens.plans import analyses as A
 from ridelens.plans import series as S
 from ridelens.session import pin_session, scratch_dir
 from ridelens.sources.readers import TRIP_SCHEMA, read_trips
 from ridelens.sources.sinks import export_csv
-from ridelens.sources.star import load_inputs
+from ridelens.sources.star import load_inputs, load_prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,8 +42,8 @@ def _round(df: DataFrame, places: dict[str, int]) -> DataFrame:
 
 def _merged(spark: SparkSession, sf_dir: str, unique_zones: bool = False) -> DataFrame:
     pin_session(spark)
-    trips, zones = load_inputs(spark, sf_dir)
-    return enrich(trips, zones, unique_zones=unique_zones)
+    trips, lookup = load_prepared(spark, sf_dir)
+    return enrich(trips, lookup, unique_zones=unique_zones)
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridelens.operators.zone_merge import ZoneLookup, prepare_lookup
 from ridelens.session import scratch_dir
-from ridelens.sources.readers import TRIP_COLUMNS
 
 # Fixed values of the mapping above.
 BUSINESS_BY_RETURNFLAG = {"R": "Uber", "A": "Lyft"}
@@ -55,17 +55,32 @@ def _case(column: str, mapping: dict[str, str], default: str | None):
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan yields fewer input
+    partitions than the cluster has cores (a few large files, or one file with
+    one row group). A table already split into many files is left as it is:
+    no shuffle is added where the scan itself is parallel."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access: keep the scan as is
+        return df
+    return df.repartition(target, key) if current < target else df
+
+
 def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trip fact table as strings, one row per line item.
 
-    Three inner joins; customer and supplier are dimension tables, so at any
-    size where they fit under the broadcast threshold Catalyst broadcasts them
-    (parquet gives it real sizes), and above it falls back to sort-merge.
+    Three inner joins; orders, customer and supplier are joined in whatever
+    way Catalyst picks from their parquet sizes (broadcast while they fit
+    under the threshold, sort-merge above it).
     """
     lineitem = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )
+    lineitem = _spread(lineitem, "l_orderkey")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -110,7 +125,8 @@ def zones_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+_MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
+_LOOKUPS: dict[tuple[str, str], ZoneLookup] = {}
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -125,28 +141,53 @@ def _fingerprint(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    app_id = spark.sparkContext.applicationId
+    key = (app_id, os.path.abspath(sf_dir), name)
+    df = _MATERIALIZED.get(key)
+    if df is None:
+        path = f"{scratch_dir(spark)}/{name}-{app_id}-{_fingerprint(sf_dir)}"
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
+        # Keep the DataFrame, not just the path: the written table never
+        # changes, so its listing and footer schema are read once.
+        df = _MATERIALIZED[key] = spark.read.parquet(path)
+    return df
+
+
 def materialize_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the trip view once per application to the shared scratch folder
     and read it back.
 
     This plays the part of the original trips file: later analyses scan a
-    plain trip table (column-pruned parquet) instead of re-running the three
-    star joins, and the lineage of every analysis starts at a durable file, so
-    a lost executor only costs the tasks of the current stage.
+    plain trip table (column-pruned parquet, one file per writing task)
+    instead of re-running the three star joins, and the lineage of every
+    analysis starts at a durable file, so a lost executor only costs the
+    tasks of the current stage.
     """
-    app_id = spark.sparkContext.applicationId
-    key = (app_id, os.path.abspath(sf_dir))
-    path = _MATERIALIZED.get(key)
-    if path is None:
-        path = f"{scratch_dir(spark)}/trips-{app_id}-{_fingerprint(sf_dir)}"
-        trips_from_star(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path).select(*TRIP_COLUMNS)
+    return _materialize(spark, sf_dir, "trips", trips_from_star)
+
+
+def materialize_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone view written once per application, like the trips."""
+    return _materialize(spark, sf_dir, "zones", zones_from_star)
 
 
 def load_inputs(
     spark: SparkSession, sf_dir: str, materialize: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """``(trips, zones)`` for the test tables under ``sf_dir``."""
-    trips = materialize_trips(spark, sf_dir) if materialize else trips_from_star(spark, sf_dir)
-    return trips, zones_from_star(spark, sf_dir)
+    if materialize:
+        return materialize_trips(spark, sf_dir), materialize_zones(spark, sf_dir)
+    return trips_from_star(spark, sf_dir), zones_from_star(spark, sf_dir)
+
+
+def load_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLookup]:
+    """``(trips, checked zone lookup)``: the lookup's size and uniqueness are
+    checked once per application (the materialized zone table never changes
+    after it is written)."""
+    trips, zones = load_inputs(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    lookup = _LOOKUPS.get(key)
+    if lookup is None:
+        lookup = _LOOKUPS[key] = prepare_lookup(zones)
+    return trips, lookup
