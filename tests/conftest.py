@@ -101,3 +101,10 @@ def plan_text(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
     return buf.getvalue()
+
+
+def count_nodes(plan: str, name: str) -> int:
+    """How many physical operators called ``name`` a formatted plan has."""
+    import re
+
+    return len(re.findall(rf"^\(\d+\) {re.escape(name)}\b", plan, flags=re.M))

@@ -1,0 +1,64 @@
+"""Invariants derived from the original study's published result files.
+
+Fixed values: the published business-month totals and the January daily
+waits, as literals (the input they came from is not available).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ridelens.plans import analyses as A
+from ridelens.plans import series as S
+
+# Published business-month results (key, trips, profit, earnings).
+BUSINESS_MONTHS = [
+    ("Lyft-1", 6887, -72633.3500049822, 239932.2593984604),
+    ("Lyft-2", 6491, -70064.72000297531, 234875.5296087265),
+    ("Lyft-3", 8444, -99403.93998675235, 310276.54944992065),
+    ("Lyft-4", 8173, -90197.13001759537, 297815.3794941902),
+    ("Lyft-5", 9491, -107719.21000343934, 360408.08971881866),
+    ("Uber-1", 13579077, 1.3319711162465689e8, 2.5025348066162884e8),
+    ("Uber-2", 13280761, 1.3062880563633615e8, 2.521559770842399e8),
+    ("Uber-3", 14554308, 1.5207287641912198e8, 2.9595849599784005e8),
+    ("Uber-4", 13995860, 1.502698201941709e8, 2.950689272036143e8),
+    ("Uber-5", 14276372, 1.6313361550055724e8, 3.1300511453083175e8),
+]
+# Published January daily mean waits that the checks use.
+WAIT_DAY_1 = 396.5318744409635
+WAIT_DAY_11 = 224.40468798627612
+WAIT_DAY_22 = 277.49287089443135
+
+
+def test_published_trip_total():
+    assert sum(r[1] for r in BUSINESS_MONTHS) == 69_725_864
+
+
+def test_log_series_on_published_values(spark):
+    series = spark.createDataFrame(BUSINESS_MONTHS, "business_month string, trip_count long, total_profit double, total_earnings double")
+    # the same expression the log series applies to each measure
+    from ridelens.functions.keys import log10_positive
+
+    logs = {r[0]: r[1] for r in series.select("business_month", log10_positive(F.col("total_profit"))).collect()}
+    assert all(logs[k] is None for k in logs if k.startswith("Lyft"))
+    assert all(logs[k] > 8 for k in logs if k.startswith("Uber"))
+
+
+def test_threshold_on_published_waits(spark):
+    waits = [(1, WAIT_DAY_1), (11, WAIT_DAY_11), (22, WAIT_DAY_22)]
+    daily = spark.createDataFrame(waits, "day int, average_waiting_time double")
+    assert [tuple(r) for r in A.long_wait_days(daily).collect()] == [(1, WAIT_DAY_1)]
+
+
+def test_series_schema_matches_published_files(merged):
+    out = S.business_month_series(merged)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields] == [
+        ("business_month", "string"),
+        ("trip_count", "bigint"),
+        ("total_profit", "double"),
+        ("total_earnings", "double"),
+    ]
+    assert [(f.name, f.dataType.simpleString()) for f in A.daily_wait(merged).schema.fields] == [
+        ("day", "int"),
+        ("average_waiting_time", "double"),
+    ]
