@@ -166,6 +166,11 @@ JOIN (SELECT time_of_day, avg(TRY_CAST(trip_length AS DOUBLE)) AS average_trip_l
         "round(total_earnings, 2) AS total_earnings FROM series",
         SERIES,
     ),
+    "stream_business_month_series": _q(
+        "SELECT business_month, trip_count, round(total_profit, 2) AS total_profit, "
+        "round(total_earnings, 2) AS total_earnings FROM series",
+        SERIES,
+    ),
     "business_month_log_series": _q(
         """
 SELECT business_month,

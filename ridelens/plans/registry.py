@@ -79,6 +79,23 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(back, {"total_profit": MONEY_PLACES, "total_earnings": MONEY_PLACES})
 
 
+def stream_business_month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The business-month series computed by a streaming query: the trips are
+    dropped as header CSV files into a folder, read two files per trigger,
+    merged with the static lookup, aggregated with state and written as a
+    complete table after each trigger; the final table is returned."""
+    from ridelens.streaming.files import business_month_totals_stream, read_trip_stream, run_to_table
+
+    pin_session(spark)
+    trips, lookup = load_prepared(spark, sf_dir)
+    run = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    trips.write.option("header", "true").csv(f"{run}/incoming")
+    stream = read_trip_stream(spark, f"{run}/incoming", max_files_per_trigger=2)
+    run_to_table(business_month_totals_stream(stream, lookup), f"{run}/table", f"{run}/checkpoint")
+    back = spark.read.parquet(f"{run}/table")
+    return _round(back, {"total_profit": MONEY_PLACES, "total_earnings": MONEY_PLACES})
+
+
 # Scalar functions and keys ---------------------------------------------------
 
 def q_epoch_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -270,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "borough_pair_trips": q_borough_pair_trips,
     "borough_pair_sample": q_borough_pair_sample,
     "business_month_series": q_business_month_series,
+    "stream_business_month_series": stream_business_month_series,
     "business_month_log_series": q_business_month_log_series,
     "wait_series_flagged": q_wait_series_flagged,
     # analyses

@@ -13,25 +13,26 @@ from ridelens.plans.analyses import WAIT_MONTH, WAIT_THRESHOLD_SECONDS, _busines
 SERIES_MEASURES = ("trip_count", "total_profit", "total_earnings")
 
 
-def business_month_series(merged: DataFrame) -> DataFrame:
-    """``business_month, trip_count, total_profit, total_earnings`` sorted by
-    the key as text. One scan and one aggregate for what the original
-    computes as three separate jobs."""
-    return (
-        merged.groupBy(_business_month_key(merged))
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.sum(to_float("rideshare_profit")).alias("total_profit"),
-            F.sum(to_float("driver_total_pay")).alias("total_earnings"),
-        )
-        .orderBy("business_month")
+def business_month_totals(merged: DataFrame) -> DataFrame:
+    """``business_month, trip_count, total_profit, total_earnings``, unsorted.
+    One scan and one aggregate for what the original computes as three
+    separate jobs. Also valid on a streaming DataFrame."""
+    return merged.groupBy(_business_month_key(merged)).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum(to_float("rideshare_profit")).alias("total_profit"),
+        F.sum(to_float("driver_total_pay")).alias("total_earnings"),
     )
 
 
+def business_month_series(merged: DataFrame) -> DataFrame:
+    """:func:`business_month_totals` sorted by the key as text."""
+    return business_month_totals(merged).orderBy("business_month")
+
+
 def business_month_log_series(merged: DataFrame) -> DataFrame:
     """The series on a log scale: ``log_<measure>`` is ``log10`` of the
     measure, null where the measure is zero or negative (loss-making months)."""
-    series = business_month_series(merged)
+    series = business_month_totals(merged)
     return series.select(
         "business_month", *[log10_positive(m).alias(f"log_{m}") for m in SERIES_MEASURES]
     ).orderBy("business_month")

@@ -24,7 +24,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_sql():
     assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) == 39
+    assert len(E.queries()) == 40
 
 
 @pytest.fixture(scope="module")
