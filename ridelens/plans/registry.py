@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ridelens.functions.dates import day_of, epoch_to_date, month_of, year_of
-from ridelens.functions.keys import borough_route, business_month, zone_route
+from ridelens.functions.keys import borough_route, zone_route
 from ridelens.operators.aggregate import count_by
 from ridelens.operators.zone_merge import enrich
 from ridelens.operators.rank import rank_within
 from ridelens.plans import analyses as A
 from ridelens.plans import series as S
 from ridelens.session import pin_session, scratch_dir
-from ridelens.sources.readers import TRIP_SCHEMA, read_trips
+from ridelens.sources.readers import read_trips
 from ridelens.sources.sinks import export_csv
 from ridelens.sources.star import load_inputs, load_prepared
 

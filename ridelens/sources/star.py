@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,6 +128,9 @@ def zones_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
 _LOOKUPS: dict[tuple[str, str], ZoneLookup] = {}
+# Queries may be planned from several driver threads; the one-off writes and
+# the lookup check must happen once per key.
+_LOCK = threading.RLock()
 
 
 def _fingerprint(sf_dir: str) -> str:
@@ -144,13 +148,14 @@ def _fingerprint(sf_dir: str) -> str:
 def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     app_id = spark.sparkContext.applicationId
     key = (app_id, os.path.abspath(sf_dir), name)
-    df = _MATERIALIZED.get(key)
-    if df is None:
-        path = f"{scratch_dir(spark)}/{name}-{app_id}-{_fingerprint(sf_dir)}"
-        build(spark, sf_dir).write.mode("overwrite").parquet(path)
-        # Keep the DataFrame, not just the path: the written table never
-        # changes, so its listing and footer schema are read once.
-        df = _MATERIALIZED[key] = spark.read.parquet(path)
+    with _LOCK:
+        df = _MATERIALIZED.get(key)
+        if df is None:
+            path = f"{scratch_dir(spark)}/{name}-{app_id}-{_fingerprint(sf_dir)}"
+            build(spark, sf_dir).write.mode("overwrite").parquet(path)
+            # Keep the DataFrame, not just the path: the written table never
+            # changes, so its listing and footer schema are read once.
+            df = _MATERIALIZED[key] = spark.read.parquet(path)
     return df
 
 
@@ -187,7 +192,8 @@ def load_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLook
     after it is written)."""
     trips, zones = load_inputs(spark, sf_dir)
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    lookup = _LOOKUPS.get(key)
-    if lookup is None:
-        lookup = _LOOKUPS[key] = prepare_lookup(zones)
+    with _LOCK:
+        lookup = _LOOKUPS.get(key)
+        if lookup is None:
+            lookup = _LOOKUPS[key] = prepare_lookup(zones)
     return trips, lookup
