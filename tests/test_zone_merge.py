@@ -82,3 +82,32 @@ def test_salted_join_plan_has_no_broadcast(spark, trips, zones):
 def test_unique_form_equals_plain_when_ids_unique(trips, zones):
     cols = list(TRIP_COLUMNS) + ZONE_OUT
     assert rows(enrich(trips, zones), *cols) == rows(enrich(trips, zones, unique_zones=True), *cols)
+
+
+def test_hot_zone_spreads_over_tasks_on_shuffle_path(spark, zones):
+    # every trip starts in zone 1: a broadcast-free merge must not put them
+    # all in one task
+    hot = spark.range(4000).selectExpr(
+        "'Uber' AS business", "'1' AS pickup_location", "'2' AS dropoff_location",
+        "'1.0' AS trip_length", "'60' AS request_to_pickup", "'600' AS total_ride_time",
+        "CAST(1672531200 + id AS STRING) AS date", "'evening' AS time_of_day",
+        "'10.0' AS driver_total_pay", "'1.0' AS rideshare_profit",
+    )
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        merged = enrich(hot, zones, broadcast_max_rows=1, salt_buckets=8)
+        from pyspark.sql import functions as F
+
+        per_task = merged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert merged.filter("Pickup_Zone = 'A'").count() == 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(per_task) >= 4
+    assert max(r["count"] for r in per_task) < 4000 / 2
