@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 
 from ridelens.functions.dates import epoch_to_date
 
-# Lookup rows we are willing to ship to every executor. 265 in the real data.
+# Lookup size we are willing to ship to every executor: both bounds must hold.
+# The real lookup has 265 rows of a few short strings.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 SALT_BUCKETS = 32
 
 # The names the merge produces.
@@ -59,11 +61,14 @@ def unique_lookup(zones: DataFrame, key: str = ZONE_ID) -> DataFrame:
 class ZoneLookup:
     """A zone lookup with its checked properties.
 
-    ``rows`` is exact when ``broadcastable``; otherwise it is only known to
-    exceed the bound and ``unique_ids`` is not checked (False)."""
+    ``rows`` and ``bytes`` are exact when the row bound held; otherwise
+    ``rows`` is only known to exceed it, and ``unique_ids`` is not checked
+    (False). ``bytes`` is the text length of all values plus 8 per value, a
+    bound on what the broadcast carries beyond its hash-table overhead."""
 
     df: DataFrame
     rows: int
+    bytes: int
     broadcastable: bool
     unique_ids: bool
     _roles: dict = field(default_factory=dict, compare=False, repr=False)
@@ -77,18 +82,29 @@ class ZoneLookup:
         return self._roles[dedup]
 
 
-def prepare_lookup(zones: DataFrame, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> ZoneLookup:
-    """Check the lookup once: row count (bounded by ``limit``, so a large
-    table is not read to the end) and, when small, whether ids are unique.
-    Null ids never match a trip, so they do not count against uniqueness."""
+def prepare_lookup(
+    zones: DataFrame,
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
+) -> ZoneLookup:
+    """Check the lookup once, in one small job: row count and value bytes
+    (read through ``limit``, so a large table is not read to the end) and
+    whether ids are unique. Null ids never match a trip, so they do not count
+    against uniqueness."""
+    value_bytes = sum(
+        (F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + F.lit(8) for c in zones.columns),
+        F.lit(0),
+    )
     probe = zones.limit(broadcast_max_rows + 1).agg(
         F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(value_bytes), F.lit(0)).alias("bytes"),
         F.count(F.col(ZONE_ID)).alias("ids"),
         F.count_distinct(F.col(ZONE_ID)).alias("distinct_ids"),
     )
-    rows, ids, distinct_ids = probe.first()
-    small = rows <= broadcast_max_rows
-    return ZoneLookup(zones, rows, small, small and ids == distinct_ids)
+    rows, size, ids, distinct_ids = probe.first()
+    bounded = rows <= broadcast_max_rows
+    small = bounded and size <= broadcast_max_bytes
+    return ZoneLookup(zones, rows, size, small, bounded and ids == distinct_ids)
 
 
 def lookup_fits_broadcast(zones: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

@@ -52,8 +52,12 @@ def test_unique_lookup_is_deterministic(spark, zones):
 def test_prepare_lookup(zones):
     lk = prepare_lookup(zones)
     assert (lk.rows, lk.broadcastable, lk.unique_ids) == (3, True, True)
+    # 3 rows x 4 values: text length plus 8 per value
+    assert lk.bytes == len("1BrooklynABoro2Staten IslandBBoro3QueensCBoro") + 12 * 8
     small = prepare_lookup(zones, broadcast_max_rows=2)
     assert (small.broadcastable, small.unique_ids) == (False, False)
+    wide = prepare_lookup(zones, broadcast_max_bytes=10)
+    assert (wide.broadcastable, wide.unique_ids) == (False, True)
 
 
 def test_salted_shuffle_join_matches_broadcast(spark, trips, zones):
