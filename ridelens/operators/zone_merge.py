@@ -77,7 +77,11 @@ class ZoneLookup:
         """The per-role projections of the (optionally deduplicated) lookup,
         built once and reused by every merge."""
         if dedup not in self._roles:
-            base = unique_lookup(self.df) if dedup else self.df
+            base = self.df
+            if dedup:
+                # A lookup proven small is collected for the broadcast anyway;
+                # deduplicating it inside one partition saves an exchange.
+                base = unique_lookup(base.coalesce(1) if self.broadcastable else base)
             self._roles[dedup] = {role: _role_lookup(base, role) for role in ROLES}
         return self._roles[dedup]
 
