@@ -14,6 +14,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def test_entry_runs(spark):
@@ -58,3 +59,6 @@ def test_query_matches_sql(spark, duck, name):
     assert len(got) == len(want)
     assert got == want
     assert not any(isinstance(v, float) and math.isnan(v) for r in got for v in r)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute("DESCRIBE " + E.oracle_sql()[name]).fetchall()}
+    assert spark_types == duck_types
