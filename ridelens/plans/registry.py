@@ -34,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TEST_PAIR = ("ASIA", "EUROPE")
 MONEY_PLACES = 2
 RATIO_PLACES = 6
+STREAM_TRIGGERS = 4
 
 
 def _round(df: DataFrame, places: dict[str, int]) -> DataFrame:
@@ -81,16 +82,20 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_business_month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The business-month series computed by a streaming query: the trips are
-    dropped as header CSV files into a folder, read two files per trigger,
-    merged with the static lookup, aggregated with state and written as a
-    complete table after each trigger; the final table is returned."""
+    dropped as header CSV files into a folder, read in ``STREAM_TRIGGERS``
+    triggers (the files per trigger grow with the table, so the number of
+    micro-batches does not), merged with the static lookup, aggregated with
+    state and written as a complete table after each trigger; the final table
+    is returned."""
     from ridelens.streaming.files import business_month_totals_stream, read_trip_stream, run_to_table
 
     pin_session(spark)
     trips, lookup = load_prepared(spark, sf_dir)
     run = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     trips.write.option("header", "true").csv(f"{run}/incoming")
-    stream = read_trip_stream(spark, f"{run}/incoming", max_files_per_trigger=2)
+    files = len(spark.read.option("header", "true").csv(f"{run}/incoming").inputFiles())
+    per_trigger = max(1, -(-files // STREAM_TRIGGERS))
+    stream = read_trip_stream(spark, f"{run}/incoming", max_files_per_trigger=per_trigger)
     run_to_table(business_month_totals_stream(stream, lookup), f"{run}/table", f"{run}/checkpoint")
     back = spark.read.parquet(f"{run}/table")
     return _round(back, {"total_profit": MONEY_PLACES, "total_earnings": MONEY_PLACES})
