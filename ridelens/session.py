@@ -83,6 +83,21 @@ def object_store_conf(
     }
 
 
+def application_id(spark: SparkSession) -> str:
+    """The application id, read from the conf (works without a local
+    SparkContext, e.g. over Spark Connect)."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Task slots of the cluster, or the conf's value when there is no local
+    SparkContext to ask."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no local context (Spark Connect)
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
@@ -90,13 +105,18 @@ def scratch_dir(spark: SparkSession) -> str:
     conf. Only when both are unset (local mode, tests) do we create a folder
     and register it, so that later ``checkpoint()`` calls agree with us.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no local context (Spark Connect): the conf decides
+        if configured:
+            return configured.rstrip("/")
+        # A folder on this client machine would be invisible to the cluster.
+        raise RuntimeError("set spark.checkpoint.dir to a folder the cluster shares") from None
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelens.operators.zone_merge import ZoneLookup, prepare_lookup
-from ridelens.session import scratch_dir
+from ridelens.session import application_id, default_parallelism, scratch_dir
 
 # Fixed values of the mapping above.
 BUSINESS_BY_RETURNFLAG = {"R": "Uber", "A": "Lyft"}
@@ -61,8 +61,7 @@ def _spread(df: DataFrame, key: str) -> DataFrame:
     partitions than the cluster has cores (a few large files, or one file with
     one row group). A table already split into many files is left as it is:
     no shuffle is added where the scan itself is parallel."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
+    target = default_parallelism(df.sparkSession)
     try:
         current = df.rdd.getNumPartitions()
     except Exception:  # sessions without RDD access: keep the scan as is
@@ -146,7 +145,7 @@ def _fingerprint(sf_dir: str) -> str:
 
 
 def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    app_id = spark.sparkContext.applicationId
+    app_id = application_id(spark)
     key = (app_id, os.path.abspath(sf_dir), name)
     with _LOCK:
         df = _MATERIALIZED.get(key)
@@ -191,7 +190,7 @@ def load_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLook
     checked once per application (the materialized zone table never changes
     after it is written)."""
     trips, zones = load_inputs(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (application_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         lookup = _LOOKUPS.get(key)
         if lookup is None:
