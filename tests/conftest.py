@@ -70,13 +70,23 @@ def _write(text: str) -> str:
 
 
 @pytest.fixture(scope="session")
-def trips(spark):
-    return read_trips(spark, _write(TRIPS_CSV))
+def trips_path():
+    return _write(TRIPS_CSV)
 
 
 @pytest.fixture(scope="session")
-def zones(spark):
-    return read_zones(spark, _write(ZONES_CSV))
+def zones_path():
+    return _write(ZONES_CSV)
+
+
+@pytest.fixture(scope="session")
+def trips(spark, trips_path):
+    return read_trips(spark, trips_path)
+
+
+@pytest.fixture(scope="session")
+def zones(spark, zones_path):
+    return read_zones(spark, zones_path)
 
 
 @pytest.fixture(scope="session")

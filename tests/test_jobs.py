@@ -1,0 +1,60 @@
+"""The command-line jobs on the fixture files."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+
+from ridelens.jobs import JOBS, parse_args, run
+
+
+def _run(spark, capsys, *argv):
+    run(spark, parse_args(list(argv)))
+    return capsys.readouterr().out
+
+
+def _csv(folder):
+    (part,) = glob.glob(os.path.join(folder, "part-*.csv"))
+    with open(part) as fh:
+        return fh.read().splitlines()
+
+
+def test_every_job_runs(spark, capsys, trips_path, zones_path):
+    for job in sorted(JOBS):
+        if job in ("aggregate", "anomalies"):
+            continue
+        out = _run(spark, capsys, job, "--trips", trips_path, "--zones", zones_path)
+        assert out.strip(), job
+
+
+def test_merge_prints_count(spark, capsys, trips_path, zones_path):
+    out = _run(spark, capsys, "merge", "--trips", trips_path, "--zones", zones_path)
+    assert "Number of rows: 8" in out and "Dropoff_service_zone" in out
+
+
+def test_aggregate_exports_three_tables(spark, capsys, trips_path, zones_path, tmp_dir):
+    _run(spark, capsys, "aggregate", "--trips", trips_path, "--zones", zones_path, "--out", tmp_dir)
+    trips = _csv(os.path.join(tmp_dir, "trip_count"))
+    assert trips[0] == "business_month,trip_count"
+    assert sorted(trips[1:]) == ["2,1", "Lyft-1,3", "Uber-1,3", "Via-2,1"]
+    earnings = dict(line.split(",") for line in _csv(os.path.join(tmp_dir, "total_earnings"))[1:])
+    assert float(earnings["Lyft-1"]) == 16.5
+    assert _csv(os.path.join(tmp_dir, "total_profit"))[0] == "business_month,total_profit"
+
+
+def test_anomalies_exports_daily_wait(spark, capsys, trips_path, zones_path, tmp_dir):
+    out = _run(spark, capsys, "anomalies", "--trips", trips_path, "--zones", zones_path, "--out", tmp_dir)
+    assert _csv(tmp_dir) == ["day,average_waiting_time", "1,250.0", "2,500.0", "3,7.0", "4,"]
+    assert "500.0" in out
+
+
+def test_filtering_prints_pair_count(spark, capsys, trips_path, zones_path):
+    out = _run(spark, capsys, "filtering", "--trips", trips_path, "--zones", zones_path)
+    assert "Total number of trips from Brooklyn to Staten Island: 2" in out
+
+
+def test_unknown_job_rejected():
+    with pytest.raises(SystemExit):
+        parse_args(["nope", "--trips", "a", "--zones", "b"])
