@@ -15,9 +15,12 @@ real data), so the normal plan is a broadcast hash join: the fact table is
 never shuffled for the merge. The broadcast is only requested after one
 bounded aggregate over the lookup (:func:`prepare_lookup`) proves it has at
 most ``broadcast_max_rows`` rows. Beyond that, the lookup is joined by shuffle
-on ``(id, salt)``: each trip gets a salt from a hash of its own columns and
-each lookup row is copied once per salt, so a zone holding a third of all
-trips is spread over ``salt_buckets`` tasks instead of one.
+on ``(id, salt)``. Ids holding at least 1% of trips (at most 100 of them,
+found by one partially aggregated count) are salted: their trips get a salt
+from a hash of their own columns, and only their lookup rows are copied once
+per salt. A zone holding a third of all trips is spread over
+``salt_buckets`` tasks instead of one, and the rest of the lookup is shuffled
+once.
 
 The same aggregate tells whether ids are unique. When they are, fan-out
 cannot happen, the plain merge and the ``unique_zones`` merge are the same
@@ -38,6 +41,9 @@ from ridelens.functions.dates import epoch_to_date
 # The real lookup has 265 rows of a few short strings.
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+# Beyond the broadcast bound: ids holding at least this share of trips are
+# salted over this many tasks.
+HOT_FRACTION = 0.01
 SALT_BUCKETS = 32
 
 # The names the merge produces.
@@ -124,19 +130,51 @@ def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
     )
 
 
-def _join_role(trips: DataFrame, lookup: DataFrame, role: str, broadcast: bool, salt_buckets: int) -> DataFrame:
+def hot_keys(trips: DataFrame, key: str, hot_fraction: float = HOT_FRACTION) -> list:
+    """Trip key values holding at least ``hot_fraction`` of all trips.
+
+    At most ``1 / hot_fraction`` values can qualify, so the list has a proven
+    bound before it reaches the driver. Two small jobs: a row count (no
+    column read) and a count per key, partially aggregated before the
+    shuffle."""
+    total = trips.count()
+    if total == 0:
+        return []
+    limit = int(1 / hot_fraction)
+    counts = trips.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = counts.filter(F.col("_k").isNotNull() & (F.col("_n") >= F.lit(total * hot_fraction)))
+    return [r["_k"] for r in heavy.orderBy(F.desc("_n")).limit(limit).collect()]
+
+
+def _join_role(
+    trips: DataFrame,
+    lookup: DataFrame,
+    role: str,
+    broadcast: bool,
+    salt_buckets: int,
+    hot_fraction: float = HOT_FRACTION,
+) -> DataFrame:
     """Left join of one role; the lookup's key column stays in the output
     and is projected away by the caller."""
     key_alias = f"_{role.lower()}_{ZONE_ID}"
     trip_key = F.col(ROLE_KEY[role])
     if broadcast:
         return trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
+    hot = hot_keys(trips, ROLE_KEY[role], hot_fraction)
+    if not hot:
+        return trips.join(lookup, trip_key == F.col(key_alias), "left")
+    # Only heavy-hitter ids are salted: their trips spread over
+    # ``salt_buckets`` tasks and only their lookup rows are copied per salt.
+    # Every other id joins once, under salt 0. The salt is a hash of the
+    # trip's own columns, so a recomputed task sends each row to the same
+    # bucket.
     trip_salt, lookup_salt = f"_{role.lower()}_trip_salt", f"_{role.lower()}_zone_salt"
-    # Deterministic salt: a recomputed task sends each row to the same bucket.
-    salted_trips = trips.withColumn(
-        trip_salt, F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), F.lit(salt_buckets)).cast("int")
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), F.lit(salt_buckets)).cast("int")
+    salted_trips = trips.withColumn(trip_salt, F.when(trip_key.isin(hot), spread).otherwise(F.lit(0)))
+    copies = F.when(F.col(key_alias).isin(hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(
+        F.array(F.lit(0))
     )
-    salted_lookup = lookup.withColumn(lookup_salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    salted_lookup = lookup.withColumn(lookup_salt, F.explode(copies))
     joined = salted_trips.join(
         salted_lookup,
         (trip_key == F.col(key_alias)) & (F.col(trip_salt) == F.col(lookup_salt)),
@@ -151,6 +189,7 @@ def enrich(
     unique_zones: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     salt_buckets: int = SALT_BUCKETS,
+    hot_fraction: float = HOT_FRACTION,
 ) -> DataFrame:
     """Trips with ``Pickup_*`` and ``Dropoff_*`` zone columns and a
     ``yyyy-MM-dd`` ``date``. Output columns: the trip columns in their order
@@ -163,7 +202,7 @@ def enrich(
     roles = checked.role_frames(unique_zones or checked.unique_ids)
     out = trips
     for role in ROLES:
-        out = _join_role(out, roles[role], role, checked.broadcastable, salt_buckets)
+        out = _join_role(out, roles[role], role, checked.broadcastable, salt_buckets, hot_fraction)
     trip_cols = [epoch_to_date("date").alias("date") if c == "date" else F.col(c) for c in trips.columns]
     zone_cols = [F.col(f"{role}_{a}") for role in ROLES for a in ZONE_ATTRIBUTES]
     return out.select(*trip_cols, *zone_cols)

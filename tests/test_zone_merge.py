@@ -115,3 +115,21 @@ def test_hot_zone_spreads_over_tasks_on_shuffle_path(spark, zones):
             spark.conf.set(k, v)
     assert len(per_task) >= 4
     assert max(r["count"] for r in per_task) < 4000 / 2
+
+
+def test_hot_keys_are_heavy_hitters_only(trips):
+    from ridelens.operators.zone_merge import hot_keys
+
+    # pickups: '1' x4, '2' x2, '9' x1, '01' x1
+    assert hot_keys(trips, "pickup_location", 0.3) == ["1"]
+    assert sorted(hot_keys(trips, "pickup_location", 0.2)) == ["1", "2"]
+    assert sorted(hot_keys(trips, "pickup_location", 0.01)) == ["01", "1", "2", "9"]
+
+
+def test_mixed_hot_and_cold_keys_match_broadcast(spark, trips, zones):
+    dup = zones.unionByName(spark.createDataFrame([("2", "Staten Island", "B2", "Boro")], zones.schema))
+    cols = list(TRIP_COLUMNS) + ZONE_OUT
+    for lookup in (zones, dup):
+        broadcast = rows(enrich(trips, lookup), *cols)
+        shuffled = rows(enrich(trips, lookup, broadcast_max_rows=1, salt_buckets=3, hot_fraction=0.3), *cols)
+        assert shuffled == broadcast
