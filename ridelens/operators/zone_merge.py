@@ -160,7 +160,9 @@ def _join_role(
     trip_key = F.col(ROLE_KEY[role])
     if broadcast:
         return trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
-    hot = hot_keys(trips, ROLE_KEY[role], hot_fraction)
+    # A stream cannot be counted ahead of its query; it joins unsalted and
+    # relies on AQE's skew handling within each micro-batch.
+    hot = [] if trips.isStreaming else hot_keys(trips, ROLE_KEY[role], hot_fraction)
     if not hot:
         return trips.join(lookup, trip_key == F.col(key_alias), "left")
     # Only heavy-hitter ids are salted: their trips spread over

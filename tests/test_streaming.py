@@ -39,3 +39,19 @@ def test_stream_matches_batch_and_resumes(spark, tmp_dir, merged, zones):
     assert second == rows(business_month_totals(merged), "business_month", "trip_count")
     got = {r["business_month"]: r["total_earnings"] for r in spark.read.parquet(table).collect()}
     assert got["Uber-1"] == pytest.approx(10.110000230371952, abs=1e-12)
+
+
+def test_stream_with_large_lookup_path(spark, tmp_dir, merged, zones):
+    # force the non-broadcast merge on a stream: no hot-key probe, plain join
+    from ridelens.operators.zone_merge import enrich
+    from ridelens.plans.series import business_month_totals
+
+    incoming = os.path.join(tmp_dir, "incoming")
+    os.makedirs(incoming)
+    _drop(incoming, "all.csv", TRIPS_CSV.splitlines()[1:])
+    stream = read_trip_stream(spark, incoming)
+    agg = business_month_totals(enrich(stream, zones, broadcast_max_rows=1))
+    table = os.path.join(tmp_dir, "table")
+    run_to_table(agg, table, os.path.join(tmp_dir, "ckpt"))
+    got = rows(spark.read.parquet(table), "business_month", "trip_count")
+    assert got == rows(business_month_totals(merged), "business_month", "trip_count")
