@@ -13,10 +13,11 @@ Semantics kept from the original merge:
 Join strategy. The lookup is a dimension table (a few hundred rows in the
 real data), so the normal plan is a broadcast hash join: the fact table is
 never shuffled for the merge. The broadcast is only requested after one
-bounded aggregate over the lookup (:func:`prepare_lookup`) proves it has at
-most ``broadcast_max_rows`` rows. Beyond that, the lookup is joined by shuffle
-on ``(id, salt)``. Ids holding at least 1% of trips (at most 100 of them,
-found by one partially aggregated count) are salted: their trips get a salt
+bounded aggregate over the lookup (:func:`prepare_lookup`) proves it within
+``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of values. Beyond
+that, the lookup is joined by shuffle on ``(id, salt)``. Ids holding at least
+1% of trips (at most 100 per role, found by one partially aggregated count
+over the input trips) are salted: their trips get a salt
 from a hash of their own columns, and only their lookup rows are copied once
 per salt. A zone holding a third of all trips is spread over
 ``salt_buckets`` tasks instead of one, and the rest of the lookup is shuffled
@@ -130,20 +131,29 @@ def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
     )
 
 
-def hot_keys(trips: DataFrame, key: str, hot_fraction: float = HOT_FRACTION) -> list:
-    """Trip key values holding at least ``hot_fraction`` of all trips.
+def hot_keys(trips: DataFrame, hot_fraction: float = HOT_FRACTION) -> dict[str, list]:
+    """Per role, the trip key values holding at least ``hot_fraction`` of
+    all trips.
 
-    At most ``1 / hot_fraction`` values can qualify, so the list has a proven
-    bound before it reaches the driver. Two small jobs: a row count (no
-    column read) and a count per key, partially aggregated before the
-    shuffle."""
+    At most ``1 / hot_fraction`` values per role can qualify, so each list has
+    a proven bound before it reaches the driver. Two small jobs over the
+    input trips: a row count (no column read) and one count per (role, id),
+    partially aggregated before the shuffle."""
     total = trips.count()
     if total == 0:
-        return []
+        return {role: [] for role in ROLES}
     limit = int(1 / hot_fraction)
-    counts = trips.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = F.array(*[F.struct(F.lit(role).alias("r"), F.col(ROLE_KEY[role]).alias("k")) for role in ROLES])
+    counts = (
+        trips.select(F.explode(pairs).alias("p"))
+        .groupBy(F.col("p.r").alias("_r"), F.col("p.k").alias("_k"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     heavy = counts.filter(F.col("_k").isNotNull() & (F.col("_n") >= F.lit(total * hot_fraction)))
-    return [r["_k"] for r in heavy.orderBy(F.desc("_n")).limit(limit).collect()]
+    found: dict[str, list] = {role: [] for role in ROLES}
+    for row in heavy.orderBy(F.desc("_n")).limit(limit * len(ROLES)).collect():
+        found[row["_r"]].append(row["_k"])
+    return found
 
 
 def _join_role(
@@ -152,7 +162,7 @@ def _join_role(
     role: str,
     broadcast: bool,
     salt_buckets: int,
-    hot_fraction: float = HOT_FRACTION,
+    hot: list,
 ) -> DataFrame:
     """Left join of one role; the lookup's key column stays in the output
     and is projected away by the caller."""
@@ -160,9 +170,6 @@ def _join_role(
     trip_key = F.col(ROLE_KEY[role])
     if broadcast:
         return trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
-    # A stream cannot be counted ahead of its query; it joins unsalted and
-    # relies on AQE's skew handling within each micro-batch.
-    hot = [] if trips.isStreaming else hot_keys(trips, ROLE_KEY[role], hot_fraction)
     if not hot:
         return trips.join(lookup, trip_key == F.col(key_alias), "left")
     # Only heavy-hitter ids are salted: their trips spread over
@@ -199,12 +206,19 @@ def enrich(
     zone columns.
 
     ``zones`` may be a :class:`ZoneLookup` from :func:`prepare_lookup`, to
-    check a lookup once and merge many times."""
+    check a lookup once and merge many times. ``broadcast_max_rows`` applies
+    when ``zones`` is a plain DataFrame; ``salt_buckets`` and
+    ``hot_fraction`` shape the shuffle join used beyond the broadcast bound."""
     checked = zones if isinstance(zones, ZoneLookup) else prepare_lookup(zones, broadcast_max_rows)
     roles = checked.role_frames(unique_zones or checked.unique_ids)
+    hot: dict[str, list] = {role: [] for role in ROLES}
+    if not checked.broadcastable and not trips.isStreaming:
+        # A stream cannot be counted ahead of its query; it joins unsalted and
+        # relies on AQE's skew handling within each micro-batch.
+        hot = hot_keys(trips, hot_fraction)
     out = trips
     for role in ROLES:
-        out = _join_role(out, roles[role], role, checked.broadcastable, salt_buckets, hot_fraction)
+        out = _join_role(out, roles[role], role, checked.broadcastable, salt_buckets, hot[role])
     trip_cols = [epoch_to_date("date").alias("date") if c == "date" else F.col(c) for c in trips.columns]
     zone_cols = [F.col(f"{role}_{a}") for role in ROLES for a in ZONE_ATTRIBUTES]
     return out.select(*trip_cols, *zone_cols)

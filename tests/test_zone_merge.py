@@ -120,10 +120,11 @@ def test_hot_zone_spreads_over_tasks_on_shuffle_path(spark, zones):
 def test_hot_keys_are_heavy_hitters_only(trips):
     from ridelens.operators.zone_merge import hot_keys
 
-    # pickups: '1' x4, '2' x2, '9' x1, '01' x1
-    assert hot_keys(trips, "pickup_location", 0.3) == ["1"]
-    assert sorted(hot_keys(trips, "pickup_location", 0.2)) == ["1", "2"]
-    assert sorted(hot_keys(trips, "pickup_location", 0.01)) == ["01", "1", "2", "9"]
+    # pickups: '1' x4, '2' x2, '9' x1, '01' x1; dropoffs: '1' x4, '2' x2, '9' x2
+    assert hot_keys(trips, 0.3) == {"Pickup": ["1"], "Dropoff": ["1"]}
+    got = hot_keys(trips, 0.2)
+    assert sorted(got["Pickup"]) == ["1", "2"] and sorted(got["Dropoff"]) == ["1", "2", "9"]
+    assert sorted(hot_keys(trips, 0.01)["Pickup"]) == ["01", "1", "2", "9"]
 
 
 def test_mixed_hot_and_cold_keys_match_broadcast(spark, trips, zones):
