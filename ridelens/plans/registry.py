@@ -18,8 +18,8 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from ridelens.functions.dates import day_of, epoch_to_date, month_of, year_of
 from ridelens.functions.keys import borough_route, zone_route
 from ridelens.operators.aggregate import count_by
-from ridelens.operators.zone_merge import enrich
 from ridelens.operators.rank import rank_within
+from ridelens.operators.zone_merge import enrich
 from ridelens.plans import analyses as A
 from ridelens.plans import series as S
 from ridelens.session import pin_session, scratch_dir
@@ -75,7 +75,7 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The business-month series exported as one header CSV file and read
     back with its schema."""
     path = f"{scratch_dir(spark)}/series-csv-{uuid.uuid4().hex}"
-    export_csv(S.business_month_series(_merged(spark, sf_dir)), path, order_by=["business_month"])
+    export_csv(S.business_month_totals(_merged(spark, sf_dir)), path, order_by=["business_month"])
     back = spark.read.option("header", "true").schema(SERIES_SCHEMA).csv(path)
     return _round(back, {"total_profit": MONEY_PLACES, "total_earnings": MONEY_PLACES})
 
