@@ -8,6 +8,7 @@ order differs: money to 2 places, averages, ratios and logs to 6.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 
@@ -22,7 +23,7 @@ from ridelens.operators.rank import rank_within
 from ridelens.operators.zone_merge import enrich
 from ridelens.plans import analyses as A
 from ridelens.plans import series as S
-from ridelens.session import pin_session, scratch_dir
+from ridelens.session import application_id, pin_session, scratch_dir
 from ridelens.sources.readers import read_trips
 from ridelens.sources.sinks import export_csv
 from ridelens.sources.star import load_inputs, load_prepared
@@ -41,10 +42,20 @@ def _round(df: DataFrame, places: dict[str, int]) -> DataFrame:
     return df.select(*[F.round(F.col(c), places[c]).alias(c) if c in places else F.col(c) for c in df.columns])
 
 
+_MERGED: dict[tuple[str, str, bool], DataFrame] = {}
+
+
 def _merged(spark: SparkSession, sf_dir: str, unique_zones: bool = False) -> DataFrame:
+    """The merged trip table of ``sf_dir``. The DataFrame (a plan, not data)
+    is built once per application and shared by every query, since all
+    analyses start from the same relation."""
     pin_session(spark)
-    trips, lookup = load_prepared(spark, sf_dir)
-    return enrich(trips, lookup, unique_zones=unique_zones)
+    key = (application_id(spark), os.path.abspath(sf_dir), unique_zones)
+    merged = _MERGED.get(key)
+    if merged is None:
+        trips, lookup = load_prepared(spark, sf_dir)
+        merged = _MERGED[key] = enrich(trips, lookup, unique_zones=unique_zones)
+    return merged
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
