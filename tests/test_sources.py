@@ -72,3 +72,26 @@ def test_object_store_conf():
 
 def test_scratch_dir_uses_checkpoint_dir(spark):
     assert scratch_dir(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_pin_session_sets_utc_and_aqe(spark):
+    from ridelens.session import PINNED_SQL_CONF, pin_session
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    pin_session(spark)
+    for key, value in PINNED_SQL_CONF.items():
+        assert spark.conf.get(key) == value
+
+
+def test_spread_only_under_split_scans(spark, tmp_dir):
+    from ridelens.sources.star import _spread
+
+    one = os.path.join(tmp_dir, "one")
+    spark.range(1000).coalesce(1).write.parquet(one)
+    df = spark.read.parquet(one)
+    target = spark.sparkContext.defaultParallelism
+    assert _spread(df, "id").rdd.getNumPartitions() == target
+    many = os.path.join(tmp_dir, "many")
+    spark.range(1000).repartition(target * 2).write.parquet(many)
+    wide = spark.read.parquet(many)
+    assert _spread(wide, "id") is wide
