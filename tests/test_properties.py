@@ -12,7 +12,7 @@ from ridelens.plans import analyses as A
 from ridelens.plans import series as S
 from ridelens.sources.star import load_inputs
 
-from conftest import SF_SMALL, rows
+from conftest import SF_SMALL, plan_text, rows
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +88,28 @@ def test_top_n_is_prefix_of_all_routes(star_merged):
     top = [tuple(r) for r in A.top_zone_routes(star_merged).select("Route", "total_count").collect()]
     ordered = sorted(allr, key=lambda t: (-t[1], t[0] is not None, t[0] or ""))
     assert top == ordered[:10]
+
+
+def test_shuffle_path_equals_broadcast_path_on_whole_tables(spark, inputs, star_merged):
+    """The merge beyond the broadcast bound (hot ids salted, plain shuffle
+    join otherwise) gives the same merged table and answers."""
+    from ridelens.operators.zone_merge import hot_keys
+
+    trips, zones = inputs
+    # every nation holds ~4% of trips: all ids are hot at 1%, none at 10%
+    assert len(hot_keys(trips, 0.01)["Pickup"]) >= 20 and hot_keys(trips, 0.1)["Pickup"] == []
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        cols = star_merged.columns
+        want = rows(star_merged, *cols)
+        for fraction in (0.01, 0.1):
+            shuffled = enrich(trips, zones, broadcast_max_rows=1, salt_buckets=4, hot_fraction=fraction)
+            assert "BroadcastHashJoin" not in plan_text(shuffled)
+            assert rows(shuffled, *cols) == want
+            assert rows(A.top_zone_routes(shuffled), "Route", "total_count") == rows(
+                A.top_zone_routes(star_merged), "Route", "total_count"
+            )
+    finally:
+        spark.conf.set(key, old)
