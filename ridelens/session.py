@@ -30,13 +30,18 @@ def build_session(
     master: str | None = None,
     app_name: str = "ridelens",
     shuffle_partitions: int | None = None,
+    max_partition_bytes: str | None = None,
     extra_conf: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the pinned settings.
 
-    ``shuffle_partitions`` should track the data size: roughly input bytes /
-    128 MB for the fact-table stages. AQE coalesces small partitions after the
-    aggregate, so erring high is cheap and erring low spills.
+    ``max_partition_bytes`` sets the scan split size
+    (``spark.sql.files.maxPartitionBytes``, e.g. ``"256m"``); with columnar
+    input a task reads only the used columns of its split, so large splits
+    stay small in memory. ``shuffle_partitions`` matters only where raw trips
+    are shuffled (the merge beyond the broadcast bound): aim at about 200 MB
+    per partition of the shuffled columns. The analyses' own shuffles carry
+    one row per group per task, and AQE coalesces them to a few partitions.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -45,6 +50,8 @@ def build_session(
     conf.setdefault("spark.ui.enabled", "false")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if max_partition_bytes is not None:
+        conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
