@@ -1,0 +1,63 @@
+"""The building blocks on small frames: edge cases the analyses rely on."""
+
+from __future__ import annotations
+
+from ridelens.operators import (
+    count_between,
+    count_by,
+    count_by_category,
+    enrich,
+    mean_by_sum_count,
+    rank_within,
+    top_k_per_group,
+    top_n,
+)
+
+from conftest import rows
+
+
+def test_count_by_keeps_null_group(spark):
+    df = spark.createDataFrame([("a",), (None,), ("a",)], "k string")
+    assert rows(count_by(df, "k"), "k", "trip_count") == [(None, 1), ("a", 2)]
+
+
+def test_count_between_is_exclusive(spark):
+    df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 5, "k string")
+    assert rows(count_between(df, "k", 3, 6), "k") == [("b",)]
+    assert rows(count_between(df, "k", 2, 5), "k") == [("a",)]
+
+
+def test_count_by_category_without_total(spark):
+    df = spark.createDataFrame([("r", "x"), ("r", "y"), ("r", None)], "k string, c string")
+    out = count_by_category(df, "k", "c", {"xs": "x"}, total=None)
+    assert out.columns == ["k", "xs"]
+    assert rows(out, "k", "xs") == [("r", 1)]
+
+
+def test_mean_by_sum_count_all_null_group(spark):
+    df = spark.createDataFrame([("a", None), ("b", 4), ("b", None), ("b", 2)], "k string, v int")
+    assert rows(mean_by_sum_count(df, "k", "v", "m"), "k", "m") == [("a", None), ("b", 3.0)]
+
+
+def test_rank_within_ties_and_direction(spark):
+    df = spark.createDataFrame([("g", 5), ("g", 5), ("g", 3)], "g string, v int")
+    assert sorted(r["rank"] for r in rank_within(df, "g", "v").collect()) == [1, 1, 3]
+    assert sorted(r["rank"] for r in rank_within(df, "g", "v", descending=False).collect()) == [1, 2, 2]
+
+
+def test_top_k_per_group_orders_output(spark):
+    df = spark.createDataFrame([(2, "b", 1), (1, "a", 9), (1, "c", 9), (1, "d", 1)], "m int, p string, n int")
+    got = [tuple(r) for r in top_k_per_group(df, "m", "n", 1, tiebreak="p").select("m", "p", "n").collect()]
+    assert got == [(1, "a", 9), (1, "c", 9), (2, "b", 1)]
+
+
+def test_top_n_puts_null_measures_last(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1), ("c", 2)], "k string, v int")
+    assert [r["k"] for r in top_n(df, "v", 3).collect()] == ["c", "b", "a"]
+
+
+def test_empty_lookup_leaves_zone_columns_null(spark, trips):
+    empty = spark.createDataFrame([], "LocationID string, Borough string, Zone string, service_zone string")
+    merged = enrich(trips, empty)
+    assert merged.count() == 8
+    assert merged.filter("Pickup_Borough IS NOT NULL OR Dropoff_Zone IS NOT NULL").count() == 0
