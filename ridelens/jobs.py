@@ -1,7 +1,7 @@
 """The study's jobs as one command line.
 
-    python -m ridelens <job> --trips PATH --zones PATH [--format csv] [--out DIR]
-                       [--conf key=value ...] [--unique-zones]
+    python -m ridelens <job> --trips PATH --zones PATH [--format csv] [--zones-format csv]
+                       [--out DIR] [--conf key=value ...] [--unique-zones]
 
 Jobs: ``merge``, ``aggregate``, ``top``, ``averages``, ``anomalies``,
 ``filtering``, ``routes`` (one per original job). Each prints its results
@@ -101,7 +101,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("--trips", required=True, help="trip table path or URI")
     p.add_argument("--zones", required=True, help="zone lookup path or URI")
-    p.add_argument("--format", default="csv", help="input format of both tables (default csv)")
+    p.add_argument("--format", default="csv", help="input format of the trips (default csv)")
+    p.add_argument("--zones-format", help="input format of the zone lookup (default: --format)")
     p.add_argument("--out", help="output folder for jobs that export CSV")
     p.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE", help="extra session conf")
     p.add_argument("--unique-zones", action="store_true", help="keep one lookup row per zone id")
@@ -115,7 +116,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     """Run one job on an existing session."""
     trips = read_trips(spark, args.trips, fmt=args.format)
-    zones = prepare_lookup(read_zones(spark, args.zones, fmt=args.format))
+    zones = prepare_lookup(read_zones(spark, args.zones, fmt=args.zones_format or args.format))
     args.merged = enrich(trips, zones, unique_zones=args.unique_zones)
     JOBS[args.job](spark, args)
 

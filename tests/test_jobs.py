@@ -58,3 +58,10 @@ def test_filtering_prints_pair_count(spark, capsys, trips_path, zones_path):
 def test_unknown_job_rejected():
     with pytest.raises(SystemExit):
         parse_args(["nope", "--trips", "a", "--zones", "b"])
+
+
+def test_parquet_trips_with_csv_zones(spark, capsys, trips, zones_path, tmp_dir):
+    path = os.path.join(tmp_dir, "trips.parquet")
+    trips.write.parquet(path)
+    out = _run(spark, capsys, "merge", "--trips", path, "--format", "parquet", "--zones", zones_path, "--zones-format", "csv")
+    assert "Number of rows: 8" in out
