@@ -62,3 +62,23 @@ def test_series_schema_matches_published_files(merged):
         ("day", "int"),
         ("average_waiting_time", "double"),
     ]
+
+
+def test_export_writes_numbers_like_the_published_files(spark, tmp_dir):
+    """Header, key text and number format (Java doubles, E-notation above
+    10^7) match the published result lines."""
+    import glob
+    import os
+
+    from ridelens.sources.sinks import export_csv
+
+    df = spark.createDataFrame([(k, p) for k, _, p, _ in BUSINESS_MONTHS], "business_month string, total_profit double")
+    path = os.path.join(tmp_dir, "total_profit")
+    export_csv(df, path, order_by=["business_month"])
+    (part,) = glob.glob(os.path.join(path, "part-*.csv"))
+    with open(part) as fh:
+        lines = fh.read().splitlines()
+    assert lines[0] == "business_month,total_profit"
+    assert "Lyft-3,-99403.93998675235" in lines
+    assert "Uber-5,1.6313361550055724E8" in lines
+    assert len(lines) == 11
