@@ -13,7 +13,7 @@ Semantics kept from the original merge:
 Join strategy. The lookup is a dimension table (a few hundred rows in the
 real data), so the normal plan is a broadcast hash join: the fact table is
 never shuffled for the merge. The broadcast is only requested after one
-bounded aggregate over the lookup (:func:`prepare_lookup`) proves it within
+aggregate over the lookup (:func:`prepare_lookup`) proves it within
 ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of values. Beyond
 that, the lookup is joined by shuffle on ``(id, salt)``. Ids holding at least
 1% of trips (at most 100 per role, found by one partially aggregated count
@@ -68,10 +68,10 @@ def unique_lookup(zones: DataFrame, key: str = ZONE_ID) -> DataFrame:
 class ZoneLookup:
     """A zone lookup with its checked properties.
 
-    ``rows`` and ``bytes`` are exact when the row bound held; otherwise
-    ``rows`` is only known to exceed it, and ``unique_ids`` is not checked
-    (False). ``bytes`` is the text length of all values plus 8 per value, a
-    bound on what the broadcast carries beyond its hash-table overhead."""
+    ``rows`` and ``bytes`` are exact. ``unique_ids`` is only claimed for a
+    lookup within the row bound. ``bytes`` is the text length of all values
+    plus 8 per value, a bound on what the broadcast carries beyond its
+    hash-table overhead."""
 
     df: DataFrame
     rows: int
@@ -98,15 +98,16 @@ def prepare_lookup(
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> ZoneLookup:
-    """Check the lookup once, in one small job: row count and value bytes
-    (read through ``limit``, so a large table is not read to the end) and
-    whether ids are unique. Null ids never match a trip, so they do not count
-    against uniqueness."""
+    """Check the lookup once, in one job: row count, value bytes and whether
+    ids are unique. It is a plain aggregate, computed partially in every scan
+    task (a ``limit`` would funnel up to that many rows per partition into a
+    single task). Null ids never match a trip, so they do not count against
+    uniqueness."""
     value_bytes = sum(
         (F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + F.lit(8) for c in zones.columns),
         F.lit(0),
     )
-    probe = zones.limit(broadcast_max_rows + 1).agg(
+    probe = zones.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(value_bytes), F.lit(0)).alias("bytes"),
         F.count(F.col(ZONE_ID)).alias("ids"),

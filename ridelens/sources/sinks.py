@@ -21,12 +21,14 @@ def export_csv(
     """Write ``df`` as header CSV, replacing whatever is at ``path``.
 
     ``single_file`` collapses to one part file (no shuffle: ``coalesce(1)``)
-    once a bounded ``limit`` count shows the result is small. ``order_by``
-    sorts the rows first; with one part file the order survives in the file.
-    Returns ``path``.
+    once a count shows the result is small. The count is a distributed
+    aggregate; it computes ``df`` once more, which is cheap for the small
+    results this mode is meant for. Pass ``single_file=False`` for large
+    output. ``order_by`` sorts the rows first; with one part file the order
+    survives in the file. Returns ``path``.
     """
     out = df.orderBy(*order_by) if order_by else df
-    if single_file and out.limit(single_file_max_rows + 1).count() <= single_file_max_rows:
+    if single_file and df.count() <= single_file_max_rows:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", "true").csv(path)
     return path
