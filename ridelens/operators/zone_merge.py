@@ -17,11 +17,11 @@ aggregate over the lookup (:func:`prepare_lookup`) proves it within
 ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of values. Beyond
 that, the lookup is joined by shuffle on ``(id, salt)``. Ids holding at least
 1% of trips (at most 100 per role, found by one partially aggregated count
-over the input trips) are salted: their trips get a salt
-from a hash of their own columns, and only their lookup rows are copied once
-per salt. A zone holding a third of all trips is spread over
-``salt_buckets`` tasks instead of one, and the rest of the lookup is shuffled
-once.
+over the input trips) are salted: their trips get a salt from a hash of their
+own columns, and only their lookup rows are copied once per salt. The number
+of salts follows each hot id's trip count (:func:`salt_plan`), so a zone
+holding a third of all trips is split into tasks of about
+``rows_per_salt_task`` trips, and the rest of the lookup is shuffled once.
 
 The same aggregate tells whether ids are unique. When they are, fan-out
 cannot happen, the plain merge and the ``unique_zones`` merge are the same
@@ -43,9 +43,9 @@ from ridelens.functions.dates import epoch_to_date
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Beyond the broadcast bound: ids holding at least this share of trips are
-# salted over this many tasks.
+# salted, each over enough tasks that one task gets about this many trips.
 HOT_FRACTION = 0.01
-SALT_BUCKETS = 32
+ROWS_PER_SALT_TASK = 2_000_000
 
 # The names the merge produces.
 ROLES = ("Pickup", "Dropoff")
@@ -132,17 +132,18 @@ def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
     )
 
 
-def hot_keys(trips: DataFrame, hot_fraction: float = HOT_FRACTION) -> dict[str, list]:
-    """Per role, the trip key values holding at least ``hot_fraction`` of
-    all trips.
+def hot_keys(trips: DataFrame, hot_fraction: float = HOT_FRACTION) -> dict[str, dict]:
+    """Per role, ``{id: trips}`` for the ids holding at least
+    ``hot_fraction`` of all trips.
 
-    At most ``1 / hot_fraction`` values per role can qualify, so each list has
+    At most ``1 / hot_fraction`` ids per role can qualify, so each result has
     a proven bound before it reaches the driver. Two small jobs over the
     input trips: a row count (no column read) and one count per (role, id),
     partially aggregated before the shuffle."""
     total = trips.count()
+    found: dict[str, dict] = {role: {} for role in ROLES}
     if total == 0:
-        return {role: [] for role in ROLES}
+        return found
     limit = int(1 / hot_fraction)
     pairs = F.array(*[F.struct(F.lit(role).alias("r"), F.col(ROLE_KEY[role]).alias("k")) for role in ROLES])
     counts = (
@@ -151,40 +152,43 @@ def hot_keys(trips: DataFrame, hot_fraction: float = HOT_FRACTION) -> dict[str,
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     heavy = counts.filter(F.col("_k").isNotNull() & (F.col("_n") >= F.lit(total * hot_fraction)))
-    found: dict[str, list] = {role: [] for role in ROLES}
     for row in heavy.orderBy(F.desc("_n")).limit(limit * len(ROLES)).collect():
-        found[row["_r"]].append(row["_k"])
+        found[row["_r"]][row["_k"]] = row["_n"]
     return found
 
 
-def _join_role(
-    trips: DataFrame,
-    lookup: DataFrame,
-    role: str,
-    broadcast: bool,
-    salt_buckets: int,
-    hot: list,
-) -> DataFrame:
+def salt_plan(
+    hot: dict, rows_per_task: int = ROWS_PER_SALT_TASK, salt_buckets: int | None = None
+) -> dict:
+    """``{id: buckets}``: how many tasks each hot id is split over. By
+    default the count follows the id's size (``ceil(trips / rows_per_task)``),
+    so a group holding a third of all trips still gives tasks of bounded
+    size; ``salt_buckets`` fixes the count instead."""
+    if salt_buckets is not None:
+        return {k: salt_buckets for k in hot}
+    return {k: max(1, -(-n // rows_per_task)) for k, n in hot.items()}
+
+
+def _join_role(trips: DataFrame, lookup: DataFrame, role: str, broadcast: bool, buckets: dict) -> DataFrame:
     """Left join of one role; the lookup's key column stays in the output
     and is projected away by the caller."""
     key_alias = f"_{role.lower()}_{ZONE_ID}"
     trip_key = F.col(ROLE_KEY[role])
     if broadcast:
         return trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
-    if not hot:
+    if not any(b > 1 for b in buckets.values()):
         return trips.join(lookup, trip_key == F.col(key_alias), "left")
-    # Only heavy-hitter ids are salted: their trips spread over
-    # ``salt_buckets`` tasks and only their lookup rows are copied per salt.
-    # Every other id joins once, under salt 0. The salt is a hash of the
-    # trip's own columns, so a recomputed task sends each row to the same
-    # bucket.
+    # Only hot ids are salted: their trips spread over their bucket count and
+    # only their lookup rows are copied once per bucket. Every other id joins
+    # once, under salt 0. The salt is a hash of the trip's own columns, so a
+    # recomputed task sends each row to the same bucket.
+    bucket_map = F.create_map(*[x for k, b in buckets.items() for x in (F.lit(k), F.lit(b))])
     trip_salt, lookup_salt = f"_{role.lower()}_trip_salt", f"_{role.lower()}_zone_salt"
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), F.lit(salt_buckets)).cast("int")
-    salted_trips = trips.withColumn(trip_salt, F.when(trip_key.isin(hot), spread).otherwise(F.lit(0)))
-    copies = F.when(F.col(key_alias).isin(hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_lookup = lookup.withColumn(lookup_salt, F.explode(copies))
+    trip_buckets = F.coalesce(F.try_element_at(bucket_map, trip_key), F.lit(1))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), trip_buckets.cast("bigint")).cast("int")
+    salted_trips = trips.withColumn(trip_salt, spread)
+    zone_buckets = F.coalesce(F.try_element_at(bucket_map, F.col(key_alias)), F.lit(1))
+    salted_lookup = lookup.withColumn(lookup_salt, F.explode(F.sequence(F.lit(0), zone_buckets - 1)))
     joined = salted_trips.join(
         salted_lookup,
         (trip_key == F.col(key_alias)) & (F.col(trip_salt) == F.col(lookup_salt)),
@@ -198,8 +202,9 @@ def enrich(
     zones: DataFrame | ZoneLookup,
     unique_zones: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-    salt_buckets: int = SALT_BUCKETS,
+    salt_buckets: int | None = None,
     hot_fraction: float = HOT_FRACTION,
+    rows_per_salt_task: int = ROWS_PER_SALT_TASK,
 ) -> DataFrame:
     """Trips with ``Pickup_*`` and ``Dropoff_*`` zone columns and a
     ``yyyy-MM-dd`` ``date``. Output columns: the trip columns in their order
@@ -208,18 +213,20 @@ def enrich(
 
     ``zones`` may be a :class:`ZoneLookup` from :func:`prepare_lookup`, to
     check a lookup once and merge many times. ``broadcast_max_rows`` applies
-    when ``zones`` is a plain DataFrame; ``salt_buckets`` and
-    ``hot_fraction`` shape the shuffle join used beyond the broadcast bound."""
+    when ``zones`` is a plain DataFrame. ``hot_fraction``,
+    ``rows_per_salt_task`` and ``salt_buckets`` shape the shuffle join used
+    beyond the broadcast bound (see :func:`salt_plan`)."""
     checked = zones if isinstance(zones, ZoneLookup) else prepare_lookup(zones, broadcast_max_rows)
     roles = checked.role_frames(unique_zones or checked.unique_ids)
-    hot: dict[str, list] = {role: [] for role in ROLES}
+    buckets: dict[str, dict] = {role: {} for role in ROLES}
     if not checked.broadcastable and not trips.isStreaming:
         # A stream cannot be counted ahead of its query; it joins unsalted and
         # relies on AQE's skew handling within each micro-batch.
         hot = hot_keys(trips, hot_fraction)
+        buckets = {role: salt_plan(hot[role], rows_per_salt_task, salt_buckets) for role in ROLES}
     out = trips
     for role in ROLES:
-        out = _join_role(out, roles[role], role, checked.broadcastable, salt_buckets, hot[role])
+        out = _join_role(out, roles[role], role, checked.broadcastable, buckets[role])
     trip_cols = [epoch_to_date("date").alias("date") if c == "date" else F.col(c) for c in trips.columns]
     zone_cols = [F.col(f"{role}_{a}") for role in ROLES for a in ZONE_ATTRIBUTES]
     return out.select(*trip_cols, *zone_cols)

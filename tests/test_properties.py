@@ -97,15 +97,19 @@ def test_shuffle_path_equals_broadcast_path_on_whole_tables(spark, inputs, star_
 
     trips, zones = inputs
     # every nation holds ~4% of trips: all ids are hot at 1%, none at 10%
-    assert len(hot_keys(trips, 0.01)["Pickup"]) >= 20 and hot_keys(trips, 0.1)["Pickup"] == []
+    assert len(hot_keys(trips, 0.01)["Pickup"]) >= 20 and hot_keys(trips, 0.1)["Pickup"] == {}
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "-1")
     try:
         cols = star_merged.columns
         want = rows(star_merged, *cols)
-        for fraction in (0.01, 0.1):
-            shuffled = enrich(trips, zones, broadcast_max_rows=1, salt_buckets=4, hot_fraction=fraction)
+        # fixed buckets for every hot id; none hot; buckets sized from counts
+        for fraction, fixed, per_task in ((0.01, 4, 2_000_000), (0.1, None, 2_000_000), (0.01, None, 100)):
+            shuffled = enrich(
+                trips, zones, broadcast_max_rows=1, hot_fraction=fraction,
+                salt_buckets=fixed, rows_per_salt_task=per_task,
+            )
             assert "BroadcastHashJoin" not in plan_text(shuffled)
             assert rows(shuffled, *cols) == want
             assert rows(A.top_zone_routes(shuffled), "Route", "total_count") == rows(

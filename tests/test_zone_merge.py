@@ -105,7 +105,7 @@ def test_hot_zone_spreads_over_tasks_on_shuffle_path(spark, zones):
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        merged = enrich(hot, zones, broadcast_max_rows=1, salt_buckets=8)
+        merged = enrich(hot, zones, broadcast_max_rows=1, rows_per_salt_task=500)
         from pyspark.sql import functions as F
 
         per_task = merged.groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -121,12 +121,20 @@ def test_hot_keys_are_heavy_hitters_only(trips):
     from ridelens.operators.zone_merge import hot_keys
 
     # pickups: '1' x4, '2' x2, '9' x1, '01' x1; dropoffs: '1' x4, '2' x2, '9' x2
-    assert hot_keys(trips, 0.3) == {"Pickup": ["1"], "Dropoff": ["1"]}
+    assert hot_keys(trips, 0.3) == {"Pickup": {"1": 4}, "Dropoff": {"1": 4}}
     got = hot_keys(trips, 0.2)
-    assert sorted(got["Pickup"]) == ["1", "2"] and sorted(got["Dropoff"]) == ["1", "2", "9"]
+    assert got["Pickup"] == {"1": 4, "2": 2} and got["Dropoff"] == {"1": 4, "2": 2, "9": 2}
     assert sorted(hot_keys(trips, 0.01)["Pickup"]) == ["01", "1", "2", "9"]
 
 
+def test_salt_plan_follows_group_size():
+    from ridelens.operators.zone_merge import salt_plan
+
+    # a third of 3e12 trips at 2e6 per task: 500,000 tasks; small ids stay whole
+    assert salt_plan({"1": 10**12, "2": 1_500_000}) == {"1": 500_000, "2": 1}
+    assert salt_plan({"1": 10**12}, salt_buckets=8) == {"1": 8}
+
+
 def test_mixed_hot_and_cold_keys_match_broadcast(spark, trips, zones):
     dup = zones.unionByName(spark.createDataFrame([("2", "Staten Island", "B2", "Boro")], zones.schema))
     cols = list(TRIP_COLUMNS) + ZONE_OUT
