@@ -46,7 +46,9 @@ def top_k_per_group(
 
     Ties at the cut are all kept, so a group can return more than ``k`` rows.
     Catalyst turns rank + filter into a WindowGroupLimit on both sides of the
-    window's exchange, so only ``k``-ish rows per partition are shuffled.
+    window's exchange, so only ``k``-ish rows per partition are shuffled. The
+    partial limit cannot cut ties, so feed this aggregated rows (as the
+    analyses do), not raw rows where one huge group shares one value.
     """
     ranked = rank_within(df, partition, by, rank_name)
     order = [F.asc_nulls_first(c) for c in _names(partition)] + [F.col(rank_name)]
