@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from ridelens.operators.zone_merge import enrich  # noqa: E402
 from ridelens.plans.registry import QUERIES  # noqa: E402
 from ridelens.session import PINNED_SQL_CONF  # noqa: E402
 from ridelens.sources.star import load_prepared  # noqa: E402
@@ -84,6 +85,13 @@ def main() -> None:
             df.write.format("noop").mode("overwrite").save()
             plans[key] = _plan(df)
             spark.sparkContext.setJobGroup("other", "other")
+    # The merge beyond the broadcast bound, as a large lookup would get it:
+    # hot ids salted (sized here at 5,000 trips per task so the salting shows
+    # at this scale), automatic broadcast off.
+    trips, lookup = load_prepared(spark, SF_DIRS[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    fallback = _plan(enrich(trips, lookup.df, broadcast_max_rows=1, rows_per_salt_task=5_000))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     spark.stop()
 
     stage_group: dict[int, str] = {}
@@ -154,6 +162,18 @@ def main() -> None:
     ]
     for key in KEYS:
         lines += ["", f"## {key}", "", "```", plans[key], "```"]
+    lines += [
+        "",
+        "## merge beyond the broadcast bound",
+        "",
+        "The plan a lookup over 200,000 rows or 64 MB gets (forced here on the small lookup, hot ids sized at"
+        " 5,000 trips per task): each role is a shuffle join on `(id, salt)`; hot ids' trips carry a hash salt"
+        " and only their lookup rows are exploded into one copy per salt.",
+        "",
+        "```",
+        fallback,
+        "```",
+    ]
     with open(out, "w") as fh:
         fh.write("\n".join(lines) + "\n")
     print(f"wrote {out}")
