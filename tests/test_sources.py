@@ -5,6 +5,8 @@ from __future__ import annotations
 import glob
 import os
 
+from pyspark.sql import functions as F
+
 from ridelens.plans import analyses as A
 from ridelens.session import object_store_conf, scratch_dir
 from ridelens.sources.readers import TRIP_COLUMNS, TRIP_SCHEMA, read_trips
@@ -95,3 +97,35 @@ def test_spread_only_under_split_scans(spark, tmp_dir):
     spark.range(1000).repartition(target * 2).write.parquet(many)
     wide = spark.read.parquet(many)
     assert _spread(wide, "id") is wide
+
+
+def test_typed_parquet_trips_give_the_same_answers(spark, tmp_dir, trips, zones, merged):
+    """A production parquet table carries numeric types; the casts are then
+    no-ops or plain widenings and every answer stays the same."""
+    from ridelens.operators.zone_merge import enrich
+    from ridelens.plans import analyses as A
+    from ridelens.plans import series as S
+
+    from conftest import rows
+
+    typed = trips.select(
+        "business", "pickup_location", "dropoff_location",
+        F.col("trip_length").try_cast("double").alias("trip_length"),
+        F.col("request_to_pickup").try_cast("double").try_cast("int").alias("request_to_pickup"),
+        F.col("total_ride_time").try_cast("int").alias("total_ride_time"),
+        F.col("date").try_cast("bigint").alias("date"),
+        "time_of_day",
+        F.col("driver_total_pay").try_cast("double").alias("driver_total_pay"),
+        F.col("rideshare_profit").try_cast("double").alias("rideshare_profit"),
+    )
+    path = os.path.join(tmp_dir, "typed")
+    typed.write.parquet(path)
+    typed_merged = enrich(read_trips(spark, path, fmt="parquet"), zones)
+    for build, cols in (
+        (A.daily_wait, ["day", "average_waiting_time"]),
+        (A.avg_pay_by_time_of_day, ["time_of_day", "average_driver_total_pay"]),
+        (A.top_borough_routes, ["Route", "total_profit"]),
+        (S.business_month_totals, ["business_month", "trip_count", "total_profit", "total_earnings"]),
+    ):
+        assert rows(build(typed_merged), *cols) == rows(build(merged), *cols)
+    assert rows(typed_merged, "date") == rows(merged, "date")
