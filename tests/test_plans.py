@@ -87,3 +87,9 @@ def test_no_python_in_any_plan(spark):
             continue
         plan = plan_text(query(spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_unique_form_has_no_join(spark):
+    # SURVEY §5: no join in monthly_trips_unique, whatever the lookup holds
+    plan = plan_text(A.monthly_trips(_merged(spark, unique=True)))
+    assert "Join" not in plan
