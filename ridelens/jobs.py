@@ -110,7 +110,11 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--threshold", type=float, default=A.WAIT_THRESHOLD_SECONDS)
     p.add_argument("--pickup", default=A.PAIR_PICKUP)
     p.add_argument("--dropoff", default=A.PAIR_DROPOFF)
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    bad = [item for item in args.conf if "=" not in item]
+    if bad:
+        p.error(f"--conf takes KEY=VALUE, got: {', '.join(bad)}")
+    return args
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:

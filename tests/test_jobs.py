@@ -65,3 +65,9 @@ def test_parquet_trips_with_csv_zones(spark, capsys, trips, zones_path, tmp_dir)
     trips.write.parquet(path)
     out = _run(spark, capsys, "merge", "--trips", path, "--format", "parquet", "--zones", zones_path, "--zones-format", "csv")
     assert "Number of rows: 8" in out
+
+
+def test_conf_needs_key_value():
+    with pytest.raises(SystemExit):
+        parse_args(["merge", "--trips", "a", "--zones", "b", "--conf", "novalue"])
+    assert parse_args(["merge", "--trips", "a", "--zones", "b", "--conf", "k=v=w"]).conf == ["k=v=w"]
