@@ -23,9 +23,13 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+#: The training-data operators have tests of their own.
+STUDY = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
+
+
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) == 40
+    assert set(STUDY) <= set(E.oracle_sql()) <= set(E.queries())
+    assert len(STUDY) == 40
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +50,7 @@ def _norm(rows):
     return sorted(out, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(STUDY))
 def test_query_matches_sql(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     res = duck.execute(E.oracle_sql()[name])
