@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from ridelens.llm.line_dedup import OP4_SQL, op4_line_dedup
 from ridelens.llm.near_dup import op8_near_dup
+from ridelens.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
 QUERIES = {
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op8_near_dup": op8_near_dup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": OP3_SQL,
+    "op4_line_dedup": OP4_SQL,
+}
