@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from ridelens.llm.line_dedup import OP4_SQL, op4_line_dedup
 from ridelens.llm.near_dup import op8_near_dup
+from ridelens.llm.quality import op10_quality_rules
 from ridelens.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
 QUERIES = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op8_near_dup": op8_near_dup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -91,6 +91,11 @@ class Words:
         return mix64(np.add.reduceat(terms, begin) + size.astype(np.uint64) * _GOLDEN)
 
 
+def inside_words(data: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to a word."""
+    return _IS_WORD[data]
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than texts) of an Arrow string column; null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
