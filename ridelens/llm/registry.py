@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ridelens.llm.decontamination import op7_decontamination
+from ridelens.llm.language import op1_language_id
 from ridelens.llm.line_dedup import OP4_SQL, op4_line_dedup
 from ridelens.llm.mixing import op6_mixing
 from ridelens.llm.near_dup import op8_near_dup
@@ -10,6 +11,7 @@ from ridelens.llm.quality import op10_quality_rules
 from ridelens.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op6_mixing": op6_mixing,
