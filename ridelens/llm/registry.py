@@ -5,6 +5,7 @@ from __future__ import annotations
 from ridelens.llm.decontamination import op7_decontamination
 from ridelens.llm.language import op1_language_id
 from ridelens.llm.line_dedup import OP4_SQL, op4_line_dedup
+from ridelens.llm.lm_score import op5_lm_score
 from ridelens.llm.mixing import op6_mixing
 from ridelens.llm.near_dup import op8_near_dup
 from ridelens.llm.quality import op10_quality_rules
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_lm_score": op5_lm_score,
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_near_dup": op8_near_dup,
