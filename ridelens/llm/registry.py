@@ -8,11 +8,13 @@ from ridelens.llm.line_dedup import OP4_SQL, op4_line_dedup
 from ridelens.llm.lm_score import op5_lm_score
 from ridelens.llm.mixing import op6_mixing
 from ridelens.llm.near_dup import op8_near_dup
+from ridelens.llm.pii import op2_personal_data
 from ridelens.llm.quality import op10_quality_rules
 from ridelens.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_personal_data": op2_personal_data,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_lm_score": op5_lm_score,
