@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ridelens.llm.archives import OP9_SQL, op9_warc
 from ridelens.llm.decontamination import op7_decontamination
 from ridelens.llm.language import op1_language_id
 from ridelens.llm.line_dedup import OP4_SQL, op4_line_dedup
@@ -21,10 +22,12 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_decontamination": op7_decontamination,
     "op8_near_dup": op8_near_dup,
+    "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
+    "op9_warc": OP9_SQL,
 }
