@@ -12,8 +12,9 @@ Candidates share a band of the signature. Equal sets are collapsed first, so a
 group of thousands of copies is one node. Within a band's bucket, members are
 not paired with each other: each node is compared with the most central member
 it meets in any bucket. Only where a bucket still spans several components
-after that are the remaining pairs between components compared. Every link is
-confirmed on the full shingle sets.
+after that are its members compared further: those of different components that
+share one of their rarest shingles, early enough to reach the overlap they need
+(an exact condition). Every link is confirmed on the full shingle sets.
 
 With 30 bands of 6 slots a pair at similarity 0.85 is missed with probability
 (1 - 0.85^6)^30 < 1e-6, at 0.9 < 1e-9.
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
@@ -174,6 +175,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", shared.alias("shared"), union.alias("joined")).where(f"100 * shared >= {percent} * joined").select("a", "b")
 
 
+def _prefix_pairs(loose: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of different components that can still reach the
+    threshold. Shingles are ranked from the rarest among the open sets on; two
+    similar sets share one so early that the shingles after it suffice for the
+    overlap they need (which no other pair passes the join with)."""
+    pool = sets.join(loose, "node").select("node", "n", "component", F.explode("shingles").alias("shingle"))
+    holders = pool.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
+    rarest_first = Window.partitionBy("node").orderBy("holders", "shingle")
+    ranked = pool.join(holders, "shingle").withColumn("after", F.col("n") - F.row_number().over(rarest_first))
+    # A set's partner has at least percent % of its size, so the overlap is at least that.
+    early = settle(ranked.where("holders > 1").where((F.col("after") + 1) * 100 >= F.col("n") * percent), "prefixes")
+    x, y = early.alias("x"), early.alias("y")
+    most = F.least("x.after", "y.after") + 1
+    enough = most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _close_sizes("x.n", "y.n", percent) & enough)
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, percent: int = 85, shingle: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Groups documents (doc_id, text) whose shingle sets have at least
     ``percent`` % of their union in common, directly or over others.
@@ -213,13 +232,11 @@ def near_duplicates(df: DataFrame, percent: int = 85, shingle: int = SHINGLE_WOR
     links = settle(_confirmed(first, sets, percent), "links")
     group = settle(components(links), "components")
 
-    # What is left: pairs of members of one bucket that are in different components.
+    # What is left: members of buckets that span several components.
     placed = members.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    open_rows = placed.join(split, "key").select("key", "node", "n", "component")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
-    apart = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & _close_sizes("x.n", "y.n", percent))
-    apart = apart.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    loose = settle(placed.join(split, "key").select("node", "n", "component").distinct(), "open")
+    apart = _prefix_pairs(loose, sets, percent)
     seen = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = _confirmed(settle(apart.join(seen, ["a", "b"], "left_anti"), "pairs"), sets, percent)
     group = components(links.unionByName(settle(more, "links")))
