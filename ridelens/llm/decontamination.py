@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
-from ridelens.llm.runtime import documents, ship, table
+from ridelens.llm.runtime import carry, documents, ship, table
 
 RADIUS = 3
 BLOCKS = RADIUS + 1
@@ -210,6 +210,16 @@ def _search(docs: DataFrame, index: Index, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, item_id bigint, start bigint, n_words bigint, similarity double")
 
 
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Index]:
+    """Indexes of the benchmark's items, about ``block_bytes`` of text each."""
+    items = documents(benchmark, "item_id", "text").where("text is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = max(1, -(-size // block_bytes))
+    for block in range(n_blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
+        yield build_index(own.toArrow())
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Passages of ``benchmark`` (item_id, text) in ``df`` (doc_id, text), A-Z
     lower-cased: doc_id, item_id, start (word, from 0), n_words, similarity.
@@ -220,14 +230,27 @@ def contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_b
     side gives an empty result; other columns are ignored."""
     ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
-    items = documents(benchmark, "item_id", "text").where("text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    found = []
-    for block in range(n_blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        found.append(_search(docs, build_index(own.toArrow()), percent))
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, [_search(docs, index, percent) for index in _blocks(benchmark, block_bytes)])
+
+
+def drop_contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``df`` without a passage of ``benchmark``, all columns as
+    they were."""
+    ship(df.sparkSession)
+    out = df
+    for index in _blocks(benchmark, block_bytes):
+        shared = df.sparkSession.sparkContext.broadcast(index)
+
+        def run(batch: pa.RecordBatch, shared=shared):
+            for part in W.slices(batch, "text", _SLICE):
+                hit = np.zeros(part.num_rows, bool)
+                for found in matches(shared.value, W.cut_words(part.column("text"), lower=True), percent):
+                    hit[found[0]] = True
+                yield part, [pa.array(hit)]
+
+        marked, (name,) = carry(out, run, "contaminated boolean")
+        out = marked.where(~F.col(name)).select(*[F.col(f"`{c}`") for c in df.columns])
+    return out
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
-from ridelens.llm.runtime import documents, ship, table
+from ridelens.llm.runtime import carry, documents, fresh, ship, table
 
 LINES = 3
 
@@ -61,24 +61,35 @@ def _asked(docs: DataFrame, run_of: int) -> DataFrame:
     return docs.mapInArrow(run, "high bigint, low bigint, known boolean, doc_id bigint, place int")
 
 
-def _cut(docs: DataFrame, run_of: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            for part in W.slices(batch, "text"):
-                texts = part.column("text").cast(pa.large_binary()).to_pylist()
-                n, gone, kept = [], [], []
-                for text, places in zip(texts, part.column("places").to_pylist(), strict=True):
-                    lines, full = _lines(text)
-                    covered = {full[i] for p in places or () for i in range(p, p + run_of) if i < len(full)}
-                    n.append(len(full))
-                    gone.append(sorted(covered))
-                    kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in covered) if covered else text)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(kept, pa.binary()).cast(pa.string())],
-                    names=["doc_id", "n_lines", "removed", "kept_text"],
-                )
-
-    return docs.mapInArrow(run, "doc_id bigint, n_lines bigint, removed array<int>, kept_text string")
+def _marked(df: DataFrame, run_of: int) -> tuple[DataFrame, list[str]]:
+    """``df`` with n_lines, removed, kept_text (columns lengthened where taken)."""
+    ship(df.sparkSession)
+    id_type = F.col("doc_id").cast("bigint")
+    # Occurrences settled in their batch are spread by document; the others meet by window.
+    spread = F.when(F.col("known"), F.pmod("doc_id", F.lit(65536)) + 1).otherwise(F.lit(0))
+    same = Window.partitionBy("high", "low", "part")
+    asked = _asked(documents(df, "doc_id", "text").where("doc_id is not null"), run_of).withColumn("part", spread)
+    here = F.struct("doc_id", "place")
+    later = asked.withColumn("first", F.min(here).over(same)).where(F.col("known") | (here > F.col("first")))
+    at, places = fresh(df.columns, "place_of"), fresh(df.columns, "places")
+    listed = later.groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("place").alias(places))
+    placed = df.where("doc_id is not null").join(listed, id_type == F.col(at), "left").drop(at)
+    adrift = df.where("doc_id is null").withColumn(places, F.lit(None).cast("array<int>"))
+
+    def run(batch: pa.RecordBatch):
+        for part in W.slices(batch, "text"):
+            texts = part.column("text").cast(pa.large_binary()).to_pylist()
+            n, gone, kept = [], [], []
+            for text, found in zip(texts, part.column(places).to_pylist(), strict=True):
+                lines, full = _lines(text)
+                covered = {full[i] for p in found or () for i in range(p, p + run_of) if i < len(full)}
+                n.append(len(full))
+                gone.append(sorted(covered))
+                kept.append(b"\n".join(x for i, x in enumerate(lines) if i not in covered) if covered else text)
+            yield part, [pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(kept, pa.binary()).cast(pa.string())]
+
+    out, names = carry(placed.unionByName(adrift), run, "n_lines bigint, removed array<int>, kept_text string")
+    return out.drop(places), names
 
 
 def cut_repeated_lines(df: DataFrame, run_of: int = LINES) -> DataFrame:
@@ -94,18 +105,17 @@ def cut_repeated_lines(df: DataFrame, run_of: int = LINES) -> DataFrame:
     a doc_id's rows lose the places found for it; rows with null doc_id lose
     nothing and take nothing from others; an empty table gives an empty result;
     other columns are ignored."""
-    ship(df.sparkSession)
-    docs = documents(df, "doc_id", "text")
-    placed, adrift = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    # Occurrences settled in their batch are spread by document; the others meet by window.
-    spread = F.when(F.col("known"), F.pmod("doc_id", F.lit(65536)) + 1).otherwise(F.lit(0))
-    same = Window.partitionBy("high", "low", "part")
-    asked = _asked(placed, run_of).withColumn("part", spread)
-    here = F.struct("doc_id", "place")
-    later = asked.withColumn("first", F.min(here).over(same)).where(F.col("known") | (here > F.col("first")))
-    places = later.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
-    listed = placed.join(places, "doc_id", "left").select("doc_id", "text", "places")
-    return _cut(listed.unionByName(adrift.withColumn("places", F.lit(None).cast("array<int>"))), run_of)
+    out, _ = _marked(documents(df, "doc_id", "text"), run_of)
+    return out.drop("text")
+
+
+def drop_repeated_lines(df: DataFrame, run_of: int = LINES) -> DataFrame:
+    """The rows of ``df`` with such lines cut from text, and n_chars (if there)
+    brought up to date; a document that loses its last word goes."""
+    out, (n_lines, removed, kept) = _marked(df, run_of)
+    out = out.where((F.size(removed) == 0) | F.col(kept).rlike(r"[^\x20\x09-\x0D]"))
+    changed = {"text": F.col(kept), "n_chars": F.when(F.size(removed) == 0, F.col("n_chars")).otherwise(F.length(kept)) if "n_chars" in df.columns else None}
+    return out.select(*[changed[c].alias(c) if changed.get(c) is not None else F.col(f"`{c}`") for c in df.columns])
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:

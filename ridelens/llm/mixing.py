@@ -161,6 +161,14 @@ def mix(df: DataFrame, size: Column, members: Column, quotas: Callable[[dict[Sou
     return rest.select(out).unionByName(last.select(out)), targets, sizes
 
 
+def take_mix(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` (doc_id, text, source and others) that the mix takes
+    words from, with their size and the words taken."""
+    rows, _, _ = mix(df, word_count(), F.array(F.col("source").cast("string")))
+    size, taken = rows.columns[-2:]
+    return rows.where(F.col(taken) > 0).withColumnsRenamed({size: fresh(df.columns, "size"), taken: fresh(df.columns, "taken")})
+
+
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
     docs = documents(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
     docs = settle(docs.select("doc_id", "source", word_count().alias("size")), "sizes")

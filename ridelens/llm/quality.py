@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
-from ridelens.llm.runtime import documents, ship, table
+from ridelens.llm.runtime import carry, documents, ship, table
 
 TRAIN_ROWS = 4000
 BUCKETS = 1 << 18
@@ -163,6 +163,7 @@ def train(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.
     quality 0/1). Rows with a null id or label, or another label, are passed
     over; a doc_id labelled both ways counts as 0; of rows that repeat a doc_id
     one (the smallest text) is used."""
+    ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
     marks = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -172,41 +173,48 @@ def train(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.
     return fit(found) if found.num_rows else None
 
 
-def judge(df: DataFrame, model: tuple[np.ndarray, float, float] | None) -> DataFrame:
-    """Counts and verdict for every row of (doc_id, text): doc_id, n_words,
-    word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, p_quality,
-    kept. Defined cases: a null or blank text has zero counts and fails; without
-    a model (no labels, or of one kind only) p_quality is null and the rules
-    decide alone; rows that repeat a doc_id, or have none, are judged on their
-    own; an empty table gives an empty result; other columns are ignored."""
+_VERDICT = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, p_quality double, kept boolean"
+
+
+def judge(df: DataFrame, model: tuple[np.ndarray, float, float] | None) -> tuple[DataFrame, list[str]]:
+    """``df`` (doc_id, text and any other columns) with counts and verdict of
+    every row: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, p_quality, kept; and these columns' names, which are lengthened
+    where ``df`` has them. Defined cases: a null or blank text has zero counts
+    and fails; without a model (no labels, or of one kind only) p_quality is
+    null and the rules decide alone; rows that repeat a doc_id, or have none,
+    are judged on their own; an empty table gives an empty result."""
     ship(df.sparkSession)
-    docs = documents(df, "doc_id", "text")
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]):
+    def run(batch: pa.RecordBatch):
         fitted = shared.value
-        for batch in batches:
-            for part in W.slices(batch, "text"):
-                w = W.cut_words(part.column("text"))
-                hashes = w.hashes()
-                counts = _counts(w, hashes, part.column("text"))
-                n_words, n_repeat = (np.asarray(counts[i]) for i in (0, 4))
-                failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
-                p = np.ones(part.num_rows)
-                if fitted:
-                    p = _sigmoid(fitted[1] * _logits(w, hashes, fitted[0]) + fitted[2])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *counts, pa.array(failed), pa.array(p, mask=np.full(len(p), not fitted)), pa.array(~failed & (p >= MIN_PROBABILITY))],
-                    names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "p_quality", "kept"],
-                )
+        for part in W.slices(batch, "text"):
+            w = W.cut_words(part.column("text"))
+            hashes = w.hashes()
+            counts = _counts(w, hashes, part.column("text"))
+            n_words, n_repeat = (np.asarray(counts[i]) for i in (0, 4))
+            failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
+            p = np.ones(part.num_rows)
+            if fitted:
+                p = _sigmoid(fitted[1] * _logits(w, hashes, fitted[0]) + fitted[2])
+            yield part, [*counts, pa.array(failed), pa.array(p, mask=np.full(len(p), not fitted)), pa.array(~failed & (p >= MIN_PROBABILITY))]
 
-    return docs.mapInArrow(run, "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, p_quality double, kept boolean")
+    return carry(df, run, _VERDICT)
 
 
 def quality_rules(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """Fits on the labelled documents and judges all; see ``train`` and ``judge``."""
-    ship(df.sparkSession)
-    return judge(df, train(df, labels, rows))
+    """Fits on the labelled documents and judges all: doc_id and the columns of
+    ``judge``. See there and in ``train`` for the defined cases."""
+    docs = documents(df, "doc_id", "text")
+    judged, _ = judge(docs, train(docs, labels, rows))
+    return judged.drop("text")
+
+
+def keep_good(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """The rows of ``df`` that pass, all columns as they were."""
+    judged, names = judge(df, train(df, labels, rows))
+    return judged.where(F.col(names[-1])).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ridelens.llm.archives import OP9_SQL, op9_warc
 from ridelens.llm.decontamination import op7_decontamination
 from ridelens.llm.language import op1_language_id
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,3 +33,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": OP4_SQL,
     "op9_warc": OP9_SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -7,10 +7,13 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ridelens.session import scratch_dir
 
@@ -53,10 +56,36 @@ def fresh(taken: list[str], name: str) -> str:
     return name
 
 
+def carry(df: DataFrame, run: Callable, fields: str) -> tuple[DataFrame, list[str]]:
+    """Appends columns to the rows of ``df`` without a join: ``run`` gets each
+    batch (text as string) and returns, in slices, (slice, new arrays). Returns
+    the frame and the new columns' names, lengthened where ``df`` has them."""
+    df = df.withColumn("text", F.col("text").cast("string"))
+    new = StructType.fromDDL(fields)
+    names = [fresh(df.columns, f.name) for f in new]
+
+    def tasks(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for part, arrays in run(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=[*part.schema.names, *names])
+
+    schema = StructType([*df.schema.fields, *[StructField(n, f.dataType) for n, f in zip(names, new, strict=True)]])
+    return df.mapInArrow(tasks, schema), names
+
+
 def documents(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns alone, with the types the operators expect."""
+    """The named columns alone, with the types the operators expect. Columns
+    that have them already are not wrapped in a cast, so that two uses of the
+    frame plan alike and can share one shuffle."""
     types = {"doc_id": "bigint", "page_id": "bigint", "item_id": "bigint"}
-    return df.select(*[F.col(f"`{c}`").cast(types.get(c, "string")).alias(c) for c in columns])
+    have = dict(df.dtypes)
+
+    def column(name: str) -> Column:
+        wanted = types.get(name, "string")
+        plain = F.col(f"`{name}`")
+        return plain if have.get(name) == wanted else plain.cast(wanted).alias(name)
+
+    return df.select(*[column(c) for c in columns])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
