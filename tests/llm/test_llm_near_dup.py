@@ -1,0 +1,139 @@
+"""Near-duplicate groups against an all-pairs comparison in plain Python."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from llm_help import SF, docs_frame, words_of
+from ridelens.llm import near_dup as N
+from ridelens.llm.components import components
+
+
+def shingles(text, n=5):
+    w = [x.encode().lower() for x in words_of(text)]
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if len(w) >= n else frozenset([tuple(w)])
+
+
+def brute(rows, percent):
+    sets = {d: shingles(t) for d, t in rows}
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[:i]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d), find(d) == d) for d in ids}
+
+
+def answers(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+
+
+def varied(seed, base_words=60, groups=4, members=40):
+    """Groups of copies with edits, at random ids, so that the base is not the smallest."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randrange(500)}" for _ in range(base_words)]
+        rows.append(base)
+        for _ in range(members):
+            copy = list(base)
+            for _ in range(rng.randrange(5)):
+                at = rng.randrange(len(copy))
+                copy[at : at + 1] = rng.choice([[], [f"new{rng.randrange(50)}"], [copy[at], "ins"]])
+            rows.append(copy)
+    ids = rng.sample(range(1000), len(rows))
+    return [(i, " ".join(w)) for i, w in zip(ids, rows, strict=True)]
+
+
+def test_groups_of_edited_copies_match_all_pairs(spark):
+    for seed, percent in ((1, 85), (2, 80)):
+        rows = varied(seed)
+        found = N.near_duplicates(docs_frame(spark, rows, extra=True), percent, bands=36, rows=5)
+        assert answers(found) == brute(rows, percent)
+
+
+def test_the_test_table_matches_all_pairs(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert answers(N.op8_near_dup(spark, SF)) == brute(rows, 85)
+
+
+def test_edges(spark):
+    rows = [(4, "a b c"), (2, "A  b\nC"), (3, None), (5, " \t"), (None, "a b c"), (6, "a b"), (9, "q r s t u v w"), (9, "q r s t u v w"), (8, "é É")]
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(docs_frame(spark, rows)).collect()), key=str)
+    assert found == sorted(
+        [(2, 1, 2, True), (4, 1, 2, False), (3, 0, 3, True), (5, 0, 5, True), (None, 1, None, True), (6, 1, 6, True), (9, 3, 9, True), (9, 3, 9, True), (8, 1, 8, True)], key=str
+    )
+    assert N.near_duplicates(docs_frame(spark, [])).count() == 0
+
+
+def test_one_per_group_keeps_rows_and_columns(spark):
+    df = docs_frame(spark, [(4, "a b c"), (2, "a b c"), (9, "q r"), (9, "q r"), (None, "a b c"), (7, None)], extra=True)
+    out = N.one_per_group(df)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id for r in out.collect()), key=str) == [2, 7, 9, None]
+
+
+def reference_signature(elements, slots):
+    """One element at a time, with the same draws and a whole permutation."""
+    from ridelens.llm import words as W
+
+    out = [None] * slots
+    for e in elements:
+        seed = W.mix64(np.array([e * 2 + 1], np.uint64))
+        order = list(range(slots))
+        for step in range(slots):
+            draw = int(W.mix64(seed + W.salt(step + 1))[0])
+            at = step + ((draw & 0xFFFF) * (slots - step) >> 16)
+            order[step], order[at] = order[at], order[step]
+            offer = (step << 48) | (draw >> 16)
+            if out[order[step]] is None or offer < out[order[step]]:
+                out[order[step]] = offer
+    return out
+
+
+def test_signatures_with_early_stop_equal_the_full_computation():
+    rng = random.Random(3)
+    sets = [sorted(rng.sample(range(1 << 52), n)) for n in (1, 2, 7, 40, 300)]
+    flat = np.array([x for s in sets for x in s], np.uint64)
+    bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    table = N.superminhash(flat, bounds, 24)
+    for row, s in zip(table.tolist(), sets, strict=True):
+        assert row == reference_signature(s, 24)
+
+
+def test_signatures_estimate_similarity():
+    rng = random.Random(4)
+    common, a, b = (rng.sample(range(1 << 50), n) for n in (600, 100, 100))
+    flat = np.array([*common, *a, *common, *b], np.uint64)
+    table = N.superminhash(flat, np.array([0, 700, 1400]), 512)
+    assert abs((table[0] == table[1]).mean() - 600 / 800) < 0.08
+
+
+def test_shingle_sets_are_exact():
+    texts = ["a b c d e f", "a b", None, "", "A B", "a a a a a a a"]
+    elements, bounds = N.shingle_sets(pa.array(texts))
+    sets = [frozenset(elements[bounds[i] : bounds[i + 1]].tolist()) for i in range(len(texts))]
+    assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+    assert sets[1] == sets[4]
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(100, 160)]
+    star = [(1, i) for i in range(2, 60)]
+    links = spark.createDataFrame([*path, *star, (7, 7), (None, 3)], "a bigint, b bigint")
+    got = {r.node: r.component for r in components(links).collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 60)}}
+    assert components(links.limit(0)).count() == 0
