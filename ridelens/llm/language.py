@@ -154,6 +154,7 @@ def fit(languages: list[str], counts: np.ndarray, scripts: np.ndarray) -> Model:
     """From feature counts (languages x buckets) and letters (languages x scripts)."""
     smooth = counts + SMOOTHING
     scores = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
+    scores[counts.sum(axis=0) == 0] = 0  # a feature never seen says nothing
     total = scripts.sum(axis=0)
     candidates = (scripts >= MIN_SCRIPT_SHARE * np.maximum(total, 1)) & (scripts > 0)
     candidates[:, total == 0] = True  # a script never seen rules no language out

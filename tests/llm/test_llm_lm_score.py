@@ -1,0 +1,80 @@
+"""Losses against a plain count of the same models."""
+
+from __future__ import annotations
+
+import collections
+import math
+
+import numpy as np
+import pyarrow as pa
+
+from llm_help import SF, docs_frame, words_of
+from ridelens.llm import lm_score as S
+from ridelens.llm import words as W
+
+ROWS = [(1, "a b a b c"), (2, "a b d"), (3, "x y X1 y."), (4, "c c c a"), (5, None), (6, ""), (3, "x y X1 y."), (None, "b a")]
+
+
+def brute(rows, chosen):
+    """Every word and pair is above its share here, so nothing is left out."""
+    texts = [(d, words_of(t)) for d, t in rows]
+    vocabulary = {w for _, t in texts for w in t}
+    size = len(vocabulary) + S._SHAPES
+    word, pair = ([collections.Counter(), collections.Counter()] for _ in range(2))
+    for d, t in texts:
+        for k in (0, 1):
+            if k == 1 or d in chosen:
+                word[k].update(t)
+                pair[k].update(zip([None, *t], t, strict=False))
+    scale = [1, sum(word[0].values()) / sum(word[1].values())]
+    total = sum(word[0].values())
+
+    def loss(k, before, w):
+        p = (word[k][w] * scale[k] + S.WORD_PRIOR / size) / (total + S.WORD_PRIOR)
+        seen = sum(v for (b, _), v in pair[k].items() if b == before) * scale[k]
+        return -math.log((pair[k][before, w] * scale[k] + S.PAIR_PRIOR * p) / (seen + S.PAIR_PRIOR))
+
+    return [(d, len(t), *([sum(loss(k, b, w) for b, w in zip([None, *t], t, strict=False)) / len(t) for k in (0, 1)] if t else (None, None))) for d, t in texts]
+
+
+def test_scores_match_brute_force(spark):
+    chosen = spark.createDataFrame([(1,), (3,), (3,), (99,), (None,)], "doc_id int")
+    got = sorted((tuple(r) for r in S.cross_entropy_difference(docs_frame(spark, ROWS, extra=True), chosen).collect()), key=str)
+    want = sorted(brute(ROWS, {1, 3}), key=str)
+    assert len(got) == len(want)
+    for g, x in zip(got, want, strict=True):
+        assert g[:2] == x[:2]
+        if x[2] is None:
+            assert g[2:] == (None, None, None)
+        else:
+            assert np.allclose(g[2:], (x[2], x[3], x[2] - x[3]))
+
+
+def test_rare_words_fall_into_shape_classes():
+    w = W.cut_words(pa.array(["plain The ABC b2 x&y C3PO## plain"]))
+    ids = S.token_ids(w, np.zeros(0, np.uint64))
+    assert ids.tolist() == [1, 1, 3, 2, 5, 8, 1] and ids.max() < S._SHAPES
+
+
+def test_pairs_below_their_share_are_scored_by_words(monkeypatch, spark):
+    monkeypatch.setattr(S, "PAIR_SHARE", 0.2)
+    rows = [(1, "a b " * 10), (2, "a c")]
+    model = S.train(docs_frame(spark, rows), spark.createDataFrame([(1,)], "doc_id int"))
+    assert len(model.pairs) == 2  # a b and b a
+    assert len(S.train(docs_frame(spark, rows), spark.createDataFrame([(2,)], "doc_id int")).pairs) == 4
+
+
+def test_without_target_or_documents(spark):
+    none = spark.createDataFrame([], "doc_id int")
+    out = S.cross_entropy_difference(docs_frame(spark, [(1, "a b")]), none).first()
+    assert tuple(out) == (1, 2, None, None, None)
+    assert S.cross_entropy_difference(docs_frame(spark, []), none).count() == 0
+
+
+def test_good_documents_score_lower_on_the_test_table(spark):
+    sf = SF.replace("0.001", "0.01")
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = S.op5_lm_score(spark, sf).collect()
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    score = {q: np.median([r.score for r in got if label.get(r.doc_id) == q]) for q in (0, 1)}
+    assert score[1] < 0 < score[0]
