@@ -15,25 +15,24 @@ real data), so the normal plan is a broadcast hash join: the fact table is
 never shuffled for the merge. The broadcast is only requested after one
 aggregate over the lookup (:func:`prepare_lookup`) proves it within
 ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of values. Beyond
-that, the lookup is joined by shuffle on ``(id, salt)``. Ids holding at least
-1% of trips (at most 100 per role, found by one partially aggregated count
-over the input trips) are salted: their trips get a salt from a hash of their
-own columns, and only their lookup rows are copied once per salt. The number
-of salts follows each hot id's trip count (:func:`salt_plan`), so a zone
-holding a third of all trips is split into tasks of about
-``rows_per_salt_task`` trips, and the rest of the lookup is shuffled once.
+that, the lookup is joined by shuffle on ``(id, salt)``: an id with more trips
+than a task should hold is dealt over as many salts as its trip count needs,
+and only its lookup rows are copied once per salt (:func:`hot_ids`, part of the
+plan: nothing is counted on the driver). Trips without an id match nothing and
+are dealt over all tasks. So no task grows with one id, whatever its share.
 
 The same aggregate tells whether ids are unique. When they are, fan-out
 cannot happen, the plain merge and the ``unique_zones`` merge are the same
 relation, and the deduplicated plan is used for both: Catalyst then removes
-each zone join whose columns the analysis never reads.
+each zone join whose columns the analysis never reads, at any lookup size and
+with it everything that only fed that join.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.functions.dates import epoch_to_date
@@ -42,10 +41,12 @@ from ridelens.functions.dates import epoch_to_date
 # The real lookup has 265 rows of a few short strings.
 BROADCAST_MAX_ROWS = 200_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-# Beyond the broadcast bound: ids holding at least this share of trips are
-# salted, each over enough tasks that one task gets about this many trips.
-HOT_FRACTION = 0.01
+# Beyond the broadcast bound: ids with more trips than this are dealt over
+# enough salts that a task gets about this many trips of one id.
 ROWS_PER_SALT_TASK = 2_000_000
+# Salts of trips without an id, and of every id in a stream.
+SPREAD_BUCKETS = 4096
+STREAM_BUCKETS = 32
 
 # The names the merge produces.
 ROLES = ("Pickup", "Dropoff")
@@ -54,24 +55,29 @@ ZONE_ATTRIBUTES = ("Borough", "Zone", "service_zone")
 ZONE_ID = "LocationID"
 
 
-def unique_lookup(zones: DataFrame, key: str = ZONE_ID) -> DataFrame:
-    """One row per id. With duplicates, the smallest attribute tuple wins, so
+def _plain(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unique_lookup(zones: DataFrame, *keys: str) -> DataFrame:
+    """One row per id (or per value of ``keys``). With duplicates, the smallest attribute tuple wins, so
     the choice is the same on every run."""
-    attrs = [c for c in zones.columns if c != key]
+    keys = keys or (ZONE_ID,)
+    attrs = [c for c in zones.columns if c not in keys]
     if not attrs:
-        return zones.select(key).distinct()
-    best = F.min(F.struct(*[F.col(c) for c in attrs])).alias("_best")
-    return zones.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in attrs])
+        return zones.select(*keys).distinct()
+    best = F.min(F.struct(*[_plain(c).alias(f"a{i}") for i, c in enumerate(attrs)])).alias("_best")
+    return zones.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.a{i}").alias(c) for i, c in enumerate(attrs)])
 
 
 @dataclass(frozen=True)
 class ZoneLookup:
     """A zone lookup with its checked properties.
 
-    ``rows`` and ``bytes`` are exact. ``unique_ids`` is only claimed for a
-    lookup within the row bound. ``bytes`` is the text length of all values
-    plus 8 per value, a bound on what the broadcast carries beyond its
-    hash-table overhead."""
+    All are exact. ``bytes`` is the size in bytes of all values as text plus 8
+    per value, a bound on what the broadcast carries beyond its hash-table
+    overhead."""
 
     df: DataFrame
     rows: int
@@ -104,7 +110,7 @@ def prepare_lookup(
     single task). Null ids never match a trip, so they do not count against
     uniqueness."""
     value_bytes = sum(
-        (F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) + F.lit(8) for c in zones.columns),
+        (F.coalesce(F.octet_length(_plain(c).cast("string")), F.lit(0)) + F.lit(8) for c in zones.columns),
         F.lit(0),
     )
     probe = zones.agg(
@@ -114,87 +120,68 @@ def prepare_lookup(
         F.count_distinct(F.col(ZONE_ID)).alias("distinct_ids"),
     )
     rows, size, ids, distinct_ids = probe.first()
-    bounded = rows <= broadcast_max_rows
-    small = bounded and size <= broadcast_max_bytes
-    return ZoneLookup(zones, rows, size, small, bounded and ids == distinct_ids)
-
-
-def lookup_fits_broadcast(zones: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when the lookup has at most ``max_rows`` rows."""
-    return prepare_lookup(zones, max_rows).broadcastable
+    small = rows <= broadcast_max_rows and size <= broadcast_max_bytes
+    return ZoneLookup(zones, rows, size, small, ids == distinct_ids)
 
 
 def _role_lookup(zones: DataFrame, role: str) -> DataFrame:
-    key_alias = f"_{role.lower()}_{ZONE_ID}"
+    """The role's columns of the lookup; ids compare as strings."""
     return zones.select(
-        F.col(ZONE_ID).alias(key_alias),
+        F.col(ZONE_ID).cast("string").alias(_key(role)),
         *[F.col(a).alias(f"{role}_{a}") for a in ZONE_ATTRIBUTES],
     )
 
 
-def hot_keys(trips: DataFrame, hot_fraction: float = HOT_FRACTION) -> dict[str, dict]:
-    """Per role, ``{id: trips}`` for the ids holding at least
-    ``hot_fraction`` of all trips.
-
-    At most ``1 / hot_fraction`` ids per role can qualify, so each result has
-    a proven bound before it reaches the driver. Two small jobs over the
-    input trips: a row count (no column read) and one count per (role, id),
-    partially aggregated before the shuffle."""
-    total = trips.count()
-    found: dict[str, dict] = {role: {} for role in ROLES}
-    if total == 0:
-        return found
-    limit = int(1 / hot_fraction)
-    pairs = F.array(*[F.struct(F.lit(role).alias("r"), F.col(ROLE_KEY[role]).alias("k")) for role in ROLES])
-    counts = (
-        trips.select(F.explode(pairs).alias("p"))
-        .groupBy(F.col("p.r").alias("_r"), F.col("p.k").alias("_k"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    heavy = counts.filter(F.col("_k").isNotNull() & (F.col("_n") >= F.lit(total * hot_fraction)))
-    for row in heavy.orderBy(F.desc("_n")).limit(limit * len(ROLES)).collect():
-        found[row["_r"]][row["_k"]] = row["_n"]
-    return found
-
-
-def salt_plan(
-    hot: dict, rows_per_task: int = ROWS_PER_SALT_TASK, salt_buckets: int | None = None
-) -> dict:
-    """``{id: buckets}``: how many tasks each hot id is split over. By
-    default the count follows the id's size (``ceil(trips / rows_per_task)``),
-    so a group holding a third of all trips still gives tasks of bounded
-    size; ``salt_buckets`` fixes the count instead."""
-    if salt_buckets is not None:
-        return {k: salt_buckets for k in hot}
-    return {k: max(1, -(-n // rows_per_task)) for k, n in hot.items()}
-
-
-def _join_role(trips: DataFrame, lookup: DataFrame, role: str, broadcast: bool, buckets: dict) -> DataFrame:
-    """Left join of one role; the lookup's key column stays in the output
-    and is projected away by the caller."""
-    key_alias = f"_{role.lower()}_{ZONE_ID}"
-    trip_key = F.col(ROLE_KEY[role])
-    if broadcast:
-        return trips.join(F.broadcast(lookup), trip_key == F.col(key_alias), "left")
-    if not any(b > 1 for b in buckets.values()):
-        return trips.join(lookup, trip_key == F.col(key_alias), "left")
-    # Only hot ids are salted: their trips spread over their bucket count and
-    # only their lookup rows are copied once per bucket. Every other id joins
-    # once, under salt 0. The salt is a hash of the trip's own columns, so a
-    # recomputed task sends each row to the same bucket.
-    bucket_map = F.create_map(*[x for k, b in buckets.items() for x in (F.lit(k), F.lit(b))])
-    trip_salt, lookup_salt = f"_{role.lower()}_trip_salt", f"_{role.lower()}_zone_salt"
-    trip_buckets = F.coalesce(F.try_element_at(bucket_map, trip_key), F.lit(1))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in trips.columns]), trip_buckets.cast("bigint")).cast("int")
-    salted_trips = trips.withColumn(trip_salt, spread)
-    zone_buckets = F.coalesce(F.try_element_at(bucket_map, F.col(key_alias)), F.lit(1))
-    salted_lookup = lookup.withColumn(lookup_salt, F.explode(F.sequence(F.lit(0), zone_buckets - 1)))
-    joined = salted_trips.join(
-        salted_lookup,
-        (trip_key == F.col(key_alias)) & (F.col(trip_salt) == F.col(lookup_salt)),
-        "left",
-    )
-    return joined.drop(trip_salt, lookup_salt)
+def _key(role: str) -> str:
+    return f"_{role.lower()}_{ZONE_ID}"
+
+
+def hot_ids(trips: DataFrame, role: str, rows_per_task: int = ROWS_PER_SALT_TASK, salt_buckets: int | None = None) -> DataFrame:
+    """``id, buckets`` of the ids with more than ``rows_per_task`` trips (or
+    than a ``BROADCAST_MAX_ROWS``-th of all trips, if that is more: so at most
+    that many ids can qualify, and the frame may be broadcast). ``buckets``
+    follows the id's trip count unless ``salt_buckets`` fixes it.
+
+    One partially aggregated count, part of the caller's plan."""
+    counts = trips.select(_trip_id(role).alias("id")).where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    least = F.greatest(F.lit(rows_per_task), (total / BROADCAST_MAX_ROWS).cast("bigint"))
+    buckets = F.lit(salt_buckets) if salt_buckets else F.ceil(F.col("n") / rows_per_task)
+    return counts.where(F.col("n") > least).select("id", buckets.cast("int").alias("buckets"))
+
+
+def _trip_id(role: str) -> Column:
+    return F.col(ROLE_KEY[role]).cast("string")
+
+
+def _salted(
+    trips: DataFrame, lookup: DataFrame, role: str, hot: DataFrame | None, stream_buckets: int
+) -> tuple[DataFrame, DataFrame, Column, tuple[str, str]]:
+    """Both sides of a role's shuffle join with their salt columns, the join's
+    condition, and the salt columns' names. A trip's salt comes from its
+    place in the scan, so equal trips spread too, and a recomputed task gives
+    each trip the same one."""
+    key, id_col, n_col, salt, copy = (f"_{role.lower()}_{x}" for x in (ZONE_ID, "hot", "buckets", "salt", "copy"))
+    place = F.xxhash64(F.monotonically_increasing_id()) if hot is not None else F.xxhash64(F.rand(7))
+    if hot is None:
+        salted = trips.withColumn(salt, F.pmod(place, F.lit(stream_buckets)).cast("int"))
+        copies = lookup.withColumn(copy, F.explode(F.sequence(F.lit(0), F.lit(stream_buckets - 1))))
+    else:
+        named = F.broadcast(hot.select(F.col("id").alias(id_col), F.col("buckets").alias(n_col)))
+        buckets = F.when(_trip_id(role).isNull(), F.lit(SPREAD_BUCKETS)).otherwise(F.coalesce(F.col(n_col), F.lit(1)))
+        salted = trips.withColumn(salt, place).join(named, _trip_id(role) == F.col(id_col), "left")
+        salted = salted.withColumn(salt, F.pmod(F.col(salt), buckets).cast("int")).drop(id_col, n_col)
+        copies = lookup.join(named, F.col(key) == F.col(id_col), "left")
+        copies = copies.withColumn(copy, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n_col), F.lit(1)) - 1))).drop(id_col, n_col)
+    return salted, copies, (_trip_id(role) == F.col(key)) & (F.col(salt) == F.col(copy)), (salt, copy)
+
+
+def _shuffle_join(trips: DataFrame, lookup: DataFrame, role: str, unique: bool, hot: DataFrame | None, stream_buckets: int) -> DataFrame:
+    salted, copies, on, (salt, copy) = _salted(trips, lookup, role, hot, stream_buckets)
+    if unique:
+        # Says to Catalyst that a trip meets one row at most, so that it can drop the join.
+        copies = unique_lookup(copies, _key(role), copy)
+    return salted.join(copies, on, "left").drop(salt, copy)
 
 
 def enrich(
@@ -203,30 +190,30 @@ def enrich(
     unique_zones: bool = False,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     salt_buckets: int | None = None,
-    hot_fraction: float = HOT_FRACTION,
     rows_per_salt_task: int = ROWS_PER_SALT_TASK,
 ) -> DataFrame:
     """Trips with ``Pickup_*`` and ``Dropoff_*`` zone columns and a
     ``yyyy-MM-dd`` ``date``. Output columns: the trip columns in their order
-    (``date`` replaced in place), then the three pickup and the three dropoff
-    zone columns.
+    and by their names (``date``, in any case, replaced in place), then the
+    three pickup and the three dropoff zone columns. Ids of any type compare as
+    strings.
 
     ``zones`` may be a :class:`ZoneLookup` from :func:`prepare_lookup`, to
     check a lookup once and merge many times. ``broadcast_max_rows`` applies
-    when ``zones`` is a plain DataFrame. ``hot_fraction``,
-    ``rows_per_salt_task`` and ``salt_buckets`` shape the shuffle join used
-    beyond the broadcast bound (see :func:`salt_plan`)."""
+    when ``zones`` is a plain DataFrame. ``rows_per_salt_task`` and
+    ``salt_buckets`` shape the shuffle join used beyond the broadcast bound
+    (see :func:`hot_ids`); a stream cannot be counted ahead, so there every id
+    is dealt over ``salt_buckets`` (default ``STREAM_BUCKETS``) salts."""
     checked = zones if isinstance(zones, ZoneLookup) else prepare_lookup(zones, broadcast_max_rows)
-    roles = checked.role_frames(unique_zones or checked.unique_ids)
-    buckets: dict[str, dict] = {role: {} for role in ROLES}
-    if not checked.broadcastable and not trips.isStreaming:
-        # A stream cannot be counted ahead of its query; it joins unsalted and
-        # relies on AQE's skew handling within each micro-batch.
-        hot = hot_keys(trips, hot_fraction)
-        buckets = {role: salt_plan(hot[role], rows_per_salt_task, salt_buckets) for role in ROLES}
+    unique = unique_zones or checked.unique_ids
+    roles = checked.role_frames(unique)
     out = trips
     for role in ROLES:
-        out = _join_role(out, roles[role], role, checked.broadcastable, buckets[role])
-    trip_cols = [epoch_to_date("date").alias("date") if c == "date" else F.col(c) for c in trips.columns]
+        if checked.broadcastable:
+            out = out.join(F.broadcast(roles[role]), _trip_id(role) == F.col(_key(role)), "left")
+        else:
+            hot = None if trips.isStreaming else hot_ids(trips, role, rows_per_salt_task, salt_buckets)
+            out = _shuffle_join(out, roles[role], role, unique, hot, salt_buckets or STREAM_BUCKETS)
+    trip_cols = [epoch_to_date(_plain(c)).alias(c) if c.lower() == "date" else _plain(c) for c in trips.columns]
     zone_cols = [F.col(f"{role}_{a}") for role in ROLES for a in ZONE_ATTRIBUTES]
     return out.select(*trip_cols, *zone_cols)

@@ -91,13 +91,13 @@ def test_top_n_is_prefix_of_all_routes(star_merged):
 
 
 def test_shuffle_path_equals_broadcast_path_on_whole_tables(spark, inputs, star_merged):
-    """The merge beyond the broadcast bound (hot ids salted, plain shuffle
-    join otherwise) gives the same merged table and answers."""
-    from ridelens.operators.zone_merge import hot_keys
+    """The merge beyond the broadcast bound (hot ids dealt over salts, plain
+    shuffle join otherwise) gives the same merged table and answers."""
+    from ridelens.operators.zone_merge import hot_ids
 
     trips, zones = inputs
-    # every nation holds ~4% of trips: all ids are hot at 1%, none at 10%
-    assert len(hot_keys(trips, 0.01)["Pickup"]) >= 20 and hot_keys(trips, 0.1)["Pickup"] == {}
+    # every nation holds ~4% of 6,000 trips
+    assert hot_ids(trips, "Pickup", 100).count() >= 20 and hot_ids(trips, "Pickup", 600).count() == 0
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "-1")
@@ -105,12 +105,9 @@ def test_shuffle_path_equals_broadcast_path_on_whole_tables(spark, inputs, star_
         cols = star_merged.columns
         want = rows(star_merged, *cols)
         # fixed buckets for every hot id; none hot; buckets sized from counts
-        for fraction, fixed, per_task in ((0.01, 4, 2_000_000), (0.1, None, 2_000_000), (0.01, None, 100)):
-            shuffled = enrich(
-                trips, zones, broadcast_max_rows=1, hot_fraction=fraction,
-                salt_buckets=fixed, rows_per_salt_task=per_task,
-            )
-            assert "BroadcastHashJoin" not in plan_text(shuffled)
+        for fixed, per_task in ((4, 100), (None, 2_000_000), (None, 100)):
+            shuffled = enrich(trips, zones, broadcast_max_rows=1, salt_buckets=fixed, rows_per_salt_task=per_task)
+            assert "SortMergeJoin" in plan_text(shuffled)
             assert rows(shuffled, *cols) == want
             assert rows(A.top_zone_routes(shuffled), "Route", "total_count") == rows(
                 A.top_zone_routes(star_merged), "Route", "total_count"

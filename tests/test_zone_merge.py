@@ -3,10 +3,15 @@ strategies."""
 
 from __future__ import annotations
 
-from ridelens.operators.zone_merge import enrich, prepare_lookup, unique_lookup
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from ridelens.operators.zone_merge import enrich, hot_ids, prepare_lookup, unique_lookup
 from ridelens.sources.readers import TRIP_COLUMNS
 
-from conftest import plan_text, rows
+from conftest import SF_SMALL, count_nodes, plan_text, rows
 
 ZONE_OUT = [f"{r}_{a}" for r in ("Pickup", "Dropoff") for a in ("Borough", "Zone", "service_zone")]
 
@@ -55,7 +60,7 @@ def test_prepare_lookup(zones):
     # 3 rows x 4 values: text length plus 8 per value
     assert lk.bytes == len("1BrooklynABoro2Staten IslandBBoro3QueensCBoro") + 12 * 8
     small = prepare_lookup(zones, broadcast_max_rows=2)
-    assert (small.broadcastable, small.unique_ids) == (False, False)
+    assert (small.broadcastable, small.unique_ids) == (False, True)
     wide = prepare_lookup(zones, broadcast_max_bytes=10)
     assert (wide.broadcastable, wide.unique_ids) == (False, True)
 
@@ -69,18 +74,37 @@ def test_salted_shuffle_join_matches_broadcast(spark, trips, zones):
         assert shuffled == broadcast
 
 
-def test_salted_join_plan_has_no_broadcast(spark, trips, zones):
-    # Catalyst would still broadcast a lookup this small by its own size
-    # estimate; switch that off to see the shuffle plan a large lookup gets.
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
+@contextmanager
+def _plain_shuffle(spark):
+    """Neither Catalyst's own broadcasts nor runtime re-planning."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
-        plan = plan_text(enrich(trips, zones, broadcast_max_rows=1))
+        yield
     finally:
-        spark.conf.set(key, old)
-    assert "BroadcastHashJoin" not in plan
-    assert "LeftOuter" in plan
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_only_the_bounded_id_list_is_broadcast_on_the_shuffle_path(spark, trips, zones):
+    with _plain_shuffle(spark):
+        plan = plan_text(enrich(trips, zones, broadcast_max_rows=1))
+    assert count_nodes(plan, "SortMergeJoin") == 2  # the two merges
+    assert "LeftOuter" in plan and "CartesianProduct" not in plan
+
+
+def test_unread_merges_go_at_any_lookup_size(spark):
+    # The lookup's ids are unique, so nothing of the merge is left in a plan
+    # that reads no zone column: no join, no count of ids, one exchange.
+    from ridelens.plans import analyses as A
+    from ridelens.sources.star import load_inputs
+
+    trips, big = load_inputs(spark, SF_SMALL)
+    with _plain_shuffle(spark):
+        plan = plan_text(A.monthly_trips(enrich(trips, big, broadcast_max_rows=1)))
+    assert "Join" not in plan and count_nodes(plan, "Exchange") == 1
 
 
 def test_unique_form_equals_plain_when_ids_unique(trips, zones):
@@ -88,51 +112,79 @@ def test_unique_form_equals_plain_when_ids_unique(trips, zones):
     assert rows(enrich(trips, zones), *cols) == rows(enrich(trips, zones, unique_zones=True), *cols)
 
 
-def test_hot_zone_spreads_over_tasks_on_shuffle_path(spark, zones):
-    # every trip starts in zone 1: a broadcast-free merge must not put them
-    # all in one task
-    hot = spark.range(4000).selectExpr(
-        "'Uber' AS business", "'1' AS pickup_location", "'2' AS dropoff_location",
+def _many(spark, pickup, n=8000, extra=""):
+    return spark.range(n).selectExpr(
+        "'Uber' AS business", f"{pickup} AS pickup_location", "'2' AS dropoff_location",
         "'1.0' AS trip_length", "'60' AS request_to_pickup", "'600' AS total_ride_time",
-        "CAST(1672531200 + id AS STRING) AS date", "'evening' AS time_of_day",
-        "'10.0' AS driver_total_pay", "'1.0' AS rideshare_profit",
+        "'1672531200' AS date", "'evening' AS time_of_day",
+        "'10.0' AS driver_total_pay", "'1.0' AS rideshare_profit", *([extra] if extra else []),
     )
-    confs = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.enabled": "false",
-    }
-    old = {k: spark.conf.get(k) for k in confs}
-    for k, v in confs.items():
-        spark.conf.set(k, v)
-    try:
-        merged = enrich(hot, zones, broadcast_max_rows=1, rows_per_salt_task=500)
-        from pyspark.sql import functions as F
 
-        per_task = merged.groupBy(F.spark_partition_id().alias("p")).count().collect()
-        assert merged.filter("Pickup_Zone = 'A'").count() == 4000
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
-    assert len(per_task) >= 4
-    assert max(r["count"] for r in per_task) < 4000 / 2
+
+def _largest_task(merged):
+    per_task = merged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return max(r["count"] for r in per_task)
 
 
-def test_hot_keys_are_heavy_hitters_only(trips):
-    from ridelens.operators.zone_merge import hot_keys
+def _spread_lookup(spark, zones):
+    """The pickup role alone, with a lookup that has many other ids."""
+    more = spark.range(100, 400).selectExpr("CAST(id AS STRING) LocationID", "'b' Borough", "'z' Zone", "'s' service_zone")
+    return zones.unionByName(more)
 
+
+@pytest.mark.parametrize(
+    "pickup",
+    [
+        "'1'",  # one id has all trips, all of them equal
+        "CASE WHEN id % 10 = 0 THEN CAST(id AS STRING) END",  # nine of ten have none
+        "CASE WHEN id % 3 = 0 THEN '1' ELSE CAST(100 + id % 300 AS STRING) END",  # a third
+    ],
+)
+def test_no_task_holds_a_hot_id(spark, zones, pickup):
+    trips = _many(spark, pickup)
+    with _plain_shuffle(spark):
+        merged = enrich(trips, _spread_lookup(spark, zones), broadcast_max_rows=1, rows_per_salt_task=200)
+        largest = _largest_task(merged.drop("dropoff_location", "Dropoff_Borough", "Dropoff_Zone", "Dropoff_service_zone"))
+        assert merged.count() == 8000
+        matched = merged.where("Pickup_Zone = 'A'").count()
+    assert matched == trips.where("pickup_location = '1'").count()
+    assert largest < 8000 / 3
+
+
+def test_an_id_below_a_hundredth_is_dealt_out_too(spark):
+    trips = _many(spark, "CASE WHEN id < 72 THEN '1' ELSE CAST(id AS STRING) END")  # 0.9 %
+    got = {r["id"]: r["buckets"] for r in hot_ids(trips, "Pickup", rows_per_task=20).collect()}
+    assert got == {"1": 4}
+
+
+def test_hot_ids_follow_the_trip_count(trips):
     # pickups: '1' x4, '2' x2, '9' x1, '01' x1; dropoffs: '1' x4, '2' x2, '9' x2
-    assert hot_keys(trips, 0.3) == {"Pickup": {"1": 4}, "Dropoff": {"1": 4}}
-    got = hot_keys(trips, 0.2)
-    assert got["Pickup"] == {"1": 4, "2": 2} and got["Dropoff"] == {"1": 4, "2": 2, "9": 2}
-    assert sorted(hot_keys(trips, 0.01)["Pickup"]) == ["01", "1", "2", "9"]
+    found = lambda *a, **k: {r["id"]: r["buckets"] for r in hot_ids(trips, *a, **k).collect()}
+    assert found("Pickup", rows_per_task=3) == {"1": 2}
+    assert found("Dropoff", rows_per_task=1) == {"1": 4, "2": 2, "9": 2}
+    assert found("Dropoff", rows_per_task=1, salt_buckets=7) == {"1": 7, "2": 7, "9": 7}
+    assert found("Pickup") == {}
+
+
+def test_names_and_types_pass_through(spark, zones):
+    trips = _many(spark, "1", 6, "map('k', id) AS m").withColumnRenamed("date", "DATE").withColumn("fare.base", F.lit(2.5))
+    trips = trips.unionByName(trips.limit(1).withColumn("pickup_location", F.lit(None).cast("int")))
+    lookup = zones.unionByName(spark.createDataFrame([("N/A", "x", "y", "z")], zones.schema))
+    for most in (10**6, 1):
+        out = enrich(trips, lookup, broadcast_max_rows=most, rows_per_salt_task=2)
+        assert out.columns == [*trips.columns, *ZONE_OUT]
+        got = out.collect()
+        assert len(got) == 7 and {r["DATE"] for r in got} == {"2023-01-01"} and {r["fare.base"] for r in got} == {2.5}
+        assert sorted(str(r["Pickup_Zone"]) for r in got) == ["A"] * 6 + ["None"]
+        assert {next(iter(r["m"].values())) for r in got} == set(range(6))
+        from ridelens.plans import analyses as A
 
+        assert {r["business_month"] for r in A.monthly_trips(out).collect()} == {"Uber-1"}
 
-def test_salt_plan_follows_group_size():
-    from ridelens.operators.zone_merge import salt_plan
 
-    # a third of 3e12 trips at 2e6 per task: 500,000 tasks; small ids stay whole
-    assert salt_plan({"1": 10**12, "2": 1_500_000}) == {"1": 500_000, "2": 1}
-    assert salt_plan({"1": 10**12}, salt_buckets=8) == {"1": 8}
+def test_lookup_bytes_count_bytes(spark, zones):
+    wide = spark.createDataFrame([("1", "区" * 10, "市", "町")], zones.schema)
+    assert prepare_lookup(wide).bytes == 1 + 3 * 12 + 4 * 8
 
 
 def test_mixed_hot_and_cold_keys_match_broadcast(spark, trips, zones):
@@ -140,5 +192,5 @@ def test_mixed_hot_and_cold_keys_match_broadcast(spark, trips, zones):
     cols = list(TRIP_COLUMNS) + ZONE_OUT
     for lookup in (zones, dup):
         broadcast = rows(enrich(trips, lookup), *cols)
-        shuffled = rows(enrich(trips, lookup, broadcast_max_rows=1, salt_buckets=3, hot_fraction=0.3), *cols)
+        shuffled = rows(enrich(trips, lookup, broadcast_max_rows=1, salt_buckets=3, rows_per_salt_task=1), *cols)
         assert shuffled == broadcast
