@@ -163,6 +163,18 @@ def earning_per_mile(merged: DataFrame) -> DataFrame:
     )
 
 
+def time_of_day_averages(merged: DataFrame) -> DataFrame:
+    """``time_of_day, average_driver_total_pay, average_trip_length,
+    average_earning_per_mile`` of every time of day, null included: the three
+    tables above in one scan."""
+    both = merged.groupBy("time_of_day").agg(
+        F.avg(to_double("driver_total_pay")).alias("average_driver_total_pay"),
+        F.avg(to_double("trip_length")).alias("average_trip_length"),
+    )
+    ratio = F.try_divide("average_driver_total_pay", "average_trip_length")
+    return both.withColumn("average_earning_per_mile", ratio)
+
+
 # Q05 ---------------------------------------------------------------------
 
 def daily_wait(merged: DataFrame, month: int = WAIT_MONTH) -> DataFrame:
@@ -219,6 +231,12 @@ def borough_pair_sample(
     return trips.orderBy(*[F.asc_nulls_first(c) for c in trips.columns]).limit(n)
 
 
+def filter_counts(merged: DataFrame) -> DataFrame:
+    """``Pickup_Borough, Dropoff_Borough, time_of_day, trip_count``: the one
+    aggregate from which the filtering job's counts are summed."""
+    return count_by(merged, ["Pickup_Borough", "Dropoff_Borough", "time_of_day"], "trip_count")
+
+
 # Q07 ---------------------------------------------------------------------
 
 def route_counts_by_business(

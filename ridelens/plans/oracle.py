@@ -13,8 +13,8 @@ _BASE = """
 trips AS (
   SELECT
     CASE l_returnflag WHEN 'R' THEN 'Uber' WHEN 'A' THEN 'Lyft' ELSE 'Other' END AS business,
-    CAST(c_nationkey AS VARCHAR) AS pickup_location,
-    CAST(s_nationkey AS VARCHAR) AS dropoff_location,
+    CASE c_nationkey WHEN 7 THEN '07' ELSE CAST(c_nationkey AS VARCHAR) END AS pickup_location,
+    CASE s_nationkey WHEN 7 THEN '07' ELSE CAST(s_nationkey AS VARCHAR) END AS dropoff_location,
     CAST(l_quantity AS VARCHAR) AS trip_length,
     CASE WHEN l_linenumber = 7 THEN NULL
          ELSE CAST((l_partkey * 7 + l_suppkey * 13) % 600 AS VARCHAR) END AS request_to_pickup,
@@ -32,7 +32,6 @@ trips AS (
 zones AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS LocationID, r_name AS Borough, n_name AS Zone, n_name AS service_zone
   FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey <> 7
 ),
 zones_u AS (
   SELECT * FROM zones
@@ -58,6 +57,25 @@ def _merged(name: str, zones: str) -> str:
 """
 
 
+# The lookup with zone 3 listed twice, and its merges; the trips with numeric ids.
+_FANOUT = """
+zones_2 AS (
+  SELECT * FROM zones
+  UNION ALL SELECT LocationID, Borough, Zone || ' 2', service_zone FROM zones WHERE LocationID = '3'
+),
+zones_2u AS (
+  SELECT LocationID, min(Borough) AS Borough, min(Zone) AS Zone, min(service_zone) AS service_zone FROM zones_2 GROUP BY 1
+)"""
+_TYPED = """
+typed AS (
+  SELECT t.business, CAST(t.pickup_location AS INTEGER) AS pickup_location, CAST(t.dropoff_location AS INTEGER) AS dropoff_location,
+         CAST(t.trip_length AS DOUBLE) AS trip_length, CAST(t.request_to_pickup AS INTEGER) AS request_to_pickup,
+         strftime(epoch_ms(CAST(t.date AS BIGINT) * 1000), '%Y-%m-%d') AS "Date", t.time_of_day,
+         CAST(t.driver_total_pay AS DOUBLE) AS "driver_pay"
+  FROM trips t
+)"""
+
+
 _PREFIX = "WITH " + _BASE + "," + _merged("merged", "zones") + "," + _merged("merged_u", "zones_u")
 
 MONTH = "CAST(month(TRY_CAST(date AS DATE)) AS INTEGER)"
@@ -239,6 +257,17 @@ FROM merged WHERE time_of_day IS NOT NULL GROUP BY 1"""
         f"SELECT * FROM ({ROUTE_COUNTS}) ORDER BY total_count DESC NULLS LAST, Route ASC NULLS FIRST LIMIT 10"
     ),
     "merge_zones_unique": _q("SELECT * FROM merged_u"),
+    "merge_zones_fanout": _q("SELECT * FROM merged_2", _FANOUT, _merged("merged_2", "zones_2")),
+    "merge_zones_fanout_unique": _q("SELECT * FROM merged_2u", _FANOUT, _merged("merged_2u", "zones_2u")),
+    "merge_zones_shuffled": _q("SELECT * FROM merged_2", _FANOUT, _merged("merged_2", "zones_2")),
+    "merge_zones_typed": _q(
+        "SELECT t.*, p.Borough AS Pickup_Borough, p.Zone AS Pickup_Zone, p.service_zone AS Pickup_service_zone, "
+        "d.Borough AS Dropoff_Borough, d.Zone AS Dropoff_Zone, d.service_zone AS Dropoff_service_zone "
+        "FROM typed t LEFT JOIN zones p ON CAST(t.pickup_location AS VARCHAR) = p.LocationID "
+        "LEFT JOIN zones d ON CAST(t.dropoff_location AS VARCHAR) = d.LocationID",
+        _TYPED,
+    ),
+    "sink_csv_part_files": _q("SELECT CAST(1 AS BIGINT) AS part_files, count(*) AS row_count FROM series", SERIES),
     "monthly_trips_unique": _q(
         f"SELECT {BUSINESS_MONTH} AS business_month, count(*) AS trip_count FROM merged_u GROUP BY 1"
     ),

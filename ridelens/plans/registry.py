@@ -8,7 +8,6 @@ order differs: money to 2 places, averages, ratios and logs to 6.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
@@ -23,7 +22,7 @@ from ridelens.operators.rank import rank_within
 from ridelens.operators.zone_merge import enrich
 from ridelens.plans import analyses as A
 from ridelens.plans import series as S
-from ridelens.session import application_id, pin_session, scratch_dir
+from ridelens.session import pin_session, scratch_dir
 from ridelens.sources.readers import read_trips
 from ridelens.sources.sinks import export_csv
 from ridelens.sources.star import load_inputs, load_prepared
@@ -35,27 +34,29 @@ Query = Callable[[SparkSession, str], DataFrame]
 TEST_PAIR = ("ASIA", "EUROPE")
 MONEY_PLACES = 2
 RATIO_PLACES = 6
-STREAM_TRIGGERS = 4
+STREAM_FILES_PER_TRIGGER = 4
+DOUBLED_ZONE_ID = "3"
+#: Small enough that the test tables' ids are dealt over several salts.
+SHUFFLED_ROWS_PER_TASK = 500
 
 
 def _round(df: DataFrame, places: dict[str, int]) -> DataFrame:
     return df.select(*[F.round(F.col(c), places[c]).alias(c) if c in places else F.col(c) for c in df.columns])
 
 
-_MERGED: dict[tuple[str, str, bool], DataFrame] = {}
+def _merged(spark: SparkSession, sf_dir: str, unique_zones: bool = False) -> DataFrame:
+    """The merged trip table of ``sf_dir``."""
+    pin_session(spark)
+    trips, lookup = load_prepared(spark, sf_dir)
+    return enrich(trips, lookup, unique_zones=unique_zones)
 
 
-def _merged(spark: SparkSession, sf_dir: str, unique_zones: bool = False) -> DataFrame:
-    """The merged trip table of ``sf_dir``. The DataFrame (a plan, not data)
-    is built once per application and shared by every query, since all
-    analyses start from the same relation."""
+def _doubled_lookup(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The trips, and the zone lookup with ``DOUBLED_ZONE_ID`` listed twice."""
     pin_session(spark)
-    key = (application_id(spark), os.path.abspath(sf_dir), unique_zones)
-    merged = _MERGED.get(key)
-    if merged is None:
-        trips, lookup = load_prepared(spark, sf_dir)
-        merged = _MERGED[key] = enrich(trips, lookup, unique_zones=unique_zones)
-    return merged
+    trips, zones = load_inputs(spark, sf_dir)
+    again = zones.where(F.col("LocationID") == DOUBLED_ZONE_ID).withColumn("Zone", F.concat("Zone", F.lit(" 2")))
+    return trips, zones.unionByName(again)
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,24 +92,29 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(back, {"total_profit": MONEY_PLACES, "total_earnings": MONEY_PLACES})
 
 
+def sink_csv_part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part files and rows of the series' export: one file by contract."""
+    path = f"{scratch_dir(spark)}/series-csv-{uuid.uuid4().hex}"
+    export_csv(S.business_month_totals(_merged(spark, sf_dir)), path, order_by=["business_month"])
+    back = spark.read.option("header", "true").csv(path).withColumn("file", F.input_file_name())
+    return back.agg(F.count_distinct("file").alias("part_files"), F.count(F.lit(1)).alias("row_count"))
+
+
 def stream_business_month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The business-month series computed by a streaming query: the trips are
-    dropped as header CSV files into a folder, read in ``STREAM_TRIGGERS``
-    triggers (the files per trigger grow with the table, so the number of
-    micro-batches does not), merged with the static lookup, aggregated with
-    state and written as a complete table after each trigger; the final table
-    is returned."""
-    from ridelens.streaming.files import business_month_totals_stream, read_trip_stream, run_to_table
+    dropped as header CSV files into a folder, read a few files per trigger,
+    merged with the static lookup, aggregated with state and written as a
+    complete version of the table after each trigger; the last one is
+    returned."""
+    from ridelens.streaming.files import business_month_totals_stream, read_table, read_trip_stream, run_to_table
 
     pin_session(spark)
     trips, lookup = load_prepared(spark, sf_dir)
     run = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
     trips.write.option("header", "true").csv(f"{run}/incoming")
-    files = len(spark.read.option("header", "true").csv(f"{run}/incoming").inputFiles())
-    per_trigger = max(1, -(-files // STREAM_TRIGGERS))
-    stream = read_trip_stream(spark, f"{run}/incoming", max_files_per_trigger=per_trigger)
+    stream = read_trip_stream(spark, f"{run}/incoming", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     run_to_table(business_month_totals_stream(stream, lookup), f"{run}/table", f"{run}/checkpoint")
-    back = spark.read.parquet(f"{run}/table")
+    back = read_table(spark, f"{run}/table")
     return _round(back, {"total_profit": MONEY_PLACES, "total_earnings": MONEY_PLACES})
 
 
@@ -281,6 +287,36 @@ def q_merge_zones_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(spark, sf_dir, unique_zones=True)
 
 
+def q_merge_zones_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich(*_doubled_lookup(spark, sf_dir))
+
+
+def q_merge_zones_fanout_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich(*_doubled_lookup(spark, sf_dir), unique_zones=True)
+
+
+def q_merge_zones_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge as a lookup beyond the broadcast bound gets it."""
+    trips, zones = _doubled_lookup(spark, sf_dir)
+    return enrich(trips, zones, broadcast_max_rows=1, rows_per_salt_task=SHUFFLED_ROWS_PER_TASK)
+
+
+def q_merge_zones_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of a typed parquet copy of the trips: numbers as numbers, and
+    a lookup with numeric ids (so an id matches by its text)."""
+    pin_session(spark)
+    trips, zones = load_inputs(spark, sf_dir)
+    typed = trips.select(
+        "business", F.col("pickup_location").cast("int").alias("pickup_location"), F.col("dropoff_location").cast("int").alias("dropoff_location"),
+        F.col("trip_length").cast("double").alias("trip_length"), F.col("request_to_pickup").cast("int").alias("request_to_pickup"),
+        F.col("date").cast("bigint").alias("Date"), "time_of_day", F.col("driver_total_pay").cast("double").alias("driver_pay"),
+    )
+    path = f"{scratch_dir(spark)}/trips-typed-{uuid.uuid4().hex}"
+    typed.write.parquet(path)
+    ids = zones.withColumn("LocationID", F.col("LocationID").cast("bigint"))
+    return enrich(spark.read.schema(typed.schema).parquet(path), ids)
+
+
 def q_monthly_trips_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.monthly_trips(_merged(spark, sf_dir, unique_zones=True))
 
@@ -289,6 +325,7 @@ QUERIES: dict[str, Query] = {
     # operators
     "scan_csv_header": scan_csv_header,
     "sink_csv_roundtrip": sink_csv_roundtrip,
+    "sink_csv_part_files": sink_csv_part_files,
     "epoch_to_date": q_epoch_to_date,
     "date_parts": q_date_parts,
     "month_of_date": q_month_of_date,
@@ -328,4 +365,8 @@ QUERIES: dict[str, Query] = {
     "top_zone_routes": q_top_zone_routes,
     "merge_zones_unique": q_merge_zones_unique,
     "monthly_trips_unique": q_monthly_trips_unique,
+    "merge_zones_fanout": q_merge_zones_fanout,
+    "merge_zones_fanout_unique": q_merge_zones_fanout_unique,
+    "merge_zones_shuffled": q_merge_zones_shuffled,
+    "merge_zones_typed": q_merge_zones_typed,
 }

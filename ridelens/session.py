@@ -90,27 +90,40 @@ def object_store_conf(
     }
 
 
+# Where the jobs find the object store's settings; values never come from argv.
+STORE_ENVIRONMENT = {"endpoint": "S3_ENDPOINT", "access_key": "S3_ACCESS_KEY", "secret_key": "S3_SECRET_KEY"}
+
+
+def store_conf_from_environment(env: Mapping[str, str]) -> dict[str, str]:
+    """:func:`object_store_conf` from ``S3_ENDPOINT``, ``S3_ACCESS_KEY`` and
+    ``S3_SECRET_KEY``; empty if none is set, an error if only some are."""
+    found = {k: env[v] for k, v in STORE_ENVIRONMENT.items() if env.get(v)}
+    if not found:
+        return {}
+    missing = sorted(v for k, v in STORE_ENVIRONMENT.items() if k not in found)
+    if missing:
+        raise ValueError(f"object store settings are incomplete: {', '.join(missing)} not set")
+    return object_store_conf(**found)
+
+
 def application_id(spark: SparkSession) -> str:
     """The application id, read from the conf (works without a local
     SparkContext, e.g. over Spark Connect)."""
     return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Task slots of the cluster, or the conf's value when there is no local
-    SparkContext to ask."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # no local context (Spark Connect)
-        return int(spark.conf.get("spark.default.parallelism", "8"))
+def _one_machine(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``)."""
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Order: the context's checkpoint dir, then ``spark.checkpoint.dir`` from the
-    conf. Only when both are unset (local mode, tests) do we create a folder
-    and register it, so that later ``checkpoint()`` calls agree with us.
+    conf. When both are unset, a ``local`` master gets a new folder, registered
+    so that later ``checkpoint()`` calls agree with us; on a cluster that folder
+    would be another one on each machine, so there it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -127,6 +140,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not _one_machine(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder the cluster shares")
     local = tempfile.mkdtemp(prefix="ridelens-scratch-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

@@ -4,31 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# A single part file means a single writing task. That is the right shape for
-# the small result tables the analyses produce (10 business-months, 31 days),
-# and the wrong one for anything that grows with the input. Above this many
-# rows we keep the input's partitioning and write several part files.
-SINGLE_FILE_MAX_ROWS = 1_000_000
 
-
-def export_csv(
-    df: DataFrame,
-    path: str,
-    order_by: list[str] | None = None,
-    single_file: bool = True,
-    single_file_max_rows: int = SINGLE_FILE_MAX_ROWS,
-) -> str:
+def export_csv(df: DataFrame, path: str, order_by: list[str] | None = None, single_file: bool = True) -> str:
     """Write ``df`` as header CSV, replacing whatever is at ``path``.
 
-    ``single_file`` collapses to one part file (no shuffle: ``coalesce(1)``)
-    once a count shows the result is small. The count is a distributed
-    aggregate; it computes ``df`` once more, which is cheap for the small
-    results this mode is meant for. Pass ``single_file=False`` for large
-    output. ``order_by`` sorts the rows first; with one part file the order
-    survives in the file. Returns ``path``.
+    ``single_file`` (the exports' contract) gathers the rows in one task that
+    sorts them by ``order_by`` and writes one part file; what computes them
+    stays as parallel as it was. It suits the tables the analyses produce (a
+    handful of business-months or days). Pass ``single_file=False`` for output
+    that grows with the input: every task then writes its own file, in overall
+    order if ``order_by`` is given. Nothing is counted first. Returns ``path``.
     """
-    out = df.orderBy(*order_by) if order_by else df
-    if single_file and df.count() <= single_file_max_rows:
-        out = out.coalesce(1)
+    if single_file:
+        out = df.repartition(1)
+        out = out.sortWithinPartitions(*order_by) if order_by else out
+    else:
+        out = df.orderBy(*order_by) if order_by else df
     out.write.mode("overwrite").option("header", "true").csv(path)
     return path

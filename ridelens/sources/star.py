@@ -3,20 +3,20 @@
 The test data is a TPC-H-like star schema, not trips. These two views map it
 onto the trip and zone inputs, keeping the original's quirks: every trip
 column is a string, some waits are null, one time-of-day is null, and one
-zone id is missing from the lookup so unmatched trips exist.
+zone id is written with a leading zero by the trips so unmatched trips exist.
 
 Mapping (fixed; both the Spark side and the SQL oracle use it):
 
 * ``business``: return flag R -> Uber, A -> Lyft, anything else -> Other
-* ``pickup_location`` / ``dropoff_location``: customer / supplier nation key
+* ``pickup_location`` / ``dropoff_location``: customer / supplier nation key,
+  7 as ``07``
 * ``trip_length``: quantity; ``driver_total_pay``: extended price
 * ``request_to_pickup``: ``(partkey*7 + suppkey*13) % 600``, null on line 7
 * ``total_ride_time``: ``linenumber * 300`` (carried, never read)
 * ``date``: epoch seconds of the ship date (UTC)
 * ``time_of_day``: priority 1 evening, 2 afternoon, 3 night, 4 morning, 5 null
 * ``rideshare_profit``: ``extendedprice * (discount - tax)``
-* zones: nation joined to region, without nation 7; ``Borough`` is the region
-  name, ``Zone`` and ``service_zone`` the nation name.
+* zones: nation joined to region; ``Borough`` is the region name, ``Zone`` and ``service_zone`` the nation name.
 """
 
 from __future__ import annotations
@@ -25,11 +25,12 @@ import hashlib
 import os
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ridelens.operators.zone_merge import ZoneLookup, prepare_lookup
-from ridelens.session import application_id, default_parallelism, scratch_dir
+from ridelens.session import application_id, scratch_dir
 
 # Fixed values of the mapping above.
 BUSINESS_BY_RETURNFLAG = {"R": "Uber", "A": "Lyft"}
@@ -56,21 +57,17 @@ def _case(column: str, mapping: dict[str, str], default: str | None):
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` on ``key`` when its scan yields fewer input
-    partitions than the cluster has cores (a few large files, or one file with
-    one row group). A table already split into many files is left as it is:
-    no shuffle is added where the scan itself is parallel."""
-    target = default_parallelism(df.sparkSession)
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access: keep the scan as is
-        return df
-    return df.repartition(target, key) if current < target else df
+def _zone_id(column: str) -> Column:
+    """The nation key as text; ``MISSING_ZONE_ID`` with a leading zero, so that
+    its trips match no zone (ids compare as strings)."""
+    key = F.col(column).cast("string")
+    return F.when(F.col(column) == MISSING_ZONE_ID, F.lit(f"0{MISSING_ZONE_ID}")).otherwise(key)
 
 
-def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trip fact table as strings, one row per line item.
+def trips_from_star(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """The trip fact table as strings, one row per line item. ``partitions``
+    deals the line items over that many tasks first (the test tables are one
+    row group each); left out, the scan's splits are kept.
 
     Three inner joins; orders, customer and supplier are joined in whatever
     way Catalyst picks from their parquet sizes (broadcast while they fit
@@ -80,7 +77,8 @@ def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
     )
-    lineitem = _spread(lineitem, "l_orderkey")
+    if partitions:
+        lineitem = lineitem.repartition(partitions, "l_orderkey")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -93,8 +91,8 @@ def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     wait = (F.col("l_partkey") * 7 + F.col("l_suppkey") * 13) % 600
     return joined.select(
         _case("l_returnflag", BUSINESS_BY_RETURNFLAG, OTHER_BUSINESS).alias("business"),
-        F.col("c_nationkey").cast("string").alias("pickup_location"),
-        F.col("s_nationkey").cast("string").alias("dropoff_location"),
+        _zone_id("c_nationkey").alias("pickup_location"),
+        _zone_id("s_nationkey").alias("dropoff_location"),
         F.col("l_quantity").cast("string").alias("trip_length"),
         F.when(F.col("l_linenumber") == NULL_WAIT_LINENUMBER, F.lit(None).cast("string"))
         .otherwise(wait.cast("string"))
@@ -110,12 +108,11 @@ def trips_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The zone lookup: one row per nation except ``MISSING_ZONE_ID``."""
+    """The zone lookup: one row per nation."""
     nation = _table(spark, sf_dir, "nation")
     region = _table(spark, sf_dir, "region")
     return (
-        nation.filter(F.col("n_nationkey") != MISSING_ZONE_ID)
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("n_nationkey").cast("string").alias("LocationID"),
             F.col("r_name").alias("Borough"),
@@ -125,8 +122,8 @@ def zones_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_MATERIALIZED: dict[tuple[str, str, str], DataFrame] = {}
-_LOOKUPS: dict[tuple[str, str], ZoneLookup] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_CHECKED: dict[tuple[str, str], ZoneLookup] = {}
 # Queries may be planned from several driver threads; the one-off writes and
 # the lookup check must happen once per key.
 _LOCK = threading.RLock()
@@ -134,28 +131,29 @@ _LOCK = threading.RLock()
 
 def _fingerprint(sf_dir: str) -> str:
     parts = [os.path.abspath(sf_dir)]
-    for name in ("lineitem", "orders", "customer", "supplier"):
+    for name in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
         path = f"{sf_dir}/{name}.parquet"
         try:
             st = os.stat(path)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+            parts.append(f"{name}:{st.st_size}:{st.st_mtime_ns}")
         except OSError:
             parts.append(name)
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
 def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    app_id = application_id(spark)
-    key = (app_id, os.path.abspath(sf_dir), name)
+    """``build``'s rows from a table written once per application and state of
+    the inputs. Path and schema are kept, not the frame: each session gets a
+    frame of its own."""
+    app_id, state = application_id(spark), _fingerprint(sf_dir)
     with _LOCK:
-        df = _MATERIALIZED.get(key)
-        if df is None:
-            path = f"{scratch_dir(spark)}/{name}-{app_id}-{_fingerprint(sf_dir)}"
-            build(spark, sf_dir).write.mode("overwrite").parquet(path)
-            # Keep the DataFrame, not just the path: the written table never
-            # changes, so its listing and footer schema are read once.
-            df = _MATERIALIZED[key] = spark.read.parquet(path)
-    return df
+        if (app_id, state, name) not in _WRITTEN:
+            path = f"{scratch_dir(spark)}/{name}-{app_id}-{state}"
+            df = build(spark, sf_dir)
+            df.write.mode("overwrite").parquet(path)
+            _WRITTEN[app_id, state, name] = path, df.schema
+        path, schema = _WRITTEN[app_id, state, name]
+    return spark.read.schema(schema).parquet(path)
 
 
 def materialize_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +166,8 @@ def materialize_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     analysis starts at a durable file, so a lost executor only costs the
     tasks of the current stage.
     """
-    return _materialize(spark, sf_dir, "trips", trips_from_star)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _materialize(spark, sf_dir, "trips", lambda s, d: trips_from_star(s, d, partitions))
 
 
 def materialize_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,12 +186,11 @@ def load_inputs(
 
 def load_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLookup]:
     """``(trips, checked zone lookup)``: the lookup's size and uniqueness are
-    checked once per application (the materialized zone table never changes
-    after it is written)."""
+    checked once per application and state of the inputs."""
     trips, zones = load_inputs(spark, sf_dir)
-    key = (application_id(spark), os.path.abspath(sf_dir))
+    key = (application_id(spark), _fingerprint(sf_dir))
     with _LOCK:
-        lookup = _LOOKUPS.get(key)
-        if lookup is None:
-            lookup = _LOOKUPS[key] = prepare_lookup(zones)
-    return trips, lookup
+        if key not in _CHECKED:
+            _CHECKED[key] = prepare_lookup(zones)
+        checked = _CHECKED[key]
+    return trips, ZoneLookup(zones, checked.rows, checked.bytes, checked.broadcastable, checked.unique_ids)

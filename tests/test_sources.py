@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ridelens.plans import analyses as A
@@ -37,7 +38,7 @@ def test_parquet_scan_with_schema_casts_by_name(spark, tmp_dir):
 
 def test_export_csv_single_file_with_header(merged, tmp_dir):
     path = os.path.join(tmp_dir, "wait")
-    export_csv(A.daily_wait(merged), path)
+    export_csv(A.daily_wait(merged), path, order_by=["day"])
     parts = glob.glob(os.path.join(path, "part-*.csv"))
     assert len(parts) == 1
     with open(parts[0]) as fh:
@@ -53,12 +54,31 @@ def test_export_csv_overwrites(merged, tmp_dir):
         assert fh.read().splitlines() == ["day,average_waiting_time", "2,500.0"]
 
 
-def test_export_csv_large_result_keeps_partitions(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "big")
-    df = spark.range(0, 100, numPartitions=4)
-    export_csv(df, path, single_file_max_rows=10)
-    assert len(glob.glob(os.path.join(path, "part-*.csv"))) == 4
-    assert spark.read.option("header", "true").csv(path).count() == 100
+def test_export_csv_writes_one_file_at_any_size_or_one_per_task(spark, tmp_dir):
+    df = spark.range(0, 200_000, numPartitions=4).withColumn("k", F.col("id") % 1000)
+    one, many = os.path.join(tmp_dir, "one"), os.path.join(tmp_dir, "many")
+    export_csv(df, one, order_by=["k", "id"])
+    (part,) = glob.glob(os.path.join(one, "part-*.csv"))
+    with open(part) as fh:
+        lines = fh.read().splitlines()[1:]
+    got = [tuple(map(int, x.split(",")))[::-1] for x in lines]
+    assert len(got) == 200_000 and got == sorted(got)
+    export_csv(df, many, single_file=False)
+    assert len(glob.glob(os.path.join(many, "part-*.csv"))) == 4
+    assert spark.read.option("header", "true").csv(many).count() == 200_000
+
+
+def test_export_csv_computes_its_input_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).mapInArrow(count, "id bigint").groupBy((F.col("id") % 7).alias("k")).count()
+    export_csv(df, os.path.join(tmp_dir, "once"), order_by=["k"])
+    assert seen.value == 1000
 
 
 def test_object_store_conf():
@@ -85,18 +105,83 @@ def test_pin_session_sets_utc_and_aqe(spark):
         assert spark.conf.get(key) == value
 
 
-def test_spread_only_under_split_scans(spark, tmp_dir):
-    from ridelens.sources.star import _spread
+def test_trips_keep_the_scan_unless_told(spark):
+    from ridelens.sources.star import trips_from_star
+
+    from conftest import SF_SMALL, plan_text
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 30))
+    try:
+        assert "hashpartitioning" not in plan_text(trips_from_star(spark, SF_SMALL))
+        assert "hashpartitioning(l_orderkey" in plan_text(trips_from_star(spark, SF_SMALL, partitions=3))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from ridelens.session import _one_machine
+
+    assert all(_one_machine(m) for m in ("local", "local[8]", "local[*]", "local[2,3]"))
+    assert not any(_one_machine(m) for m in ("local-cluster[3,2,1024]", "yarn", "k8s://https://x", "spark://h:7077"))
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())
+
+
+def test_each_session_gets_a_frame_of_its_own(spark):
+    from ridelens.plans.registry import QUERIES
+
+    from conftest import SF_SMALL
+
+    other = spark.newSession()
+    for session in (spark, other, spark):
+        frame = QUERIES["merge_zones"](session, SF_SMALL)
+        assert frame.sparkSession._jsparkSession.equals(session._jsparkSession)
+
+
+def test_changed_tables_are_written_anew(spark, tmp_dir):
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    from ridelens.sources.star import load_inputs
+
+    from conftest import SF_SMALL
+
+    folder = os.path.join(tmp_dir, "tables")
+    os.makedirs(folder)
+    for name in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
+        shutil.copyfile(f"{SF_SMALL}/{name}.parquet", f"{folder}/{name}.parquet")
+    first = load_inputs(spark, folder)[0].count()
+    pq.write_table(pq.read_table(f"{SF_SMALL}/lineitem.parquet").slice(0, 100), f"{folder}/lineitem.parquet")
+    assert (first, load_inputs(spark, folder)[0].count()) == (6000, 100)
+
+
+def test_store_settings_from_the_environment():
+    from ridelens.session import store_conf_from_environment
 
-    one = os.path.join(tmp_dir, "one")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    df = spark.read.parquet(one)
-    target = spark.sparkContext.defaultParallelism
-    assert _spread(df, "id").rdd.getNumPartitions() == target
-    many = os.path.join(tmp_dir, "many")
-    spark.range(1000).repartition(target * 2).write.parquet(many)
-    wide = spark.read.parquet(many)
-    assert _spread(wide, "id") is wide
+    env = {"S3_ENDPOINT": "http://store:9000", "S3_ACCESS_KEY": "ak", "S3_SECRET_KEY": "sk"}
+    assert store_conf_from_environment(env) == object_store_conf("http://store:9000", "ak", "sk")
+    assert store_conf_from_environment({}) == {}
+    with pytest.raises(ValueError, match="S3_SECRET_KEY"):
+        store_conf_from_environment({"S3_ENDPOINT": "x", "S3_ACCESS_KEY": "y"})
 
 
 def test_typed_parquet_trips_give_the_same_answers(spark, tmp_dir, trips, zones, merged):
