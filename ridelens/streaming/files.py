@@ -8,9 +8,11 @@ these analyses are bounded (business x month, day of month), so state does
 not grow with the data and no watermark is needed; nothing is dropped as
 late, because the results have no event-time window.
 
-Each trigger rewrites the complete result table with ``foreachBatch``, which
-is idempotent: a batch replayed after a failure writes the same table again.
-Progress lives in a checkpoint folder under the shared scratch folder.
+Each trigger writes the complete result as a version of its own under the
+table's folder, with ``foreachBatch``; readers take the newest complete version
+(:func:`read_table`), so a run that dies while writing leaves the one before it.
+A batch replayed after a failure writes the same version again. Progress lives
+in a checkpoint folder under the shared scratch folder.
 """
 
 from __future__ import annotations
@@ -18,29 +20,40 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ridelens.operators.zone_merge import ZoneLookup, enrich
 from ridelens.plans.series import business_month_totals
 from ridelens.session import scratch_dir
-from ridelens.sources.readers import TRIP_SCHEMA
 
 
 def read_trip_stream(
     spark: SparkSession,
     path: str,
-    schema: StructType = TRIP_SCHEMA,
+    schema: StructType | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Header CSV files appearing under ``path`` as a streaming DataFrame.
-    A file source needs its schema up front; the default is the all-string
-    trip schema the batch reader produces."""
-    reader = spark.readStream.schema(schema).option("header", "true")
+    """Header CSV files appearing under ``path`` as a streaming DataFrame of
+    strings. A file source needs its columns up front: they are those of the
+    files already there, in their order, whatever they are (or ``schema``). A
+    later file whose header differs fails the query instead of being read by
+    position."""
+    if schema is None:
+        names = spark.read.option("header", "true").csv(path).columns
+        schema = StructType([StructField(name, StringType()) for name in names])
+    reader = spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "false")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.csv(path)
 
 
+def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The newest complete version of a table written by :func:`run_to_table`."""
+    newest = spark.read.schema("version bigint").parquet(f"{table_path}/complete").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{table_path}/version={newest}")
+
+
 def business_month_totals_stream(trips: DataFrame, zones: DataFrame | ZoneLookup) -> DataFrame:
     """The business-month totals of a trip stream (stateful, one row per
     business-month)."""
@@ -54,8 +67,8 @@ def run_to_table(
     available_now: bool = True,
     state_partitions: int = 8,
 ) -> str:
-    """Run a streaming aggregate, rewriting ``table_path`` (parquet) with the
-    complete result after every trigger. With ``available_now`` it processes
+    """Run a streaming aggregate, writing the complete result as a new version
+    under ``table_path`` (parquet) after every trigger. With ``available_now`` it processes
     the files present at start in as many triggers as the source's limits
     allow, then stops. Returns ``table_path``.
 
@@ -67,8 +80,10 @@ def run_to_table(
     name = hashlib.sha1(table_path.encode()).hexdigest()[:16]
     checkpoint = checkpoint_location or f"{scratch_dir(spark)}/streams/{name}"
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table_path}/version={batch_id}")
+        done = batch.sparkSession.createDataFrame([(batch_id,)], "version bigint")
+        done.coalesce(1).write.mode("append").parquet(f"{table_path}/complete")
 
     writer = (
         aggregate.writeStream.outputMode("complete")

@@ -7,7 +7,7 @@ import os
 import pytest
 
 from ridelens.plans.series import business_month_totals
-from ridelens.streaming import business_month_totals_stream, read_trip_stream, run_to_table
+from ridelens.streaming import business_month_totals_stream, read_table, read_trip_stream, run_to_table
 
 from conftest import TRIPS_CSV, rows
 
@@ -29,7 +29,7 @@ def test_stream_matches_batch_and_resumes(spark, tmp_dir, merged, zones):
     def run():
         stream = read_trip_stream(spark, incoming, max_files_per_trigger=1)
         run_to_table(business_month_totals_stream(stream, zones), table, ckpt)
-        return rows(spark.read.parquet(table), "business_month", "trip_count")
+        return rows(read_table(spark, table), "business_month", "trip_count")
 
     first = run()
     assert sum(n for _, n in first) == 6
@@ -37,12 +37,12 @@ def test_stream_matches_batch_and_resumes(spark, tmp_dir, merged, zones):
     _drop(incoming, "c.csv", data[6:])
     second = run()
     assert second == rows(business_month_totals(merged), "business_month", "trip_count")
-    got = {r["business_month"]: r["total_earnings"] for r in spark.read.parquet(table).collect()}
+    got = {r["business_month"]: r["total_earnings"] for r in read_table(spark, table).collect()}
     assert got["Uber-1"] == pytest.approx(10.110000230371952, abs=1e-12)
 
 
 def test_stream_with_large_lookup_path(spark, tmp_dir, merged, zones):
-    # force the non-broadcast merge on a stream: no hot-key probe, plain join
+    # force the non-broadcast merge on a stream: every id is dealt over a fixed number of salts
     from ridelens.operators.zone_merge import enrich
     from ridelens.plans.series import business_month_totals
 
@@ -53,5 +53,37 @@ def test_stream_with_large_lookup_path(spark, tmp_dir, merged, zones):
     agg = business_month_totals(enrich(stream, zones, broadcast_max_rows=1))
     table = os.path.join(tmp_dir, "table")
     run_to_table(agg, table, os.path.join(tmp_dir, "ckpt"))
-    got = rows(spark.read.parquet(table), "business_month", "trip_count")
+    got = rows(read_table(spark, table), "business_month", "trip_count")
     assert got == rows(business_month_totals(merged), "business_month", "trip_count")
+
+
+def test_columns_are_read_by_name(spark, tmp_dir, merged, zones):
+    incoming = os.path.join(tmp_dir, "incoming")
+    os.makedirs(incoming)
+    header, *data = (line.split(",") for line in TRIPS_CSV.splitlines())
+    order = sorted(range(len(header)), reverse=True)
+    with open(os.path.join(incoming, "a.csv"), "w") as fh:
+        for row in (header, *data):
+            fh.write(",".join([row[i] for i in order] + ["extra" if row is header else "kept"]) + "\n")
+    stream = read_trip_stream(spark, incoming)
+    assert stream.columns == [*[header[i] for i in order], "extra"]
+    table = os.path.join(tmp_dir, "table")
+    run_to_table(business_month_totals_stream(stream, zones), table, os.path.join(tmp_dir, "ckpt"))
+    want = rows(business_month_totals(merged), "business_month", "trip_count", "total_profit")
+    assert rows(read_table(spark, table), "business_month", "trip_count", "total_profit") == want
+
+
+def test_a_file_with_another_header_fails(spark, tmp_dir, zones):
+    incoming, table, ckpt = (os.path.join(tmp_dir, x) for x in ("incoming", "table", "ckpt"))
+    os.makedirs(incoming)
+    data = TRIPS_CSV.splitlines()[1:]
+    _drop(incoming, "a.csv", data[:2])
+    stream = read_trip_stream(spark, incoming)
+    run_to_table(business_month_totals_stream(stream, zones), table, ckpt)
+    before = rows(read_table(spark, table), "business_month", "trip_count")
+    header = TRIPS_CSV.splitlines()[0].split(",")
+    with open(os.path.join(incoming, "b.csv"), "w") as fh:
+        fh.write(",".join(reversed(header)) + "\n" + data[2] + "\n")
+    with pytest.raises(Exception, match="header|Header"):
+        run_to_table(business_month_totals_stream(stream, zones), table, ckpt)
+    assert rows(read_table(spark, table), "business_month", "trip_count") == before
