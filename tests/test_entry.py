@@ -29,7 +29,7 @@ STUDY = {k: v for k, v in E.queries().items() if k not in E.LLM_QUERIES}
 
 def test_every_query_has_sql():
     assert set(STUDY) <= set(E.oracle_sql()) <= set(E.queries())
-    assert len(STUDY) == 40
+    assert len(STUDY) == 45  # SURVEY section 2.13, the stream, the five added forms
 
 
 @pytest.fixture(scope="module")
@@ -40,6 +40,11 @@ def duck():
     return con
 
 
+def test_fanout_forms_differ_in_row_count(spark):
+    plain, unique = (E.queries()[k](spark, SF_SMALL).count() for k in ("merge_zones_fanout", "merge_zones_fanout_unique"))
+    assert plain > unique == E.queries()["merge_zones"](spark, SF_SMALL).count()
+
+
 def _norm(rows):
     def cell(v):
         if isinstance(v, float):

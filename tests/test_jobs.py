@@ -7,7 +7,9 @@ import os
 
 import pytest
 
-from ridelens.jobs import JOBS, parse_args, run
+from ridelens.jobs import JOBS, parse_args, run, session_conf
+from ridelens.operators.zone_merge import enrich, prepare_lookup
+from ridelens.sources.readers import read_zones
 
 
 def _run(spark, capsys, *argv):
@@ -31,7 +33,7 @@ def test_every_job_runs(spark, capsys, trips_path, zones_path):
 
 def test_merge_prints_count(spark, capsys, trips_path, zones_path):
     out = _run(spark, capsys, "merge", "--trips", trips_path, "--zones", zones_path)
-    assert "Number of rows: 8" in out and "Dropoff_service_zone" in out
+    assert "8 merged trips" in out and "Dropoff_service_zone" in out
 
 
 def test_aggregate_exports_three_tables(spark, capsys, trips_path, zones_path, tmp_dir):
@@ -52,7 +54,7 @@ def test_anomalies_exports_daily_wait(spark, capsys, trips_path, zones_path, tmp
 
 def test_filtering_prints_pair_count(spark, capsys, trips_path, zones_path):
     out = _run(spark, capsys, "filtering", "--trips", trips_path, "--zones", zones_path)
-    assert "Total number of trips from Brooklyn to Staten Island: 2" in out
+    assert "2 trips, Brooklyn -> Staten Island" in out
 
 
 def test_unknown_job_rejected():
@@ -64,10 +66,40 @@ def test_parquet_trips_with_csv_zones(spark, capsys, trips, zones_path, tmp_dir)
     path = os.path.join(tmp_dir, "trips.parquet")
     trips.write.parquet(path)
     out = _run(spark, capsys, "merge", "--trips", path, "--format", "parquet", "--zones", zones_path, "--zones-format", "csv")
-    assert "Number of rows: 8" in out
+    assert "8 merged trips" in out
 
 
 def test_conf_needs_key_value():
     with pytest.raises(SystemExit):
         parse_args(["merge", "--trips", "a", "--zones", "b", "--conf", "novalue"])
     assert parse_args(["merge", "--trips", "a", "--zones", "b", "--conf", "k=v=w"]).conf == ["k=v=w"]
+
+
+def test_store_keys_come_from_environment_or_file_only(tmp_dir):
+    base = ["merge", "--trips", "a", "--zones", "b"]
+    for key in ("spark.hadoop.fs.s3a.secret.key", "spark.hadoop.fs.s3a.access.key"):
+        with pytest.raises(SystemExit):
+            parse_args([*base, "--conf", f"{key}=x"])
+    env = {"S3_ENDPOINT": "http://e", "S3_ACCESS_KEY": "a", "S3_SECRET_KEY": "s"}
+    assert session_conf(parse_args(base), env)["spark.hadoop.fs.s3a.secret.key"] == "s"
+    path = os.path.join(tmp_dir, "conf")
+    with open(path, "w") as fh:
+        fh.write("# store\nspark.hadoop.fs.s3a.secret.key = from=file\n\nx=1\n")
+    conf = session_conf(parse_args([*base, "--conf-file", path, "--conf", "x=2"]), env)
+    assert conf["spark.hadoop.fs.s3a.secret.key"] == "from=file" and conf["x"] == "2"
+    assert session_conf(parse_args(base), {}) == {}
+
+
+@pytest.mark.parametrize("job", ["aggregate", "averages", "anomalies", "filtering"])
+def test_jobs_read_the_trips_at_most_twice(spark, capsys, trips, zones_path, tmp_dir, job):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    args = parse_args([job, "--trips", "unused", "--zones", zones_path, "--out", os.path.join(tmp_dir, "out")])
+    args.merged = enrich(trips.mapInArrow(count, trips.schema), prepare_lookup(read_zones(spark, zones_path)))
+    JOBS[job](spark, args)
+    assert 8 <= seen.value <= 16
