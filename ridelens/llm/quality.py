@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ridelens.llm import words as W
 from ridelens.llm.runtime import carry, documents, ship, table
 
-TRAIN_ROWS = 4000
+TRAIN_ROWS = 3000
 BUCKETS = 1 << 18
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_PROBABILITY = 50, 50, 0.5
 EPOCHS, RATE, DECAY = 80, 2.0, 1e-6
@@ -134,28 +134,33 @@ def fit(rows: pa.Table) -> tuple[np.ndarray, float, float] | None:
     """Weights, slope and shift from sparse rows; None unless both labels occur
     among the rows for the weights."""
     order = np.argsort(np.asarray(rows["doc_id"]), kind="stable")
-    rows = rows.take(pa.array(order)).combine_chunks()
-    label = np.asarray(rows["quality"]).astype(np.float64)
-    held = np.arange(len(label)) % 5 == 4
-    if len(label) < 10 or len(np.unique(label[~held])) < 2:
+    last = np.arange(len(order)) % 5 == 4  # the fifth for calibration, moved to the end
+    rows = rows.take(pa.array(np.concatenate((order[~last], order[last])))).combine_chunks()
+    label = np.asarray(rows["quality"]).astype(np.float32)
+    n = int((~last).sum())
+    if len(label) < 10 or len(np.unique(label[:n])) < 2:
         return None
-    bucket_col, share_col = (rows[c].chunk(0) for c in ("bucket", "share"))
-    bucket, share = np.asarray(bucket_col.flatten()), np.asarray(share_col.flatten())
-    owner = np.repeat(np.arange(len(label)), np.asarray(bucket_col.value_lengths()))
-    used = ~held[owner]
-    b, s, o = bucket[used], share[used], owner[used]
-    weights, seen, bias = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8), 0.0
-    counted = ~held
+    sizes = np.asarray(rows["bucket"].chunk(0).value_lengths())
+    begin = np.concatenate(([0], np.cumsum(sizes)))
+    bucket = np.asarray(rows["bucket"].chunk(0).flatten()).astype(np.intp)
+    share = np.asarray(rows["share"].chunk(0).flatten())
+    del rows
+    used = slice(0, int(begin[n]))
+    weights, seen, bias = np.zeros(BUCKETS, np.float32), np.full(BUCKETS, 1e-8, np.float32), 0.0
+
+    def logits(lo: int, hi: int) -> np.ndarray:
+        part = slice(int(begin[lo]), int(begin[hi]))
+        total = np.concatenate(([0.0], np.cumsum(weights[bucket[part]] * share[part], dtype=np.float64)))
+        return total[begin[lo + 1 : hi + 1] - begin[lo]] - total[begin[lo:hi] - begin[lo]]
+
     for _ in range(EPOCHS):
-        z = np.bincount(o, weights=weights[b] * s, minlength=len(label)) + bias
-        err = np.where(counted, _sigmoid(z) - label, 0) / counted.sum()
-        grad = np.bincount(b, weights=err[o] * s, minlength=BUCKETS) + DECAY * weights
+        err = ((_sigmoid(logits(0, n) + bias) - label[:n]) / n).astype(np.float32)
+        grad = np.bincount(bucket[used], weights=np.repeat(err, sizes[:n]) * share[used], minlength=BUCKETS).astype(np.float32) + DECAY * weights
         seen += grad**2
         weights -= RATE * grad / np.sqrt(seen)
-        bias -= 0.5 * err.sum()
-    z = np.bincount(owner, weights=weights[bucket] * share, minlength=len(label))
-    fold = held if len(np.unique(label[held])) == 2 else ~held
-    return weights.astype(np.float32), *_platt(z[fold], label[fold])
+        bias -= 0.5 * float(err.sum())
+    lo, hi = (n, len(label)) if len(np.unique(label[n:])) == 2 else (0, n)
+    return weights, *_platt(logits(lo, hi), label[lo:hi].astype(np.float64))
 
 
 def train(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float, float] | None:

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text held in arrays at once. One longer text is held alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _STEP = 0x9E3779B97F4A7C15
 
