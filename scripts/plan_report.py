@@ -167,8 +167,9 @@ def main() -> None:
         "## merge beyond the broadcast bound",
         "",
         "The plan a lookup over 200,000 rows or 64 MB gets (forced here on the small lookup, hot ids sized at"
-        " 5,000 trips per task): each role is a shuffle join on `(id, salt)`; hot ids' trips carry a hash salt"
-        " and only their lookup rows are exploded into one copy per salt.",
+        " 5,000 trips per task): each role is a shuffle join on `(id, salt)`. The hot ids come from a count inside"
+        " the plan, at most 200,000 of them, so that list is broadcast; their trips are dealt over salts and only"
+        " their lookup rows are exploded into one copy per salt.",
         "",
         "```",
         fallback,
