@@ -160,7 +160,8 @@ def train(df: DataFrame, chosen: DataFrame) -> Model | None:
 
     flag = fresh(["doc_id", "text"], "chosen")
     marks = documents(chosen, "doc_id").where("doc_id is not null").distinct().withColumn(flag, F.lit(True))
-    marked = docs.join(marks, "doc_id", "left").select("text", F.coalesce(F.col(flag), F.lit(False)).alias("chosen"))
+    # One plan at every size: a broadcast of few ids would not say what many cost.
+    marked = docs.join(marks.hint("shuffle_merge"), "doc_id", "left").select("text", F.coalesce(F.col(flag), F.lit(False)).alias("chosen"))
     pairs = settle(_count_pairs(marked, vocabulary).groupBy("pair").agg(F.sum("target").alias("target"), F.sum("n").alias("n")), "pairs")
     by_word = pairs.groupBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")).agg(F.sum("target").alias("target"), F.sum("n").alias("n")).toArrow()
     word, word_n = np.asarray(by_word["word"]), np.column_stack([np.asarray(by_word[c]) for c in ("target", "n")])
