@@ -42,7 +42,8 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_NODE = re.compile(r"[^ \t-\r]*[0-9@][^ \t-\r]*")
+# A match starts at a token's start only and never gives characters back, so long tokens cost no more than their length.
+_NODE = re.compile(r"(?<![^ \t-\r])[^ \t-\r0-9@]*+[0-9@][^ \t-\r]*")
 _CORE = re.compile(r"[0-9A-Za-z+(](?:.*[0-9A-Za-z)])?", re.S)
 
 Span = tuple[int, int, int]  # start, kind, end

@@ -45,6 +45,14 @@ def test_base_spans_on_awkward_texts():
         assert P.base_spans(text) == brute(text)
 
 
+def test_nodes_are_the_tokens_with_a_digit_or_an_at(spark):
+    text = "a1 b @ c(2) \tx\u00a0y3\nz 4"
+    assert [m[0] for m in P._NODE.finditer(text)] == [x for x in re.split(r"[ \t-\r]+", text) if re.search("[0-9@]", x)]
+    long = "a" * 2_000_000 + " 1 " + "(" * 500_000 + "@ " + "1." * 300_000
+    graph = P.read_graph([(0, long, P.base_spans(long))])
+    assert len(graph.labels) == 3
+
+
 def test_message_passing_is_exact_on_a_tree():
     rng = np.random.default_rng(5)
     n, k = 5, len(P.KINDS) + 1
