@@ -313,8 +313,11 @@ def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
         if opened:
             opened[1].close()
 
-    found = archives.select("uri", "n_bytes").repartition("uri").mapInArrow(places, "uri string, offset bigint, length bigint")
-    spread = found.withColumn("block", F.floor(F.col("offset") / READ_BYTES)).repartition("uri", "block").sortWithinPartitions("uri", "offset")
+    # Rows here are places, a few bytes for records of many: tasks are counted by
+    # what they will read, not left to be merged by the size of the rows.
+    tasks = max(1, -(-(archives.agg(F.sum("n_bytes")).first()[0] or 0) // READ_BYTES))
+    found = archives.select("uri", "n_bytes").repartition(tasks, "uri").mapInArrow(places, "uri string, offset bigint, length bigint")
+    spread = found.withColumn("block", F.floor(F.col("offset") / READ_BYTES)).repartition(tasks, "uri", "block").sortWithinPartitions("uri", "offset")
     out = spread.mapInArrow(records, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary")
     return out if with_payload else out.drop("payload")
 
