@@ -37,7 +37,7 @@ RADIUS = 3
 BLOCKS = RADIUS + 1
 SHINGLE_WORDS = 5
 BLOCK_BYTES = 8 << 20
-_SLICE = 1 << 18
+_SLICE = 1 << 16  # small enough for its counters to stay in the CPU's cache
 
 
 def size_class(n: int) -> int:
@@ -56,11 +56,23 @@ def window_fingerprints(ones: np.ndarray, size: int) -> np.ndarray:
 
 
 def running_ones(hashes: np.ndarray, longest: int) -> np.ndarray:
-    """Counts wrap; differences over up to ``longest`` words do not."""
-    kind = np.uint16 if longest < 1 << 15 else np.uint64
+    """Counts of set bits before each word (a row more than words). They wrap;
+    differences over up to ``longest`` words do not."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    out = np.zeros((len(hashes) + 1, 64), kind)
-    np.cumsum(bits, axis=0, dtype=kind, out=out[1:])
+    n = len(hashes)
+    if longest > 255:
+        kind = np.uint16 if longest < 1 << 16 else np.uint64
+        out = np.zeros((n + 1, 64), kind)
+        np.cumsum(bits, axis=0, dtype=kind, out=out[1:])
+        return out
+    # Eight counters to a 64-bit number: none passes 255 within a block of 255 words.
+    blocks = -(-n // 255)
+    lanes = np.zeros((blocks * 255, 8), np.uint64)
+    lanes[:n] = bits.view(np.uint64)
+    within = np.cumsum(lanes.reshape(blocks, 255, 8), axis=1).view(np.uint8)
+    before = np.cumsum(within[:, -1], axis=0, dtype=np.uint8) - within[:, -1]
+    out = np.zeros((n + 1, 64), np.uint8)
+    out[1:] = (within + before[:, None]).reshape(-1, 64)[:n]
     return out
 
 

@@ -31,6 +31,14 @@ def test_running_counts_give_the_fingerprint_of_each_window():
             assert value == sum(1 << bit for bit, n in enumerate(ones) if 2 * n > size)
 
 
+def test_running_counts_agree_over_blocks_and_widths():
+    hashes = np.random.default_rng(2).integers(0, 1 << 63, 1500).astype(np.uint64)
+    for size in (1, 9, 255):
+        prints = [D.window_fingerprints(D.running_ones(hashes, longest), size).tolist() for longest in (255, 256, 70_000)]
+        assert prints[0] == prints[1] == prints[2] and len(prints[0]) == 1500 - size + 1
+    assert D.running_ones(hashes[:0], 5).shape == (1, 64)
+
+
 def test_lookup_finds_all_within_the_radius():
     rng = np.random.default_rng(7)
     index = index_of([" ".join(f"w{rng.integers(1000)}" for _ in range(20)) for _ in range(30)])
