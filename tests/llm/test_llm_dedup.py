@@ -70,6 +70,23 @@ def test_windows_found_over_more_levels(spark):
     assert got == brute_windows(rows, 50)
 
 
+def test_the_texts_are_shuffled_once(spark):
+    from conftest import plan_text
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        plan = plan_text(cut_repeated_windows(spark.read.parquet(f"{SF}/documents.parquet")))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("ReusedExchange") >= 1
+    exchanged = [x for x in plan.split("\n\n") if "Exchange" in x.split("\n")[0] and "text#" in x and "Reused" not in x]
+    assert len(exchanged) == 1
+
+
 def test_empty_tables_give_empty_results(spark):
     empty = docs_frame(spark, [])
     assert cut_repeated_windows(empty).count() == 0
