@@ -271,26 +271,34 @@ def label(df: DataFrame, model: Model | None, penalty: float = SWITCH_PENALTY) -
     def run(batches: Iterator[pa.RecordBatch]):
         known = shared.value
         for batch in batches:
-            for part in W.slices(batch, "text", _GROUP_BYTES):
-                rows = part.num_rows
+            for group in W.slices(batch, "text", _GROUP_BYTES):
+                rows = group.num_rows
                 names, score, spans = [UNKNOWN] * rows, np.zeros(rows), [[] for _ in range(rows)]
                 if known:
-                    w = W.cut_words(part.column("text"))
-                    letters = read_letters(w)
-                    path = viterbi(word_scores(known, w, letters), w.first, penalty)
+                    # Letters take far more room than scores: read them a slice at a time.
+                    parts, counts, letters_of = [], [], []
+                    for part in W.slices(group, "text"):
+                        w = W.cut_words(part.column("text"))
+                        letters = read_letters(w)
+                        parts.append(word_scores(known, w, letters))
+                        counts.append(w.counts())
+                        letters_of.append(np.bincount(letters.word, minlength=len(w.start)))
+                    first = np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+                    doc = np.repeat(np.arange(rows), np.diff(first))
+                    path = viterbi(np.concatenate(parts), first, penalty)
                     k = len(known.languages)
-                    n_letters = np.bincount(w.doc[letters.word] * k + path[letters.word], minlength=rows * k).reshape(rows, k)
+                    n_letters = np.bincount(doc * k + path, weights=np.concatenate(letters_of), minlength=rows * k).reshape(rows, k)
                     total, top = n_letters.sum(axis=1), n_letters.argmax(axis=1)
                     score = n_letters.max(axis=1) / np.maximum(total, 1)
                     new = np.ones(len(path), bool)
-                    new[1:] = (path[1:] != path[:-1]) | (w.doc[1:] != w.doc[:-1])
+                    new[1:] = (path[1:] != path[:-1]) | (doc[1:] != doc[:-1])
                     begin = np.flatnonzero(new)
                     end = np.append(begin[1:], len(path))
-                    for d, lo, hi in zip(w.doc[begin].tolist(), begin.tolist(), end.tolist(), strict=True):
+                    for d, lo, hi in zip(doc[begin].tolist(), begin.tolist(), end.tolist(), strict=True):
                         if total[d]:
-                            spans[d].append({"start": lo - int(w.first[d]), "end": hi - int(w.first[d]), "lang": known.languages[path[lo]]})
+                            spans[d].append({"start": lo - int(first[d]), "end": hi - int(first[d]), "lang": known.languages[path[lo]]})
                     names = [known.languages[x] if t else UNKNOWN for x, t in zip(top, total, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names), pa.array(score, pa.float64()), pa.array(spans, span)], names=["doc_id", "lang_pred", "score", "spans"])
+                yield pa.RecordBatch.from_arrays([group.column("doc_id"), pa.array(names), pa.array(score, pa.float64()), pa.array(spans, span)], names=["doc_id", "lang_pred", "score", "spans"])
 
     return docs.mapInArrow(run, "doc_id bigint, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
 
