@@ -25,7 +25,7 @@ from ridelens.plans import series as S
 from ridelens.session import pin_session, scratch_dir
 from ridelens.sources.readers import read_trips
 from ridelens.sources.sinks import export_csv
-from ridelens.sources.star import load_inputs, load_prepared
+from ridelens.sources.star import cached_for, load_inputs, load_prepared
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,10 +45,11 @@ def _round(df: DataFrame, places: dict[str, int]) -> DataFrame:
 
 
 def _merged(spark: SparkSession, sf_dir: str, unique_zones: bool = False) -> DataFrame:
-    """The merged trip table of ``sf_dir``."""
+    """The merged trip table of ``sf_dir``: a plan, built once per session."""
     pin_session(spark)
     trips, lookup = load_prepared(spark, sf_dir)
-    return enrich(trips, lookup, unique_zones=unique_zones)
+    build = lambda: enrich(trips, lookup, unique_zones=unique_zones)
+    return cached_for(spark, sf_dir, f"merged-{unique_zones}", build)
 
 
 def _doubled_lookup(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -24,6 +24,8 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ from pyspark.sql.types import StructType
 from ridelens.operators.zone_merge import ZoneLookup, prepare_lookup
 from ridelens.session import application_id, scratch_dir
 
+T = TypeVar("T")
+
 # Fixed values of the mapping above.
 BUSINESS_BY_RETURNFLAG = {"R": "Uber", "A": "Lyft"}
 OTHER_BUSINESS = "Other"
@@ -141,6 +145,21 @@ def _fingerprint(sf_dir: str) -> str:
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
+# Frames (plans, not data) by session: a frame belongs to the session it was
+# made in, so each entry keeps its session and is given to no other.
+_FRAMES: dict[tuple, tuple[SparkSession, object]] = {}
+
+
+def cached_for(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], T]) -> T:
+    """``build()``, once per session and state of the test tables."""
+    key = (id(spark), _fingerprint(sf_dir), name)
+    with _LOCK:
+        entry = _FRAMES.get(key)
+        if entry is None or entry[0] is not spark:
+            entry = _FRAMES[key] = (spark, build())
+    return entry[1]
+
+
 def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """``build``'s rows from a table written once per application and state of
     the inputs. Path and schema are kept, not the frame: each session gets a
@@ -187,6 +206,10 @@ def load_inputs(
 def load_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLookup]:
     """``(trips, checked zone lookup)``: the lookup's size and uniqueness are
     checked once per application and state of the inputs."""
+    return cached_for(spark, sf_dir, "prepared", lambda: _prepare(spark, sf_dir))
+
+
+def _prepare(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLookup]:
     trips, zones = load_inputs(spark, sf_dir)
     key = (application_id(spark), _fingerprint(sf_dir))
     with _LOCK:
