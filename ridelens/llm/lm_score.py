@@ -1,19 +1,22 @@
 """Documents scored by cross-entropy difference between two n-gram models.
 
 A target model is counted on chosen documents and a background model on all of
-them. Both share one vocabulary (every word with at least ``VOCAB_SHARE`` of
-all tokens; rarer ones fall into classes by their shape) and one form: pairs of
-words, smoothed towards single words, which are smoothed towards the uniform
+them. Both share one vocabulary (every word of the corpus) and one form: pairs
+of words, smoothed towards single words, which are smoothed towards the uniform
 distribution. They are matched in size: background counts are scaled to the
 target's number of tokens, so that smoothing weighs the same in both. A
 document's score is its mean loss per token under the target model less that
 under the background model: the lower, the more like the target.
 
-Words and pairs are counted over the whole corpus by partially aggregated
-sums. The thresholds are shares of the tokens, so by arithmetic at most
-1 / VOCAB_SHARE words and 2 / PAIR_SHARE pairs pass them, whatever the input;
-that bounds what is broadcast. A pair below its threshold in both corpora is
-scored by its words.
+Every word and pair counts, however rare, so the models grow with the corpus;
+they are Spark tables, keyed by 64-bit hashes. Only what is frequent is
+broadcast: pairs with a share of ``PAIR_SHARE`` of the tokens (2 / PAIR_SHARE
+at most, by arithmetic) and words with one of ``VOCAB_SHARE``. Tokens of any
+other pair are joined to the table of pairs, in which by the same shares no key
+is hot. The shares say where a loss is looked up, not what it is.
+
+``train`` and ``score`` are the same for a model that is held in memory: rarer
+words fall into classes by their shape, rarer pairs are scored by their words.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from ridelens.llm import words as W
 from ridelens.llm.runtime import documents, fresh, settle, ship, table
 
+#: What is broadcast: words and pairs with these shares of the tokens.
 VOCAB_SHARE, PAIR_SHARE = 1e-5, 2e-6
 #: Tokens' worth of weight of the lower order in the higher one.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
@@ -148,6 +152,14 @@ def losses(model: Model, w: W.Words) -> np.ndarray:
     return out
 
 
+def _marked(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(text, chosen): whether the doc_id is one of ``chosen``."""
+    flag = fresh(["doc_id", "text"], "chosen")
+    marks = documents(chosen, "doc_id").where("doc_id is not null").distinct().withColumn(flag, F.lit(True))
+    # One plan at every size: a broadcast of few ids would not say what many cost.
+    return docs.join(marks.hint("shuffle_merge"), "doc_id", "left").select("text", F.coalesce(F.col(flag), F.lit(False)).alias("chosen"))
+
+
 def train(df: DataFrame, chosen: DataFrame) -> Model | None:
     """Counts ``df`` (doc_id, text); the target is the documents whose doc_id is
     in ``chosen``. None if they hold no token."""
@@ -158,11 +170,7 @@ def train(df: DataFrame, chosen: DataFrame) -> Model | None:
     total = counts.agg(F.sum("n")).first()[0] or 0
     vocabulary = np.sort(np.asarray(counts.where(F.col("n") >= VOCAB_SHARE * total).select("word").toArrow()["word"]).astype(np.int64).view(np.uint64))
 
-    flag = fresh(["doc_id", "text"], "chosen")
-    marks = documents(chosen, "doc_id").where("doc_id is not null").distinct().withColumn(flag, F.lit(True))
-    # One plan at every size: a broadcast of few ids would not say what many cost.
-    marked = docs.join(marks.hint("shuffle_merge"), "doc_id", "left").select("text", F.coalesce(F.col(flag), F.lit(False)).alias("chosen"))
-    pairs = settle(_count_pairs(marked, vocabulary).groupBy("pair").agg(F.sum("target").alias("target"), F.sum("n").alias("n")), "pairs")
+    pairs = settle(_count_pairs(_marked(docs, chosen), vocabulary).groupBy("pair").agg(F.sum("target").alias("target"), F.sum("n").alias("n")), "pairs")
     by_word = pairs.groupBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")).agg(F.sum("target").alias("target"), F.sum("n").alias("n")).toArrow()
     word, word_n = np.asarray(by_word["word"]), np.column_stack([np.asarray(by_word[c]) for c in ("target", "n")])
     total_target, total_all = (int(x) for x in word_n.sum(axis=0)) if len(word) else (0, 0)
@@ -204,9 +212,126 @@ def score(df: DataFrame, model: Model | None) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, h_target double, h_background double, score double")
 
 
+def mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One key for a pair of word hashes; ``_MIXED`` is the same in SQL."""
+    return before ^ (word << np.uint64(1) | word >> np.uint64(63))
+
+
+_MIXED = "before ^ (shiftleft(word, 1) | shiftrightunsigned(word, 63))"
+
+
+def _hash_pairs(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word before each token (0 at the start of a text) and of its own."""
+    word = w.hashes()
+    before = np.zeros_like(word)
+    before[1:] = word[:-1]
+    before[w.first[:-1][np.diff(w.first) > 0]] = 0
+    return before, word
+
+
+def _count_hash_pairs(docs: DataFrame) -> DataFrame:
+    """(before, word, target, n) from rows (text, chosen)."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found = []
+            for part in W.slices(batch, "text"):
+                w = W.cut_words(part.column("text"))
+                before, word = _hash_pairs(w)
+                chosen = np.asarray(part.column("chosen").to_numpy(zero_copy_only=False)).astype(np.int64)
+                found.append((before, word, chosen[w.doc]))
+            if found:
+                before, word, target = (np.concatenate(x) for x in zip(*found, strict=True))
+                key = mixed(before, word)
+                order = np.argsort(key)
+                first = W.group_starts(key[order])
+                if len(first):
+                    at = order[first]
+                    n = np.diff(np.append(first, len(key)))
+                    arrays = [W.signed(before[at]), W.signed(word[at]), np.add.reduceat(target[order], first), n]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["before", "word", "target", "n"])
+
+    return docs.mapInArrow(run, "before bigint, word bigint, target bigint, n bigint")
+
+
+def _attach(pairs: DataFrame, words: DataFrame, common: Column) -> DataFrame:
+    """``pairs`` with the columns of ``words``, joined by the first of these.
+    ``common`` words, which hold most pairs, are broadcast."""
+    key = words.columns[0]
+    often, seldom = F.broadcast(words.where(common).drop("common")), words.where(~common).drop("common")
+    near = pairs.join(often, key)
+    far = pairs.join(F.broadcast(often.select(key)), key, "left_anti").join(seldom.hint("shuffle_merge"), key)
+    return near.unionByName(far)
+
+
+def _score_all(docs: DataFrame, frequent: pa.Table, rest: DataFrame) -> DataFrame:
+    """Scores by the losses (pair, target, background) of the frequent pairs,
+    held by every task, and of all the others, joined."""
+    order = np.argsort(np.asarray(frequent["pair"]))
+    held = tuple(np.asarray(frequent[c])[order] for c in ("pair", "target", "background"))
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+    head = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        """A row for each text (its sums over frequent pairs, under a key of its own) and one for each other token."""
+        pairs, *loss = shared.value
+        for batch in batches:
+            for part in W.slices(batch, "text"):
+                w = W.cut_words(part.column("text"))
+                row = np.asarray(part.column("row"))
+                key = W.signed(mixed(*_hash_pairs(w)))
+                at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
+                hit = pairs[at] == key if len(pairs) else np.zeros(len(key), bool)
+                sums = [np.bincount(w.doc[hit], weights=x[at[hit]], minlength=part.num_rows).astype(float) for x in loss]
+                heads = pa.StructArray.from_arrays([part.column("doc_id"), pa.array(w.counts(), pa.int64()), *[pa.array(x, pa.float64()) for x in sums]], fields=list(head))
+                own = W.signed(W.mix64(row.astype(np.uint64)))
+                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(own), heads], names=["row", "pair", "head"])
+                other = row[w.doc[~hit]]
+                yield pa.RecordBatch.from_arrays([pa.array(other), pa.array(key[~hit]), pa.nulls(len(other), head)], names=["row", "pair", "head"])
+
+    rows = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "row bigint, pair bigint, head struct<doc_id:bigint,n_tokens:bigint,target:double,background:double>")
+    # A text's own row keeps its sums, whatever its key meets.
+    each = rows.join(rest.hint("shuffle_merge"), "pair", "left").select(
+        "row", "head.doc_id", "head.n_tokens", *[F.coalesce(F.col(f"head.{c}"), F.col(c)).alias(c) for c in ("target", "background")]
+    )
+    sums = each.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
+    means = sums.select("doc_id", "n_tokens", *[F.expr(f"CASE WHEN n_tokens > 0 THEN {c} / n_tokens END").alias(f"h_{c}") for c in ("target", "background")])
+    return means.withColumn("score", F.col("h_target") - F.col("h_background"))
+
+
 def cross_entropy_difference(df: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Trains on ``df`` with the target ids ``chosen`` and scores ``df``."""
-    return score(df, train(df, chosen))
+    """Counts ``df`` (doc_id, text), with the documents whose doc_id is in
+    ``chosen`` as the target, and scores it. Columns and defined cases are
+    those of ``score``; no word or pair is left out."""
+    spark = df.sparkSession
+    ship(spark)
+    docs = documents(df, "doc_id", "text")
+    pairs = settle(_count_hash_pairs(_marked(docs, chosen)).groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("n").alias("n")), "pairs")
+    none = F.lit(0).cast("bigint")
+    sides = pairs.select("word", "target", "n", none.alias("next_target"), none.alias("next_n")).unionByName(
+        pairs.select(F.col("before").alias("word"), none.alias("target"), none.alias("n"), F.col("target").alias("next_target"), F.col("n").alias("next_n"))
+    )
+    words = settle(sides.groupBy("word").agg(*[F.sum(c).alias(c) for c in sides.columns[1:]]), "words")
+    total_target, total, distinct = (x or 0 for x in words.agg(F.sum("target"), F.sum("n"), F.count_if(F.col("n") > 0)).first())
+    if not total_target:
+        return score(df, None)
+
+    scale, size = total_target / total, distinct + _SHAPES  # background counts at the target's size
+    chance = [((n + WORD_PRIOR / size) / (total_target + WORD_PRIOR)).alias(name) for n, name in ((F.col("target"), "p_target"), (F.col("n") * scale, "p_background"))]
+    context = [F.log(n + PAIR_PRIOR).alias(name) for n, name in ((F.col("next_target"), "c_target"), (F.col("next_n") * scale, "c_background"))]
+    common = (F.col("n") + F.col("next_n") >= VOCAB_SHARE * total).alias("common")
+
+    def with_losses(some: DataFrame) -> DataFrame:
+        some = _attach(some, words.where("n > 0").select("word", *chance, common), F.col("common"))
+        some = _attach(some, words.where("next_n > 0").select(F.col("word").alias("before"), *context, common), F.col("common"))
+        return some.select(
+            F.expr(_MIXED).alias("pair"),
+            (F.col("c_target") - F.log(F.col("target") + PAIR_PRIOR * F.col("p_target"))).alias("target"),
+            (F.col("c_background") - F.log(F.col("n") * scale + PAIR_PRIOR * F.col("p_background"))).alias("background"),
+        )
+
+    frequent = (F.col("target") >= PAIR_SHARE * total_target) & (F.col("target") > 0) | (F.col("n") >= PAIR_SHARE * total)
+    return _score_all(docs, with_losses(pairs.where(frequent)).toArrow(), with_losses(pairs.where(~frequent)))
 
 
 def good_rows(labels: DataFrame) -> Column:

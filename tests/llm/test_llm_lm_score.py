@@ -64,6 +64,48 @@ def test_pairs_below_their_share_are_scored_by_words(monkeypatch, spark):
     assert len(S.train(docs_frame(spark, rows), spark.createDataFrame([(2,)], "doc_id int")).pairs) == 4
 
 
+def check(got, want):
+    got, want = sorted(map(tuple, got), key=str), sorted(want, key=str)
+    assert len(got) == len(want)
+    for g, x in zip(got, want, strict=True):
+        assert g[:2] == x[:2]
+        assert g[2:] == (None, None, None) if x[2] is None else np.allclose(g[2:], (x[2], x[3], x[2] - x[3]))
+
+
+def test_shares_do_not_change_a_score(monkeypatch, spark):
+    chosen = spark.createDataFrame([(1,), (3,)], "doc_id int")
+    for words, pairs in ((0.15, 0.15), (0.15, 0.0), (0.0, 0.15), (2.0, 2.0)):
+        monkeypatch.setattr(S, "VOCAB_SHARE", words)
+        monkeypatch.setattr(S, "PAIR_SHARE", pairs)
+        check(S.cross_entropy_difference(docs_frame(spark, ROWS, extra=True), chosen).collect(), brute(ROWS, {1, 3}))
+
+
+def test_rare_words_and_pairs_count_in_a_large_corpus(spark):
+    """Over 500,000 tokens a word or pair seen once is below both shares."""
+    rows = [(i, " ".join(f"r{i}x{j}" if j % 40 == 0 else f"c{(i * j) % 7}" for j in range(2000))) for i in range(300)]
+    check(S.cross_entropy_difference(docs_frame(spark, rows), spark.createDataFrame([(i,) for i in range(0, 300, 3)], "doc_id int")).collect(), counted(rows, set(range(0, 300, 3))))
+
+
+def counted(rows, chosen):
+    """``brute``, with the sums it takes from every pair made once."""
+    texts = [(d, words_of(t)) for d, t in rows]
+    word, pair, seen = ([collections.Counter(), collections.Counter()] for _ in range(3))
+    for d, t in texts:
+        for k in (0, 1):
+            if k == 1 or d in chosen:
+                word[k].update(t)
+                pair[k].update(zip([None, *t], t, strict=False))
+                seen[k].update([None, *t[:-1]])
+    total, size = sum(word[0].values()), len(word[1]) + S._SHAPES
+    scale = [1, total / sum(word[1].values())]
+
+    def loss(k, before, w):
+        p = (word[k][w] * scale[k] + S.WORD_PRIOR / size) / (total + S.WORD_PRIOR)
+        return -math.log((pair[k][before, w] * scale[k] + S.PAIR_PRIOR * p) / (seen[k][before] * scale[k] + S.PAIR_PRIOR))
+
+    return [(d, len(t), *(sum(loss(k, b, w) for b, w in zip([None, *t], t, strict=False)) / len(t) for k in (0, 1))) for d, t in texts]
+
+
 def test_without_target_or_documents(spark):
     none = spark.createDataFrame([], "doc_id int")
     out = S.cross_entropy_difference(docs_frame(spark, [(1, "a b")]), none).first()
