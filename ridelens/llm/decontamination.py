@@ -1,5 +1,5 @@
 """Benchmark passages in documents: SimHash over item-sized windows, Hamming
-lookup by blocks, exact verification.
+lookup by blocks, rare shingles, exact verification.
 
 Every item is fingerprinted over windows of its own size class (the largest
 class not above its word count; classes are 25 % apart), at all offsets; and
@@ -14,6 +14,13 @@ item and an offset, hence the item-sized span of the document to compare: it
 counts if the weighted similarity of their five-word shingles (shared over
 joint weight, a shingle weighing its bytes) is at least ``percent`` %.
 
+Edits that touch every indexed window leave no fingerprint, so the same
+passages are also looked up by their shingles. A span as similar as ``percent``
+holds that share of the item's weight, so it holds one of any set of shingles
+that weigh more than the rest: each item is indexed under such a set, the
+shingles that the fewest items have. Every item-sized span over a shingle found
+is compared, so none is missed.
+
 The benchmark is the query set: it is cut into blocks of about ``block_bytes``
 of text, each broadcast to one pass over all documents.
 """
@@ -91,6 +98,8 @@ class Index:
 
     items: list[Item]
     classes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]
+    #: By words to a shingle: which first 16 bits occur, the sorted shingles, the item of each.
+    shingles: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def shingle_weights(hashes: np.ndarray, sizes: np.ndarray) -> Counter:
@@ -106,8 +115,31 @@ def shingle_weights(hashes: np.ndarray, sizes: np.ndarray) -> Counter:
     return out
 
 
-def build_index(rows: pa.Table) -> Index:
-    """From item_id and text; items without words are passed over."""
+def index_shingles(items: list[Item], percent: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each item the rarest shingles, until they weigh more than a span of
+    ``percent`` % can be without."""
+    common = Counter(h for item in items for h in item.weights)
+    found: dict[int, list[tuple[int, int]]] = {}
+    for number, item in enumerate(items):
+        total, held = sum(item.weights.values()), 0
+        for h in sorted(item.weights, key=lambda h: (common[h], -item.weights[h], h)):
+            found.setdefault(min(SHINGLE_WORDS, len(item.hashes)), []).append((h, number))
+            held += item.weights[h]
+            if 100 * held > (100 - percent) * total:
+                break
+    out = {}
+    for length, pairs in found.items():
+        pairs.sort()
+        keys = np.array([x[0] for x in pairs], np.uint64)
+        present = np.zeros(1 << 16, bool)
+        present[keys >> np.uint64(48)] = True
+        out[length] = (present, keys, np.array([x[1] for x in pairs]))
+    return out
+
+
+def build_index(rows: pa.Table, percent: int = 80) -> Index:
+    """From item_id and text; items without words are passed over. Shingles are
+    enough for passages of ``percent`` % and more."""
     items: list[Item] = []
     prints: dict[int, list[tuple[int, int, int]]] = {}
     texts = rows["text"].combine_chunks()
@@ -138,7 +170,7 @@ def build_index(rows: pa.Table) -> Index:
             present[key] = True
             blocks.append((present, key[order], order))
         classes[size] = (values, np.array([x[1] for x in found]), np.array([x[2] for x in found]), blocks)
-    return Index(items, classes)
+    return Index(items, classes, index_shingles(items, percent))
 
 
 def lookup(index: Index, size: int, prints: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -164,6 +196,66 @@ def similarity(a: Counter, b: Counter) -> tuple[int, int]:
     return shared, sum(a.values()) + sum(b.values()) - shared
 
 
+def begins(index: Index, w: W.Words, hashes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first begin, last begin) of the item-sized spans over an
+    indexed shingle; a begin may lie before its text's."""
+    for length, (present, keys, item_of) in index.shingles.items():
+        rolled, inside = W.window_hashes(hashes, w.doc, length)
+        at = np.flatnonzero(present[rolled >> np.uint64(48)] & inside)
+        lo, hi = np.searchsorted(keys, rolled[at]), np.searchsorted(keys, rolled[at], side="right")
+        window = np.repeat(at, hi - lo)
+        own = np.cumsum(hi - lo) - (hi - lo)
+        item = item_of[np.repeat(lo, hi - lo) + np.arange(len(window)) - np.repeat(own, hi - lo)]
+        last: dict[tuple[int, int], tuple[int, int]] = {}
+        for doc, k, end in zip(w.doc[window].tolist(), item.tolist(), window.tolist(), strict=True):
+            begin = end - len(index.items[k].hashes) + length
+            if (doc, k) in last:
+                a, b = last[doc, k]
+                if begin <= b + 1:
+                    begin = a
+                else:
+                    yield doc, k, a, b
+            last[doc, k] = begin, end
+        for (doc, k), (a, b) in last.items():
+            yield doc, k, a, b
+
+
+def slide(item: Item, hashes: np.ndarray, sizes: np.ndarray, begin: int, end: int, percent: int) -> Iterator[tuple[float, int, int]]:
+    """(-similarity, first word, end) of the spans similar enough that begin at
+    ``begin`` to ``end`` in one text, cut to it."""
+    n, length = len(item.hashes), min(SHINGLE_WORDS, len(item.hashes))
+    if len(hashes) < length:
+        return
+    from_word, to_word = max(begin, 0), min(end + n, len(hashes))
+    part = hashes[from_word:to_word]
+    rolled, _ = W.window_hashes(part, np.zeros(len(part), np.int64), length)
+    total = np.concatenate(([0], np.cumsum(sizes[from_word:to_word])))
+    keys, weights = rolled.tolist(), (total[length:] - total[:-length]).tolist()
+    whole = sum(item.weights.values())
+    held: Counter = Counter()
+    shared = joint = left = right = 0  # joint: of the span alone; shingles left to right are held
+    for b in range(begin, end + 1):
+        lo, hi = max(b, 0), min(b + n, len(hashes))
+        if hi - lo < length:
+            continue
+        while right < hi - length + 1 - from_word:
+            h, weight = keys[right], weights[right]
+            wanted = item.weights.get(h, 0)
+            shared += min(wanted, held[h] + weight) - min(wanted, held[h])
+            held[h] += weight
+            joint += weight
+            right += 1
+        while left < lo - from_word:
+            h, weight = keys[left], weights[left]
+            wanted = item.weights.get(h, 0)
+            shared -= min(wanted, held[h]) - min(wanted, held[h] - weight)
+            held[h] -= weight
+            joint -= weight
+            left += 1
+        if shared and 100 * shared >= percent * (whole + joint - shared):
+            yield -shared / (whole + joint - shared), lo, hi
+
+
 def matches(index: Index, w: W.Words, percent: int) -> list[tuple[int, int, int, int, float]]:
     """(text, item, first word, words, similarity) of each verified passage. Of
     overlapping spans for one item the most similar one (then the first) counts."""
@@ -187,6 +279,10 @@ def matches(index: Index, w: W.Words, percent: int) -> list[tuple[int, int, int,
         shared, joint = similarity(index.items[item].weights, shingle_weights(hashes[lo:hi], lengths[lo:hi]))
         if 100 * shared >= percent * joint:
             scored.setdefault((doc, item), []).append((-shared / joint, lo, hi))
+    for doc, item, begin, end in begins(index, w, hashes):
+        first, last = int(w.first[doc]), int(w.first[doc + 1])
+        for score, lo, hi in slide(index.items[item], hashes[first:last], lengths[first:last], begin - first, end - first, percent):
+            scored.setdefault((doc, item), []).append((score, lo + first, hi + first))
     out = []
     for (doc, item), found in scored.items():
         taken: list[tuple[int, int]] = []
@@ -222,14 +318,14 @@ def _search(docs: DataFrame, index: Index, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, item_id bigint, start bigint, n_words bigint, similarity double")
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[Index]:
+def _blocks(benchmark: DataFrame, block_bytes: int, percent: int) -> Iterator[Index]:
     """Indexes of the benchmark's items, about ``block_bytes`` of text each."""
     items = documents(benchmark, "item_id", "text").where("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     for block in range(n_blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        yield build_index(own.toArrow())
+        yield build_index(own.toArrow(), percent)
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -242,7 +338,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_b
     side gives an empty result; other columns are ignored."""
     ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
-    return reduce(DataFrame.unionByName, [_search(docs, index, percent) for index in _blocks(benchmark, block_bytes)])
+    return reduce(DataFrame.unionByName, [_search(docs, index, percent) for index in _blocks(benchmark, block_bytes, percent)])
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -250,7 +346,7 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, bl
     they were."""
     ship(df.sparkSession)
     out = df
-    for index in _blocks(benchmark, block_bytes):
+    for index in _blocks(benchmark, block_bytes, percent):
         shared = df.sparkSession.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, shared=shared):

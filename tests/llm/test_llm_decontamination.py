@@ -103,6 +103,34 @@ def test_passages_match_brute_force(spark):
     assert got == want and len(want) > 20
 
 
+def test_two_and_more_edits_match_brute_force():
+    rng = random.Random(5)
+    word = lambda: f"{rng.choice('bcdfgh')}{rng.randrange(3000)}" + "x" * rng.choice([0, 0, 9])
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([3, 5, 15, 19, 24, 30, 31, 38, 48, 51, 59, 74, 118])]
+    docs = []
+    for i in range(400):
+        passage = words_of(items[i % len(items)][1])
+        match i % 5:
+            case 0:  # marks glued to both ends
+                passage[0], passage[-1] = '"' + passage[0], passage[-1] + '"'
+            case 1:  # a word near each end
+                passage[rng.randrange(3)] = passage[-1 - rng.randrange(3)] = "EDITED"
+            case 2:  # anywhere
+                for _ in range(rng.choice([2, 3, 4])):
+                    passage[rng.randrange(len(passage))] = "EDITED"
+            case 3:  # words more or fewer
+                passage.insert(rng.randrange(len(passage)), "MORE")
+                del passage[rng.randrange(len(passage))]
+            case _:  # cut at the text's ends
+                passage = passage[rng.randrange(4) :]
+        before = [word() for _ in range(rng.randrange(30) if i % 5 < 4 else 0)]
+        docs.append((i, " ".join([*before, *passage, *[word() for _ in range(rng.randrange(30))]])))
+    w = W.cut_words(pa.array([t for _, t in docs]), lower=True)
+    got = {(doc, item) for doc, item, *_ in D.matches(index_of([t for _, t in items]), w, 80)}
+    want = brute(docs, items)
+    assert got == want and len(want) > 150
+
+
 def test_blocks_and_edges(spark):
     items = spark.createDataFrame([(1, "q w e r t y u i o p"), (1, "q w e r t y u i o p"), (None, "z x c v b n m k l j"), (3, "")], "item_id bigint, text string")
     docs = docs_frame(spark, [(1, "a q w e r t y u i o p b q w e r t y u i o p"), (1, "none"), (None, "z x c v b n m k l j"), (4, None), (5, "")])
