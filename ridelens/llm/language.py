@@ -3,8 +3,8 @@
 Each word gets a score per language: the log likelihood of its letter n-grams
 (1 to 3 letters, marked where a run of letters begins or ends) and of its whole
 letter runs, under counts learned from labelled documents. The scripts of a
-word's letters narrow the candidates: a language counts only if it has a share
-of that script's training letters. A Viterbi pass over each document's words,
+word's letters narrow the candidates: a language counts only if the script has
+a share of that language's training letters, whatever other languages have. A Viterbi pass over each document's words,
 with a penalty for switching, gives every word a language; runs of one language
 are the spans, and the document's language is the one with the most letters.
 
@@ -31,7 +31,7 @@ BUCKETS = 1 << 17
 MAX_LANGUAGES = 100
 ORDERS = 3
 SWITCH_PENALTY = 12.0
-#: A language needs this share of a script's training letters to be a candidate for it.
+#: A script needs this share of a language's training letters for the language to be a candidate for it.
 MIN_SCRIPT_SHARE = 0.002
 SMOOTHING = 0.5
 UNKNOWN = "und"
@@ -156,7 +156,7 @@ def fit(languages: list[str], counts: np.ndarray, scripts: np.ndarray) -> Model:
     scores = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
     scores[counts.sum(axis=0) == 0] = 0  # a feature never seen says nothing
     total = scripts.sum(axis=0)
-    candidates = (scripts >= MIN_SCRIPT_SHARE * np.maximum(total, 1)) & (scripts > 0)
+    candidates = (scripts >= MIN_SCRIPT_SHARE * scripts.sum(axis=1, keepdims=True)) & (scripts > 0)
     candidates[:, total == 0] = True  # a script never seen rules no language out
     return Model(languages, scores, candidates.T)
 

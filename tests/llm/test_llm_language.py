@@ -76,6 +76,15 @@ def test_scripts_narrow_the_candidates(spark):
     assert allowed == {"latin": ["de", "en"], "cyrillic": ["ru"], "han": ["de", "en", "ru"]}
 
 
+def test_a_small_language_is_a_candidate_beside_a_large_one(spark):
+    """One language has 99.9 % of the Latin letters, the other 0.1 %."""
+    rows = [(EN, "en")] * 2000 + [(DE, "de")] * 2 + [(RU, "ru")]
+    model = L.train(spark.createDataFrame(rows, "text string, lang string"))
+    got = {r.doc_id: r for r in L.label(docs_frame(spark, [(1, DE), (2, EN), (3, f"{EN} {DE}"), (4, RU)]), model).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 4)] == ["de", "en", "ru"]
+    assert [s.lang for s in got[3].spans] == ["en", "de"]
+
+
 def test_no_labels_gives_und(spark):
     assert L.train(spark.createDataFrame([("x", None)], "text string, lang string")) is None
     out = L.label(docs_frame(spark, [(1, "some text")]), None).first()
