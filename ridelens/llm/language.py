@@ -28,7 +28,8 @@ from ridelens.llm import words as W
 from ridelens.llm.runtime import documents, ship, table
 
 BUCKETS = 1 << 17
-MAX_LANGUAGES = 100
+#: As many as fit a path's states (uint8).
+MAX_LANGUAGES = 255
 ORDERS = 3
 SWITCH_PENALTY = 12.0
 #: A script needs this share of a language's training letters for the language to be a candidate for it.
@@ -152,8 +153,10 @@ class Model:
 
 def fit(languages: list[str], counts: np.ndarray, scripts: np.ndarray) -> Model:
     """From feature counts (languages x buckets) and letters (languages x scripts)."""
-    smooth = counts + SMOOTHING
-    scores = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float32)
+    scores = np.empty((counts.shape[1], len(languages)), np.float32)
+    for k, own in enumerate(counts):  # a language at a time: copies of all would be large
+        smooth = own + SMOOTHING
+        scores[:, k] = np.log(smooth / smooth.sum())
     scores[counts.sum(axis=0) == 0] = 0  # a feature never seen says nothing
     total = scripts.sum(axis=0)
     candidates = (scripts >= MIN_SCRIPT_SHARE * scripts.sum(axis=1, keepdims=True)) & (scripts > 0)
@@ -270,8 +273,9 @@ def label(df: DataFrame, model: Model | None, penalty: float = SWITCH_PENALTY) -
 
     def run(batches: Iterator[pa.RecordBatch]):
         known = shared.value
+        most = _GROUP_BYTES * 100 // max(100, len(known.languages) if known else 0)  # scores are words x languages
         for batch in batches:
-            for group in W.slices(batch, "text", _GROUP_BYTES):
+            for group in W.slices(batch, "text", most):
                 rows = group.num_rows
                 names, score, spans = [UNKNOWN] * rows, np.zeros(rows), [[] for _ in range(rows)]
                 if known:

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -85,6 +86,17 @@ def test_a_small_language_is_a_candidate_beside_a_large_one(spark):
     assert [s.lang for s in got[3].spans] == ["en", "de"]
 
 
+def test_as_many_labels_as_the_states_allow(spark):
+    """A language a letter, up to the 255th, which is learned and predicted too."""
+    rows = [(chr(0x4E00 + i) * 3, f"l{i:03}") for i in range(255)]
+    model = L.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.languages) == 255
+    got = {r.doc_id: r.lang_pred for r in L.label(docs_frame(spark, [(i, t) for i, (t, _) in enumerate(rows)]), model).collect()}
+    assert got == {i: lang for i, (_, lang) in enumerate(rows)}
+    with pytest.raises(ValueError, match="255"):
+        L.train(spark.createDataFrame([*rows, ("x", "one more")], "text string, lang string"))
+
+
 def test_no_labels_gives_und(spark):
     assert L.train(spark.createDataFrame([("x", None)], "text string, lang string")) is None
     out = L.label(docs_frame(spark, [(1, "some text")]), None).first()
