@@ -34,7 +34,8 @@ from ridelens.llm.runtime import documents, ship, table
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_ROWS = 3000
 MIN_POSTERIOR = 0.9
-ITERATIONS, DAMPING = 20, 0.3
+#: Messages of a text are passed until none changes by more.
+TOLERANCE, DAMPING = 1e-8, 0.3
 _OTHER = len(KINDS)  # label of tokens without an entity
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -215,8 +216,12 @@ def fit(graph: Graph, rounds: int = 400, rate: float = 0.5, decay: float = 1e-3)
     return w
 
 
-def posteriors(graph: Graph, w: Weights, iterations: int = ITERATIONS) -> np.ndarray:
-    """Label probabilities of every node by damped sum-product message passing."""
+def posteriors(graph: Graph, w: Weights, iterations: int | None = None) -> np.ndarray:
+    """Label probabilities of every node by damped sum-product message passing.
+    A text's messages are passed until they stand still: evidence goes a link a
+    round, so a long line takes as many rounds as it has links. Loops may never
+    settle, so twice a text's nodes (and some rounds for damping), or
+    ``iterations``, are the most."""
     unary = graph.features @ w.unary
     pairs = np.concatenate((graph.near, graph.skip))
     if len(pairs):
@@ -226,14 +231,24 @@ def posteriors(graph: Graph, w: Weights, iterations: int = ITERATIONS) -> np.nda
         potential = np.concatenate((tables, tables.transpose(0, 2, 1)))  # source label x target label
         back = np.concatenate((np.arange(len(pairs)) + len(pairs), np.arange(len(pairs))))
         sent = np.zeros((len(to), unary.shape[1]))
-        for _ in range(iterations):
-            belief = unary.copy()
-            np.add.at(belief, to, sent)
-            out = (belief[source] - sent[back])[:, :, None] + potential
+        _, text = np.unique(graph.doc, return_inverse=True)
+        most = 100 + 2 * np.bincount(text) if iterations is None else np.full(text.max() + 1, iterations)
+        live, done = np.arange(len(to)), 0  # messages of the texts that still change
+        while len(live := live[most[text[to[live]]] > done]):
+            nodes, at = np.unique(to[live], return_inverse=True)
+            belief = unary[nodes]
+            np.add.at(belief, at, sent[live])
+            # Every live message's source is the target of the one back, so it is a live node too.
+            out = (belief[np.searchsorted(nodes, source[live])] - sent[back[live]])[:, :, None] + potential[live]
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
             new -= new.max(axis=1, keepdims=True)
-            sent = DAMPING * sent + (1 - DAMPING) * new
+            new = DAMPING * sent[live] + (1 - DAMPING) * new
+            change = np.zeros(len(most))
+            np.maximum.at(change, text[to[live]], np.abs(new - sent[live]).max(axis=1))
+            sent[live] = new
+            live = live[change[text[to[live]]] > TOLERANCE]
+            done += 1
         np.add.at(unary, to, sent)
     unary = unary - unary.max(axis=1, keepdims=True)
     p = np.exp(unary)

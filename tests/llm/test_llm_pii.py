@@ -89,6 +89,17 @@ def test_a_label_is_carried_to_a_similar_token():
     assert added == [(0, (31, 2, 50))]
 
 
+def test_evidence_reaches_the_far_end_of_a_line():
+    graph = P.read_graph([(0, " ".join(["call 555-218-5021"] * 300), [])])
+    k, n = len(P.KINDS) + 1, len(graph.labels)
+    graph.features = np.eye(n)
+    unary = np.zeros((n, k))
+    unary[0, 2] = 50.0  # the one clear mention
+    got = P.posteriors(graph, P.Weights(unary, np.zeros((k, k)), np.eye(k) * 6))[:, 2]
+    fade = (np.exp(6) - 1) / (np.exp(6) + k - 1)  # a link's, exactly
+    assert np.abs(got - (1 / k + (1 - 1 / k) * fade ** np.arange(n))).max() < 1e-6
+
+
 def spans_text(spans):
     return ",".join(f"{P.KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
