@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from ridelens.llm.alignment import op13_alignment
 from ridelens.llm.archives import OP9_SQL, op9_warc
 from ridelens.llm.decontamination import op7_decontamination
 from ridelens.llm.language import op1_language_id
@@ -13,6 +14,7 @@ from ridelens.llm.near_dup import op8_near_dup
 from ridelens.llm.pii import op2_personal_data
 from ridelens.llm.quality import op10_quality_rules
 from ridelens.llm.substring_dedup import OP3_SQL, op3_substring_dedup
+from ridelens.llm.token_count import op11_token_counts
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -25,6 +27,8 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_token_counts": op11_token_counts,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
