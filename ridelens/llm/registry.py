@@ -13,6 +13,7 @@ from ridelens.llm.mixing import op6_mixing
 from ridelens.llm.near_dup import op8_near_dup
 from ridelens.llm.pii import op2_personal_data
 from ridelens.llm.quality import op10_quality_rules
+from ridelens.llm.spelling import OP12_SQL, op12_spelling_variants
 from ridelens.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 from ridelens.llm.token_count import op11_token_counts
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
     "op11_token_counts": op11_token_counts,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
@@ -36,6 +38,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op4_line_dedup": OP4_SQL,
     "op9_warc": OP9_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL:

@@ -1,0 +1,126 @@
+"""Variants against brute force over all pairs of words, and DuckDB."""
+
+from __future__ import annotations
+
+import collections
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from llm_help import docs_frame, duck_rows, spark_rows
+from ridelens.llm import spelling as S
+
+
+def edits(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_words(rows):
+    count = collections.Counter()
+    for doc, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            count[run] += 1
+    return {w: n for w, n in count.items() if len(w) >= 5 and n >= 3}
+
+
+def brute(rows):
+    words = brute_words(rows)
+    form, near = {}, {}
+    for w, n in words.items():
+        others = [x for x in words if edits(w, x)]
+        near[w] = len(others)
+        best = min(others, key=lambda x: (-words[x], x), default=None)
+        form[w] = best if best is not None and words[best] >= 2 * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n, near[w], words[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def made(seed, texts=120):
+    rng = random.Random(seed)
+    stems = ["".join(rng.choice("abcdé") for _ in range(rng.randrange(4, 9))) for _ in range(40)]
+    rows = []
+    for i in range(texts):
+        words = []
+        for _ in range(150):
+            w = rng.choice(stems[: rng.randrange(1, 41)])
+            if rng.random() < 0.3:
+                k = rng.randrange(len(w))
+                w = w[:k] + rng.choice(["", rng.choice("abcdeÀÿ"), w[k] + rng.choice("ab")]) + w[k + 1 :]
+            words.append(w.title() if rng.random() < 0.2 else w)
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def collected(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("cell, queries", [(S.CELL_WORDS, S.CELL_QUERIES), (30, 20), (3, 5)])
+def test_brute_force_with_one_cell_and_many(spark, monkeypatch, cell, queries):
+    monkeypatch.setattr(S, "near_words", lambda words, f=S.near_words: f(words, cell, queries))
+    monkeypatch.setattr(S, "LEAF_WORDS", 4)
+    rows = [*made(1), (None, "Ärger ärger ÄRGER Ärgers ärgers ärgers"), (None, None), (5, ""), (5, "x1y 12 ×÷×÷× ×÷×÷× ×÷×÷× ×÷×÷÷ ×÷×÷÷ ×÷×÷÷")]
+    rows += [(7, "repeat repeat")] * 3
+    out = S.spelling_variants(docs_frame(spark, rows, extra=True))
+    assert out.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    got = collected(out)
+    assert got == brute(rows) and sum(r[1] is not None for r in got) > 20
+
+
+def test_anagrams_share_a_vector_and_are_dealt_over_tasks(spark):
+    rng = random.Random(4)
+    words = sorted({"".join(rng.sample("abcdeé", 6)) for _ in range(400)} | {"".join(rng.sample("abcdee", 6)) for _ in range(200)})
+    df = spark.createDataFrame([(w, 3) for w in words], "word string, n bigint")
+    cells = S.split_cells(df, 20)
+    assert any(n > 1 for n in cells.parts.values())
+    got = {(r.word, r.near) for r in S.near_words(df, 20, 50).collect()}
+    assert got == {(a, b) for a in words for b in words if edits(a, b)}
+
+
+def test_ties_chains_and_nothing(spark):
+    rows = [(i, "alpha " * 3 + "alphb " * 6 + "alphc " * 6 + "aalphb " * 24) for i in range(1)]
+    got = {r.word: r for r in S.spelling_variants(docs_frame(spark, rows)).collect()}
+    assert (got["alpha"].form, got["alpha"].root, got["alpha"].n_near) == ("alphb", "aalphb", 2)
+    assert got["aalphb"].form is None and got["aalphb"].root == "aalphb"
+    assert collected(S.spelling_variants(docs_frame(spark, []))) == []
+    assert collected(S.spelling_variants(docs_frame(spark, [(1, None), (2, "a b c")]))) == []
+
+
+def test_a_very_long_text_and_very_long_runs(spark):
+    long = "ab" * 100_000
+    rows = [(1, "wording " * 200_000 + "wordings " * 4), (2, f"{long} {long} {long} {long}"), (3, f"{long}a {long}a {long}a")]
+    got = {r.word: r for r in S.spelling_variants(docs_frame(spark, rows)).collect()}
+    assert got["wordings"].form == "wording" and got[long].n_near == 1
+
+
+def test_out_of_reach_boxes_are_pruned():
+    rng = np.random.default_rng(1)
+    letters = rng.integers(97, 107, (3000, 8)).astype(np.uint8)
+    counts = S.letter_counts(letters)
+    tree = S.grow(counts)
+    seen = sum(len(leaf) * len(rows) for leaf, rows in S.within_reach(tree, counts, 1, 1))
+    assert seen < 0.5 * len(counts) ** 2
+    q, p = S.search(letters, letters, tree, S.packed(counts))
+    want = {(i, j) for i in range(300) for j in range(3000) if (letters[i] != letters[j]).sum() == 1}
+    assert {(i, j) for i, j in zip(q.tolist(), p.tolist(), strict=True) if i < 300} == want
+
+
+def test_the_query_against_duckdb(spark):
+    sf = "/root/testdata/sf0.01"
+    assert spark_rows(S.op12_spelling_variants(spark, sf)) == duck_rows(S.OP12_SQL, sf)
