@@ -130,6 +130,14 @@ FROM merged GROUP BY 1"""
 
 PAIR = "Pickup_Borough = 'ASIA' AND Dropoff_Borough = 'EUROPE'"
 
+_MERGED_TYPED = _q(
+    "SELECT t.*, p.Borough AS Pickup_Borough, p.Zone AS Pickup_Zone, p.service_zone AS Pickup_service_zone, "
+    "d.Borough AS Dropoff_Borough, d.Zone AS Dropoff_Zone, d.service_zone AS Dropoff_service_zone "
+    "FROM typed t LEFT JOIN zones p ON CAST(t.pickup_location AS VARCHAR) = p.LocationID "
+    "LEFT JOIN zones d ON CAST(t.dropoff_location AS VARCHAR) = d.LocationID",
+    _TYPED,
+)
+
 ORACLE_SQL: dict[str, str] = {
     "scan_csv_header": _q("SELECT * FROM trips"),
     "sink_csv_roundtrip": _q(
@@ -260,13 +268,8 @@ FROM merged WHERE time_of_day IS NOT NULL GROUP BY 1"""
     "merge_zones_fanout": _q("SELECT * FROM merged_2", _FANOUT, _merged("merged_2", "zones_2")),
     "merge_zones_fanout_unique": _q("SELECT * FROM merged_2u", _FANOUT, _merged("merged_2u", "zones_2u")),
     "merge_zones_shuffled": _q("SELECT * FROM merged_2", _FANOUT, _merged("merged_2", "zones_2")),
-    "merge_zones_typed": _q(
-        "SELECT t.*, p.Borough AS Pickup_Borough, p.Zone AS Pickup_Zone, p.service_zone AS Pickup_service_zone, "
-        "d.Borough AS Dropoff_Borough, d.Zone AS Dropoff_Zone, d.service_zone AS Dropoff_service_zone "
-        "FROM typed t LEFT JOIN zones p ON CAST(t.pickup_location AS VARCHAR) = p.LocationID "
-        "LEFT JOIN zones d ON CAST(t.dropoff_location AS VARCHAR) = d.LocationID",
-        _TYPED,
-    ),
+    "merge_zones_typed": _MERGED_TYPED,
+    "merge_zones_typed_shuffled": _MERGED_TYPED,
     "sink_csv_part_files": _q("SELECT CAST(1 AS BIGINT) AS part_files, count(*) AS row_count FROM series", SERIES),
     "monthly_trips_unique": _q(
         f"SELECT {BUSINESS_MONTH} AS business_month, count(*) AS trip_count FROM merged_u GROUP BY 1"

@@ -302,9 +302,9 @@ def q_merge_zones_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(trips, zones, broadcast_max_rows=1, rows_per_salt_task=SHUFFLED_ROWS_PER_TASK)
 
 
-def q_merge_zones_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merge of a typed parquet copy of the trips: numbers as numbers, and
-    a lookup with numeric ids (so an id matches by its text)."""
+def _typed_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A typed parquet copy of the trips, numbers as numbers, and a lookup with
+    numeric ids (so an id matches by its text)."""
     pin_session(spark)
     trips, zones = load_inputs(spark, sf_dir)
     typed = trips.select(
@@ -314,8 +314,17 @@ def q_merge_zones_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = f"{scratch_dir(spark)}/trips-typed-{uuid.uuid4().hex}"
     typed.write.parquet(path)
-    ids = zones.withColumn("LocationID", F.col("LocationID").cast("bigint"))
-    return enrich(spark.read.schema(typed.schema).parquet(path), ids)
+    return spark.read.schema(typed.schema).parquet(path), zones.withColumn("LocationID", F.col("LocationID").cast("bigint"))
+
+
+def q_merge_zones_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of typed trips."""
+    return enrich(*_typed_inputs(spark, sf_dir))
+
+
+def q_merge_zones_typed_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of typed trips with a lookup beyond the broadcast bound."""
+    return enrich(*_typed_inputs(spark, sf_dir), broadcast_max_rows=1, rows_per_salt_task=SHUFFLED_ROWS_PER_TASK)
 
 
 def q_monthly_trips_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,4 +379,5 @@ QUERIES: dict[str, Query] = {
     "merge_zones_fanout_unique": q_merge_zones_fanout_unique,
     "merge_zones_shuffled": q_merge_zones_shuffled,
     "merge_zones_typed": q_merge_zones_typed,
+    "merge_zones_typed_shuffled": q_merge_zones_typed_shuffled,
 }

@@ -93,11 +93,12 @@ def test_top_n_is_prefix_of_all_routes(star_merged):
 def test_shuffle_path_equals_broadcast_path_on_whole_tables(spark, inputs, star_merged):
     """The merge beyond the broadcast bound (hot ids dealt over salts, plain
     shuffle join otherwise) gives the same merged table and answers."""
-    from ridelens.operators.zone_merge import hot_ids
+    from ridelens.operators.zone_merge import count_trip_ids, hot_ids
 
     trips, zones = inputs
     # every nation holds ~4% of 6,000 trips
-    assert hot_ids(trips, "Pickup", 100).count() >= 20 and hot_ids(trips, "Pickup", 600).count() == 0
+    counts = count_trip_ids(trips)
+    assert hot_ids(counts, "Pickup", 100).count() >= 20 and hot_ids(counts, "Pickup", 600).count() == 0
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
     spark.conf.set(key, "-1")

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from ridelens.operators.zone_merge import enrich, hot_ids, prepare_lookup, unique_lookup
+from ridelens.operators.zone_merge import count_trip_ids, enrich, hot_ids, prepare_lookup, trip_address, unique_lookup
 from ridelens.sources.readers import TRIP_COLUMNS
 
 from conftest import SF_SMALL, count_nodes, plan_text, rows
@@ -153,13 +153,15 @@ def test_no_task_holds_a_hot_id(spark, zones, pickup):
 
 def test_an_id_below_a_hundredth_is_dealt_out_too(spark):
     trips = _many(spark, "CASE WHEN id < 72 THEN '1' ELSE CAST(id AS STRING) END")  # 0.9 %
-    got = {r["id"]: r["buckets"] for r in hot_ids(trips, "Pickup", rows_per_task=20).collect()}
+    got = {r["id"]: r["buckets"] for r in hot_ids(count_trip_ids(trips), "Pickup", rows_per_task=20).collect()}
     assert got == {"1": 4}
 
 
 def test_hot_ids_follow_the_trip_count(trips):
     # pickups: '1' x4, '2' x2, '9' x1, '01' x1; dropoffs: '1' x4, '2' x2, '9' x2
-    found = lambda *a, **k: {r["id"]: r["buckets"] for r in hot_ids(trips, *a, **k).collect()}
+    counts = count_trip_ids(trips)
+    assert (counts.total, counts.without_id) == (8, {"Pickup": 0, "Dropoff": 0})
+    found = lambda *a, **k: {r["id"]: r["buckets"] for r in hot_ids(counts, *a, **k).collect()}
     assert found("Pickup", rows_per_task=3) == {"1": 2}
     assert found("Dropoff", rows_per_task=1) == {"1": 4, "2": 2, "9": 2}
     assert found("Dropoff", rows_per_task=1, salt_buckets=7) == {"1": 7, "2": 7, "9": 7}
@@ -194,3 +196,106 @@ def test_mixed_hot_and_cold_keys_match_broadcast(spark, trips, zones):
         broadcast = rows(enrich(trips, lookup), *cols)
         shuffled = rows(enrich(trips, lookup, broadcast_max_rows=1, salt_buckets=3, rows_per_salt_task=1), *cols)
         assert shuffled == broadcast
+
+
+def test_an_empty_trip_table_and_trips_without_ids(spark, trips, zones):
+    assert count_trip_ids(trips.limit(0)).total == 0
+    assert enrich(trips.limit(0), zones, broadcast_max_rows=1).count() == 0
+    none = trips.withColumn("pickup_location", F.lit(None).cast("string"))
+    assert count_trip_ids(none).without_id == {"Pickup": 8, "Dropoff": 0}
+    assert enrich(none, zones, broadcast_max_rows=1, rows_per_salt_task=2).count() == 8
+
+
+def _written(spark, tmp_dir, n=4000):
+    """Trips in several parquet files; many are equal in all their values."""
+    path = f"{tmp_dir}/trips"
+    _many(spark, "CASE WHEN id % 3 > 0 THEN '1' END", n, "id % 5 AS five").repartition(6, "five").write.parquet(path)
+    return path
+
+
+def _salts(merged_input):
+    """(address, both salts) of every trip, as the merge draws them."""
+    from ridelens.operators import zone_merge as Z
+
+    counts = count_trip_ids(merged_input)
+    out = merged_input.withColumn(Z._ADDRESS, trip_address(merged_input))
+    for role in Z.ROLES:
+        hot = hot_ids(counts, role, 100)
+        lookup = Z._role_lookup(merged_input.sparkSession.createDataFrame([("1", "b", "z", "s")], "LocationID string, Borough string, Zone string, service_zone string"), role)
+        out, *_ = Z._salted(out, lookup, role, hot, 40, 8)
+        # What a shuffle and a join before the next role do to the order of the rows.
+        out = out.repartition(7, Z._ADDRESS).sortWithinPartitions(F.rand())
+    return out
+
+
+def test_salts_do_not_depend_on_the_order_of_rows(spark, tmp_dir):
+    path = _written(spark, tmp_dir)
+    got = []
+    for split in ("128m", "2k"):  # other tasks read other ranges of the files
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            salted = _salts(spark.read.parquet(path))
+            got.append(sorted(salted.select("_trip_address", "_pickup_salt", "_dropoff_salt").collect()))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[0] == got[1]
+    assert len({r[0] for r in got[0]}) == 4000  # equal trips have addresses of their own
+    assert len({r[1] for r in got[0]}) == 40 and len({r[2] for r in got[0]}) == 40
+
+
+def test_nothing_is_drawn_behind_an_exchange(spark, zones, tmp_dir, trips_path):
+    from ridelens.sources.readers import read_trips
+
+    path = _written(spark, tmp_dir)
+    plain = spark.read.parquet(path)
+    shuffled = plain.repartition(5).drop("five")
+    cases = {"files": plain, "header csv": read_trips(spark, trips_path), "made": _many(spark, "'1'"), "shuffled": shuffled, "aggregated": plain.groupBy(*plain.columns).count()}
+    with _plain_shuffle(spark):
+        for name, trips in cases.items():
+            lines = plan_text(enrich(trips, zones, broadcast_max_rows=1, rows_per_salt_task=50)).split("\n\n")[0].split("\n")
+            tree = enrich(trips, zones, broadcast_max_rows=1, rows_per_salt_task=50)._jdf.queryExecution().executedPlan().toString().split("\n")
+            drawn = [i for i, line in enumerate(tree) if "monotonically_increasing_id" in line or "rand(" in line]
+            assert lines and len(drawn) <= 1, name
+            assert bool(drawn) == (name in ("header csv", "made")), name
+            for i in drawn:
+                depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+                below = []
+                for line in tree[i + 1 :]:
+                    if depth(line) < depth(tree[i]):
+                        break
+                    below.append(line)
+                assert not any("Exchange" in line for line in below), name
+
+
+def test_the_ids_are_read_once_for_both_roles(spark, tmp_dir):
+    import json
+    import os
+    import subprocess
+    import sys
+
+    code = f"""
+import os, json
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.checkpoint.dir", "{tmp_dir}/scratch").config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "{tmp_dir}/events")
+         .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false").getOrCreate())
+from ridelens.operators.zone_merge import enrich
+trips = spark.read.parquet("{tmp_dir}/trips")
+zones = spark.createDataFrame([("1", "b", "z", "s"), ("1", "c", "z", "s")], "LocationID string, Borough string, Zone string, service_zone string")
+enrich(trips, zones, broadcast_max_rows=1, rows_per_salt_task=100).write.format("noop").mode("overwrite").save()
+spark.stop()
+"""
+    _written(spark, tmp_dir)
+    os.makedirs(f"{tmp_dir}/events")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, env={**os.environ, "PYTHONPATH": root}, timeout=240)
+    read = 0
+    for name in os.listdir(f"{tmp_dir}/events"):
+        with open(f"{tmp_dir}/events/{name}") as fh:
+            for line in fh:
+                event = json.loads(line)
+                if event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
+                    read += event["Task Metrics"]["Input Metrics"]["Records Read"] * (event["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"] == 0)
+    # Once for the counts, once for the merge itself; the rest are the few rows of the counts.
+    assert 8000 <= read < 8100
