@@ -4,7 +4,8 @@ the original study's constants.
 
 Money columns arrive as text. Monthly money totals round each value to 32-bit
 float before summing (the published totals carry that noise); the other
-money and mile figures are doubles. Bad text is null, not an error.
+money and mile figures are doubles. Sums of either do not depend on the order
+of the rows. Bad text is null, not an error.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from ridelens.functions.casts import to_double, to_float, to_int_truncating
 from ridelens.functions.dates import day_of, month_of, year_of
 from ridelens.functions.keys import borough_route, business_month, zone_route
 from ridelens.operators.aggregate import count_between, count_by, count_by_category, mean_by_sum_count
+from ridelens.operators.exact import aggregate_exactly
 from ridelens.operators.filters import between_places, equals, in_month
 from ridelens.operators.rank import top_k_per_group, top_n
 from ridelens.operators.zone_merge import enrich
@@ -72,16 +74,12 @@ def monthly_trips(merged: DataFrame) -> DataFrame:
 
 def monthly_profit(merged: DataFrame) -> DataFrame:
     """``business_month, total_profit`` (float-rounded values, double sum)."""
-    return merged.groupBy(_business_month_key(merged)).agg(
-        F.sum(to_float("rideshare_profit")).alias("total_profit")
-    )
+    return aggregate_exactly(merged, [_business_month_key(merged)], sums={"total_profit": to_float("rideshare_profit")})
 
 
 def monthly_earnings(merged: DataFrame) -> DataFrame:
     """``business_month, total_earnings`` (float-rounded values, double sum)."""
-    return merged.groupBy(_business_month_key(merged)).agg(
-        F.sum(to_float("driver_total_pay")).alias("total_earnings")
-    )
+    return aggregate_exactly(merged, [_business_month_key(merged)], sums={"total_earnings": to_float("driver_total_pay")})
 
 
 # Q03 ---------------------------------------------------------------------
@@ -109,9 +107,8 @@ def top_dropoff_boroughs(merged: DataFrame, k: int = TOP_K_PER_MONTH) -> DataFra
 def top_borough_routes(merged: DataFrame, n: int = TOP_BOROUGH_ROUTES) -> DataFrame:
     """``Route, total_profit``: the ``n`` borough routes with the most driver
     pay. The column keeps its original name although it sums driver pay."""
-    routes = merged.groupBy(borough_route("Pickup_Borough", "Dropoff_Borough").alias("Route")).agg(
-        F.sum(to_double("driver_total_pay")).alias("total_profit")
-    )
+    route = borough_route("Pickup_Borough", "Dropoff_Borough").alias("Route")
+    routes = aggregate_exactly(merged, [route], sums={"total_profit": to_double("driver_total_pay")})
     return top_n(routes, "total_profit", n, tiebreak="Route")
 
 
@@ -120,20 +117,14 @@ def top_borough_routes(merged: DataFrame, n: int = TOP_BOROUGH_ROUTES) -> DataFr
 def avg_pay_by_time_of_day(merged: DataFrame) -> DataFrame:
     """``time_of_day, average_driver_total_pay``, highest first; the null
     time of day is a group."""
-    return (
-        merged.groupBy("time_of_day")
-        .agg(F.avg(to_double("driver_total_pay")).alias("average_driver_total_pay"))
-        .orderBy(F.desc("average_driver_total_pay"))
-    )
+    pay = {"average_driver_total_pay": to_double("driver_total_pay")}
+    return aggregate_exactly(merged, ["time_of_day"], means=pay).orderBy(F.desc("average_driver_total_pay"))
 
 
 def avg_length_by_time_of_day(merged: DataFrame) -> DataFrame:
     """``time_of_day, average_trip_length``, highest first."""
-    return (
-        merged.groupBy("time_of_day")
-        .agg(F.avg(to_double("trip_length")).alias("average_trip_length"))
-        .orderBy(F.desc("average_trip_length"))
-    )
+    length = {"average_trip_length": to_double("trip_length")}
+    return aggregate_exactly(merged, ["time_of_day"], means=length).orderBy(F.desc("average_trip_length"))
 
 
 def join_two_aggregates(merged: DataFrame) -> DataFrame:
@@ -151,14 +142,10 @@ def earning_per_mile(merged: DataFrame) -> DataFrame:
     length (a ratio of averages). Same answer as :func:`join_two_aggregates`
     in one scan and one aggregate: the inner join's null-key drop becomes a
     filter that Catalyst pushes to the scan."""
+    known = merged.filter(F.col("time_of_day").isNotNull())
+    both = aggregate_exactly(known, ["time_of_day"], means={"_pay": to_double("driver_total_pay"), "_len": to_double("trip_length")})
     return (
-        merged.filter(F.col("time_of_day").isNotNull())
-        .groupBy("time_of_day")
-        .agg(
-            F.avg(to_double("driver_total_pay")).alias("_pay"),
-            F.avg(to_double("trip_length")).alias("_len"),
-        )
-        .select("time_of_day", F.try_divide(F.col("_pay"), F.col("_len")).alias("average_earning_per_mile"))
+        both.select("time_of_day", F.try_divide(F.col("_pay"), F.col("_len")).alias("average_earning_per_mile"))
         .orderBy(F.desc("average_earning_per_mile"))
     )
 
@@ -167,10 +154,8 @@ def time_of_day_averages(merged: DataFrame) -> DataFrame:
     """``time_of_day, average_driver_total_pay, average_trip_length,
     average_earning_per_mile`` of every time of day, null included: the three
     tables above in one scan."""
-    both = merged.groupBy("time_of_day").agg(
-        F.avg(to_double("driver_total_pay")).alias("average_driver_total_pay"),
-        F.avg(to_double("trip_length")).alias("average_trip_length"),
-    )
+    columns = {"average_driver_total_pay": to_double("driver_total_pay"), "average_trip_length": to_double("trip_length")}
+    both = aggregate_exactly(merged, ["time_of_day"], means=columns)
     ratio = F.try_divide("average_driver_total_pay", "average_trip_length")
     return both.withColumn("average_earning_per_mile", ratio)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ridelens.functions.casts import to_float
 from ridelens.functions.keys import log10_positive
+from ridelens.operators.exact import aggregate_exactly
 from ridelens.plans.analyses import WAIT_MONTH, WAIT_THRESHOLD_SECONDS, _business_month_key, daily_wait
 
 SERIES_MEASURES = ("trip_count", "total_profit", "total_earnings")
@@ -17,11 +18,8 @@ def business_month_totals(merged: DataFrame) -> DataFrame:
     """``business_month, trip_count, total_profit, total_earnings``, unsorted.
     One scan and one aggregate for what the original computes as three
     separate jobs. Also valid on a streaming DataFrame."""
-    return merged.groupBy(_business_month_key(merged)).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        F.sum(to_float("rideshare_profit")).alias("total_profit"),
-        F.sum(to_float("driver_total_pay")).alias("total_earnings"),
-    )
+    sums = {"total_profit": to_float("rideshare_profit"), "total_earnings": to_float("driver_total_pay")}
+    return aggregate_exactly(merged, [_business_month_key(merged)], sums=sums, count="trip_count")
 
 
 def business_month_series(merged: DataFrame) -> DataFrame:
