@@ -1,0 +1,93 @@
+"""An export is replaced as a whole or not at all."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from ridelens.sources import sinks
+from ridelens.sources.sinks import export_csv, restore_export
+
+
+@pytest.fixture()
+def old(spark, tmp_dir):
+    """The path of an export of three rows."""
+    path = f"{tmp_dir}/out put/export"
+    export_csv(spark.range(3), path, order_by=["id"])
+    return path
+
+
+def read(spark, path):
+    return sorted(int(r.id) for r in spark.read.option("header", "true").csv(path).collect())
+
+
+def beside(path):
+    return sorted(f for f in os.listdir(os.path.dirname(path)) if not f.endswith(".crc"))
+
+
+def test_an_export_replaces_the_one_before(spark, old):
+    export_csv(spark.range(10, 15), old)
+    assert read(spark, old) == [10, 11, 12, 13, 14] and beside(old) == ["export"]
+    assert len([f for f in os.listdir(old) if f.startswith("part-")]) == 1
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_a_write_that_dies_leaves_the_old_export(spark, old, single):
+    # Three of four tasks write their rows before the fourth fails.
+    bad = spark.range(0, 1000, 1, 4).withColumn("id", F.expr("IF(id = 990, CAST(raise_error('task lost') AS BIGINT), id)"))
+    with pytest.raises(PySparkException, match="task lost"):
+        export_csv(bad, old, single_file=single)
+    assert read(spark, old) == [0, 1, 2] and beside(old) == ["export"]
+
+
+def test_a_swap_that_fails_half_way_puts_the_old_export_back(spark, old, monkeypatch):
+    rename = sinks._Store.rename
+
+    def fails(self, source, to):
+        if ".writing-" in source.toString():
+            raise OSError("no more")
+        rename(self, source, to)
+
+    monkeypatch.setattr(sinks._Store, "rename", fails)
+    with pytest.raises(OSError, match="no more"):
+        export_csv(spark.range(5), old)
+    assert read(spark, old) == [0, 1, 2] and beside(old) == ["export"]
+
+
+def killed(monkeypatch, at):
+    """The driver dies at the ``at``-th rename of an export: nothing runs after it."""
+    calls = []
+    rename = sinks._Store.rename
+
+    def dies(self, source, to):
+        calls.append(1)
+        if len(calls) >= at:
+            raise KeyboardInterrupt
+        rename(self, source, to)
+
+    monkeypatch.setattr(sinks._Store, "rename", dies)
+    monkeypatch.setattr(sinks._Store, "remove", lambda self, place: None)
+
+
+@pytest.mark.parametrize("at", [1, 2])
+def test_a_driver_that_dies_between_two_renames_loses_nothing(spark, old, at):
+    with pytest.MonkeyPatch.context() as patched:
+        killed(patched, at)
+        with pytest.raises(KeyboardInterrupt):
+            export_csv(spark.range(5), old)
+    assert restore_export(spark, old)
+    assert read(spark, old) == [0, 1, 2]
+    export_csv(spark.range(7), old)
+    assert read(spark, old) == list(range(7))
+
+
+def test_an_export_may_read_what_it_replaces(spark, old):
+    export_csv(spark.read.option("header", "true").csv(old).where("id <> '1'"), old)
+    assert read(spark, old) == [0, 2]
+
+
+def test_nothing_to_restore(spark, tmp_dir):
+    assert not restore_export(spark, f"{tmp_dir}/none")
