@@ -15,6 +15,11 @@ document needs the counts of its own pairs back: pairs with a share of
 broadcast, all others are joined. The share says where a count is looked up,
 not what it is.
 
+A text is aligned in chunks that begin where both tokenizers are sure to cut
+(white space after another character; ``Side`` says why). A task aligns a
+chunk when it first meets it, and a document is put together from its chunks;
+what is remembered is bounded and changes no result.
+
 The first tokenizer (A) is a byte-level file for ``tokenizers``, the second (B)
 a ``sentencepiece`` file with byte fallback, which puts a space before a text;
 A gets that space too. Special strings in texts are plain text.
@@ -23,10 +28,12 @@ A gets that space too. Special strings in texts are plain text.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,39 +47,66 @@ PAIR_SHARE = 2e-6
 #: A pair's key: A's id, then B's id in this many bits.
 _BITS = 24
 
+#: Chunks, and letters of chunks, that a task remembers.
+REMEMBERED, REMEMBERED_LETTERS = 1 << 18, 1 << 24
+
 # Fixed value: how a piece writes a space.
 _SPACE = "▁"
 
 
+def chunk_pattern(cuts_before: str) -> regex.Pattern | None:
+    """Finds the chunks of a text that begins with a space; None if it is one chunk."""
+    if " " not in cuts_before:
+        return None
+    return regex.compile(rf"\s+\S*(?:[^\S{cuts_before}]\s*\S*)*")
+
+
 class Side:
-    """One tokenizer inside a task: ids of a text, and each id's bytes."""
+    """One tokenizer inside a task: ids of chunks of text, and each id's bytes.
+
+    A chunk begins with a space or line break (a text's first chunk with the
+    space put before it) and goes on to the next one after another character.
+    The byte-level pattern always cuts there; a piece model does if none of its
+    pieces has that space or break behind another character, which
+    ``cuts_before`` tells from its vocabulary. Then a chunk has the same ids
+    alone as in its text."""
 
     def __init__(self, known: Proof | bytes):
         if isinstance(known, Proof):
-            pieces = Pieces(known)
-            vocabulary = pieces.plain.get_vocab(with_added_tokens=False)
+            self._pieces = Pieces(known)
+            vocabulary = self._pieces.plain.get_vocab(with_added_tokens=False)
             self.bytes = [b""] * (max(vocabulary.values(), default=-1) + 1)
             for entry, number in vocabulary.items():
                 self.bytes[number] = token_bytes(entry)
-            self.ids = lambda text: pieces.ids(" " + text)
+            self.cuts_before = " \n"
+            self.encode = self._byte_level
         else:
             from sentencepiece import SentencePieceProcessor
 
-            model = SentencePieceProcessor(model_proto=known)
+            self._model = model = SentencePieceProcessor(model_proto=known)
             # The piece of a fallback byte is that byte; control pieces never come out of a text.
-            self.bytes = [
-                bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(_SPACE, " ").encode()
-                for i, p in enumerate(map(model.id_to_piece, range(model.get_piece_size())))
-            ]
-            self.ids = lambda text: model.encode(text, num_threads=1)
+            texts = [p.replace(_SPACE, " ") for p in map(model.id_to_piece, range(model.get_piece_size()))]
+            self.bytes = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.encode() for i, p in enumerate(texts)]
+            self._space = texts.index(" ") if " " in texts else -1
+            written = [p for i, p in enumerate(texts) if not model.is_byte(i)]
+            # The model's own first space must not join a line break either.
+            self.cuts_before = "".join(w for w, behind in ((" ", r"\S "), ("\n", r"[\S ]\n")) if not any(regex.search(behind, p) for p in written))
+            self.encode = self._piece_model
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
 
-    def encode(self, text: str, raw: bytes) -> np.ndarray | None:
-        """Ids as an array; None if their bytes are not ``raw``."""
-        ids = self.ids(text)
-        if b"".join(map(self.bytes.__getitem__, ids)) != raw:
-            return None
-        return np.array(ids, np.int64)
+    def _byte_level(self, chunks: list[str]) -> list[list[int]]:
+        return [self._pieces.ids(c) for c in chunks]
+
+    def _piece_model(self, chunks: list[str]) -> list[list[int]]:
+        """The model puts a space before what it gets. Before other white space
+        that space is a piece of its own, which is taken off again."""
+        found = self._model.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        for i, c in enumerate(chunks):
+            if c[0] != " ":
+                found[i] = found[i][1:] if found[i][:1] == [self._space] else []
+            elif c == " ":  # a text's end; of nothing the model makes nothing
+                found[i] = [self._space]
+        return found
 
 
 def slices(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,16 +146,116 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray, stop_a: np.ndarray, stop_b: np
     return np.concatenate(at_a), np.concatenate(at_b)
 
 
-def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray, digits: list[str], size: int) -> str:
-    """``a1,a2|b1;a3|b2,b3``. ``digits``: the numbers up to ``size`` followed by
-    a comma, then by a bar, then by a semicolon."""
+class Chunks:
+    """Alignments of the chunks that a task has met. Both tokenizers end a token
+    where a chunk ends, so a document's groups and links are those of its chunks."""
+
+    def __init__(self, a: Proof, b: bytes):
+        self.a, self.b = Side(a), Side(b)
+        self._sure = a.sure
+        self._cut = chunk_pattern(self.b.cuts_before)
+        size = max(len(self.a.bytes), len(self.b.bytes))
+        self._size, self._digits = size, [f"{i}{mark}" for mark in ",|;" for i in range(size)]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.text: list[str] = []  # a chunk's part of the digested text
+        self.numbers = np.zeros((0, 5), np.int64)  # n_a, n_b, n_groups, n_links, whether the bytes differ
+        self.keys = np.zeros(0, np.int64)  # of the links, chunk by chunk
+        self._held = 0
+
+    def of(self, text: str | None) -> list[str]:
+        """The chunks of a text."""
+        if not text:
+            return []
+        text = " " + text
+        return self._cut.findall(text) if self._cut and self._sure(text) else [text]
+
+    def _ids(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids on both sides; none where their bytes are not the chunk's."""
+        raw = [c.encode() for c in chunks]
+        size = np.array([len(r) for r in raw])
+        out = []
+        for side in (self.a, self.b):
+            ids = side.encode(chunks)
+            flat = list(itertools.chain.from_iterable(ids))
+            n = np.array([len(x) for x in ids])
+            ends = np.concatenate(([0], np.cumsum(side.sizes[flat])))[np.cumsum(n)]
+            # All bytes at once, and that each chunk has as many as it should.
+            if not (ends == np.cumsum(size)).all() or b"".join(map(side.bytes.__getitem__, flat)) != b"".join(raw):
+                ids = [x if b"".join(map(side.bytes.__getitem__, x)) == r else [] for x, r in zip(ids, raw, strict=True)]
+            out.append(ids)
+        if all(map(all, out)):
+            return out[0], out[1]
+        both = [bool(x and y) for x, y in zip(*out, strict=True)]
+        return tuple([x if ok else [] for x, ok in zip(ids, both, strict=True)] for ids in out)
+
+    def learn(self, chunks: list[str]) -> None:
+        """Aligns those of ``chunks`` that are not known, all at once."""
+        if len(self.place) > REMEMBERED or self._held > REMEMBERED_LETTERS:
+            self._forget()
+        new = list(set(chunks).difference(self.place))
+        if not new:
+            return
+        self._held += sum(map(len, new))
+        known = len(self.place)
+        self.place.update(zip(new, range(known, known + len(new)), strict=True))
+        lists = self._ids(new)
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in lists)
+        ids_a, ids_b = (np.array(list(itertools.chain.from_iterable(ids)), np.int64) for ids in lists)
+        ends_a, ends_b = np.cumsum(self.a.sizes[ids_a]), np.cumsum(self.b.sizes[ids_b])
+        stop_a, stop_b = slices(ends_a, ends_b)
+        at_a, at_b = links(ends_a, ends_b, stop_a, stop_b)
+        owner = np.repeat(np.arange(len(new)), n_a)
+        of_link = owner[at_a]
+        order = np.argsort(of_link, kind="stable")
+        n_groups, n_links = (np.bincount(x, minlength=len(new)) for x in (owner[stop_a - 1], of_link))
+        codes = groups_codes(ids_a, ids_b, stop_a, stop_b, self._size)
+        digits = list(map(self._digits.__getitem__, codes.tolist()))
+        stops = np.cumsum(n_a + n_b).tolist()
+        self.text.extend(["".join(digits[low:high]) for low, high in zip([0, *stops], stops, strict=False)])
+        self.numbers = np.concatenate((self.numbers, np.column_stack((n_a, n_b, n_groups, n_links, n_a == 0))))
+        self.keys = np.concatenate((self.keys, (ids_a[at_a] << _BITS | ids_b[at_b])[order]))
+
+    def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """For texts: their four numbers, digests, and (text, pair, times) of the distinct id pairs."""
+        each = [self.of(t) for t in texts]
+        flat = list(itertools.chain.from_iterable(each))
+        self.learn(flat)
+        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        doc = np.repeat(np.arange(len(texts)), [len(x) for x in each])
+        sums = np.zeros((len(texts), 5), np.int64)
+        np.add.at(sums, doc, self.numbers[at])
+        differs = sums[:, 4] > 0
+        sums[differs] = 0
+        stops = np.cumsum([len(x) for x in each]).tolist()
+        places = at.tolist()
+        digests = [
+            "" if low == high or bad else hashlib.sha256("".join(map(self.text.__getitem__, places[low:high]))[:-1].encode()).hexdigest()
+            for low, high, bad in zip([0, *stops], stops, differs.tolist(), strict=False)
+        ]
+        at, doc = at[~differs[doc]], doc[~differs[doc]]
+        n = self.numbers[at, 3]
+        start = (np.cumsum(self.numbers[:, 3]) - self.numbers[:, 3])[at]
+        place = np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
+        owner = np.repeat(doc, n)
+        order = np.lexsort((self.keys[place], owner))
+        owner, pair = owner[order], self.keys[place][order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(pair), 1), bool), (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1]))))
+        return sums[:, :4], digests, owner[first], pair[first], np.diff(np.append(first, len(pair)))
+
+
+def groups_codes(ids_a: np.ndarray, ids_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray, size: int) -> np.ndarray:
+    """The ids of ``a1,a2|b1;a3|b2,b3`` in their order, each plus ``size`` if a
+    bar follows, plus twice that if a semicolon does."""
     mark_a, mark_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
     mark_a[stop_a - 1], mark_b[stop_b - 1] = size, 2 * size
     n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
     out = np.empty(len(ids_a) + len(ids_b), np.int64)
     out[np.arange(len(ids_a)) + np.repeat(stop_b - n_b, n_a)] = ids_a + mark_a
     out[np.arange(len(ids_b)) + np.repeat(stop_a, n_b)] = ids_b + mark_b
-    return "".join(map(digits.__getitem__, out.tolist()))[:-1]
+    return out
 
 
 def _encoded(docs: DataFrame, a: Proof, b: bytes) -> DataFrame:
@@ -132,29 +266,13 @@ def _encoded(docs: DataFrame, a: Proof, b: bytes) -> DataFrame:
     names = [k.split()[0] for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        side_a, side_b = (Side(x) for x in shared.value)
-        size = max(len(side_a.bytes), len(side_b.bytes))
-        digits = [f"{i}{mark}" for mark in ",|;" for i in range(size)]
-
-        def one(text: str | None) -> tuple:
-            raw = b" " + (text or "").encode()
-            ids_a = side_a.encode(text, raw) if text else None
-            ids_b = side_b.encode(text, raw) if ids_a is not None else None
-            if ids_b is None:
-                return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32)
-            ends_a, ends_b = np.cumsum(side_a.sizes[ids_a]), np.cumsum(side_b.sizes[ids_b])
-            stop_a, stop_b = slices(ends_a, ends_b)
-            at_a, at_b = links(ends_a, ends_b, stop_a, stop_b)
-            key, n = np.unique(ids_a[at_a] << _BITS | ids_b[at_b], return_counts=True)
-            digest = hashlib.sha256(groups_text(ids_a, ids_b, stop_a, stop_b, digits, size).encode()).hexdigest()
-            return len(ids_a), len(ids_b), len(stop_a), len(at_a), digest, key, n.astype(np.int32)
-
+        chunks = Chunks(*shared.value)
         for batch in batches:
             for part in W.slices(batch, "text"):
-                *numbers, digest, pairs, times = zip(*map(one, part.column("text").to_pylist()), strict=True)
-                offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in pairs]))), pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in (pairs, times)]
-                columns = [*[pa.array(x, pa.int64()) for x in numbers], pa.array(digest, pa.string()), *lists]
+                numbers, digests, owner, pair, times = chunks.align(part.column("text").to_pylist())
+                offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=part.num_rows)))), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (pair, times.astype(np.int32))]
+                columns = [*[pa.array(x) for x in numbers.T.copy()], pa.array(digests, pa.string()), *lists]
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), *columns], names=names)
 
     return docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, kinds)

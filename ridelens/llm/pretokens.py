@@ -138,11 +138,14 @@ class _Known(dict):
         # One model of the tokenizer's own, without its pattern or special strings.
         self._merge = Tokenizer.from_str(proof.source).model.tokenize
 
+    def merged(self, piece: str) -> list[int]:
+        return [t.id for t in self._merge("".join(map(BYTE_LETTERS.__getitem__, piece.encode())))]
+
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) - self._proven >= REMEMBERED:
             self.clear()
             self.update((s, (n,)) for s, n in self._whole.items())
-        ids = tuple(t.id for t in self._merge("".join(map(BYTE_LETTERS.__getitem__, piece.encode()))))
+        ids = tuple(self.merged(piece))
         self[piece] = ids
         return ids
 
@@ -174,8 +177,16 @@ class Pieces:
         return sum([len(known[piece]) for piece in self._pattern.findall(text)])
 
     def ids(self, text: str) -> list[int]:
-        """Token ids of a text, special strings in it taken as plain text."""
+        """Token ids of a text, special strings in it taken as plain text. Merges
+        are not remembered: ``alignment`` remembers more than a pre-token."""
         if not self.proof.sure(text):
             return self.plain.encode(text, add_special_tokens=False).ids
-        known = self.known
-        return [i for piece in self._pattern.findall(text) for i in known[piece]]
+        out: list[int] = []
+        whole = self.proof.whole
+        for piece in self._pattern.findall(text):
+            number = whole.get(piece)
+            if number is None:
+                out += self.known.merged(piece)
+            else:
+                out.append(number)
+        return out

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import collections
 import hashlib
+import operator
 import random
 
 import numpy as np
@@ -17,6 +19,7 @@ from ridelens.llm import alignment as A
 from ridelens.llm.pretokens import token_bytes
 from ridelens.llm.token_count import public_path
 
+END = operator.itemgetter(2)
 PATH_A, PATH_B = public_path("byte_bpe_50k.json"), public_path("piece_bpe_32k.model")
 
 
@@ -44,7 +47,7 @@ def brute(rows):
         sa, sb = spans(a), spans(b)
         low = 0
         for end in sorted({e for *_, e in sa} & {e for *_, e in sb}):
-            ga, gb = ([s for s in side if low < s[2] <= end] for side in (sa, sb))
+            ga, gb = ([s for s in side[bisect.bisect_right(side, low, key=END) : bisect.bisect_right(side, end, key=END)]] for side in (sa, sb))
             groups.append(",".join(str(i) for i, *_ in ga) + "|" + ",".join(str(i) for i, *_ in gb))
             pairs += [(x[0], y[0]) for x in ga for y in gb if max(x[1], y[1]) < min(x[2], y[2])]
             low = end
@@ -59,9 +62,30 @@ def brute(rows):
     ]
 
 
+def test_chunks_that_are_forgotten_are_aligned_again(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a", "bc ", "déf", "\n", "x\ty", "  ", "東京"]) for _ in range(30)) for _ in range(40)]
+    monkeypatch.setattr(A, "REMEMBERED", 10)
+    monkeypatch.setattr(A.W, "SLICE_BYTES", 64)
+    chunks = A.Chunks(A.read_tokenizer(PATH_A), A.read_tokenizer(PATH_B))
+    got = [chunks.align([t]) for t in texts]
+    want = {r[0]: r for r in brute(list(enumerate(texts)))}
+    assert [(*g[0][0].tolist(), g[1][0]) for g in got] == [(*want[i][1:5], want[i][7]) for i in range(len(texts))]
+    assert len(chunks.place) < 40
+
+
+def test_texts_are_cut_only_where_no_piece_goes_on():
+    chunks = A.Chunks(A.read_tokenizer(PATH_A), A.read_tokenizer(PATH_B))
+    assert chunks.b.cuts_before == " \n"  # its pieces go on over a carriage return
+    assert chunks.of("two words\n ok;\r\nthat  is") == [" two", " words", "\n ok;\r\nthat", "  is"]
+    assert A.chunk_pattern("\n") is None and A.chunk_pattern(" ").findall(" a\nb c") == [" a\nb", " c"]
+    chunks._cut = None
+    assert chunks.of("two words") == [" two words"] and chunks.of("") == chunks.of(None) == []
+
+
 TEXTS = [
     None, "", " ", "  two  spaces ", "\n\ttabs\r\n", "a▁b", "Hello, world! It's naïve.", "<s> </s> <unk> <0x41> <|endoftext|>", "東京タワー 日本語", "\U0001F600 ok \U0001F468‍\U0001F469",
-    "x\x00y", "ﬁ ½ ２", "՘࢏", "aaaaaaaaaaaaaaaaaaaaaaaa", "1234567890 12 345", "Hello, world! It's naïve.", "е́ й ё", "café café", "﻿start", " nbsp",
+    "x\x00y", "ﬁ ½ ２", "՘࢏", "aaaaaaaaaaaaaaaaaaaaaaaa", ");\r\n{\r\r \r x;\r \n\n\ny", "\n\nx \n y\x0b \x0c\u3000 z", "1234567890 12 345", "Hello, world! It's naïve.", "е́ й ё", "café café", "﻿start", " nbsp",
 ]
 
 
@@ -69,7 +93,7 @@ TEXTS = [
 def test_brute_force(spark, monkeypatch, share):
     monkeypatch.setattr(A, "PAIR_SHARE", share)  # all pairs held, some, none
     rng = random.Random(3)
-    made = ["".join(rng.choice("ab éü東 .\n12𝒳") for _ in range(rng.randrange(80))) for _ in range(60)]
+    made = ["".join(rng.choice("ab éü東 .\n12𝒳\r;\t") for _ in range(rng.randrange(80))) for _ in range(60)]
     rows = [*enumerate(TEXTS + made), (None, "no id at all"), (3, "again"), (3, "again")]
     out = A.align(docs_frame(spark, rows, extra=True), PATH_A, PATH_B)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
