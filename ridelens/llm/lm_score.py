@@ -8,330 +8,319 @@ target's number of tokens, so that smoothing weighs the same in both. A
 document's score is its mean loss per token under the target model less that
 under the background model: the lower, the more like the target.
 
-Every word and pair counts, however rare, so the models grow with the corpus;
-they are Spark tables, keyed by 64-bit hashes. Only what is frequent is
-broadcast: pairs with a share of ``PAIR_SHARE`` of the tokens (2 / PAIR_SHARE
-at most, by arithmetic) and words with one of ``VOCAB_SHARE``. Tokens of any
-other pair are joined to the table of pairs, in which by the same shares no key
-is hot. The shares say where a loss is looked up, not what it is.
-
-``train`` and ``score`` are the same for a model that is held in memory: rarer
-words fall into classes by their shape, rarer pairs are scored by their words.
+Every word and pair counts, however rare, so the models grow with the corpus.
+The loss of a token is ``log(follows + prior) - log(pair + prior * p)``: how
+often the word before is followed by any word, how often by this one, and the
+word's own chance. So a token needs the counts of its pair, its word and the
+word before, and it is scored where these are counted:
+
+* the texts' pairs are shuffled once, each as a few small numbers per document.
+  All rows of a word meet in one place, which gives its counts as a word and as
+  the word before, and those of its pairs; only sums per document go on;
+* words with a share of ``WORD_SHARE`` of the tokens (1 / WORD_SHARE at most,
+  by arithmetic) are counted ahead and broadcast; their rows are dealt by pair;
+* pairs that would still be hot are counted ahead too: every pair with a share
+  of ``PAIR_SHARE``. Each task keeps a summary of ``_KEPT`` pairs that
+  underrates none by more than a ``_KEPT``-th of its tokens, so the summed
+  summaries name every such pair, and 1 / (PAIR_SHARE - 1 / _KEPT) at most.
+
+The shares say where a token is scored, not how.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
 from ridelens.llm.runtime import documents, fresh, settle, ship, table
 
-#: What is broadcast: words and pairs with these shares of the tokens.
-VOCAB_SHARE, PAIR_SHARE = 1e-5, 2e-6
+#: What is counted ahead: words and pairs with these shares of the tokens.
+WORD_SHARE, PAIR_SHARE = 1e-5, 2e-5
+#: Pairs in the summary of a task.
+_KEPT = 100_000
 #: Tokens' worth of weight of the lower order in the higher one.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
-#: Ids below this: the start of a text (0), then shape classes of rare words.
-_SHAPES = 9
-
-_DIGIT, _UPPER, _MARK = (np.zeros(256, bool) for _ in range(3))
-_DIGIT[48:58] = True
-_UPPER[65:91] = True
-_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-_MARK[list(b".,")] = False
-
-
-def _shapes(w: W.Words) -> np.ndarray:
-    """Class of each word: 1 + whether it has digits, capitals after the first
-    letter, and marks (each a bit)."""
-    out = np.ones(len(w.start), np.int64)
-    if not len(out):
-        return out
-    bounds = np.column_stack((w.start, w.end)).ravel()
-    bounds = bounds[:-1] if bounds[-1] == len(w.data) else bounds
-    for bit, kind in enumerate((_DIGIT, _UPPER, _MARK)):
-        flags = kind[w.data].copy()
-        if kind is _UPPER:
-            flags[w.start] = False
-        out += np.maximum.reduceat(flags, bounds)[::2].astype(np.int64) << bit
-    return out
-
-
-def token_ids(w: W.Words, vocabulary: np.ndarray) -> np.ndarray:
-    """Ids by the sorted hashes of the vocabulary, from _SHAPES on; rare words by shape."""
-    hashes = w.hashes()
-    if not len(vocabulary):
-        return _shapes(w)
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at + _SHAPES, _shapes(w))
-
-
-def pair_keys(ids: np.ndarray, w: W.Words) -> np.ndarray:
-    """Key of each token with the one before it (0 at the start of a text)."""
-    before = np.zeros_like(ids)
-    before[1:] = ids[:-1]
-    before[w.first[:-1][np.diff(w.first) > 0]] = 0
-    return before << 32 | ids
-
-
-def _count_words(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            found = [W.cut_words(part.column("text")).hashes() for part in W.slices(batch, "text")]
-            if found:
-                word, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(word)), pa.array(n)], names=["word", "n"])
+#: Places in the uniform distribution for words that no document has.
+UNSEEN = 9
+#: Ids of chosen documents that every task may hold; more are joined.
+HELD_IDS = 1 << 22
+#: The key of what stands before a text's first word.
+_START = 0
+_COUNT_BITS = 31
+
 
-    return docs.mapInArrow(run, "word bigint, n bigint")
+def mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One key for a pair of word hashes."""
+    return before ^ (word << np.uint64(1) | word >> np.uint64(63))
 
 
-def _count_pairs(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """(pair, target, n) from rows (text, chosen)."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+class Marks:
+    """Which documents are chosen: a sorted list of ids where tasks may hold it,
+    else a column of the documents."""
+
+    def __init__(self, docs: DataFrame, chosen: DataFrame):
+        ids = documents(chosen, "doc_id").where("doc_id is not null").distinct()
+        self._held = None
+        if ids.count() <= HELD_IDS:
+            self._held = docs.sparkSession.sparkContext.broadcast(np.sort(np.asarray(ids.toArrow()["doc_id"]).astype(np.int64)))
+            self.docs = docs
+        else:
+            flag = fresh(["doc_id", "text"], "chosen")
+            marked = docs.join(ids.withColumn(flag, F.lit(True)).hint("shuffle_merge"), "doc_id", "left")
+            self.docs = settle(marked.select("doc_id", "text", F.coalesce(F.col(flag), F.lit(False)).alias("chosen")), "marked")
+
+    def of(self, part: pa.RecordBatch) -> np.ndarray:
+        """1 for the chosen rows of a slice, else 0."""
+        if self._held is None:
+            return np.asarray(part.column("chosen").to_numpy(zero_copy_only=False)).astype(np.int64)
+        ids = part.column("doc_id")
+        found = np.isin(np.asarray(ids.fill_null(0)), self._held.value)
+        return (found & np.asarray(ids.is_valid())).astype(np.int64)
+
+    def __getstate__(self) -> dict:
+        return {"_held": self._held}  # tasks have no frames
+
+
+class _Tokens:
+    """The tokens of a slice: hashes of each word and of the one before it, and
+    whether another follows."""
+
+    def __init__(self, part: pa.RecordBatch):
+        w = W.cut_words(part.column("text"))
+        self.doc, self.counts = w.doc, w.counts()
+        some = self.counts > 0
+        self.word = w.hashes()
+        self.before = np.zeros_like(self.word)
+        self.before[1:] = self.word[:-1]
+        self.before[w.first[:-1][some]] = _START
+        self.followed = np.ones(len(self.word), np.int64)
+        self.followed[w.first[1:][some] - 1] = 0
+        self.some = some
+
+
+def _summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys, and the sums of the values by key."""
+    order = np.argsort(keys, kind="stable")
+    first = W.group_starts(keys[order])
+    if not len(first):
+        return (keys, *values)
+    return (keys[order][first], *[np.add.reduceat(v[order], first) for v in values])
+
+
+class Summary:
+    """The most frequent keys of a stream, in bounded memory: no count is too
+    high, none too low by more than the number of items over ``kept``."""
+
+    def __init__(self, kept: int):
+        self.kept, self.keys, self.n = kept, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.keys, self.n = _summed(np.concatenate((self.keys, keys)), np.concatenate((self.n, n)))
+        if len(self.n) > self.kept:
+            self.n = self.n - np.partition(self.n, -self.kept - 1)[-self.kept - 1]
+            self.keys, self.n = self.keys[self.n > 0], self.n[self.n > 0]
+
+
+def _first_counts(docs: DataFrame, marks: Marks) -> DataFrame:
+    """(pair, key, n, target, next_n, next_target): counts of every word (pair
+    false), and the summed summaries of pairs (pair true, n alone)."""
+    kinds = "pair boolean, key bigint, n bigint, target bigint, next_n bigint, next_target bigint"
+    names = [k.split()[0] for k in kinds.split(", ")]
+    kept = _KEPT
 
     def run(batches: Iterator[pa.RecordBatch]):
+        pairs = Summary(kept)
         for batch in batches:
-            found = []
             for part in W.slices(batch, "text"):
-                w = W.cut_words(part.column("text"))
-                chosen = np.asarray(part.column("chosen").to_numpy(zero_copy_only=False)).astype(np.int64)
-                found.append(pair_keys(token_ids(w, shared.value), w) << 1 | chosen[w.doc])
-            if found:
-                key, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key >> 1), pa.array(n * (key & 1)), pa.array(n)], names=["pair", "target", "n"])
-
-    return docs.mapInArrow(run, "pair bigint, target bigint, n bigint")
-
-
-@dataclass
-class Model:
-    """Losses per token, first column target, second background. ``pairs`` are
-    the sorted keys of the kept pairs, ``pair_loss`` theirs; any other pair
-    costs ``base[word] + context[word before]``."""
-
-    vocabulary: np.ndarray
-    pairs: np.ndarray
-    pair_loss: np.ndarray
-    base: np.ndarray
-    context: np.ndarray
-
-
-def build(vocabulary: np.ndarray, word: np.ndarray, word_n: np.ndarray, pairs: np.ndarray, pair_n: np.ndarray) -> Model:
-    """From counts (rows x [target, background]) of word ids and kept pairs."""
-    total = word_n.sum(axis=0).astype(float)
-    scale = total[0] / np.maximum(total, 1)  # background counts at the target's size
-    size = len(vocabulary) + _SHAPES
-    single = np.zeros((size, 2))
-    np.add.at(single, word, word_n * scale)
-    p_word = (single + WORD_PRIOR / size) / (total[0] + WORD_PRIOR)
-    order = np.argsort(pairs)
-    pairs, pair_n = pairs[order], pair_n[order] * scale
-    before, after = pairs >> 32, pairs & 0xFFFFFFFF
-    seen = np.zeros((size, 2))
-    np.add.at(seen, before, pair_n)
-    context = np.log(seen + PAIR_PRIOR)
-    base = -np.log(p_word) - np.log(PAIR_PRIOR)
-    pair_loss = context[before] - np.log(pair_n + PAIR_PRIOR * p_word[after])
-    return Model(vocabulary, pairs, pair_loss, base, context)
-
-
-def losses(model: Model, w: W.Words) -> np.ndarray:
-    """Loss of each token, under the target and the background model."""
-    ids = token_ids(w, model.vocabulary)
-    keys = pair_keys(ids, w)
-    out = model.base[ids] + model.context[keys >> 32]
-    if len(model.pairs):
-        at = np.minimum(np.searchsorted(model.pairs, keys), len(model.pairs) - 1)
-        hit = model.pairs[at] == keys
-        out[hit] = model.pair_loss[at[hit]]
-    return out
-
-
-def _marked(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(text, chosen): whether the doc_id is one of ``chosen``."""
-    flag = fresh(["doc_id", "text"], "chosen")
-    marks = documents(chosen, "doc_id").where("doc_id is not null").distinct().withColumn(flag, F.lit(True))
-    # One plan at every size: a broadcast of few ids would not say what many cost.
-    return docs.join(marks.hint("shuffle_merge"), "doc_id", "left").select("text", F.coalesce(F.col(flag), F.lit(False)).alias("chosen"))
-
-
-def train(df: DataFrame, chosen: DataFrame) -> Model | None:
-    """Counts ``df`` (doc_id, text); the target is the documents whose doc_id is
-    in ``chosen``. None if they hold no token."""
-    spark = df.sparkSession
-    ship(spark)
-    docs = documents(df, "doc_id", "text")
-    counts = settle(_count_words(docs.select("text")).groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    vocabulary = np.sort(np.asarray(counts.where(F.col("n") >= VOCAB_SHARE * total).select("word").toArrow()["word"]).astype(np.int64).view(np.uint64))
-
-    pairs = settle(_count_pairs(_marked(docs, chosen), vocabulary).groupBy("pair").agg(F.sum("target").alias("target"), F.sum("n").alias("n")), "pairs")
-    by_word = pairs.groupBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")).agg(F.sum("target").alias("target"), F.sum("n").alias("n")).toArrow()
-    word, word_n = np.asarray(by_word["word"]), np.column_stack([np.asarray(by_word[c]) for c in ("target", "n")])
-    total_target, total_all = (int(x) for x in word_n.sum(axis=0)) if len(word) else (0, 0)
-    if not total_target:
-        return None
-    kept = pairs.where((F.col("target") >= PAIR_SHARE * total_target) & (F.col("target") > 0) | (F.col("n") >= PAIR_SHARE * total_all)).toArrow()
-    return build(vocabulary, word, word_n, np.asarray(kept["pair"]), np.column_stack([np.asarray(kept[c]) for c in ("target", "n")]))
+                t, chosen = _Tokens(part), marks.of(part)
+                target = chosen[t.doc]
+                starts = np.array([[0, 0, t.some.sum(), (t.some * chosen).sum()]], np.int64)
+                counts = np.vstack((np.column_stack((np.ones_like(target), target, t.followed, t.followed * target)), starts))
+                key, *sums = _summed(np.append(t.word, np.uint64(_START)), *counts.T)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(key), bool)), pa.array(W.signed(key)), *map(pa.array, sums)], names=names)
+                pairs.add(*_summed(mixed(t.before, t.word), np.ones(len(t.word), np.int64)))
+        zero = pa.array(np.zeros(len(pairs.n), np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(pairs.n), bool)), pa.array(W.signed(pairs.keys)), pa.array(pairs.n), zero, zero, zero], names=names)
 
+    counted = docs.mapInArrow(run, kinds)
+    return counted.groupBy("pair", "key").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
-def score(df: DataFrame, model: Model | None) -> DataFrame:
-    """For every row of (doc_id, text): doc_id, n_tokens, h_target, h_background
-    (mean losses in nats), score (h_target - h_background). Defined cases: a
-    text without words, null included, has null losses and score, and so has
-    every text without a model; rows that repeat a doc_id, or have none, are
-    scored on their own; an empty table gives an empty result; other columns
-    are ignored."""
-    ship(df.sparkSession)
-    docs = documents(df, "doc_id", "text")
-    shared = df.sparkSession.sparkContext.broadcast(model)
+
+def _sorted(rows: pa.Table) -> dict[str, np.ndarray]:
+    """Columns in the order of the unsigned ``key``."""
+    key = np.asarray(rows["key"]).astype(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return {"key": key[order]} | {c: np.asarray(rows[c]).astype(np.int64)[order] for c in rows.column_names if c != "key"}
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of ``wanted`` in the sorted ``keys``; -1 where they are not."""
+    if not len(keys):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
+
+
+def _pair_counts(docs: DataFrame, marks: Marks, pairs: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For pairs with the sorted keys ``pairs``: n and target over all texts, and
+    the place in ``words`` of the word that each ends in (its key does not tell)."""
+    shared = docs.sparkSession.sparkContext.broadcast((pairs, words))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known = shared.value
+        known, ends_in = shared.value
+        sums, ends = np.zeros((2, len(known) + 1), np.int64), np.full(len(known), -1)
         for batch in batches:
             for part in W.slices(batch, "text"):
-                w = W.cut_words(part.column("text"))
-                n = w.counts()
-                if known:
-                    each = losses(known, w)
-                    sums = [np.bincount(w.doc, weights=each[:, k], minlength=part.num_rows) for k in (0, 1)]
-                else:
-                    sums = [np.zeros(part.num_rows)] * 2
-                none = (n == 0) | (known is None)
-                target, background = (np.divide(s, np.maximum(n, 1)) for s in sums)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(target, mask=none), pa.array(background, mask=none), pa.array(target - background, mask=none)],
-                    names=["doc_id", "n_tokens", "h_target", "h_background", "score"],
-                )
+                t = _Tokens(part)
+                at = _find(known, mixed(t.before, t.word))
+                sums[0] += np.bincount(at + 1, minlength=len(known) + 1)
+                sums[1] += np.bincount((at + 1)[marks.of(part)[t.doc] > 0], minlength=len(known) + 1)
+                new = np.flatnonzero(at >= 0)
+                new = new[ends[at[new]] < 0]
+                ends[at[new]] = _find(ends_in, t.word[new])
+        some = np.flatnonzero(sums[0, 1:])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, sums[0, some + 1], sums[1, some + 1], ends[some])], names=["place", "n", "target", "word"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, h_target double, h_background double, score double")
+    found = docs.mapInArrow(run, "place bigint, n bigint, target bigint, word bigint").groupBy("place").agg(F.sum("n").alias("n"), F.sum("target").alias("target"), F.max("word").alias("word")).toArrow()
+    out = np.zeros((3, len(pairs)), np.int64)
+    out[:, np.asarray(found["place"]).astype(np.int64)] = [np.asarray(found[c]).astype(np.int64) for c in ("n", "target", "word")]
+    return out[0], out[1], out[2]
 
 
-def mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One key for a pair of word hashes; ``_MIXED`` is the same in SQL."""
-    return before ^ (word << np.uint64(1) | word >> np.uint64(63))
+def _unscored(docs: DataFrame) -> DataFrame:
+    """Token numbers alone, where there is no model."""
 
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for part in W.slices(batch, "text"):
+                none = pa.nulls(part.num_rows, pa.float64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(W.cut_words(part.column("text")).counts(), pa.int64()), none, none, none], names=_COLUMNS)
 
-_MIXED = "before ^ (shiftleft(word, 1) | shiftrightunsigned(word, 63))"
+    return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, h_target double, h_background double, score double")
 
 
-def _hash_pairs(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the word before each token (0 at the start of a text) and of its own."""
-    word = w.hashes()
-    before = np.zeros_like(word)
-    before[1:] = word[:-1]
-    before[w.first[:-1][np.diff(w.first) > 0]] = 0
-    return before, word
+_COLUMNS = ["doc_id", "n_tokens", "h_target", "h_background", "score"]
+_HEAD = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
 
 
-def _count_hash_pairs(docs: DataFrame) -> DataFrame:
-    """(before, word, target, n) from rows (text, chosen)."""
+def _pair_rows(docs: DataFrame, marks: Marks, frequent: np.ndarray, context: np.ndarray, hot: np.ndarray, hot_loss: np.ndarray) -> DataFrame:
+    """What is left to score: (key, before, word, row, times, head).
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            found = []
-            for part in W.slices(batch, "text"):
-                w = W.cut_words(part.column("text"))
-                before, word = _hash_pairs(w)
-                chosen = np.asarray(part.column("chosen").to_numpy(zero_copy_only=False)).astype(np.int64)
-                found.append((before, word, chosen[w.doc]))
-            if found:
-                before, word, target = (np.concatenate(x) for x in zip(*found, strict=True))
-                key = mixed(before, word)
-                order = np.argsort(key)
-                first = W.group_starts(key[order])
-                if len(first):
-                    at = order[first]
-                    n = np.diff(np.append(first, len(key)))
-                    arrays = [W.signed(before[at]), W.signed(word[at]), np.add.reduceat(target[order], first), n]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["before", "word", "target", "n"])
-
-    return docs.mapInArrow(run, "before bigint, word bigint, target bigint, n bigint")
-
-
-def _attach(pairs: DataFrame, words: DataFrame, common: Column) -> DataFrame:
-    """``pairs`` with the columns of ``words``, joined by the first of these.
-    ``common`` words, which hold most pairs, are broadcast."""
-    key = words.columns[0]
-    often, seldom = F.broadcast(words.where(common).drop("common")), words.where(~common).drop("common")
-    near = pairs.join(often, key)
-    far = pairs.join(F.broadcast(often.select(key)), key, "left_anti").join(seldom.hint("shuffle_merge"), key)
-    return near.unionByName(far)
-
-
-def _score_all(docs: DataFrame, frequent: pa.Table, rest: DataFrame) -> DataFrame:
-    """Scores by the losses (pair, target, background) of the frequent pairs,
-    held by every task, and of all the others, joined."""
-    order = np.argsort(np.asarray(frequent["pair"]))
-    held = tuple(np.asarray(frequent[c])[order] for c in ("pair", "target", "background"))
-    shared = docs.sparkSession.sparkContext.broadcast(held)
-    head = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
+    Each document has one row with its ``head``: its tokens, and what can be
+    said of them from the counts made ahead. Then a row for every other pair in
+    it. Where the word is frequent, ``word`` is its place and ``key`` stands for
+    the pair; else ``word`` is -1 and ``key`` is the word. ``times`` packs how
+    often the document has the pair, how often a word follows it, and whether
+    the document is chosen."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, context, hot, hot_loss))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        """A row for each text (its sums over frequent pairs, under a key of its own) and one for each other token."""
-        pairs, *loss = shared.value
+        words, follow, pairs, pair_loss = shared.value
         for batch in batches:
             for part in W.slices(batch, "text"):
-                w = W.cut_words(part.column("text"))
+                t = _Tokens(part)
                 row = np.asarray(part.column("row"))
-                key = W.signed(mixed(*_hash_pairs(w)))
-                at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0))
-                hit = pairs[at] == key if len(pairs) else np.zeros(len(key), bool)
-                sums = [np.bincount(w.doc[hit], weights=x[at[hit]], minlength=part.num_rows).astype(float) for x in loss]
-                heads = pa.StructArray.from_arrays([part.column("doc_id"), pa.array(w.counts(), pa.int64()), *[pa.array(x, pa.float64()) for x in sums]], fields=list(head))
-                own = W.signed(W.mix64(row.astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(own), heads], names=["row", "pair", "head"])
-                other = row[w.doc[~hit]]
-                yield pa.RecordBatch.from_arrays([pa.array(other), pa.array(key[~hit]), pa.nulls(len(other), head)], names=["row", "pair", "head"])
-
-    rows = docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "row bigint, pair bigint, head struct<doc_id:bigint,n_tokens:bigint,target:double,background:double>")
-    # A text's own row keeps its sums, whatever its key meets.
-    each = rows.join(rest.hint("shuffle_merge"), "pair", "left").select(
-        "row", "head.doc_id", "head.n_tokens", *[F.coalesce(F.col(f"head.{c}"), F.col(c)).alias(c) for c in ("target", "background")]
-    )
-    sums = each.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
-    means = sums.select("doc_id", "n_tokens", *[F.expr(f"CASE WHEN n_tokens > 0 THEN {c} / n_tokens END").alias(f"h_{c}") for c in ("target", "background")])
-    return means.withColumn("score", F.col("h_target") - F.col("h_background"))
+                pair = mixed(t.before, t.word)
+                at_word, at_before, at_pair = _find(words, t.word), _find(words, t.before), _find(pairs, pair)
+                is_hot = (at_pair >= 0) & (at_word >= 0)
+                sums = []
+                for k in (0, 1):
+                    each = np.where(at_before >= 0, follow[k][at_before], 0.0)
+                    if len(pairs):
+                        each = each + np.where(is_hot, pair_loss[k][at_pair], 0.0)
+                    sums.append(np.bincount(t.doc, weights=each, minlength=part.num_rows).astype(float))
+                heads = pa.StructArray.from_arrays([part.column("doc_id"), pa.array(t.counts, pa.int64()), *map(pa.array, sums)], fields=list(_HEAD))
+                zero = np.zeros(part.num_rows, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(W.signed(W.mix64(row.astype(np.uint64)))), pa.array(zero), pa.array(zero - 2), pa.array(row), pa.array(zero), heads], names=names)
+
+                rest = np.flatnonzero(~is_hot)
+                rest = rest[np.lexsort((pair[rest], t.doc[rest]))]
+                first = np.flatnonzero(np.concatenate((np.ones(min(len(rest), 1), bool), (np.diff(t.doc[rest]) != 0) | (pair[rest][1:] != pair[rest][:-1]))))
+                at = rest[first]
+                n = np.diff(np.append(first, len(rest)))
+                followed = np.add.reduceat(t.followed[rest], first) if len(first) else n
+                rare = at_word[at] < 0
+                # A frequent word before is written as its place, which takes less room than a hash.
+                before = np.where(at_before[at] >= 0, at_before[at], W.signed(t.before[at]))
+                columns = [
+                    np.where(rare, W.signed(t.word[at]), W.signed(pair[at])),
+                    np.where(rare, before, 0),
+                    at_word[at],
+                    row[t.doc[at]],
+                    n | followed << _COUNT_BITS | marks.of(part)[t.doc[at]] << 2 * _COUNT_BITS,
+                ]
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], pa.nulls(len(at), _HEAD)], names=names)
+
+    names = ["key", "before", "word", "row", "times", "head"]
+    kinds = "key bigint, before bigint, word bigint, row bigint, times bigint, head struct<doc_id:bigint,n_tokens:bigint,target:double,background:double>"
+    return docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, kinds)
 
 
 def cross_entropy_difference(df: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Counts ``df`` (doc_id, text), with the documents whose doc_id is in
-    ``chosen`` as the target, and scores it. Columns and defined cases are
-    those of ``score``; no word or pair is left out."""
+    """For every row of (doc_id, text): doc_id, n_tokens, h_target, h_background
+    (mean losses in nats), score (h_target - h_background). The target are the
+    documents whose doc_id is in ``chosen``; no word or pair is left out.
+
+    Defined cases: a text without words, null included, has null losses and
+    score, and so has every text if the target has no token; rows that repeat
+    a doc_id, or have none, count and are scored on their own (all or none of
+    one id's are in the target, a null id is not); nulls and repeats in
+    ``chosen`` are ignored; a very long text is scored whole, its task holds
+    its tokens; an empty table gives an empty result; other columns are
+    ignored."""
     spark = df.sparkSession
     ship(spark)
-    docs = documents(df, "doc_id", "text")
-    pairs = settle(_count_hash_pairs(_marked(docs, chosen)).groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("n").alias("n")), "pairs")
-    none = F.lit(0).cast("bigint")
-    sides = pairs.select("word", "target", "n", none.alias("next_target"), none.alias("next_n")).unionByName(
-        pairs.select(F.col("before").alias("word"), none.alias("target"), none.alias("n"), F.col("target").alias("next_target"), F.col("n").alias("next_n"))
-    )
-    words = settle(sides.groupBy("word").agg(*[F.sum(c).alias(c) for c in sides.columns[1:]]), "words")
+    marks = Marks(documents(df, "doc_id", "text"), chosen)
+    docs = marks.docs
+    counts = settle(_first_counts(docs, marks), "counts")
+    words, pairs = counts.where("not pair"), counts.where("pair")
     total_target, total, distinct = (x or 0 for x in words.agg(F.sum("target"), F.sum("n"), F.count_if(F.col("n") > 0)).first())
     if not total_target:
-        return score(df, None)
-
-    scale, size = total_target / total, distinct + _SHAPES  # background counts at the target's size
-    chance = [((n + WORD_PRIOR / size) / (total_target + WORD_PRIOR)).alias(name) for n, name in ((F.col("target"), "p_target"), (F.col("n") * scale, "p_background"))]
-    context = [F.log(n + PAIR_PRIOR).alias(name) for n, name in ((F.col("next_target"), "c_target"), (F.col("next_n") * scale, "c_background"))]
-    common = (F.col("n") + F.col("next_n") >= VOCAB_SHARE * total).alias("common")
-
-    def with_losses(some: DataFrame) -> DataFrame:
-        some = _attach(some, words.where("n > 0").select("word", *chance, common), F.col("common"))
-        some = _attach(some, words.where("next_n > 0").select(F.col("word").alias("before"), *context, common), F.col("common"))
-        return some.select(
-            F.expr(_MIXED).alias("pair"),
-            (F.col("c_target") - F.log(F.col("target") + PAIR_PRIOR * F.col("p_target"))).alias("target"),
-            (F.col("c_background") - F.log(F.col("n") * scale + PAIR_PRIOR * F.col("p_background"))).alias("background"),
-        )
-
-    frequent = (F.col("target") >= PAIR_SHARE * total_target) & (F.col("target") > 0) | (F.col("n") >= PAIR_SHARE * total)
-    return _score_all(docs, with_losses(pairs.where(frequent)).toArrow(), with_losses(pairs.where(~frequent)))
+        return _unscored(docs)
+
+    scale, size = total_target / total, distinct + UNSEEN  # background counts at the target's size
+    frequent = _sorted(words.where((F.col("n") >= WORD_SHARE * total) | (F.col("key") == _START)).select("key", "n", "target", "next_n", "next_target").toArrow())
+    chance = [(n + WORD_PRIOR / size) / (total_target + WORD_PRIOR) for n in (frequent["target"], frequent["n"] * scale)]
+    context = [np.log(n + PAIR_PRIOR) for n in (frequent["next_target"], frequent["next_n"] * scale)]
+
+    least = max((PAIR_SHARE - 1 / _KEPT) * total, 1)
+    hot = _sorted(pairs.where(F.col("n") >= least).select("key").toArrow())["key"]
+    hot_n, hot_target, ends = _pair_counts(docs, marks, hot, frequent["key"])
+    hot_loss = [-np.log(n + PAIR_PRIOR * p[ends]) for n, p in ((hot_target, chance[0]), (hot_n * scale, chance[1]))]
+
+    rows = _pair_rows(docs, marks, frequent["key"], np.array(context), hot, np.array(hot_loss)).repartition("key")
+    mask = F.lit((1 << _COUNT_BITS) - 1)
+    n, followed = F.col("times").bitwiseAND(mask), F.shiftright("times", _COUNT_BITS).bitwiseAND(mask)
+    rows = rows.withColumns({"n": n, "followed": followed, "side": F.shiftright("times", 2 * _COUNT_BITS)})
+    # One order serves both windows: the pair's rows are next to each other among the word's.
+    pair, word = Window.partitionBy("key", "before"), Window.partitionBy("key")
+    rows = rows.withColumns({"pair_n": F.sum("n").over(pair), "pair_target": F.sum(F.col("n") * F.col("side")).over(pair)})
+    sums = {"word_n": F.col("n"), "word_target": F.col("n") * F.col("side"), "next_n": F.col("followed"), "next_target": F.col("followed") * F.col("side")}
+    rows = rows.withColumns({name: F.sum(c).over(word) for name, c in sums.items()})
+
+    known = spark.createDataFrame(pa.table({"word": np.arange(len(frequent["key"])), "p_target": chance[0], "p_background": chance[1]}))
+    rows = rows.join(F.broadcast(known), "word", "left")
+
+    def loss(pair_n: Column, word_n: Column, next_n: Column, p: str, head: str) -> Column:
+        own = F.coalesce(F.col(p), (word_n + WORD_PRIOR / size) / (total_target + WORD_PRIOR))
+        here = -F.col("n") * F.log(pair_n + PAIR_PRIOR * own)
+        # A rare word's part of the losses of what follows it.
+        after = F.when(F.col("word") == -1, F.col("followed") * F.log(next_n + PAIR_PRIOR)).otherwise(0.0)
+        return F.when(F.col("head").isNotNull(), F.col(f"head.{head}")).otherwise(here + after)
+
+    each = rows.select(
+        "row", F.col("head.doc_id").alias("doc_id"), F.col("head.n_tokens").alias("n_tokens"),
+        loss(F.col("pair_target"), F.col("word_target"), F.col("next_target"), "p_target", "target").alias("target"),
+        loss(F.col("pair_n") * scale, F.col("word_n") * scale, F.col("next_n") * scale, "p_background", "background").alias("background"),
+    )
+    sums = each.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
+    means = sums.select("doc_id", "n_tokens", *[F.expr(f"CASE WHEN n_tokens > 0 THEN {c} / n_tokens END").alias(f"h_{c}") for c in ("target", "background")])
+    return means.withColumn("score", F.col("h_target") - F.col("h_background"))
 
 
 def good_rows(labels: DataFrame) -> Column:
@@ -339,5 +328,7 @@ def good_rows(labels: DataFrame) -> Column:
 
 
 def op5_lm_score(spark, sf_dir: str) -> DataFrame:
+    """Scores of all documents, those labelled good and not toxic being the
+    target; cases as in ``cross_entropy_difference``."""
     labels = table(spark, sf_dir, "labels")
     return cross_entropy_difference(table(spark, sf_dir, "documents"), labels.where(good_rows(labels)).select("doc_id"))

@@ -6,11 +6,10 @@ import collections
 import math
 
 import numpy as np
-import pyarrow as pa
+import pytest
 
 from llm_help import SF, docs_frame, words_of
 from ridelens.llm import lm_score as S
-from ridelens.llm import words as W
 
 ROWS = [(1, "a b a b c"), (2, "a b d"), (3, "x y X1 y."), (4, "c c c a"), (5, None), (6, ""), (3, "x y X1 y."), (None, "b a")]
 
@@ -19,7 +18,7 @@ def brute(rows, chosen):
     """Every word and pair is above its share here, so nothing is left out."""
     texts = [(d, words_of(t)) for d, t in rows]
     vocabulary = {w for _, t in texts for w in t}
-    size = len(vocabulary) + S._SHAPES
+    size = len(vocabulary) + S.UNSEEN
     word, pair = ([collections.Counter(), collections.Counter()] for _ in range(2))
     for d, t in texts:
         for k in (0, 1):
@@ -50,20 +49,6 @@ def test_scores_match_brute_force(spark):
             assert np.allclose(g[2:], (x[2], x[3], x[2] - x[3]))
 
 
-def test_rare_words_fall_into_shape_classes():
-    w = W.cut_words(pa.array(["plain The ABC b2 x&y C3PO## plain"]))
-    ids = S.token_ids(w, np.zeros(0, np.uint64))
-    assert ids.tolist() == [1, 1, 3, 2, 5, 8, 1] and ids.max() < S._SHAPES
-
-
-def test_pairs_below_their_share_are_scored_by_words(monkeypatch, spark):
-    monkeypatch.setattr(S, "PAIR_SHARE", 0.2)
-    rows = [(1, "a b " * 10), (2, "a c")]
-    model = S.train(docs_frame(spark, rows), spark.createDataFrame([(1,)], "doc_id int"))
-    assert len(model.pairs) == 2  # a b and b a
-    assert len(S.train(docs_frame(spark, rows), spark.createDataFrame([(2,)], "doc_id int")).pairs) == 4
-
-
 def check(got, want):
     got, want = sorted(map(tuple, got), key=str), sorted(want, key=str)
     assert len(got) == len(want)
@@ -72,12 +57,51 @@ def check(got, want):
         assert g[2:] == (None, None, None) if x[2] is None else np.allclose(g[2:], (x[2], x[3], x[2] - x[3]))
 
 
-def test_shares_do_not_change_a_score(monkeypatch, spark):
+@pytest.mark.parametrize("words, pairs, kept", [(0.15, 0.15, 50), (0.15, 0.01, 1000), (0.01, 0.15, 20), (2.0, 2.0, 3), (0.01, 0.01, 1000)])
+def test_shares_do_not_change_a_score(monkeypatch, spark, words, pairs, kept):
     chosen = spark.createDataFrame([(1,), (3,)], "doc_id int")
-    for words, pairs in ((0.15, 0.15), (0.15, 0.0), (0.0, 0.15), (2.0, 2.0)):
-        monkeypatch.setattr(S, "VOCAB_SHARE", words)
-        monkeypatch.setattr(S, "PAIR_SHARE", pairs)
-        check(S.cross_entropy_difference(docs_frame(spark, ROWS, extra=True), chosen).collect(), brute(ROWS, {1, 3}))
+    monkeypatch.setattr(S, "WORD_SHARE", words)
+    monkeypatch.setattr(S, "PAIR_SHARE", pairs)
+    monkeypatch.setattr(S, "_KEPT", kept)
+    check(S.cross_entropy_difference(docs_frame(spark, ROWS, extra=True), chosen).collect(), brute(ROWS, {1, 3}))
+
+
+def test_more_ids_than_a_task_may_hold_are_joined(monkeypatch, spark):
+    monkeypatch.setattr(S, "HELD_IDS", 1)
+    chosen = spark.createDataFrame([(1,), (3,), (3,), (99,), (None,)], "doc_id int")
+    check(S.cross_entropy_difference(docs_frame(spark, ROWS, extra=True), chosen).collect(), brute(ROWS, {1, 3}))
+
+
+def test_a_summary_underrates_no_key_by_more_than_its_share():
+    rng = np.random.default_rng(1)
+    summary, true = S.Summary(50), np.zeros(4000, np.int64)
+    for _ in range(30):
+        keys, n = np.unique(rng.zipf(1.3, 3000) % 4000, return_counts=True)
+        true[keys] += n
+        summary.add(keys.astype(np.uint64), n)
+    seen = np.zeros(4000, np.int64)
+    seen[summary.keys.astype(int)] = summary.n
+    assert len(summary.keys) <= 50 and (seen <= true).all() and (true - seen).max() <= true.sum() / 50
+    assert seen[1] > 0
+
+
+def test_repeated_ids_with_different_texts_and_a_very_long_text(spark):
+    rows = [(1, "a b c"), (1, "c b x"), (2, "a b " * 200_000 + "rare"), (None, "x a"), (None, "b rare b")]
+    check(S.cross_entropy_difference(docs_frame(spark, rows), spark.createDataFrame([(1,)], "doc_id int")).collect(), counted(rows, {1}))
+
+
+def test_more_words_than_are_frequent(spark):
+    """Over 100,000 words, some of them in a third of all texts."""
+    rows = [(i, " ".join(["the", "of", *[f"w{i * 400 + j}" if j % 2 else f"v{(i + j) % 900}" for j in range(400)], *(["hot", "pair"] * 30 if i % 3 == 0 else [])])) for i in range(510)]
+    assert len({w for _, t in rows for w in t.split()}) > 100_000
+    check(S.cross_entropy_difference(docs_frame(spark, rows), spark.createDataFrame([(i,) for i in range(0, 510, 4)], "doc_id int")).collect(), counted(rows, set(range(0, 510, 4))))
+
+
+def test_texts_are_not_shuffled_and_pairs_are_once(spark):
+    df, chosen = docs_frame(spark, ROWS), spark.createDataFrame([(1,), (3,)], "doc_id int")
+    plan = S.cross_entropy_difference(df, chosen)._jdf.queryExecution().executedPlan().toString()
+    # Pairs by key, sums by document; the two windows share the first.
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" not in plan
 
 
 def test_rare_words_and_pairs_count_in_a_large_corpus(spark):
@@ -95,15 +119,15 @@ def counted(rows, chosen):
             if k == 1 or d in chosen:
                 word[k].update(t)
                 pair[k].update(zip([None, *t], t, strict=False))
-                seen[k].update([None, *t[:-1]])
-    total, size = sum(word[0].values()), len(word[1]) + S._SHAPES
+                seen[k].update([None, *t[:-1]] if t else [])
+    total, size = sum(word[0].values()), len(word[1]) + S.UNSEEN
     scale = [1, total / sum(word[1].values())]
 
     def loss(k, before, w):
         p = (word[k][w] * scale[k] + S.WORD_PRIOR / size) / (total + S.WORD_PRIOR)
         return -math.log((pair[k][before, w] * scale[k] + S.PAIR_PRIOR * p) / (seen[k][before] * scale[k] + S.PAIR_PRIOR))
 
-    return [(d, len(t), *(sum(loss(k, b, w) for b, w in zip([None, *t], t, strict=False)) / len(t) for k in (0, 1))) for d, t in texts]
+    return [(d, len(t), *(sum(loss(k, b, w) for b, w in zip([None, *t], t, strict=False)) / len(t) if t else None for k in (0, 1))) for d, t in texts]
 
 
 def test_without_target_or_documents(spark):
@@ -120,3 +144,9 @@ def test_good_documents_score_lower_on_the_test_table(spark):
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
     score = {q: np.median([r.score for r in got if label.get(r.doc_id) == q]) for q in (0, 1)}
     assert score[1] < 0 < score[0]
+
+
+def test_the_query_matches_brute_force_on_the_test_table(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    check(S.op5_lm_score(spark, SF).collect(), counted(rows, {r.doc_id for r in labels if r.quality == 1 and r.toxic == 0}))
