@@ -79,7 +79,7 @@ class Side:
             for entry, number in vocabulary.items():
                 self.bytes[number] = token_bytes(entry)
             self.cuts_before = " \n"
-            self.encode = self._byte_level
+            self.encode = self._pieces.ids_of_each
         else:
             from sentencepiece import SentencePieceProcessor
 
@@ -94,9 +94,6 @@ class Side:
             self.encode = self._piece_model
         self.sizes = np.array([len(b) for b in self.bytes], np.int64)
 
-    def _byte_level(self, chunks: list[str]) -> list[list[int]]:
-        return [self._pieces.ids(c) for c in chunks]
-
     def _piece_model(self, chunks: list[str]) -> list[list[int]]:
         """The model puts a space before what it gets. Before other white space
         that space is a piece of its own, which is taken off again."""
@@ -225,8 +222,7 @@ class Chunks:
         self.learn(flat)
         at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
         doc = np.repeat(np.arange(len(texts)), [len(x) for x in each])
-        sums = np.zeros((len(texts), 5), np.int64)
-        np.add.at(sums, doc, self.numbers[at])
+        sums = np.column_stack([np.bincount(doc, weights=n, minlength=len(texts)).astype(np.int64) for n in self.numbers[at].T])
         differs = sums[:, 4] > 0
         sums[differs] = 0
         stops = np.cumsum([len(x) for x in each]).tolist()

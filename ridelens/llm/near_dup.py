@@ -11,17 +11,30 @@ two steps).
 Candidates share a band of the signature. Equal sets are collapsed first, so a
 group of thousands of copies is one node. Within a band's bucket, members are
 not paired with each other: each node is compared with the most central member
-it meets in any bucket. Only where a bucket still spans several components
-after that are its members compared further: those of different components that
-share one of their rarest shingles, early enough to reach the overlap they need
-(an exact condition). Every link is confirmed on the full shingle sets.
+it meets in any bucket, and what links is one component from then on.
+
+Buckets that still span several components are taken up in rounds. A node's load
+is the number of members of other components it meets. Light nodes are compared
+with all of them, so a node costs ``LOAD`` comparisons at most. Pairs of heavy
+nodes go to the next round: their keys are made anew, over more slots each and
+in as many tables as keep the chance to miss a pair under ``MISS``, so that
+texts which merely share boilerplate part ways, however many they are; they
+meet the most central member of those buckets first. What is left after the
+last round shares so much that it is paired by its rarest shingles (exact, and
+early enough to reach the overlap it needs).
+
+Before sets are fetched for a comparison, two bits per slot of both signatures
+are: a pair that differs in more of them than a pair at the threshold would but
+for a chance of ``MISS`` is dropped. Every link is confirmed on the full shingle
+sets.
 
 With 30 bands of 6 slots a pair at similarity 0.85 is missed with probability
-(1 - 0.85^6)^30 < 1e-6, at 0.9 < 1e-9.
+(1 - 0.85^6)^30 < 1e-6, at 0.9 < 1e-9; each later step adds at most ``MISS``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +48,12 @@ from ridelens.llm.runtime import documents, fresh, settle, ship, table
 
 SHINGLE_WORDS = 5
 BANDS, ROWS = 30, 6
+#: Comparisons of a node in a round.
+LOAD = 64
+#: Slots of a key in the later rounds, and the most tables of one.
+DEEPER_ROWS, MOST_TABLES = (12, 18, 24, 30), 4096
+#: The chance to miss a pair at the threshold, in each step.
+MISS = 1e-7
 #: Shingle hashes keep this many bits, so that one sort orders (text, shingle).
 _HASH_BITS = 52
 _SLICE_ROWS = 1 << (64 - _HASH_BITS)
@@ -117,6 +136,32 @@ def band_keys(table: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return W.mix64(out + np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def two_bits(table: np.ndarray) -> np.ndarray:
+    """Two bits of every slot, 32 slots to a number."""
+    n, slots = table.shape
+    wide = np.zeros((n, -(-slots // 32) * 32), np.uint64)
+    wide[:, :slots] = W.mix64(table) & np.uint64(3)
+    shift = np.arange(32, dtype=np.uint64) * np.uint64(2)
+    return np.bitwise_or.reduce(wide.reshape(n, -1, 32) << shift, axis=2)
+
+
+def most_differing(slots: int, percent: int) -> int:
+    """Slots whose two bits differ, at most, for all but ``MISS`` of the pairs at
+    ``percent`` % similarity. (A slot differs in a pair with its distance; then
+    its two bits do three times in four.)"""
+    p = 0.75 * (1 - percent / 100)
+    beyond, k = 1.0, -1
+    while beyond > MISS and k < slots:
+        k += 1
+        beyond -= math.comb(slots, k) * p**k * (1 - p) ** (slots - k)
+    return k
+
+
+def tables_for(rows: int, percent: int) -> int:
+    """Keys of ``rows`` slots that a pair at the threshold shares one of but for ``MISS``."""
+    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows)))
+
+
 def _set_digest(elements: np.ndarray, bounds: np.ndarray, seed: int) -> np.ndarray:
     spread = W.mix64(elements + W.salt(seed + 7))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(spread, dtype=np.uint64)))
@@ -138,15 +183,16 @@ def _signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFra
     def run(batches):
         for part in _slices(batches):
             elements, bounds = shingle_sets(part.column("text"), shingle)
-            keys = band_keys(superminhash(elements, bounds, bands * rows), bands, rows)
+            slots = superminhash(elements, bounds, bands * rows)
+            keys, bits = band_keys(slots, bands, rows), two_bits(slots)
             size = np.diff(bounds)
-            reach = np.concatenate(([0], np.cumsum(np.where(size > 0, bands, 0))))
+            reach, width = (np.concatenate(([0], np.cumsum(np.where(size > 0, n, 0)))) for n in (bands, bits.shape[1]))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(size), pa.array(_set_digest(elements, bounds, 1)), pa.array(_set_digest(elements, bounds, 2)), _lists(keys[size > 0].ravel(), reach)],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                [part.column("doc_id"), pa.array(size), pa.array(_set_digest(elements, bounds, 1)), pa.array(_set_digest(elements, bounds, 2)), _lists(keys[size > 0].ravel(), reach), _lists(bits[size > 0].ravel(), width)],
+                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"],
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, bits array<bigint>")
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -176,7 +222,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefix_pairs(loose: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of different components that can still reach the
+    """Pairs (a, b), a < b, of different components of ``loose`` that can still reach the
     threshold. Shingles are ranked from the rarest among the open sets on; two
     similar sets share one so early that the shingles after it suffice for the
     overlap they need (which no other pair passes the join with)."""
@@ -193,6 +239,103 @@ def _prefix_pairs(loose: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
+def _promising(pairs: DataFrame, classes: DataFrame, percent: int, slots: int) -> DataFrame:
+    """The distinct pairs (a, b), a < b, whose sizes and signatures allow a link."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    for side in ("a", "b"):
+        pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+    differ = F.lit(0)
+    for k in range(-(-slots // 32)):
+        apart = F.get("bits_a", F.lit(k)).bitwiseXOR(F.get("bits_b", F.lit(k)))
+        differ = differ + F.bit_count(apart.bitwiseOR(F.shiftrightunsigned(apart, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return pairs.where(_close_sizes("n_a", "n_b", percent) & (differ <= most_differing(slots, percent))).select("a", "b")
+
+
+def _deeper_keys(sets: DataFrame, rows: int, tables: int) -> DataFrame:
+    """(node, key): keys of ``rows`` slots each, from signatures of about a
+    thousand slots at a time."""
+    each = max(1, 1024 // rows)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            sizes = np.asarray(batch.column("shingles").value_lengths()).astype(np.int64)
+            part = np.cumsum(sizes + 16) // (1 << 15)
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                node = np.asarray(batch.column("node").slice(low, high - low))
+                lists = batch.column("shingles").slice(low, high - low)
+                elements = np.asarray(lists.flatten()).view(np.uint64)
+                bounds = np.concatenate(([0], np.cumsum(sizes[low:high])))
+                for first in range(0, tables, each):
+                    some = min(each, tables - first)
+                    own = W.mix64(elements + W.salt(1000 * rows + first))
+                    keys = W.mix64(band_keys(superminhash(own, bounds, some * rows), some, rows) + W.salt(rows * MOST_TABLES + first))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node, some)), pa.array(W.signed(keys.ravel()))], names=["node", "key"])
+
+    return sets.mapInArrow(run, "node bigint, key bigint")
+
+
+def _open_rows(keys: DataFrame, placed: DataFrame) -> DataFrame:
+    """(node, key, n, component, others): ``others`` are the members of the
+    key's bucket in other components; buckets of one component are left out."""
+    rows = keys.join(placed, "node")
+    own = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("own"))
+    crowd = own.groupBy("key").agg(F.sum("own").alias("crowd"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    left = own.join(crowd, "key").select("key", "component", (F.col("crowd") - F.col("own")).alias("others"))
+    return rows.join(left, ["key", "component"])
+
+
+def _centre_pairs(rows: DataFrame) -> DataFrame:
+    """Each node with the most central member of another component it meets:
+    the one whose buckets hold the most nodes."""
+    weight = rows.groupBy("node").agg(F.sum("others").alias("weight"))
+    weighed = rows.join(weight, "node")
+    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), F.col("component").alias("of"))).alias("top"))
+    met = weighed.join(centre, "key").where(F.col("component") != F.col("top.of"))
+    return met.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), (-F.col("top.minus")).alias("b"))
+
+
+def _light_pairs(rows: DataFrame, loads: DataFrame) -> DataFrame:
+    """(a, b) for every light node a and every member b of another component in
+    its buckets. Goes over the components of a bucket, of which a light node
+    meets few, so members of one component never meet."""
+    light = rows.join(loads.where(F.col("load") <= LOAD).select("node"), "node").select(F.col("node").alias("a"), "key", F.col("component").alias("of_a"))
+    parts = rows.select("key", F.col("component").alias("of_b")).distinct()
+    other = light.join(parts, "key").where("of_a <> of_b")
+    members = rows.select(F.col("node").alias("b"), "key", F.col("component").alias("of_b"))
+    return other.join(members, ["key", "of_b"]).select("a", "b")
+
+
+def _link_rounds(members: DataFrame, classes: DataFrame, sets: DataFrame, links: DataFrame, percent: int, slots: int) -> DataFrame:
+    """``links`` and those of the nodes that share a bucket (node, key) of
+    ``members`` across components."""
+    sizes = classes.select("node", F.col("n_shingles").alias("n"))
+
+    def placed(nodes: DataFrame) -> DataFrame:
+        found = nodes.join(sizes, "node").join(settle(components(links), "components"), "node", "left")
+        return settle(found.select("node", "n", F.coalesce("component", "node").alias("component")), "placed")
+
+    def link(pairs: DataFrame) -> DataFrame:
+        pairs = settle(_promising(pairs, classes, percent, slots), "pairs")
+        return settle(links.unionByName(_confirmed(pairs, sets, percent)), "links")
+
+    keys = members.select("node", "key")
+    nodes = keys.select("node").distinct()
+    depths = [r for r in DEEPER_ROWS if tables_for(r, percent) <= MOST_TABLES]
+    for depth in [0, *depths]:
+        if depth:
+            some = sets.join(nodes, "node", "left_semi")
+            keys = settle(_deeper_keys(some, depth, tables_for(depth, percent)), "keys")
+            links = link(_centre_pairs(_open_rows(keys, placed(nodes))))
+        rows = settle(_open_rows(keys, placed(nodes)), "open")
+        loads = settle(rows.groupBy("node").agg(F.sum("others").alias("load")), "loads")
+        links = link(_light_pairs(rows, loads))
+        nodes = settle(loads.where(F.col("load") > LOAD).select("node"), "heavy")
+        if nodes.isEmpty():
+            return links
+    return link(_prefix_pairs(placed(nodes), sets, percent))
+
+
 def near_duplicates(df: DataFrame, percent: int = 85, shingle: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """Groups documents (doc_id, text) whose shingle sets have at least
     ``percent`` % of their union in common, directly or over others.
@@ -203,43 +346,30 @@ def near_duplicates(df: DataFrame, percent: int = 85, shingle: int = SHINGLE_WOR
     and stands alone; rows that repeat a doc_id get their own n_shingles, and
     take part in linking through the one with the smallest set digest; a row
     with null doc_id is linked with nothing, has a null component and is kept;
-    an empty table gives an empty result; other columns are ignored."""
+    a very long text is taken whole, its task holds its shingles; an empty
+    table gives an empty result; other columns are ignored."""
     ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
     found = settle(_signatures(docs, shingle, bands, rows), "signatures")
     named = found.where("doc_id is not null and n_shingles > 0")
-    one = named.groupBy("doc_id").agg(F.min(F.struct("set_a", "set_b", "n_shingles")).alias("s"), F.min_by("bands", F.struct("set_a", "set_b", "n_shingles")).alias("bands"))
-    one = one.select("doc_id", "s.*", "bands")
-    classes = one.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"))
+    one = named.groupBy("doc_id").agg(F.min(F.struct("set_a", "set_b", "n_shingles")).alias("s"), F.min_by(F.struct("bands", "bits"), F.struct("set_a", "set_b", "n_shingles")).alias("of"))
+    one = one.select("doc_id", "s.*", "of.*")
+    classes = one.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     classes = settle(classes, "classes")
 
     rows_by_key = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     crowded = rows_by_key.groupBy("key").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
     members = settle(rows_by_key.join(crowded, "key"), "buckets")
 
-    # Each node is compared with the most central member it meets: the one whose buckets hold the most nodes.
-    weight = members.groupBy("node").agg(F.sum("crowd").alias("weight"))
-    weighed = members.join(weight, "node")
-    centre = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), F.col("n").alias("n_of"))).alias("top"))
-    met = weighed.join(centre, "key").where((F.col("node") != -F.col("top.minus")) & _close_sizes("n", "top.n_of", percent))
-    first = met.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), (-F.col("top.minus")).alias("b"))
-    first = settle(first, "pairs")
+    rows_of = members.select("node", "key", "n", F.col("node").alias("component"), (F.col("crowd") - 1).alias("others"))
+    first = settle(_promising(_centre_pairs(rows_of), classes, percent, bands * rows), "pairs")
 
     nodes = members.select("node").distinct().join(classes.select("node", "set_a", "set_b"), "node").withColumnRenamed("node", "doc_id")
     sets = _sets(docs.join(nodes.select("doc_id"), "doc_id", "left_semi"), shingle).join(nodes, ["doc_id", "set_a", "set_b"], "left_semi")
     sets = settle(sets.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "shingles"), "sets")
 
     links = settle(_confirmed(first, sets, percent), "links")
-    group = settle(components(links), "components")
-
-    # What is left: members of buckets that span several components.
-    placed = members.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    loose = settle(placed.join(split, "key").select("node", "n", "component").distinct(), "open")
-    apart = _prefix_pairs(loose, sets, percent)
-    seen = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = _confirmed(settle(apart.join(seen, ["a", "b"], "left_anti"), "pairs"), sets, percent)
-    group = components(links.unionByName(settle(more, "links")))
+    group = components(_link_rounds(members, classes, sets, links, percent, bands * rows))
 
     placed_sets = classes.join(group, "node", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "node").alias("component"))
     of_doc = one.select("doc_id", "set_a", "set_b", "n_shingles").join(placed_sets, ["set_a", "set_b", "n_shingles"]).select("doc_id", "component")
@@ -261,4 +391,5 @@ def one_per_group(df: DataFrame, percent: int = 80, bands: int = 36, rows: int =
 
 
 def op8_near_dup(spark, sf_dir: str) -> DataFrame:
+    """Groups of all documents at 85 %; cases as in ``near_duplicates``."""
     return near_duplicates(table(spark, sf_dir, "documents"))

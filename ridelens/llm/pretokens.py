@@ -5,7 +5,8 @@ alone. It shows, by asking the tokenizer itself,
 
 * which strings of the vocabulary, encoded alone, give exactly one token;
 * for which characters ``PATTERN`` cuts a text as the tokenizer does (Unicode
-  tables of two libraries need not agree on every character).
+  tables of two libraries need not agree on every character);
+* that merges may be found by the rank of what they give (``merge_ranks``).
 
 A pre-token's tokens depend on the pre-token alone, so wherever a proven string
 is one, its tokens are known without a merge. ``Pieces`` holds what is known
@@ -20,7 +21,9 @@ from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from pathlib import Path
 
+import numpy as np
 import regex
+import tiktoken
 from tokenizers import Tokenizer
 
 # Fixed value: the published pattern that cuts a text before byte-level merges.
@@ -65,12 +68,15 @@ def byte_level(source: str) -> bool:
 class Proof:
     """``source`` is the tokenizer file; ``whole`` maps strings that are one
     token alone to its id; ``certain`` are the characters cut alike; ``added``
-    are the strings that the tokenizer treats specially inside texts."""
+    are the strings that the tokenizer treats specially inside texts. ``ranks``
+    and ``rank_ids`` are ``merge_ranks``; empty if nothing of the kind is proven."""
 
     source: str
     whole: dict[str, int]
     certain: frozenset[str]
     added: tuple[str, ...]
+    ranks: dict[bytes, int]
+    rank_ids: tuple[int, ...]
 
     def sure(self, text: str) -> bool:
         return text.isascii() or self.certain.issuperset(text)
@@ -94,6 +100,31 @@ def _cut_alike(tokenizer: Tokenizer) -> frozenset[str]:
     return frozenset(out)
 
 
+def merge_ranks(tokenizer: Tokenizer) -> tuple[dict[bytes, int], tuple[int, ...]]:
+    """A rank for the bytes of every token (bytes first, then the merges in
+    order), and the id of every rank, if merging whatever neighbours have the
+    lowest rank together does what the list of merges does. Else empty.
+
+    It does if every token comes from one merge, of tokens that rank lower, and
+    gives itself when encoded alone: then lower ranks leave just that merge's two
+    parts wherever neighbours make up the token."""
+    model = json.loads(tokenizer.to_str())["model"]
+    vocabulary = model["vocab"]
+    if model.get("ignore_merges") or model.get("unk_token") or not all(c in vocabulary for c in BYTE_LETTERS):
+        return {}, ()
+    entries = {c: None for c in BYTE_LETTERS}
+    for merge in model["merges"]:
+        left, right = merge.split(" ") if isinstance(merge, str) else merge
+        whole = left + right
+        if left not in entries or right not in entries or whole in entries or whole not in vocabulary:
+            return {}, ()
+        entries[whole] = None
+    alone = tokenizer.model.tokenize
+    if any([t.id for t in alone(entry)] != [vocabulary[entry]] for entry in entries):
+        return {}, ()
+    return {token_bytes(entry): rank for rank, entry in enumerate(entries)}, tuple(vocabulary[entry] for entry in entries)
+
+
 def prove(source: str) -> Proof:
     """The proof for a byte-level tokenizer file's content."""
     tokenizer = Tokenizer.from_str(source)
@@ -107,7 +138,7 @@ def prove(source: str) -> Proof:
             continue  # no text has it as a pre-token
     alone = tokenizer.encode_batch(list(strings), add_special_tokens=False)
     whole = {s: n for (s, n), e in zip(strings.items(), alone, strict=True) if e.ids == [n]}
-    return Proof(source, whole, _cut_alike(tokenizer), added)
+    return Proof(source, whole, _cut_alike(tokenizer), added, *merge_ranks(tokenizer))
 
 
 @lru_cache(maxsize=8)
@@ -138,14 +169,11 @@ class _Known(dict):
         # One model of the tokenizer's own, without its pattern or special strings.
         self._merge = Tokenizer.from_str(proof.source).model.tokenize
 
-    def merged(self, piece: str) -> list[int]:
-        return [t.id for t in self._merge("".join(map(BYTE_LETTERS.__getitem__, piece.encode())))]
-
     def __missing__(self, piece: str) -> tuple[int, ...]:
         if len(self) - self._proven >= REMEMBERED:
             self.clear()
             self.update((s, (n,)) for s, n in self._whole.items())
-        ids = tuple(self.merged(piece))
+        ids = tuple(t.id for t in self._merge("".join(map(BYTE_LETTERS.__getitem__, piece.encode()))))
         self[piece] = ids
         return ids
 
@@ -177,16 +205,36 @@ class Pieces:
         return sum([len(known[piece]) for piece in self._pattern.findall(text)])
 
     def ids(self, text: str) -> list[int]:
-        """Token ids of a text, special strings in it taken as plain text. Merges
-        are not remembered: ``alignment`` remembers more than a pre-token."""
+        """Token ids of a text, special strings in it taken as plain text."""
         if not self.proof.sure(text):
             return self.plain.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        whole = self.proof.whole
-        for piece in self._pattern.findall(text):
-            number = whole.get(piece)
-            if number is None:
-                out += self.known.merged(piece)
-            else:
-                out.append(number)
+        known = self.known
+        return [i for piece in self._pattern.findall(text) for i in known[piece]]
+
+    def ids_of_each(self, chunks: list[str]) -> list[list[int]]:
+        """``ids`` of texts that each begin with white space, many at a time."""
+        proof = self.proof
+        # White space is always cut from another character before it, so texts that end
+        # in one can be cut in one go. The null character is kept to part the pieces.
+        joint = [i for i, c in enumerate(chunks) if proof.ranks and not c[-1].isspace() and "\0" not in c and proof.sure(c)]
+        out: list[list[int]] = [[]] * len(chunks)
+        for i in set(range(len(chunks))).difference(joint):
+            out[i] = self.ids(chunks[i])
+        if not joint:
+            return out
+        some = [chunks[i] for i in joint]
+        pieces = self._pattern.findall("".join(some))
+        starts = np.cumsum([0, *map(len, pieces[:-1])])
+        first = np.searchsorted(starts, np.cumsum([0, *map(len, some[:-1])]))  # a chunk's first piece
+        found = np.array(self.merger.encode_ordinary("\0".join(pieces)), np.int64)
+        part = np.flatnonzero(found == 0)  # the parting characters: ranks below 256 are bytes
+        begin = np.concatenate(([0], part + 1))[first] - first  # their place once those are gone
+        numbers = np.asarray(proof.rank_ids)[np.delete(found, part)].tolist()
+        for i, low, high in zip(joint, begin.tolist(), [*begin[1:].tolist(), len(numbers)], strict=True):
+            out[i] = numbers[low:high]
         return out
+
+    @cached_property
+    def merger(self) -> tiktoken.Encoding:
+        """Merges by the proven ranks, pieces parted by the null character."""
+        return tiktoken.Encoding("proven", pat_str=r"[^\x00]+|\x00", mergeable_ranks=self.proof.ranks, special_tokens={})

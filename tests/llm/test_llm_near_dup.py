@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from llm_help import SF, docs_frame, words_of
 from ridelens.llm import near_dup as N
@@ -70,6 +71,76 @@ def test_the_test_table_matches_all_pairs(spark):
     assert answers(N.op8_near_dup(spark, SF)) == brute(rows, 85)
 
 
+def boilerplate(documents, seed=5, paragraphs=30, each=20):
+    """Documents made of 20 of 30 shared paragraphs: about half alike, none linked."""
+    rng = random.Random(seed)
+    texts = [" ".join(f"p{p}w{rng.randrange(10**6)}" for _ in range(12)) for p in range(paragraphs)]
+    return [(i, "\n".join(texts[p] for p in sorted(rng.sample(range(paragraphs), each)))) for i in range(documents)]
+
+
+def compared(spark, monkeypatch, rows, percent=85, **how):
+    """The answers, and how many pairs had their signatures and their full sets compared."""
+    counts = {"signatures": 0, "sets": 0}
+    confirmed, promising = N._confirmed, N._promising
+
+    def counting_sets(pairs, sets, percent):
+        counts["sets"] += pairs.count()
+        return confirmed(pairs, sets, percent)
+
+    def counting_signatures(pairs, *more):
+        counts["signatures"] += pairs.distinct().count()
+        return promising(pairs, *more)
+
+    with monkeypatch.context() as m:
+        m.setattr(N, "_confirmed", counting_sets)
+        m.setattr(N, "_promising", counting_signatures)
+        return answers(N.near_duplicates(docs_frame(spark, rows), percent, **how)), counts
+
+
+def test_boilerplate_costs_comparisons_in_proportion_to_documents(spark, monkeypatch):
+    per_document = []
+    for n in (150, 600, 1800):
+        rows = boilerplate(n)
+        found, counts = compared(spark, monkeypatch, rows)
+        if n < 700:
+            assert found == brute(rows, 85)
+        assert counts["sets"] <= 2 * n  # one pair in 200 is at 74 % or more
+        per_document.append(counts["signatures"] / n)
+    assert max(per_document) <= N.LOAD + 8
+
+
+@pytest.mark.parametrize("load, depths", [(3, (8, 12)), (0, (8,)), (5, ())])
+def test_rounds_and_the_exact_rest_match_all_pairs(spark, monkeypatch, load, depths):
+    monkeypatch.setattr(N, "LOAD", load)
+    monkeypatch.setattr(N, "DEEPER_ROWS", depths)
+    rows = varied(3) + [(i + 2000, t) for i, t in boilerplate(40)]
+    assert compared(spark, monkeypatch, rows)[0] == brute(rows, 85)
+
+
+def test_signature_bits_and_tables_keep_the_promised_chance():
+    assert N.tables_for(12, 85) * 12 < 1300 and (1 - 0.85**12) ** N.tables_for(12, 85) <= N.MISS
+    rng = np.random.default_rng(2)
+    most = N.most_differing(180, 85)
+    slots = rng.integers(0, 2**63, (4000, 180)).astype(np.uint64)
+    other = np.where(rng.random(slots.shape) < 0.85, slots, rng.integers(0, 2**63, slots.shape).astype(np.uint64))
+    half = np.where(rng.random(slots.shape) < 0.5, slots, rng.integers(0, 2**63, slots.shape).astype(np.uint64))
+
+    def differing(a, b):
+        d = N.two_bits(a) ^ N.two_bits(b)
+        return np.bitwise_count((d | d >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(axis=1)
+
+    assert differing(slots, other).max() <= most < differing(slots, half).mean() - 3 * differing(slots, half).std()
+    assert abs(differing(slots, other).mean() - 180 * 0.15 * 0.75) < 0.5
+
+
+def test_repeated_ids_with_different_texts_and_a_very_long_text(spark):
+    long = " ".join(f"w{i % 70_000}" for i in range(700_000))
+    rows = [(1, "a b c d e f"), (1, "u v w x y z"), (5, "u v w x y z"), (7, long), (6, long + " w1"), (8, "a b c d e f")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in N.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert got[7, 70_000] == got[6, 70_001] == 6
+    assert sorted((got[1, 2] == got[5, 2], got[1, 2] == got[8, 2])) == [False, True]  # one of the two texts stands for id 1
+
+
 def test_edges(spark):
     rows = [(4, "a b c"), (2, "A  b\nC"), (3, None), (5, " \t"), (None, "a b c"), (6, "a b"), (9, "q r s t u v w"), (9, "q r s t u v w"), (8, "é É")]
     found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(docs_frame(spark, rows)).collect()), key=str)

@@ -88,3 +88,25 @@ def test_the_query_over_the_test_table(spark):
     got = T.op11_token_counts(spark, SF).collect()
     assert {r.doc_id: (r.n_bytes, r.n_tokens) for r in got} == want and len(got) == len(docs)
     assert all(r.over_limit == (r.n_tokens > 512) for r in got)
+
+
+def test_many_chunks_at_once_have_the_ids_of_each():
+    proof = P.read_tokenizer(BYTES)
+    assert len(proof.ranks) == len(proof.rank_ids) == 50_256
+    pieces, tok = P.Pieces(proof), Tokenizer.from_file(BYTES)
+    tok.encode_special_tokens = True
+    rng = random.Random(2)
+    chunks = [" " + "".join(rng.choice("abcdeé,.'1東\0ü") for _ in range(rng.randrange(9))) for _ in range(3000)]
+    chunks += [" ՘", "\n\nabc", "  two", " x ", " <|endoftext|>", "\tq", " \0", " a\0b", " " + "qz" * 4000, "\xa0nbsp"] + [" " + s for s in TEXTS if s]
+    rng.shuffle(chunks)
+    assert pieces.ids_of_each(chunks) == [tok.encode(c, add_special_tokens=False).ids for c in chunks]
+    assert pieces.ids_of_each([]) == [] and pieces.ids_of_each([" "]) == [[220]]
+
+
+@pytest.mark.parametrize("change", [lambda m: m["merges"].reverse(), lambda m: m["merges"].append(["Ġ", "the"]), lambda m: m["merges"].insert(0, m["merges"].pop(3000))])
+def test_no_ranks_are_proven_where_merges_are_out_of_order(change):
+    import json
+
+    spec = json.loads(open(BYTES, encoding="utf-8").read())
+    change(spec["model"])
+    assert P.merge_ranks(Tokenizer.from_str(json.dumps(spec))) == ({}, ())
