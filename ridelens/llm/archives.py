@@ -11,25 +11,34 @@ what they wrote; only the archives of attempts that Spark committed are read, so
 a lost executor or a second attempt leaves no half archive in the result.
 
 Equal payloads are stored once: one record is the response, others refer to it.
+
+Archives that others wrote are read the same way (``read_web_records``): any
+number of WARC members, packed record by record or plain; any record types and
+ids; CDXJ indexes, plain or in gzip blocks, read in ranges. A WARC member that no
+index covers is walked once, record by record.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import re
 import struct
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ridelens.llm.runtime import documents, new_folder, settle, ship, table
 
@@ -178,24 +187,114 @@ def pack_record(r: Record) -> bytes:
     return packer.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def unpack_record(data: bytes) -> Record:
-    """Reads a record back. A response's payload must have its digest."""
-    raw = zlib.decompress(data, 31)
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    if not lines[0].startswith("WARC/"):
+@dataclass
+class WebRecord:
+    """A WARC record of any kind. ``fields`` are its header fields by lower-case
+    name. ``payload`` is what a response carries, without HTTP's header and
+    chunk marks; for other kinds it is the block. ``payload_bytes`` is its size,
+    for a revisit the size the HTTP header tells, if it does. ``digest_ok`` is
+    None where no digest is given, or none that can be checked."""
+
+    kind: str
+    fields: dict[str, str]
+    status: int | None
+    payload: bytes
+    payload_bytes: int | None
+    digest: str
+    digest_ok: bool | None
+
+
+# The digests that records name, with their sizes.
+_DIGESTS = {"sha1": 20, "sha256": 32, "sha512": 64, "md5": 16}
+
+
+def _parts(data: bytes) -> tuple[list[bytes], bytes]:
+    """Header lines (folded ones joined) and what follows the empty line."""
+    end = re.search(rb"\r?\n\r?\n", data)
+    head, rest = (data[: end.start()], data[end.end() :]) if end else (data, b"")
+    return re.sub(rb"\r?\n[ \t]+", b" ", head).splitlines(), rest
+
+
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    pairs = (line.decode("utf-8", "replace").partition(":") for line in lines)
+    return {k.strip().lower(): v.strip() for k, mark, v in pairs if mark}
+
+
+def _number(value: str | None) -> int | None:
+    return int(value) if value and value.isascii() and value.isdigit() else None
+
+
+def unchunked(body: bytes) -> bytes | None:
+    """A chunked HTTP body without its marks; None if it is not one."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]+", size):
+            return None
+        n, at = int(size, 16), end + 1
+        if not n:
+            return b"".join(out)
+        if at + n > len(body):
+            return None
+        out.append(body[at : at + n])
+        at += n
+        at += 2 if body[at : at + 2] == b"\r\n" else body[at : at + 1] == b"\n"
+
+
+def _given_digest(value: str | None) -> tuple[str, bytes] | None:
+    """(algorithm, digest) of a field like ``sha1:...``, in base 32 or hex."""
+    name, _, text = (value or "").partition(":")
+    name = name.strip().lower().replace("-", "")
+    size = _DIGESTS.get(name)
+    try:
+        if size and len(text) == 2 * size:
+            return name, bytes.fromhex(text)
+        found = base64.b32decode(text.upper() + "=" * (-len(text) % 8)) if size else b""
+    except ValueError:
+        return None
+    return (name, found) if len(found) == size else None
+
+
+def parse_record(data: bytes) -> WebRecord:
+    """A record, packed or plain, from the bytes of its range."""
+    raw = zlib.decompressobj(31).decompress(data) if data[:2] == b"\x1f\x8b" else data
+    lines, rest = _parts(raw)
+    if not lines or not lines[0].startswith(b"WARC/"):
         raise ValueError("not a WARC record")
-    fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
-    block = rest[: int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-    digest = base64.b32decode(fields["warc-payload-digest"].partition(":")[2]).hex()
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
-        raise ValueError(f"{fields['warc-record-id']}: the payload does not have its digest")
-    url = fields.get("warc-target-uri")
-    refers_to = _from_urn(fields.get("warc-refers-to")) if kind == "revisit" else None
-    return Record(_from_urn(fields["warc-record-id"]), None if url is None else _unline(url), kind, refers_to, digest, size, payload)
+    fields = _fields(lines[1:])
+    length = _number(fields.get("content-length"))
+    block = rest.removesuffix(b"\r\n\r\n") if length is None else rest[:length]
+    kind, status, bodies, told = fields.get("warc-type", "").lower(), None, [block], None
+    if kind in ("response", "revisit") and block.startswith(b"HTTP/"):
+        http, body = _parts(block)
+        said = http[0].split()
+        status = _number(said[1].decode("latin-1")) if len(said) > 1 else None
+        of_http = _fields(http[1:])
+        told = _number(of_http.get("content-length"))
+        bodies = [body]
+        if "chunked" in of_http.get("transfer-encoding", "").lower() and (plain := unchunked(body)) is not None:
+            bodies = [plain, body]
+    payload = b"" if kind == "revisit" else bodies[0]
+    size = told if kind == "revisit" else len(payload)
+    given = _given_digest(fields.get("warc-payload-digest"))
+    digest, ok = (given[1].hex() if given and given[0] == "sha1" else ""), None
+    if kind != "revisit":
+        digest = hashlib.sha1(payload).hexdigest()
+        # Some writers digest a chunked body with its marks.
+        ok = any(hashlib.new(given[0], b).digest() == given[1] for b in bodies) if given else None
+    return WebRecord(kind, fields, status, payload, size, digest, ok)
+
+
+def unpack_record(data: bytes) -> Record:
+    """A record of ``pack_record`` read back. A response's payload must have its digest."""
+    r = parse_record(data)
+    page = r.fields.get("warc-record-id")
+    if r.kind == "response" and not r.digest_ok:
+        raise ValueError(f"{page}: the payload does not have its digest")
+    url = r.fields.get("warc-target-uri")
+    refers_to = _from_urn(r.fields.get("warc-refers-to")) if r.kind == "revisit" else None
+    return Record(_from_urn(page), None if url is None else _unline(url), r.kind, refers_to, r.digest, r.payload_bytes or 0, r.payload)
 
 
 def write_zip(out: BinaryIO, records: Iterator[Record], wide: bool = True) -> tuple[int, int]:
@@ -215,21 +314,108 @@ def write_zip(out: BinaryIO, records: Iterator[Record], wide: bool = True) -> tu
     return len(index), at
 
 
-def read_index(f: BinaryIO, size: int) -> Iterator[tuple[int, int]]:
-    """(offset in the file, length) of every record of an archive, by its indexes."""
-    members = {m.name: m for m in zip_members(f, size)}
-    for m in members.values():
-        if not m.name.startswith("indexes/"):
+def _ranges(f: BinaryIO, at: int, n: int, step: int = 1 << 20) -> Iterator[bytes]:
+    for low in range(at, at + n, step):
+        yield _read_at(f, low, min(step, at + n - low))
+
+
+def _unpacked(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """The content of gzip blocks that follow each other."""
+    packer = zlib.decompressobj(31)
+    for part in parts:
+        while part:
+            yield packer.decompress(part)
+            part = packer.unused_data
+            if packer.eof:
+                packer = zlib.decompressobj(31)
+
+
+def _lines(f: BinaryIO, m: Member) -> Iterator[str]:
+    """The lines of a stored text member, read range by range."""
+    parts = _ranges(f, data_start(f, m), m.size)
+    rest = b""
+    for part in _unpacked(parts) if m.name.endswith(".gz") else parts:
+        *whole, rest = (rest + part).split(b"\n")
+        yield from (x.decode().rstrip("\r") for x in whole)
+    if rest:
+        yield rest.decode().rstrip("\r")
+
+
+def _is_warc(name: str) -> bool:
+    return name.endswith((".warc", ".warc.gz"))
+
+
+def _walk(f: BinaryIO, m: Member) -> Iterator[tuple[int, int]]:
+    """(offset in the file, length) of the records of a WARC member, one after the other."""
+    start = at = data_start(f, m)
+    end = at + m.size
+    if not m.name.endswith(".gz"):
+        while at < end:
+            head = _read_at(f, at, min(1 << 16, end - at))
+            blank = len(head) - len(head.lstrip(b"\r\n"))
+            if blank == len(head):
+                break
+            mark = re.search(rb"\r?\n\r?\n", head[blank:])
+            length = _number(_fields(_parts(head[blank:])[0][1:]).get("content-length"))
+            if mark is None or length is None:
+                raise ValueError(f"{m.name}: no record at byte {at - start}")
+            whole = mark.end() + length
+            yield at + blank, whole
+            at += blank + whole
+        return
+    packer, begin = zlib.decompressobj(31), at
+    for part in _ranges(f, at, m.size):
+        while part:
+            packer.decompress(part)
+            at += len(part) - len(packer.unused_data)
+            part = packer.unused_data
+            if packer.eof:
+                yield begin, at - begin
+                packer, begin = zlib.decompressobj(31), at
+
+
+def _indexed(f: BinaryIO, m: Member, warcs: dict[str, Member]) -> Iterator[tuple[str, int, int]]:
+    """(WARC member, offset in it, length) of an index member: our own (the
+    member's name, then a pair of numbers a line) or CDXJ."""
+    lines = _lines(f, m)
+    if m.name.endswith(".tsv"):
+        name = next(lines, "")
+        for line in filter(None, lines):
+            offset, _, length = line.partition("\t")
+            yield name, int(offset), int(length)
+        return
+    by_file = {name.rpartition("/")[2]: name for name in warcs}
+    for line in lines:
+        at = line.find("{")
+        if line.startswith("!") or at < 0:
+            continue  # the index's own header
+        entry = json.loads(line[at:])
+        if entry.get("filename") is None or entry.get("offset") is None or entry.get("length") is None:
             continue
+        name = str(entry["filename"])
+        name = name if name in warcs else by_file.get(name.rpartition("/")[2], name)
+        yield name, int(entry["offset"]), int(entry["length"])
+
+
+def read_index(f: BinaryIO, size: int) -> Iterator[tuple[int, int]]:
+    """(offset in the file, length) of every record of an archive: by its
+    indexes, and by a walk through WARC members that none of them covers."""
+    members = zip_members(f, size)
+    warcs = {m.name: m for m in members if _is_warc(m.name)}
+    indexes = [m for m in members if m.name.startswith("indexes/") and m.name.endswith((".tsv", ".cdx", ".cdxj", ".cdx.gz", ".cdxj.gz"))]
+    for m in [*warcs.values(), *indexes]:
         if not m.stored:
             raise ValueError(f"{m.name} is packed: only stored members can be read by range")
-        name, *lines = _read_at(f, data_start(f, m), m.size).decode().split("\n")
-        if not members[name].stored:
-            raise ValueError(f"{name} is packed: only stored members can be read by range")
-        base = data_start(f, members[name])
-        for line in filter(None, lines):
-            offset, _, length = line.partition("\t")
-            yield base + int(offset), int(length)
+    starts = {name: data_start(f, m) for name, m in warcs.items()}
+    covered: set[str] = set()
+    for m in indexes:
+        for name, offset, length in _indexed(f, m, warcs):
+            if name not in starts:
+                raise ValueError(f"{m.name} names {name}, which the archive does not have")
+            covered.add(name)
+            yield starts[name] + offset, length
+    for name in warcs.keys() - covered:
+        yield from _walk(f, warcs[name])
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -277,48 +463,89 @@ def write_archives(df: DataFrame, folder: str) -> DataFrame:
     return settle(marked.mapInArrow(run, "uri string, n_records bigint, n_bytes bigint"), "archives")
 
 
-def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Reads every record of the archives (uri, n_bytes) by its byte range:
-    page_id, url, payload_bytes, payload_digest, record_type, refers_to, and
-    payload (null for revisits) if asked for."""
-    ship(archives.sparkSession)
+def _record_places(archives: DataFrame) -> DataFrame:
+    """(uri, offset, length) of all records, dealt over tasks by what they will
+    read, an archive's neighbours together and in order."""
 
     def places(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for r in batch.to_pylist():
                 store, path = _open(r["uri"])
                 with store.open_input_file(path) as f:
-                    found = list(read_index(f, r["n_bytes"]))
-                for lo in range(0, len(found), 1 << 16):
-                    some = found[lo : lo + (1 << 16)]
-                    yield pa.RecordBatch.from_pydict({"uri": [r["uri"]] * len(some), "offset": [x[0] for x in some], "length": [x[1] for x in some]})
+                    found = read_index(f, r["n_bytes"])
+                    while some := list(islice(found, 1 << 16)):
+                        yield pa.RecordBatch.from_pydict({"uri": [r["uri"]] * len(some), "offset": [x[0] for x in some], "length": [x[1] for x in some]})
+
+    # Rows here are places, a few bytes for records of many: tasks are counted by
+    # what they will read, not left to be merged by the size of the rows.
+    tasks = max(1, -(-(archives.agg(F.sum("n_bytes")).first()[0] or 0) // READ_BYTES))
+    found = archives.select("uri", "n_bytes").repartition(tasks, "uri").mapInArrow(places, "uri string, offset bigint, length bigint")
+    return found.withColumn("block", F.floor(F.col("offset") / READ_BYTES)).repartition(tasks, "uri", "block").sortWithinPartitions("uri", "offset")
+
+
+def _read_records(archives: DataFrame, read: Callable[[str, int, bytes], tuple], schema: StructType) -> DataFrame:
+    """A row of ``read(uri, offset, bytes)`` per record, in batches of 256."""
+    ship(archives.sparkSession)
+    types = to_arrow_schema(schema)
 
     def records(batches: Iterator[pa.RecordBatch]):
         opened: tuple[str, BinaryIO] | None = None
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
-                out: dict[str, list] = {k: [] for k in ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")}
+                out: list[tuple] = []
                 for uri, offset, length in zip(*(batch.slice(lo, 256).column(c).to_pylist() for c in ("uri", "offset", "length")), strict=True):
                     if opened is None or opened[0] != uri:
                         if opened:
                             opened[1].close()
                         store, path = _open(uri)
                         opened = uri, store.open_input_file(path)
-                    r = unpack_record(_read_at(opened[1], offset, length))
-                    payload = r.payload if with_payload and r.kind == "response" else None
-                    for k, v in zip(out, (r.page_id, r.url, r.size, r.digest, r.kind, r.refers_to, payload), strict=True):
-                        out[k].append(v)
-                types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
+                    out.append(read(uri, offset, _read_at(opened[1], offset, length)))
+                columns = [pa.array(list(v), t.type) for v, t in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=types.names)
         if opened:
             opened[1].close()
 
-    # Rows here are places, a few bytes for records of many: tasks are counted by
-    # what they will read, not left to be merged by the size of the rows.
-    tasks = max(1, -(-(archives.agg(F.sum("n_bytes")).first()[0] or 0) // READ_BYTES))
-    found = archives.select("uri", "n_bytes").repartition(tasks, "uri").mapInArrow(places, "uri string, offset bigint, length bigint")
-    spread = found.withColumn("block", F.floor(F.col("offset") / READ_BYTES)).repartition(tasks, "uri", "block").sortWithinPartitions("uri", "offset")
-    out = spread.mapInArrow(records, "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary")
+    return _record_places(archives).mapInArrow(records, schema)
+
+
+def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
+    """Reads every record of our own archives (uri, n_bytes) by its byte range:
+    page_id, url, payload_bytes, payload_digest, record_type, refers_to, and
+    payload (null for revisits) if asked for."""
+
+    def read(uri: str, offset: int, data: bytes) -> tuple:
+        r = unpack_record(data)
+        return r.page_id, r.url, r.size, r.digest, r.kind, r.refers_to, r.payload if with_payload and r.kind == "response" else None
+
+    kinds = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
+    out = _read_records(archives, read, StructType.fromDDL(kinds))
+    return out if with_payload else out.drop("payload")
+
+
+def read_web_records(archives: DataFrame, with_payload: bool = False) -> DataFrame:
+    """Reads every record of any archives (uri, n_bytes) by its byte range: uri,
+    offset, record_type, record_id, target_uri, date, content_type, status,
+    payload_bytes, payload_digest (bare hex SHA-1), digest_ok, refers_to (a
+    revisit's record, else its page), and payload (null for revisits) if asked for.
+
+    Defined cases: fields that a record lacks are null; a revisit has the digest
+    it names, if that is a SHA-1, and the size its HTTP header tells; a broken
+    digest is told, not an error; bytes that are no WARC record are one; a very
+    long record is held whole by its task; no archives give no rows."""
+
+    def read(uri: str, offset: int, data: bytes) -> tuple:
+        r = parse_record(data)
+        of = r.fields.get
+        told = [of(k) for k in ("warc-record-id", "warc-target-uri", "warc-date", "content-type")]
+        refers = (of("warc-refers-to") or of("warc-refers-to-target-uri")) if r.kind == "revisit" else None
+        payload = r.payload if with_payload and r.kind != "revisit" else None
+        return uri, offset, r.kind, *told, r.status, r.payload_bytes, r.digest or None, r.digest_ok, refers, payload
+
+    kinds = (
+        "uri string, offset bigint, record_type string, record_id string, target_uri string, date string, content_type string, status int, "
+        "payload_bytes bigint, payload_digest string, digest_ok boolean, refers_to string, payload binary"
+    )
+    out = _read_records(archives, read, StructType.fromDDL(kinds))
     return out if with_payload else out.drop("payload")
 
 
@@ -328,8 +555,8 @@ def archive_round_trip(df: DataFrame, folder: str | None = None, with_payload: b
     Defined cases: a null html has an empty payload, a null url no target; rows
     that repeat a page_id are records of their own, and equal ones with the
     largest page_id are all responses; a row with null page_id is a response and
-    is never referred to; an empty table gives an empty result; other columns
-    are ignored."""
+    is never referred to; a very long html is one record, held whole by its task;
+    an empty table gives an empty result; other columns are ignored."""
     folder = folder or new_folder(df.sparkSession, "warc")
     if "://" not in folder and not folder.startswith("file:"):
         folder = f"file://{folder}"
@@ -337,6 +564,7 @@ def archive_round_trip(df: DataFrame, folder: str | None = None, with_payload: b
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back; cases as in ``archive_round_trip``."""
     out = archive_round_trip(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import io
+import json
+import os
 import zipfile
 from itertools import chain
 
@@ -96,3 +100,104 @@ def test_payloads_round_trip(spark, tmp_dir):
         want.append((page, url, len(body.encode()), hashlib.sha1(body.encode()).hexdigest(), record_type, refers, stored))
     assert sorted(((*g[:6], g[6] or None) for g in got), key=str) == sorted(((*w[:6], w[6] or None) for w in want), key=str)
     assert A.archive_round_trip(df.limit(0), f"{tmp_dir}/none").count() == 0
+
+
+def raw(kind, record_id, block, *more, eol="\r\n", length=True):
+    """A record as other writers make them."""
+    head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{record_id}>", "WARC-Date: 2021-02-03T04:05:06Z", *more]
+    head += [f"Content-Length: {len(block)}"] if length else []
+    return eol.join(head).encode() + eol.encode() * 2 + block + eol.encode() * 2
+
+
+PAGE = b"<html>" + b"body " * 300
+CHUNKED = b"".join(b"%x;x=y\r\n%b\r\n" % (len(PAGE[i : i + 100]), PAGE[i : i + 100]) for i in range(0, len(PAGE), 100)) + b"0\r\n\r\n"
+SHA1 = hashlib.sha1(PAGE)
+FOREIGN = [
+    raw("warcinfo", "a0", b"software: some crawler\r\nformat: WARC File Format 1.0\r\n", "Content-Type: application/warc-fields", "WARC-Filename: x.warc.gz"),
+    raw("request", "a1", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "WARC-Target-URI: http://x/", "Content-Type: application/http;msgtype=request"),
+    raw("response", "a2", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + CHUNKED, "WARC-Target-URI: http://x/", "WARC-Payload-Digest: sha1:" + base64.b32encode(SHA1.digest()).decode()),
+    raw("response", "a3", b"HTTP/1.0 404 Not Found\nX-Folded: a\n  b\n\n" + PAGE, "WARC-Target-URI: http://x/2", "WARC-Payload-Digest: SHA-1:" + SHA1.hexdigest(), eol="\n"),
+    raw("response", "a4", b"HTTP/1.1 200 OK\r\nContent-Length: 4\r\n\r\nabcd", "WARC-Target-URI: http://x/3", "WARC-Payload-Digest: sha256:" + hashlib.sha256(b"other").hexdigest()),
+    raw("response", "a5", b"HTTP/1.1\r\nTransfer-Encoding: chunked\r\n\r\nnot chunked", "WARC-Target-URI: http://x/4", length=False),
+    raw("metadata", "a6", b"outlink: http://y/", "WARC-Concurrent-To: <urn:uuid:a2>", "Content-Type: application/warc-fields"),
+    raw("revisit", "a7", b"HTTP/1.1 304 Not Modified\r\n\r\n", "WARC-Target-URI: http://x/", "WARC-Refers-To: <urn:uuid:a2>", "WARC-Payload-Digest: sha1:" + base64.b32encode(SHA1.digest()).decode()),
+    raw("resource", "a8", b"\x89PNG", "WARC-Target-URI: urn:pic", "Content-Type: image/png", "WARC-Payload-Digest: crc:12"),
+]
+WANT = {
+    "a0": ("warcinfo", None, None, 54, None), "a1": ("request", "http://x/", None, 27, None), "a2": ("response", "http://x/", 200, len(PAGE), True),
+    "a3": ("response", "http://x/2", 404, len(PAGE), True), "a4": ("response", "http://x/3", 200, 4, False), "a5": ("response", "http://x/4", None, 11, None),
+    "a6": ("metadata", None, None, 18, None), "a7": ("revisit", "http://x/", 304, None, None), "a8": ("resource", "urn:pic", None, 4, None),
+}
+
+
+def foreign_zip(path, index, packed=True):
+    """An archive with two WARC members and the given kind of index."""
+    members, entries = [], []
+    for k, records in enumerate((FOREIGN[:5], FOREIGN[5:])):
+        data, name = b"", f"crawl-{k}.warc" + (".gz" if packed else "")
+        for r in records:
+            part = gzip.compress(r) if packed else r
+            entries.append((name, len(data), len(part)))
+            data += part
+        members.append((f"archive/{name}", data))
+    lines = [f'com,x)/{i} 20210203040506 {json.dumps({"url": "http://x/", "filename": n, "offset": str(o), "length": str(size)})}\n' for i, (n, o, size) in enumerate(entries)]
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("datapackage.json", "{}", zipfile.ZIP_DEFLATED)
+        z.writestr("pages/pages.jsonl", "{}")
+        for name, data in members:
+            z.writestr(name, data)
+        if index == "cdxj":
+            z.writestr("indexes/index.cdxj", "!meta 0 {}\n" + "".join(lines))
+        elif index == "blocks":
+            blocks = [gzip.compress("".join(lines[i : i + 2]).encode()) for i in range(0, len(lines), 2)]
+            z.writestr("indexes/index.cdx.gz", b"".join(blocks))
+            z.writestr("indexes/index.idx", "!meta 0 {}\n")
+        elif index == "half":
+            z.writestr("indexes/index.cdx", "".join(lines[:5]))
+
+
+@pytest.mark.parametrize("index, packed", [("cdxj", True), ("blocks", True), ("half", True), ("none", True), ("cdxj", False), ("none", False)])
+def test_archives_of_others_are_read(spark, tmp_dir, index, packed):
+    if not packed:
+        records = [r for r in FOREIGN if b"<urn:uuid:a5>" not in r]  # a plain record must tell its length
+    path = f"{tmp_dir}/x.wacz"
+    with pytest.MonkeyPatch.context() as m:
+        if not packed:
+            m.setitem(globals(), "FOREIGN", records)
+        foreign_zip(path, index, packed)
+    df = spark.createDataFrame([(f"file://{path}", os.path.getsize(path))], "uri string, n_bytes bigint")
+    rows = A.read_web_records(df, with_payload=True).collect()
+    got = {r.record_id[10:-1]: (r.record_type, r.target_uri, r.status, r.payload_bytes, r.digest_ok) for r in rows}
+    assert got == {k: v for k, v in WANT.items() if packed or k != "a5"} and len(rows) == len(got)
+    by = {r.record_id[10:-1]: r for r in rows}
+    assert bytes(by["a2"].payload) == bytes(by["a3"].payload) == PAGE and by["a2"].payload_digest == SHA1.hexdigest() == by["a7"].payload_digest
+    assert by["a7"].refers_to == "<urn:uuid:a2>" and by["a7"].payload is None and by["a8"].content_type == "image/png"
+    assert {r.date for r in rows} == {"2021-02-03T04:05:06Z"}
+    assert "payload" not in A.read_web_records(df.limit(0)).columns and A.read_web_records(df.limit(0)).count() == 0
+
+
+def test_our_own_archives_are_web_records_too(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "u", "a" * 1200), (2, "v", "a" * 1200), (3, None, None)], "page_id bigint, url string, html string")
+    got = {r.record_id: (r.record_type, r.target_uri, r.payload_bytes, r.refers_to) for r in A.read_web_records(A.write_archives(df, f"file://{tmp_dir}/own")).collect()}
+    assert got == {"<urn:page:1>": ("revisit", "u", 1200, "<urn:page:2>"), "<urn:page:2>": ("response", "v", 1200, None), "<urn:page:3>": ("response", None, 0, None)}
+
+
+def test_an_index_in_many_ranges_and_a_missing_member(monkeypatch):
+    monkeypatch.setattr(A, "_ranges", lambda f, at, n, step=7, g=A._ranges: g(f, at, n, 7))
+    for index, packed in (("blocks", True), ("none", True), ("cdxj", True)):
+        out = io.BytesIO()
+        foreign_zip(out, index, packed)
+        data = out.getvalue()
+        places = sorted(A.read_index(io.BytesIO(data), len(data)))
+        assert [A.parse_record(data[a : a + n]).fields["warc-record-id"] for a, n in places] == [f"<urn:uuid:a{i}>" for i in range(9)]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("indexes/index.cdx", 'x 1 {"filename": "gone.warc.gz", "offset": 0, "length": 9}')
+    with pytest.raises(ValueError, match="does not have"):
+        list(A.read_index(io.BytesIO(out.getvalue()), len(out.getvalue())))
+
+
+def test_a_very_long_page_comes_back(spark, tmp_dir):
+    html = "".join(f"<p>{i}</p>" for i in range(500_000))
+    (row,) = A.archive_round_trip(spark.createDataFrame([(1, "u", html)], "page_id bigint, url string, html string"), f"{tmp_dir}/long").collect()
+    assert (row.payload_bytes, row.payload_digest) == (len(html), hashlib.sha1(html.encode()).hexdigest())
