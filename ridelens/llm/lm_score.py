@@ -14,35 +14,40 @@ often the word before is followed by any word, how often by this one, and the
 word's own chance. So a token needs the counts of its pair, its word and the
 word before, and it is scored where these are counted:
 
-* the texts' pairs are shuffled once, each as a few small numbers per document.
-  All rows of a word meet in one place, which gives its counts as a word and as
-  the word before, and those of its pairs; only sums per document go on;
-* words with a share of ``WORD_SHARE`` of the tokens (1 / WORD_SHARE at most,
-  by arithmetic) are counted ahead and broadcast; their rows are dealt by pair;
-* pairs that would still be hot are counted ahead too: every pair with a share
-  of ``PAIR_SHARE``. Each task keeps a summary of ``_KEPT`` pairs that
-  underrates none by more than a ``_KEPT``-th of its tokens, so the summed
-  summaries name every such pair, and 1 / (PAIR_SHARE - 1 / _KEPT) at most.
-
-The shares say where a token is scored, not how.
+* the texts' pairs are shuffled once, each as three numbers per document. All
+  rows of a word meet in one task, which gives its counts as a word and as the
+  word before, and those of its pairs; only sums per document go on;
+* words with a share of ``SHARE`` of the tokens are counted ahead and broadcast;
+  their rows are dealt by pair;
+* pairs with that share are counted ahead too and scored where the text is.
+
+Which words and pairs these are, is found without counting all of them: each
+task keeps a summary of ``KEPT`` keys that underrates none by more than a
+``KEPT``-th of its tokens. So the summed summaries name every key with the
+share, and 1 / (SHARE - 1 / KEPT) at most. The share says where a token is
+scored, not how. It bounds what one word or pair brings to a task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
 from ridelens.llm.runtime import documents, fresh, settle, ship, table
 
-#: What is counted ahead: words and pairs with these shares of the tokens.
-WORD_SHARE, PAIR_SHARE = 1e-5, 2e-5
-#: Pairs in the summary of a task.
-_KEPT = 100_000
+#: Words and pairs with this share of the tokens are counted ahead.
+SHARE = 4e-6
+#: Keys in a task's summary; items that wait before they are put into it.
+KEPT, _WAITING = 500_000, 1 << 21
+#: Rows that a task scores.
+TASK_ROWS = 1 << 21
 #: Tokens' worth of weight of the lower order in the higher one.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 #: Places in the uniform distribution for words that no document has.
@@ -51,7 +56,12 @@ UNSEEN = 9
 HELD_IDS = 1 << 22
 #: The key of what stands before a text's first word.
 _START = 0
-_COUNT_BITS = 31
+#: Bits of a place among the frequent words, and of a pair's number in a document.
+_PLACE_BITS, _TIMES_BITS = 20, 8
+#: ``other`` of a row: a code of the word before (from 0 on); a pair of frequent
+#: words; the place of a frequent word behind a rare one (from there down); and
+#: what a document's own rows tell (from there down).
+_BOTH, _BEHIND, _HEAD = -1, -2, -(1 << 40)
 
 
 def mixed(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -118,44 +128,56 @@ class Summary:
 
     def __init__(self, kept: int):
         self.kept, self.keys, self.n = kept, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
-        self.keys, self.n = _summed(np.concatenate((self.keys, keys)), np.concatenate((self.n, n)))
+        self._waiting: list[np.ndarray] = []
+        self._held = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self._waiting.append(keys)
+        self._held += len(keys)
+        if self._held >= _WAITING:
+            self.settle()
+
+    def settle(self) -> None:
+        new = np.concatenate([*self._waiting, np.zeros(0, np.uint64)])
+        self._waiting, self._held = [], 0
+        self.keys, self.n = _summed(np.concatenate((self.keys, new)), np.concatenate((self.n, np.ones(len(new), np.int64))))
         if len(self.n) > self.kept:
             self.n = self.n - np.partition(self.n, -self.kept - 1)[-self.kept - 1]
             self.keys, self.n = self.keys[self.n > 0], self.n[self.n > 0]
 
 
-def _first_counts(docs: DataFrame, marks: Marks) -> DataFrame:
-    """(pair, key, n, target, next_n, next_target): counts of every word (pair
-    false), and the summed summaries of pairs (pair true, n alone)."""
-    kinds = "pair boolean, key bigint, n bigint, target bigint, next_n bigint, next_target bigint"
-    names = [k.split()[0] for k in kinds.split(", ")]
-    kept = _KEPT
+#: Kinds of rows of the first pass.
+_DISTINCT, _TOTALS, _WORDS, _PAIRS = range(4)
+
+
+def _first_pass(docs: DataFrame, marks: Marks) -> DataFrame:
+    """(kind, key, n): every distinct word; the totals (0 tokens, 1 those of the
+    target, 2 texts with a word, 3 such texts of the target); the summed
+    summaries of words and pairs."""
+    kept, names = KEPT, ["kind", "key", "n"]
+
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind), pa.int8()), pa.array(W.signed(keys)), pa.array(n, pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        pairs = Summary(kept)
+        words, pairs = Summary(kept), Summary(kept)
+        totals = np.zeros(4, np.int64)
         for batch in batches:
             for part in W.slices(batch, "text"):
                 t, chosen = _Tokens(part), marks.of(part)
-                target = chosen[t.doc]
-                starts = np.array([[0, 0, t.some.sum(), (t.some * chosen).sum()]], np.int64)
-                counts = np.vstack((np.column_stack((np.ones_like(target), target, t.followed, t.followed * target)), starts))
-                key, *sums = _summed(np.append(t.word, np.uint64(_START)), *counts.T)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(key), bool)), pa.array(W.signed(key)), *map(pa.array, sums)], names=names)
-                pairs.add(*_summed(mixed(t.before, t.word), np.ones(len(t.word), np.int64)))
-        zero = pa.array(np.zeros(len(pairs.n), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(pairs.n), bool)), pa.array(W.signed(pairs.keys)), pa.array(pairs.n), zero, zero, zero], names=names)
-
-    counted = docs.mapInArrow(run, kinds)
-    return counted.groupBy("pair", "key").agg(*[F.sum(c).alias(c) for c in names[2:]])
-
+                totals += [len(t.word), chosen[t.doc].sum(), t.some.sum(), (t.some * chosen).sum()]
+                new = np.unique(t.word)
+                # What the summary has was told before.
+                new = new[_find(words.keys, new) < 0]
+                yield rows(_DISTINCT, new, np.zeros(len(new), np.int64))
+                words.add(t.word)
+                pairs.add(mixed(t.before, t.word))
+        for kind, summary in ((_WORDS, words), (_PAIRS, pairs)):
+            summary.settle()
+            yield rows(kind, summary.keys, summary.n)
+        yield rows(_TOTALS, np.arange(4, dtype=np.uint64), totals)
 
-def _sorted(rows: pa.Table) -> dict[str, np.ndarray]:
-    """Columns in the order of the unsigned ``key``."""
-    key = np.asarray(rows["key"]).astype(np.int64).view(np.uint64)
-    order = np.argsort(key)
-    return {"key": key[order]} | {c: np.asarray(rows[c]).astype(np.int64)[order] for c in rows.column_names if c != "key"}
+    return docs.mapInArrow(run, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -166,30 +188,39 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def _pair_counts(docs: DataFrame, marks: Marks, pairs: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For pairs with the sorted keys ``pairs``: n and target over all texts, and
-    the place in ``words`` of the word that each ends in (its key does not tell)."""
-    shared = docs.sparkSession.sparkContext.broadcast((pairs, words))
+def _second_pass(docs: DataFrame, marks: Marks, words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exact counts of the sorted ``words`` (n, target, next_n, next_target) and
+    ``pairs`` (n, target, place of the word it ends in: a pair's key does not tell)."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        known, ends_in = shared.value
-        sums, ends = np.zeros((2, len(known) + 1), np.int64), np.full(len(known), -1)
+        known, known_pairs = shared.value
+        of_word, of_pair = np.zeros((4, len(known) + 1), np.int64), np.zeros((3, len(known_pairs) + 1), np.int64)
         for batch in batches:
             for part in W.slices(batch, "text"):
                 t = _Tokens(part)
-                at = _find(known, mixed(t.before, t.word))
-                sums[0] += np.bincount(at + 1, minlength=len(known) + 1)
-                sums[1] += np.bincount((at + 1)[marks.of(part)[t.doc] > 0], minlength=len(known) + 1)
-                new = np.flatnonzero(at >= 0)
-                new = new[ends[at[new]] < 0]
-                ends[at[new]] = _find(ends_in, t.word[new])
-        some = np.flatnonzero(sums[0, 1:])
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, sums[0, some + 1], sums[1, some + 1], ends[some])], names=["place", "n", "target", "word"])
-
-    found = docs.mapInArrow(run, "place bigint, n bigint, target bigint, word bigint").groupBy("place").agg(F.sum("n").alias("n"), F.sum("target").alias("target"), F.max("word").alias("word")).toArrow()
-    out = np.zeros((3, len(pairs)), np.int64)
-    out[:, np.asarray(found["place"]).astype(np.int64)] = [np.asarray(found[c]).astype(np.int64) for c in ("n", "target", "word")]
-    return out[0], out[1], out[2]
+                target = marks.of(part)[t.doc] > 0
+                word, pair = _find(known, t.word) + 1, _find(known_pairs, mixed(t.before, t.word)) + 1
+                for row, some in enumerate((slice(None), target, t.followed > 0, target & (t.followed > 0))):
+                    of_word[row] += np.bincount(word[some], minlength=len(known) + 1)
+                    if row < 2:
+                        of_pair[row] += np.bincount(pair[some], minlength=len(known_pairs) + 1)
+                of_pair[2][pair] = word - 1
+        for kind, counts in ((_WORDS, of_word), (_PAIRS, of_pair)):
+            some = np.flatnonzero(counts[0, 1:])
+            columns = [*counts[:, some + 1], *[np.zeros(len(some), np.int64)] * (4 - len(counts))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind), pa.int8()), pa.array(some), *map(pa.array, columns)], names=names)
+
+    names = ["kind", "place", "a", "b", "c", "d"]
+    # The third number of a pair is the same wherever the pair is.
+    third = F.when(F.col("kind") == _PAIRS, F.max("c")).otherwise(F.sum("c")).alias("c")
+    sums = docs.mapInArrow(run, "kind tinyint, place bigint, a bigint, b bigint, c bigint, d bigint").groupBy("kind", "place").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), third, F.sum("d").alias("d")).toArrow()
+    kind, place = (np.asarray(sums[c]).astype(np.int64) for c in ("kind", "place"))
+    values = np.array([np.asarray(sums[c]).astype(np.int64) for c in names[2:]])
+    out = np.zeros((4, len(words)), np.int64), np.zeros((4, len(pairs)), np.int64)
+    for some, wanted in zip(out, (_WORDS, _PAIRS), strict=True):
+        some[:, place[kind == wanted]] = values[:, kind == wanted]
+    return out[0], out[1][:3]
 
 
 def _unscored(docs: DataFrame) -> DataFrame:
@@ -205,60 +236,152 @@ def _unscored(docs: DataFrame) -> DataFrame:
 
 
 _COLUMNS = ["doc_id", "n_tokens", "h_target", "h_background", "score"]
-_HEAD = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target", pa.float64()), ("background", pa.float64())])
 
 
-def _pair_rows(docs: DataFrame, marks: Marks, frequent: np.ndarray, context: np.ndarray, hot: np.ndarray, hot_loss: np.ndarray) -> DataFrame:
-    """What is left to score: (key, before, word, row, times, head).
+@dataclass(frozen=True)
+class Model:
+    """What every task holds. Chances and contexts are by the place of a frequent
+    word, first the target's, then the background's; the last place is the
+    start of a text, which is only a word before."""
+
+    words: np.ndarray
+    chance: np.ndarray
+    context: np.ndarray
+    pairs: np.ndarray
+    pair_loss: np.ndarray
+    scale: float
+    size: int
+    total_target: int
+
+    def chances(self, target: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        return [(x + WORD_PRIOR / self.size) / (self.total_target + WORD_PRIOR) for x in (target, n * self.scale)]
+
+
+def _split(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers as sums of at most 255: the index of each part, and the parts."""
+    most = (1 << _TIMES_BITS) - 1
+    times = -(-n // most)
+    owner = np.repeat(np.arange(len(n)), times)
+    last = np.cumsum(times) - 1
+    parts = np.full(len(owner), most)
+    parts[last] = n - (times - 1) * most
+    return owner, parts
 
-    Each document has one row with its ``head``: its tokens, and what can be
-    said of them from the counts made ahead. Then a row for every other pair in
-    it. Where the word is frequent, ``word`` is its place and ``key`` stands for
-    the pair; else ``word`` is -1 and ``key`` is the word. ``times`` packs how
-    often the document has the pair, how often a word follows it, and whether
-    the document is chosen."""
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, context, hot, hot_loss))
+
+def _pair_rows(docs: DataFrame, marks: Marks, model: Broadcast) -> DataFrame:
+    """What is left to score: (key, other, packed). ``key`` is what has to meet:
+    a rare word, or the pair where the word is frequent; ``other`` says which
+    (see above). ``packed`` is the document's row, how often it has the pair,
+    whether the last of these ends the text, and whether the document is chosen.
+
+    A document's own rows give its doc_id, its tokens, and the losses that are
+    known from counts made ahead (as the bits of doubles)."""
+    names = ["key", "other", "packed"]
 
     def run(batches: Iterator[pa.RecordBatch]):
-        words, follow, pairs, pair_loss = shared.value
+        known = model.value
+        start = len(known.words)
         for batch in batches:
             for part in W.slices(batch, "text"):
-                t = _Tokens(part)
+                t, chosen = _Tokens(part), marks.of(part)
                 row = np.asarray(part.column("row"))
                 pair = mixed(t.before, t.word)
-                at_word, at_before, at_pair = _find(words, t.word), _find(words, t.before), _find(pairs, pair)
-                is_hot = (at_pair >= 0) & (at_word >= 0)
-                sums = []
+                at_word, at_before, at_pair = _find(known.words, t.word), _find(known.words, t.before), _find(known.pairs, pair)
+                at_before = np.where(t.before == _START, start, at_before)
+                ahead = at_pair >= 0
+                heads = []
                 for k in (0, 1):
-                    each = np.where(at_before >= 0, follow[k][at_before], 0.0)
-                    if len(pairs):
-                        each = each + np.where(is_hot, pair_loss[k][at_pair], 0.0)
-                    sums.append(np.bincount(t.doc, weights=each, minlength=part.num_rows).astype(float))
-                heads = pa.StructArray.from_arrays([part.column("doc_id"), pa.array(t.counts, pa.int64()), *map(pa.array, sums)], fields=list(_HEAD))
-                zero = np.zeros(part.num_rows, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(W.signed(W.mix64(row.astype(np.uint64)))), pa.array(zero), pa.array(zero - 2), pa.array(row), pa.array(zero), heads], names=names)
-
-                rest = np.flatnonzero(~is_hot)
+                    each = np.where(at_before >= 0, known.context[k][at_before], 0.0)
+                    each[ahead] += known.pair_loss[k][at_pair[ahead]]
+                    heads.append(np.bincount(t.doc, weights=each, minlength=part.num_rows).astype(float).view(np.int64))
+                ids = part.column("doc_id")
+                some = np.flatnonzero(np.asarray(ids.is_valid()))
+                for kind, value, of in ((0, np.asarray(ids.fill_null(0))[some], some), (1, t.counts, None), (2, heads[0], None), (3, heads[1], None)):
+                    own = row if of is None else row[of]
+                    yield pa.RecordBatch.from_arrays([pa.array(value, pa.int64()), pa.array(np.full(len(own), _HEAD - kind)), pa.array(own << _TIMES_BITS + 2)], names=names)
+
+                rest = np.flatnonzero(~ahead)
                 rest = rest[np.lexsort((pair[rest], t.doc[rest]))]
-                first = np.flatnonzero(np.concatenate((np.ones(min(len(rest), 1), bool), (np.diff(t.doc[rest]) != 0) | (pair[rest][1:] != pair[rest][:-1]))))
-                at = rest[first]
+                doc = t.doc[rest]
+                first = np.flatnonzero(np.concatenate((np.ones(min(len(rest), 1), bool), (doc[1:] != doc[:-1]) | (pair[rest][1:] != pair[rest][:-1]))))
                 n = np.diff(np.append(first, len(rest)))
-                followed = np.add.reduceat(t.followed[rest], first) if len(first) else n
-                rare = at_word[at] < 0
-                # A frequent word before is written as its place, which takes less room than a hash.
-                before = np.where(at_before[at] >= 0, at_before[at], W.signed(t.before[at]))
-                columns = [
-                    np.where(rare, W.signed(t.word[at]), W.signed(pair[at])),
-                    np.where(rare, before, 0),
-                    at_word[at],
-                    row[t.doc[at]],
-                    n | followed << _COUNT_BITS | marks.of(part)[t.doc[at]] << 2 * _COUNT_BITS,
-                ]
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], pa.nulls(len(at), _HEAD)], names=names)
-
-    names = ["key", "before", "word", "row", "times", "head"]
-    kinds = "key bigint, before bigint, word bigint, row bigint, times bigint, head struct<doc_id:bigint,n_tokens:bigint,target:double,background:double>"
-    return docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, kinds)
+                ends = 1 - np.minimum.reduceat(t.followed[rest], first) if len(first) else n
+                owner, n = _split(n)
+                ends = ends[owner] * np.append(owner[1:] != owner[:-1], True)[: len(owner)]
+                at = rest[first[owner]]
+                frequent, both = at_word[at] >= 0, (at_word[at] >= 0) & (at_before[at] >= 0)
+                key = np.where(frequent, W.signed(pair[at]), W.signed(t.word[at]))
+                key[both] = at_before[at[both]] << _PLACE_BITS | at_word[at[both]]
+                # A rare word before is told by its hash, out of the way of places.
+                before = np.where(at_before[at] >= 0, at_before[at], (t.before[at] >> np.uint64(2)).astype(np.int64) | 1 << 61)
+                other = np.where(frequent, np.where(both, _BOTH, _BEHIND - at_word[at]), before)
+                packed = ((row[t.doc[at]] << _TIMES_BITS | n) << 1 | ends) << 1 | chosen[t.doc[at]]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(other), pa.array(packed)], names=names)
+
+    return docs.withColumn("row", F.monotonically_increasing_id()).mapInArrow(run, "key bigint, other bigint, packed bigint")
+
+
+def _group_sums(starts: np.ndarray, n: int, *values: np.ndarray) -> list[np.ndarray]:
+    """Sums of runs that begin at ``starts``, for every member of a run."""
+    size = np.diff(np.append(starts, n))
+    return [np.repeat(np.add.reduceat(v, starts), size) for v in values]
+
+
+def score_rows(known: Model, key: np.ndarray, other: np.ndarray, packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, both losses) of all rows of some keys, but a document's own ones."""
+    order = np.lexsort((other, key))
+    key, other, packed = key[order], other[order], packed[order]
+    row, side = packed >> _TIMES_BITS + 2, packed & 1
+    n = packed >> 2 & (1 << _TIMES_BITS) - 1
+    followed = n - (packed >> 1 & 1)
+    losses = np.zeros((2, len(key)))
+    rare = other >= 0
+    for some in (np.flatnonzero(~rare), np.flatnonzero(rare)):
+        if not len(some):
+            continue
+        k, o, n_of, side_of = key[some], other[some], n[some], side[some]
+        word_starts = W.group_starts(k)
+        pair_starts = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (o[1:] != o[:-1]))))
+        pair_n, pair_target = _group_sums(pair_starts, len(some), n_of, n_of * side_of)
+        if rare[some[0]]:
+            after = followed[some]
+            word_n, word_target, next_n, next_target = _group_sums(word_starts, len(some), n_of, n_of * side_of, after, after * side_of)
+            chance = known.chances(word_target, word_n)
+            # A rare word's part of the losses of what follows it.
+            losses[0, some], losses[1, some] = after * np.log(next_target + PAIR_PRIOR), after * np.log(next_n * known.scale + PAIR_PRIOR)
+        else:
+            place = np.where(o == _BOTH, k & (1 << _PLACE_BITS) - 1, _BEHIND - o)
+            chance = [c[place] for c in known.chance]
+        losses[0, some] -= n_of * np.log(pair_target + PAIR_PRIOR * chance[0])
+        losses[1, some] -= n_of * np.log(pair_n * known.scale + PAIR_PRIOR * chance[1])
+    return row, losses
+
+
+def _scored(rows: DataFrame, model: Broadcast) -> DataFrame:
+    """(row, doc_id, n_tokens, target, background): partial sums per document of
+    each task, and what the documents' own rows told."""
+    names = ["row", "doc_id", "n_tokens", "target", "background"]
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        # A task's rows are bounded by the number of tasks (TASK_ROWS).
+        parts = [[np.asarray(batch.column(c)) for c in range(3)] for batch in batches]
+        if not parts:
+            return
+        key, other, packed = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        head = other <= _HEAD
+        value, kind, row = key[head], _HEAD - other[head], packed[head] >> _TIMES_BITS + 2
+        for k in range(4):
+            mine = kind == k
+            columns = [pa.nulls(int(mine.sum()), pa.int64())] * 2 + [pa.nulls(int(mine.sum()), pa.float64())] * 2
+            columns[k] = pa.array(value[mine] if k < 2 else value[mine].view(np.float64))
+            yield pa.RecordBatch.from_arrays([pa.array(row[mine]), *columns], names=names)
+        row, losses = score_rows(model.value, key[~head], other[~head], packed[~head])
+        each, at = np.unique(row, return_inverse=True)
+        sums = [pa.array(np.bincount(at, weights=x, minlength=len(each)).astype(float)) for x in losses]
+        yield pa.RecordBatch.from_arrays([pa.array(each), *[pa.nulls(len(each), pa.int64())] * 2, *sums], names=names)
+
+    return rows.mapInArrow(run, "row bigint, doc_id bigint, n_tokens bigint, target double, background double")
 
 
 def cross_entropy_difference(df: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -277,48 +400,30 @@ def cross_entropy_difference(df: DataFrame, chosen: DataFrame) -> DataFrame:
     ship(spark)
     marks = Marks(documents(df, "doc_id", "text"), chosen)
     docs = marks.docs
-    counts = settle(_first_counts(docs, marks), "counts")
-    words, pairs = counts.where("not pair"), counts.where("pair")
-    total_target, total, distinct = (x or 0 for x in words.agg(F.sum("target"), F.sum("n"), F.count_if(F.col("n") > 0)).first())
+    first = settle(_first_pass(docs, marks), "first")
+    totals = {r["key"]: r["n"] for r in first.where(F.col("kind") == _TOTALS).collect()}
+    total, total_target, texts, texts_target = (totals.get(k, 0) for k in range(4))
     if not total_target:
         return _unscored(docs)
-
-    scale, size = total_target / total, distinct + UNSEEN  # background counts at the target's size
-    frequent = _sorted(words.where((F.col("n") >= WORD_SHARE * total) | (F.col("key") == _START)).select("key", "n", "target", "next_n", "next_target").toArrow())
-    chance = [(n + WORD_PRIOR / size) / (total_target + WORD_PRIOR) for n in (frequent["target"], frequent["n"] * scale)]
-    context = [np.log(n + PAIR_PRIOR) for n in (frequent["next_target"], frequent["next_n"] * scale)]
-
-    least = max((PAIR_SHARE - 1 / _KEPT) * total, 1)
-    hot = _sorted(pairs.where(F.col("n") >= least).select("key").toArrow())["key"]
-    hot_n, hot_target, ends = _pair_counts(docs, marks, hot, frequent["key"])
-    hot_loss = [-np.log(n + PAIR_PRIOR * p[ends]) for n, p in ((hot_target, chance[0]), (hot_n * scale, chance[1]))]
-
-    rows = _pair_rows(docs, marks, frequent["key"], np.array(context), hot, np.array(hot_loss)).repartition("key")
-    mask = F.lit((1 << _COUNT_BITS) - 1)
-    n, followed = F.col("times").bitwiseAND(mask), F.shiftright("times", _COUNT_BITS).bitwiseAND(mask)
-    rows = rows.withColumns({"n": n, "followed": followed, "side": F.shiftright("times", 2 * _COUNT_BITS)})
-    # One order serves both windows: the pair's rows are next to each other among the word's.
-    pair, word = Window.partitionBy("key", "before"), Window.partitionBy("key")
-    rows = rows.withColumns({"pair_n": F.sum("n").over(pair), "pair_target": F.sum(F.col("n") * F.col("side")).over(pair)})
-    sums = {"word_n": F.col("n"), "word_target": F.col("n") * F.col("side"), "next_n": F.col("followed"), "next_target": F.col("followed") * F.col("side")}
-    rows = rows.withColumns({name: F.sum(c).over(word) for name, c in sums.items()})
-
-    known = spark.createDataFrame(pa.table({"word": np.arange(len(frequent["key"])), "p_target": chance[0], "p_background": chance[1]}))
-    rows = rows.join(F.broadcast(known), "word", "left")
-
-    def loss(pair_n: Column, word_n: Column, next_n: Column, p: str, head: str) -> Column:
-        own = F.coalesce(F.col(p), (word_n + WORD_PRIOR / size) / (total_target + WORD_PRIOR))
-        here = -F.col("n") * F.log(pair_n + PAIR_PRIOR * own)
-        # A rare word's part of the losses of what follows it.
-        after = F.when(F.col("word") == -1, F.col("followed") * F.log(next_n + PAIR_PRIOR)).otherwise(0.0)
-        return F.when(F.col("head").isNotNull(), F.col(f"head.{head}")).otherwise(here + after)
-
-    each = rows.select(
-        "row", F.col("head.doc_id").alias("doc_id"), F.col("head.n_tokens").alias("n_tokens"),
-        loss(F.col("pair_target"), F.col("word_target"), F.col("next_target"), "p_target", "target").alias("target"),
-        loss(F.col("pair_n") * scale, F.col("word_n") * scale, F.col("next_n") * scale, "p_background", "background").alias("background"),
-    )
-    sums = each.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
+    distinct = first.where(F.col("kind") == _DISTINCT).count()
+
+    least = max((SHARE - 1 / KEPT) * total, 1)
+    words, pairs = (
+        np.sort(np.asarray(first.where((F.col("kind") == kind) & (F.col("n") >= least)).select("key").toArrow()["key"]).astype(np.int64).view(np.uint64)) for kind in (_WORDS, _PAIRS)
+    )
+    of_word, of_pair = _second_pass(docs, marks, words, pairs)
+    known = of_pair[2] >= 0  # a frequent pair ends in a frequent word, but for words at the very edge of the share
+    pairs, of_pair = pairs[known], of_pair[:, known]
+
+    scale = total_target / total  # background counts at the target's size
+    model = Model(words, np.zeros(0), np.zeros(0), pairs, np.zeros(0), scale, distinct + UNSEEN, total_target)
+    chance = np.array(model.chances(of_word[1], of_word[0]))
+    context = np.log(np.array([np.append(of_word[3], texts_target), np.append(of_word[2], texts) * scale]) + PAIR_PRIOR)
+    pair_loss = -np.log(np.array([of_pair[1], of_pair[0] * scale]) + PAIR_PRIOR * chance[:, of_pair[2]])
+    model = spark.sparkContext.broadcast(replace(model, chance=chance, context=context, pair_loss=pair_loss))
+
+    rows = _pair_rows(docs, marks, model).repartition(max(1, -(-total // TASK_ROWS)), "key")
+    sums = _scored(rows, model).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("target").alias("target"), F.sum("background").alias("background"))
     means = sums.select("doc_id", "n_tokens", *[F.expr(f"CASE WHEN n_tokens > 0 THEN {c} / n_tokens END").alias(f"h_{c}") for c in ("target", "background")])
     return means.withColumn("score", F.col("h_target") - F.col("h_background"))
 
