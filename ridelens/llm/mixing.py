@@ -17,7 +17,6 @@ more than ``MAX_PATTERNS`` of them is an error, not a cut. Documents do not.
 from __future__ import annotations
 
 import json
-from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,9 +28,9 @@ MAX_PATTERNS = 100_000
 MAX_REPEATS = 3
 SEED = 20
 WEIGHTS = (5, 2, 1)
-#: Documents of a pattern are ordered by bucket first, so that running sums are
-#: taken over this many rows, and only one bucket's documents are put in order.
-ORDER_BUCKETS = 4096
+#: Documents are taken in the order of a hash of so many bits; the place where a
+#: pattern's rest is reached is found so many bits at a time.
+ORDER_BITS, CELL_BITS = 62, 12
 
 Source = str | None
 
@@ -57,52 +56,129 @@ def weighted_targets(sizes: dict[Source, int], weights: tuple[int, ...] = WEIGHT
         full |= above
 
 
+class _Routes:
+    """The flow network with its patterns seen through the sources, which are
+    few: words move from source to source wherever a pattern that feeds the one
+    also contains the other."""
+
+    def __init__(self, patterns: list[tuple[tuple[Source, ...], int]], quotas: dict[Source, int]):
+        at = {s: i for i, s in enumerate(quotas)}
+        self.members = [sorted({at[s] for s in own if s in at}) for own, _ in patterns]
+        self.open = list(quotas.values())
+        self.drawn: list[dict[int, int]] = [{} for _ in patterns]
+        self.given = [0] * len(patterns)
+        self.spare = [0] * len(patterns)
+        n = len(self.open)
+        # Patterns that feed a source and contain another; entries may be out of date.
+        self._moves: list[list[list[int]]] = [[[] for _ in range(n)] for _ in range(n)]
+        self._ready: list[list[int]] = [[] for _ in range(n)]  # patterns with words to spare, by source
+
+    def _draw(self, p: int, s: int, amount: int) -> None:
+        drawn = self.drawn[p]
+        if s not in drawn:
+            drawn[s] = 0
+            for other in self.members[p]:
+                if other != s:
+                    self._moves[s][other].append(p)
+        drawn[s] += amount
+
+    def _undraw(self, p: int, s: int, amount: int) -> None:
+        self.drawn[p][s] -= amount
+        if not self.drawn[p][s]:
+            del self.drawn[p][s]
+
+    def _top(self, stack: list[int], holds: Callable[[int], bool]) -> int | None:
+        """The last entry that still holds; those that do not are dropped."""
+        while stack and not holds(stack[-1]):
+            stack.pop()
+        return stack[-1] if stack else None
+
+    def offer(self, words: list[int]) -> None:
+        """Raises every pattern's spare words by ``words`` and routes what can be."""
+        for p, more in enumerate(words):
+            self.spare[p] += more
+            for s in self.members[p]:  # straight to sources below their quota
+                amount = min(self.spare[p], self.open[s])
+                if amount > 0:
+                    self._draw(p, s, amount)
+                    self.spare[p] -= amount
+                    self.given[p] += amount
+                    self.open[s] -= amount
+        self._ready = [[] for _ in self.open]
+        for p, left in enumerate(self.spare):
+            if left > 0:
+                for s in self.members[p]:
+                    self._ready[s].append(p)
+        while self._augment():
+            pass
+
+    def _augment(self) -> bool:
+        """Moves words along one shortest path from a pattern with words to spare
+        to a source below its quota."""
+        came: dict[int, tuple[int, int]] = {}  # source: (the source it is reached from, by which pattern)
+        level = []
+        for s in range(len(self.open)):
+            p = self._top(self._ready[s], lambda p: self.spare[p] > 0)
+            if p is not None:
+                came[s] = (-1, p)
+                level.append(s)
+        end = next((s for s in level if self.open[s] > 0), None)
+        while level and end is None:
+            after = []
+            for s in level:
+                for other in range(len(self.open)):
+                    if other not in came:
+                        p = self._top(self._moves[s][other], lambda p, s=s: self.drawn[p].get(s, 0) > 0)
+                        if p is not None:
+                            came[other] = (s, p)
+                            after.append(other)
+            level = after
+            end = next((s for s in level if self.open[s] > 0), None)
+        if end is None:
+            return False
+        path = [end]
+        while came[path[-1]][0] >= 0:
+            path.append(came[path[-1]][0])
+        first = came[path[-1]][1]
+        amount = min([self.spare[first], self.open[end], *[self.drawn[came[s][1]][came[s][0]] for s in path[:-1]]])
+        for s in path:
+            source, p = came[s]
+            if source >= 0:
+                self._undraw(p, source, amount)
+            self._draw(p, s, amount)
+        self.spare[first] -= amount
+        self.given[first] += amount
+        self.open[end] -= amount
+        return True
+
+
 def route(patterns: list[tuple[tuple[Source, ...], int]], quotas: dict[Source, int], max_repeats: int = MAX_REPEATS) -> list[int]:
     """Words each pattern (its sources, its words) gives, at least cost, so that
     sources get as much of their quotas as the patterns can give."""
-    sources = list(quotas)
-    at = {s: i for i, s in enumerate(sources)}
-    drawn = [{at[s]: 0 for s in members if s in at} for members, _ in patterns]
-    feeds: list[list[int]] = [[] for _ in sources]
-    for p, arcs in enumerate(drawn):
-        for s in arcs:
-            feeds[s].append(p)
-    given, open_quota = [0] * len(patterns), [quotas[s] for s in sources]
-    for offers in range(1, max_repeats + 1):
-        spare = [offers * size - given[p] for p, (_, size) in enumerate(patterns)]
-        while True:
-            # Breadth first from patterns with words to spare, to a source below its quota.
-            came: dict[tuple[str, int], tuple[str, int] | None] = {("p", p): None for p, x in enumerate(spare) if x > 0}
-            queue, end = deque(came), None
-            while queue and end is None:
-                kind, i = here = queue.popleft()
-                if kind == "p":
-                    steps = [("s", s) for s in drawn[i]]
-                elif open_quota[i] > 0:
-                    end = here
-                    break
-                else:  # another pattern may take its words back from this source
-                    steps = [("p", p) for p in feeds[i] if drawn[p][i] > 0]
-                for step in steps:
-                    if step not in came:
-                        came[step] = here
-                        queue.append(step)
-            if end is None:
-                break
-            path = [end]
-            while came[path[0]] is not None:
-                path.insert(0, came[path[0]])
-            amount = min([spare[path[0][1]], open_quota[end[1]]] + [drawn[b[1]][a[1]] for a, b in zip(path, path[1:], strict=False) if a[0] == "s"])
-            for a, b in zip(path, path[1:], strict=False):
-                if a[0] == "p":
-                    drawn[a[1]][b[1]] += amount
-                else:
-                    drawn[b[1]][a[1]] -= amount
-            first = path[0][1]
-            spare[first] -= amount
-            given[first] += amount
-            open_quota[end[1]] -= amount
-    return given
+    network = _Routes(patterns, quotas)
+    for _ in range(max_repeats):
+        network.offer([size for _, size in patterns])
+    return network.given
+
+
+def _cuts(slim: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pattern, cut, before): the order at which the words of a pattern, summed
+    in order, reach its ``rest``, and their sum before it. Sums over cells of
+    the order, then over cells of the cell that holds the cut, and so on: no
+    documents are put in order, and a step's sums are ``1 << CELL_BITS`` a
+    pattern at most."""
+    edges = wanted.select("pattern", "rest", F.lit(0).cast("bigint").alias("cell"), F.lit(0).cast("bigint").alias("before"))
+    bits = ORDER_BITS
+    while True:
+        above, bits = bits, max(0, bits - CELL_BITS)
+        mine = slim.join(F.broadcast(edges), "pattern").where(F.shiftright("order", above) == F.col("cell") if above < ORDER_BITS else F.lit(True))
+        sums = mine.groupBy("pattern", "rest", "before", F.shiftright("order", bits).alias("cell")).agg(F.sum("words").alias("words"), F.min("order").alias("low"), F.max("order").alias("high"))
+        upto = Window.partitionBy("pattern").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("before", F.col("before") + F.coalesce(F.sum("words").over(upto), F.lit(0)))
+        edges = settle(sums.where("before < rest and before + words >= rest").select("pattern", "rest", "cell", "before", "low", "high"), "mix-edges")
+        if not bits or edges.where("low < high").isEmpty():
+            return edges.select("pattern", F.col("low").alias("cut"), "before")
+        edges = edges.drop("low", "high")
 
 
 def mix(df: DataFrame, size: Column, members: Column, quotas: Callable[[dict[Source, int]], dict[Source, float]] = weighted_targets, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> tuple[DataFrame, dict[Source, float], dict[Source, int]]:
@@ -117,18 +193,19 @@ def mix(df: DataFrame, size: Column, members: Column, quotas: Callable[[dict[Sou
     Defined cases: rows without sources or words give nothing; rows that repeat
     a doc_id are taken one by one; a null doc_id comes first among equal hashes;
     targets beyond ``max_repeats`` times what is there are met as far as
-    that; an empty table gives an empty result. Reruns agree. ``df`` is read
+    that; a very long text is one document, taken in part at most once; an empty
+    table gives an empty result. Reruns agree. ``df`` is read
     twice and must give the same rows both times (a table, or a settled frame)."""
     spark = df.sparkSession
-    names = {n: fresh(df.columns, n) for n in ("mix_size", "mix_taken", "mix_pattern", "mix_order", "mix_bucket", "mix_before", "mix_full", "mix_rest", "mix_edge", "mix_base")}
+    names = {n: fresh(df.columns, n) for n in ("mix_size", "mix_taken", "mix_pattern", "mix_order", "mix_before", "mix_full", "mix_rest", "mix_cut", "mix_base")}
     key = F.to_json(F.struct(F.array_sort(F.array_distinct(members)).alias("m")), {"ignoreNullFields": "false"})
-    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1)))
+    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1))).bitwiseAND(F.lit((1 << ORDER_BITS) - 1))
     rows = df.select("*", size.cast("bigint").alias(names["mix_size"]), key.alias(names["mix_pattern"]), order.alias(names["mix_order"]))
-    rows = rows.withColumn(names["mix_bucket"], F.pmod(F.shiftright(names["mix_order"], 17), F.lit(ORDER_BUCKETS)).cast("int"))
-    sums = rows.groupBy(F.col(names["mix_pattern"]).alias("pattern"), F.col(names["mix_bucket"]).alias("bucket")).agg(F.sum(names["mix_size"]).alias("words"))
-    sums = settle(sums, "mix-sums")
+    # What decides is three numbers a document; texts are read again at the end alone.
+    slim = settle(rows.select(F.col(names["mix_pattern"]).alias("pattern"), F.col(names["mix_order"]).alias("order"), F.col(names["mix_size"]).alias("words")), "mix-sizes")
+    sums = slim.groupBy("pattern").agg(F.sum("words").alias("words"))
 
-    found = sums.groupBy("pattern").agg(F.sum("words").alias("words")).limit(MAX_PATTERNS + 1).collect()
+    found = sums.limit(MAX_PATTERNS + 1).collect()
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns: group rare sources first")
     patterns = sorted(((r.pattern, tuple(json.loads(r.pattern).get("m") or ()), r.words) for r in found), key=lambda x: x[0])
@@ -141,35 +218,35 @@ def mix(df: DataFrame, size: Column, members: Column, quotas: Callable[[dict[Sou
     plan = [(p, g // w if w else 0, g % w if w else 0) for (p, _, w), g in zip(patterns, given, strict=True)]
 
     planned = spark.createDataFrame(plan, "pattern string, full bigint, rest bigint")
-    upto = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    edges = sums.join(F.broadcast(planned), "pattern").withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-    edges = edges.where("rest > 0 and before < rest and before + words >= rest").groupBy("pattern").agg(F.min(F.struct("bucket", "before")).alias("edge"))
-    plan_rows = planned.join(edges, "pattern", "left").select(
-        F.col("pattern").alias(names["mix_pattern"]), F.col("full").alias(names["mix_full"]), F.col("rest").alias(names["mix_rest"]), F.col("edge.bucket").alias(names["mix_edge"]), F.col("edge.before").alias(names["mix_base"])
+    cuts = _cuts(slim, planned.where("rest > 0").select("pattern", "rest"))
+    plan_rows = planned.join(cuts, "pattern", "left").select(
+        F.col("pattern").alias(names["mix_pattern"]), F.col("full").alias(names["mix_full"]), F.col("rest").alias(names["mix_rest"]), F.col("cut").alias(names["mix_cut"]), F.col("before").alias(names["mix_base"])
     )
     rows = rows.join(F.broadcast(plan_rows), names["mix_pattern"])
 
-    # Only the documents of a pattern's last bucket are put in order.
+    # Only documents that share the cut's hash (those of one doc_id) are put in order.
     c = {k: F.col(v) for k, v in names.items() if k not in ("mix_taken", "mix_before")}
-    is_edge = F.coalesce(c["mix_bucket"] == c["mix_edge"], F.lit(False))
+    is_edge = F.coalesce(c["mix_order"] == c["mix_cut"], F.lit(False))
     last = rows.where(is_edge)
-    seq = Window.partitionBy(names["mix_pattern"]).orderBy(names["mix_order"], "doc_id", names["mix_size"]).rowsBetween(Window.unboundedPreceding, -1)
+    seq = Window.partitionBy(names["mix_pattern"]).orderBy("doc_id", names["mix_size"]).rowsBetween(Window.unboundedPreceding, -1)
     last = last.withColumn(names["mix_before"], c["mix_base"] + F.coalesce(F.sum(names["mix_size"]).over(seq), F.lit(0)))
     last = last.withColumn(names["mix_taken"], c["mix_full"] * c["mix_size"] + F.greatest(F.lit(0), F.least(c["mix_size"], c["mix_rest"] - F.col(names["mix_before"]))))
-    rest = rows.where(~is_edge).withColumn(names["mix_taken"], c["mix_full"] * c["mix_size"] + F.when(c["mix_bucket"] < c["mix_edge"], c["mix_size"]).otherwise(0))
+    rest = rows.where(~is_edge).withColumn(names["mix_taken"], c["mix_full"] * c["mix_size"] + F.when(c["mix_order"] < c["mix_cut"], c["mix_size"]).otherwise(0))
     out = [*[F.col(f"`{x}`") for x in df.columns], F.col(names["mix_size"]), F.col(names["mix_taken"]).cast("bigint").alias(names["mix_taken"])]
     return rest.select(out).unionByName(last.select(out)), targets, sizes
 
 
 def take_mix(df: DataFrame) -> DataFrame:
     """The rows of ``df`` (doc_id, text, source and others) that the mix takes
-    words from, with their size and the words taken."""
+    words from, with their size and the words taken. Cases as in ``mix``; a null
+    text has no words and goes, a null source is a source."""
     rows, _, _ = mix(df, word_count(), F.array(F.col("source").cast("string")))
     size, taken = rows.columns[-2:]
     return rows.where(F.col(taken) > 0).withColumnsRenamed({size: fresh(df.columns, "size"), taken: fresh(df.columns, "taken")})
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
+    """The mix of all documents by source; cases as in ``mix``."""
     docs = documents(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
     docs = settle(docs.select("doc_id", "source", word_count().alias("size")), "sizes")
     rows, targets, sizes = mix(docs, F.col("size"), F.array("source"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,11 +59,107 @@ def test_flow_is_largest_and_cheapest():
         assert (sum(found), sum(cost(g, size) for g, (_, size) in zip(found, patterns, strict=True))) == least_cost(patterns, quotas, 3)
 
 
+def plain_flow(patterns, quotas, most):
+    """Largest flow of least cost by Bellman-Ford, one shortest path at a time."""
+    sources = list(quotas)
+    start, end = "start", "end"
+    room, price = {}, {}
+
+    def arc(a, b, r, c):
+        room[a, b], room[b, a], price[a, b], price[b, a] = r, 0, c, -c
+
+    for p, (own, size) in enumerate(patterns):
+        for k in range(most):
+            arc(start, (p, k), size, k)
+            arc((p, k), p, size, 0)
+        for s in set(own) & set(sources):
+            arc(p, ("to", s), 10**9, 0)
+    for s in sources:
+        arc(("to", s), end, quotas[s], 0)
+    value = total = 0
+    while True:
+        away, came = {start: 0}, {}
+        for _ in range(len(room)):
+            changed = False
+            for (a, b), r in room.items():
+                if r > 0 and a in away and away[a] + price[a, b] < away.get(b, 10**9):
+                    away[b], came[b], changed = away[a] + price[a, b], a, True
+            if not changed:
+                break
+        if end not in away:
+            return value, total
+        path = [end]
+        while path[-1] != start:
+            path.append(came[path[-1]])
+        steps = list(zip(path[1:], path, strict=False))
+        amount = min(room[x] for x in steps)
+        for a, b in steps:
+            room[a, b] -= amount
+            room[b, a] += amount
+        value, total = value + amount, total + amount * away[end]
+
+
+def test_flow_equals_a_plain_solver_on_overlapping_sources():
+    rng = random.Random(3)
+    for _ in range(40):
+        names = [f"s{i}" for i in range(rng.randrange(2, 6))]
+        patterns = [(tuple(rng.sample(names, rng.randrange(1, len(names) + 1))), rng.randrange(0, 20)) for _ in range(rng.randrange(1, 9))]
+        quotas = {s: rng.randrange(0, 60) for s in names}
+        found = M.route(patterns, quotas, 3)
+        assert (sum(found), sum(cost(g, size) for g, (_, size) in zip(found, patterns, strict=True))) == plain_flow(patterns, quotas, 3)
+
+
+def test_many_overlapping_patterns_take_less_than_a_minute():
+    rng = random.Random(6)
+    names = [f"s{i}" for i in range(50)]
+    patterns = [(tuple(rng.sample(names, rng.randrange(1, 6))), rng.randrange(1, 10**6)) for _ in range(100_000)]
+    total = sum(size for _, size in patterns)
+    weights = [rng.random() ** 3 for _ in names]
+    quotas = {s: round(1.1 * total * w / sum(weights)) for s, w in zip(names, weights, strict=True)}
+    began = time.process_time()
+    found = M.route(patterns, quotas, 3)
+    assert time.process_time() - began < 60
+    assert all(0 <= g <= 3 * size for g, (_, size) in zip(found, patterns, strict=True))
+    drawn = min(3 * sum(size for own, size in patterns if names[0] in own), quotas[names[0]])
+    assert sum(found) <= sum(quotas.values()) and sum(found) >= drawn
+
+
 def test_words_can_be_taken_back_for_another_source():
     # The shared pattern must serve b: a has a pattern of its own.
     assert M.route([(("a", "b"), 10), (("a",), 10)], {"a": 10, "b": 10}, 1) == [10, 10]
 
 
+def shared(sizes):
+    """Targets by repeated water filling, written from the contract alone."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    weigh = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, left, free = dict.fromkeys(order, 0.0), float(sum(sizes.values())), set(order)
+    while left > 1e-9 and free:
+        step = min(left / sum(weigh[s] for s in free), min((3 * sizes[s] - target[s]) / weigh[s] for s in free))
+        for s in free:
+            target[s] += step * weigh[s]
+        left -= step * sum(weigh[s] for s in free)
+        free = {s for s in free if target[s] < 3 * sizes[s] - 1e-9}
+    return target
+
+
+def test_documents_are_taken_by_hash_up_to_the_cut(spark, monkeypatch):
+    for bits in (12, 2, 62):
+        monkeypatch.setattr(M, "CELL_BITS", bits)
+        rows = [(i % 150, f"s{i % 3}", 1 + i % 9) for i in range(400)] + [(7, "s1", 50)] * 30
+        df = spark.createDataFrame(rows, "doc_id bigint, source string, n int")
+        out, targets, _ = M.mix(df, F.col("n"), F.array("source"), lambda sizes: {s: n * 0.6 for s, n in sizes.items()})
+        order = F.xxhash64(F.lit(M.SEED), F.col("doc_id")).bitwiseAND(F.lit((1 << M.ORDER_BITS) - 1))
+        taken = {}
+        for r in out.withColumn("o", order).collect():
+            taken.setdefault(r.source, []).append((r.o, r.mix_size, r.mix_taken))
+        for s, found in taken.items():
+            assert sum(t for *_, t in found) == round(targets[s])
+            cut = max(o for o, _, t in found if t)
+            assert all(t == size for o, size, t in found if o < cut) and all(t == 0 for o, _, t in found if o > cut)
+            assert sum(0 < t < size for o, size, t in found if o == cut) <= 1
+
+
 def test_whole_table(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = M.op6_mixing(spark, SF).collect()
@@ -73,7 +170,9 @@ def test_whole_table(spark):
         sizes[d.source] = sizes.get(d.source, 0) + r.size
         taken[d.source] = taken.get(d.source, 0) + r.taken
         target[d.source] = r.target
-    assert len(rows) == len(docs) and target == M.weighted_targets(sizes)
+    assert len(rows) == len(docs)
+    want = shared(sizes)
+    assert target.keys() == want.keys() and all(abs(target[s] - want[s]) < 1e-6 * sum(sizes.values()) for s in want)
     assert all(r.source_size == sizes[docs[r.doc_id].source] for r in rows)
     assert all(taken[s] == round(target[s]) for s in sizes)
     assert sorted(map(tuple, rows)) == sorted(map(tuple, M.op6_mixing(spark, SF).collect()))
