@@ -2,10 +2,12 @@
 windows are found across all documents, and the lines of every later
 occurrence go, overlapping windows merged.
 
-The first occurrence by (doc_id, line) stays. One shuffle finds it: each batch
-of documents settles its own repeats first and asks only about the first
-occurrence it holds, so a passage in a third of all documents is one row per
-batch. The covered lines come back as one list per document.
+The first occurrence by (doc_id, line) stays. A task settles the repeats within
+a slice of its documents and asks only about the first occurrence in it. The
+first of all is an aggregate, summed up partially in every task, and goes back
+to those who asked by an equi-join, which Spark can split: no task holds all
+rows of a window, whatever its share. The covered lines come back as one list
+per document.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelens.llm import words as W
-from ridelens.llm.runtime import carry, documents, fresh, ship, table
+from ridelens.llm.runtime import carry, documents, fresh, settle, ship, table
 
 LINES = 3
 
@@ -30,14 +33,14 @@ def _lines(text: bytes | None) -> tuple[list[bytes], list[int]]:
 
 
 def _asked(docs: DataFrame, run_of: int) -> DataFrame:
-    """(high, low, known, doc_id, place): a row per window; known 1: its batch
+    """(high, low, known, doc_id, place): a row per window; known: its slice
     holds an earlier occurrence."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            first: dict[bytes, tuple[int, int]] = {}
-            rows: list[tuple[bytes, int, int]] = []
             for part in W.slices(batch, "text"):
+                first: dict[bytes, tuple[int, int]] = {}
+                rows: list[tuple[bytes, int, int]] = []
                 texts = part.column("text").cast(pa.large_binary()).to_pylist()
                 for doc, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                     lines, full = _lines(text)
@@ -46,17 +49,17 @@ def _asked(docs: DataFrame, run_of: int) -> DataFrame:
                         rows.append((key, doc, place))
                         if key not in first or (doc, place) < first[key]:
                             first[key] = (doc, place)
-            keys = [k for k, _, _ in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int.from_bytes(k[:8], "little", signed=True) for k in keys], pa.int64()),
-                    pa.array([int.from_bytes(k[8:], "little", signed=True) for k in keys], pa.int64()),
-                    pa.array([first[k] != (d, p) for k, d, p in rows], pa.bool_()),
-                    pa.array([d for _, d, _ in rows], pa.int64()),
-                    pa.array([p for _, _, p in rows], pa.int32()),
-                ],
-                names=["high", "low", "known", "doc_id", "place"],
-            )
+                keys = np.frombuffer(b"".join(k for k, _, _ in rows), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys[:, 0]),
+                        pa.array(keys[:, 1]),
+                        pa.array([first[k] != (d, p) for k, d, p in rows], pa.bool_()),
+                        pa.array([d for _, d, _ in rows], pa.int64()),
+                        pa.array([p for _, _, p in rows], pa.int32()),
+                    ],
+                    names=["high", "low", "known", "doc_id", "place"],
+                )
 
     return docs.mapInArrow(run, "high bigint, low bigint, known boolean, doc_id bigint, place int")
 
@@ -65,12 +68,11 @@ def _marked(df: DataFrame, run_of: int) -> tuple[DataFrame, list[str]]:
     """``df`` with n_lines, removed, kept_text (columns lengthened where taken)."""
     ship(df.sparkSession)
     id_type = F.col("doc_id").cast("bigint")
-    # Occurrences settled in their batch are spread by document; the others meet by window.
-    spread = F.when(F.col("known"), F.pmod("doc_id", F.lit(65536)) + 1).otherwise(F.lit(0))
-    same = Window.partitionBy("high", "low", "part")
-    asked = _asked(documents(df, "doc_id", "text").where("doc_id is not null"), run_of).withColumn("part", spread)
-    here = F.struct("doc_id", "place")
-    later = asked.withColumn("first", F.min(here).over(same)).where(F.col("known") | (here > F.col("first")))
+    asked = settle(_asked(documents(df, "doc_id", "text").where("doc_id is not null"), run_of), "windows")
+    open_rows = asked.where("not known").select("high", "low", "doc_id", "place")
+    firsts = open_rows.groupBy("high", "low").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    beaten = open_rows.join(firsts, ["high", "low"]).where(F.struct("doc_id", "place") > F.col("first"))
+    later = asked.where("known").select("doc_id", "place").unionByName(beaten.select("doc_id", "place"))
     at, places = fresh(df.columns, "place_of"), fresh(df.columns, "places")
     listed = later.groupBy(F.col("doc_id").alias(at)).agg(F.collect_set("place").alias(places))
     placed = df.where("doc_id is not null").join(listed, id_type == F.col(at), "left").drop(at)
@@ -103,15 +105,17 @@ def cut_repeated_lines(df: DataFrame, run_of: int = LINES) -> DataFrame:
     with fewer lines than a window lose nothing; rows that repeat a doc_id tie
     at equal places, so neither copy loses lines to the other there, and all of
     a doc_id's rows lose the places found for it; rows with null doc_id lose
-    nothing and take nothing from others; an empty table gives an empty result;
-    other columns are ignored."""
+    nothing and take nothing from others; a very long text is cut whole, its
+    task holds its lines; an empty table gives an empty result; other columns
+    are ignored."""
     out, _ = _marked(documents(df, "doc_id", "text"), run_of)
     return out.drop("text")
 
 
 def drop_repeated_lines(df: DataFrame, run_of: int = LINES) -> DataFrame:
     """The rows of ``df`` with such lines cut from text, and n_chars (if there)
-    brought up to date; a document that loses its last word goes."""
+    brought up to date; a document that loses its last word goes. Other cases
+    as in ``cut_repeated_lines``."""
     out, (n_lines, removed, kept) = _marked(df, run_of)
     out = out.where((F.size(removed) == 0) | F.col(kept).rlike(r"[^\x20\x09-\x0D]"))
     changed = {"text": F.col(kept), "n_chars": F.when(F.size(removed) == 0, F.col("n_chars")).otherwise(F.length(kept)) if "n_chars" in df.columns else None}
@@ -119,6 +123,7 @@ def drop_repeated_lines(df: DataFrame, run_of: int = LINES) -> DataFrame:
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """All documents without lines that came before; cases as in ``cut_repeated_lines``."""
     out = cut_repeated_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 

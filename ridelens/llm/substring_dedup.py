@@ -8,10 +8,11 @@ nothing to extend. Of the shortest windows only one in each window of the next
 level is compared, the one with the smallest hash: equal windows pick equal
 ones, so none is lost, and a quarter of them remain.
 
-A level is one shuffle. Within each batch of documents a task first settles what
-it can: of the documents of the batch that share a window, only the one with the
+A level is one shuffle. Of ``HELD_WINDOWS`` windows at a time a task first settles
+what it can: of the documents that share a window, only the one with the
 smallest doc_id has to ask about it globally. A passage in a third of all
-documents is thus one row per batch in the shuffle, not one per document.
+documents is thus a row per some megabytes of text in the shuffle, not one per
+document.
 The answers go back as one list of hashes per document.
 
 Hashes have 64 bits: among n compared windows some pair of different ones is
@@ -32,6 +33,8 @@ from ridelens.llm import words as W
 from ridelens.llm.runtime import documents, settle, ship, table
 
 WINDOW = 13
+#: Windows that a task settles among themselves before it asks about the rest.
+HELD_WINDOWS = 1 << 21
 
 
 def levels(window: int) -> list[int]:
@@ -97,7 +100,7 @@ def _windows(docs: DataFrame, length: int, shorter: int | None, sampled: bool, o
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            found, owners = [], []
+            found, owners, held = [], [], 0
             ids = np.asarray(batch.column("doc_id")).astype(np.int64)
             at = 0
             for part in W.slices(batch, "text"):
@@ -128,6 +131,10 @@ def _windows(docs: DataFrame, length: int, shorter: int | None, sampled: bool, o
                     found.append(rolled[live])
                     owners.append(ids[at + w.doc[: len(rolled)][live]])
                 at += part.num_rows
+                held += len(found[-1])
+                if held > HELD_WINDOWS:
+                    yield _asked(np.concatenate(found), np.concatenate(owners), order_matters)
+                    found, owners, held = [], [], 0
             if found:
                 yield _asked(np.concatenate(found), np.concatenate(owners), order_matters)
 
@@ -201,8 +208,9 @@ def cut_repeated_windows(df: DataFrame, window: int = WINDOW) -> DataFrame:
     has no words; a text shorter than the window loses nothing; rows that
     repeat a doc_id count as parts of one document (no smaller id, so nothing
     goes on their account); a row with null doc_id has no place in the order,
-    so it loses nothing and takes nothing from others; an empty table gives
-    an empty result; other columns are ignored."""
+    so it loses nothing and takes nothing from others; a very long text is cut
+    whole, its task holds its words; an empty table gives an empty result;
+    other columns are ignored."""
     ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
     ladder = levels(window)
@@ -219,6 +227,7 @@ def cut_repeated_windows(df: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
+    """All documents without repeated windows; cases as in ``cut_repeated_windows``."""
     out = cut_repeated_windows(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 

@@ -125,3 +125,31 @@ def test_dropping_lines_keeps_columns_and_drops_emptied_documents(spark):
     out = drop_repeated_lines(df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect()), key=str) == [(1, "a\nb\nc", 5, "k"), (3, "z", 1, None), (4, None, None, "k")]
+
+
+def test_no_task_holds_all_rows_of_a_window(spark, monkeypatch):
+    """One window in every slice: its rows are joined, never gathered by window."""
+    from ridelens.llm import line_dedup as L
+    from ridelens.llm import words as W
+
+    monkeypatch.setattr(W, "SLICE_BYTES", 1)
+    rows = [(i, f"own {i}\nhot one\nhot two\nhot three") for i in range(400)]
+    df = docs_frame(spark, rows).repartition(8)
+    plan = cut_repeated_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan
+    got = {r.doc_id: r.removed for r in cut_repeated_lines(df).collect()}
+    assert got == {i: [1, 2, 3] if i else [] for i in range(400)}
+    assert L.LINES == 3
+
+
+def test_very_long_texts_among_short_ones(spark, monkeypatch):
+    from ridelens.llm import substring_dedup as S
+
+    monkeypatch.setattr(S, "HELD_WINDOWS", 50)
+    long = " ".join(f"w{i}" for i in range(700_000))
+    rows = [(1, PASSAGE), (2, f"{long} {PASSAGE}"), (3, long + " end"), (4, f"x {PASSAGE}")]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in cut_repeated_windows(docs_frame(spark, rows)).collect()}
+    assert got == {1: (20, 0), 2: (700_020, 20), 3: (700_001, 700_000), 4: (21, 20)}
+    lines = "\n".join(f"line {i}" for i in range(300_000))
+    found = {r.doc_id: (r.n_lines, len(r.removed)) for r in cut_repeated_lines(docs_frame(spark, [(1, lines), (2, "first\n" + lines), (3, "a\nb")])).collect()}
+    assert found == {1: (300_000, 0), 2: (300_001, 300_000), 3: (2, 0)}
