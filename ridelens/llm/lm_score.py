@@ -45,9 +45,9 @@ from ridelens.llm.runtime import documents, fresh, settle, ship, table
 #: Words and pairs with this share of the tokens are counted ahead.
 SHARE = 4e-6
 #: Keys in a task's summary; items that wait before they are put into it.
-KEPT, _WAITING = 500_000, 1 << 21
+KEPT, _WAITING = 500_000, 1 << 20
 #: Rows that a task scores.
-TASK_ROWS = 1 << 21
+TASK_ROWS = 1 << 20
 #: Tokens' worth of weight of the lower order in the higher one.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 #: Places in the uniform distribution for words that no document has.
@@ -358,8 +358,9 @@ def score_rows(known: Model, key: np.ndarray, other: np.ndarray, packed: np.ndar
 
 
 def _scored(rows: DataFrame, model: Broadcast) -> DataFrame:
-    """(row, doc_id, n_tokens, target, background): partial sums per document of
-    each task, and what the documents' own rows told."""
+    """(row, doc_id, n_tokens, target, background): the losses of every row, for
+    Spark to sum by document (partially in the task that made them), and what the
+    documents' own rows told."""
     names = ["row", "doc_id", "n_tokens", "target", "background"]
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -377,9 +378,10 @@ def _scored(rows: DataFrame, model: Broadcast) -> DataFrame:
             columns[k] = pa.array(value[mine] if k < 2 else value[mine].view(np.float64))
             yield pa.RecordBatch.from_arrays([pa.array(row[mine]), *columns], names=names)
         row, losses = score_rows(model.value, key[~head], other[~head], packed[~head])
-        each, at = np.unique(row, return_inverse=True)
-        sums = [pa.array(np.bincount(at, weights=x, minlength=len(each)).astype(float)) for x in losses]
-        yield pa.RecordBatch.from_arrays([pa.array(each), *[pa.nulls(len(each), pa.int64())] * 2, *sums], names=names)
+        for low in range(0, len(row), 1 << 16):
+            some = slice(low, low + (1 << 16))
+            n = len(row[some])
+            yield pa.RecordBatch.from_arrays([pa.array(row[some]), *[pa.nulls(n, pa.int64())] * 2, *[pa.array(x[some]) for x in losses]], names=names)
 
     return rows.mapInArrow(run, "row bigint, doc_id bigint, n_tokens bigint, target double, background double")
 
