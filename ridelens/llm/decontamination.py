@@ -334,8 +334,10 @@ def contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_b
 
     Defined cases: null or blank texts and items match nothing; items shorter
     than a shingle match as a whole; repeated items count once, rows that repeat
-    a doc_id each give their matches; ids may be null; an empty table on either
-    side gives an empty result; other columns are ignored."""
+    a doc_id each give their matches; ids may be null; of overlapping spans that
+    are equally similar the first counts; a very long text is searched whole, its
+    task holds its words; an empty table on either side gives an empty result;
+    other columns are ignored."""
     ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
     return reduce(DataFrame.unionByName, [_search(docs, index, percent) for index in _blocks(benchmark, block_bytes, percent)])
@@ -343,7 +345,9 @@ def contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_b
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``df`` without a passage of ``benchmark``, all columns as
-    they were."""
+    they were. A null or blank text holds no passage and stays; of rows that
+    repeat a doc_id each is judged by its own text; the other cases are those of
+    ``contaminated``."""
     ship(df.sparkSession)
     out = df
     for index in _blocks(benchmark, block_bytes, percent):
@@ -362,4 +366,5 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, percent: int = 80, bl
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Passages of the benchmark in all documents; cases as in ``contaminated``."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -264,7 +264,8 @@ def label(df: DataFrame, model: Model | None, penalty: float = SWITCH_PENALTY) -
     exclusive, language). Defined cases: a text without letters, null included,
     is ``und`` with score 0 and no spans, and so is every text without a model;
     equal shares go to the first language in code point order; rows that repeat
-    a doc_id, or have none, are labelled on their own; an empty table gives an
+    a doc_id, or have none, are labelled on their own; a very long text is
+    labelled whole, its task holds its words' scores; an empty table gives an
     empty result; other columns are ignored."""
     ship(df.sparkSession)
     docs = documents(df, "doc_id", "text")
@@ -313,6 +314,8 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those not held out; cases as in
+    ``label``."""
     docs = documents(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     out = label(docs, train(docs.where(~held_out())))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))

@@ -188,7 +188,9 @@ def judge(df: DataFrame, model: tuple[np.ndarray, float, float] | None) -> tuple
     where ``df`` has them. Defined cases: a null or blank text has zero counts
     and fails; without a model (no labels, or of one kind only) p_quality is
     null and the rules decide alone; rows that repeat a doc_id, or have none,
-    are judged on their own; an empty table gives an empty result."""
+    are judged on their own; a probability at the threshold passes; a very long
+    text is judged whole, its task holds its words; an empty table gives an empty
+    result."""
     ship(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -217,10 +219,14 @@ def quality_rules(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> D
 
 
 def keep_good(df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``df`` that pass, all columns as they were."""
+    """The rows of ``df`` that pass, all columns as they were: null, blank and
+    short texts go, of rows that repeat a doc_id each is judged by its own text;
+    the other cases are those of ``judge``."""
     judged, names = judge(df, train(df, labels, rows))
     return judged.where(F.col(names[-1])).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
+    """All documents judged by the rules and the labelled rows' classifier; cases
+    as in ``judge``."""
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

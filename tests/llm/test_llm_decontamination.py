@@ -152,3 +152,12 @@ def test_whole_table_finds_every_verbatim_passage(spark):
     assert verbatim and verbatim <= got
     shares = lambda d, i: any(" ".join(words_of(items[i])[k : k + 5]) in docs[d] for k in range(len(words_of(items[i])) - 4))
     assert all(shares(d, i) for d, i in got)
+
+
+def test_a_very_long_text_is_searched_whole(spark):
+    passage = "q w e r t y u i o p"
+    long = " ".join(f"w{i}" for i in range(700_000))
+    docs = docs_frame(spark, [(1, f"{long} {passage}"), (2, f"{passage} {long} {passage}"), (3, long)])
+    items = spark.createDataFrame([(1, passage)], "item_id bigint, text string")
+    assert sorted((r.doc_id, r.start) for r in D.contaminated(docs, items).collect()) == [(1, 700_000), (2, 0), (2, 700_010)]
+    assert [r.doc_id for r in D.drop_contaminated(docs, items).select("doc_id").collect()] == [3]

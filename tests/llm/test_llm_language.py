@@ -111,3 +111,14 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
     held = [r.lang_pred == docs[r.doc_id].lang for r in got if r.held_out]
     assert len(held) > 200 and np.mean(held) > 0.98
+
+
+def test_equal_shares_and_a_very_long_text(spark):
+    model = trained(spark)
+    tie = L.label(docs_frame(spark, [(1, "12 34")]), model).first()
+    assert (tie.lang_pred, tie.score) == ("und", 0.0)
+    rows = [(1, f"{EN} " * 60_000), (2, DE), (3, f"{RU} " * 20_000 + f"{EN} " * 30)]
+    got = {r.doc_id: r for r in L.label(docs_frame(spark, rows), model).collect()}
+    assert (got[1].lang_pred, got[2].lang_pred, got[3].lang_pred) == ("en", "de", "ru")
+    assert sum(s.end - s.start for s in got[1].spans) == 60_000 * len(EN.split())
+    assert [s.lang for s in got[3].spans] == ["ru", "en"]

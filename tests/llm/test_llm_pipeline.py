@@ -33,7 +33,7 @@ def rows(df):
 
 def test_stages_are_the_five_in_order():
     assert [n for n, _ in C.STAGES] == ["quality_rules", "line_dedup", "near_dup", "decontamination", "mixing"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.partition("_")[0] for q in registry.QUERIES if q != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.partition("_")[0] for q in registry.QUERIES if q != "pipeline"}
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES) and registry.QUERIES["pipeline"] is C.run
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from llm_help import docs_frame, words_of
+from llm_help import SF, docs_frame, words_of
 from ridelens.llm import quality as Q
 
 TEXTS = ["a b c a b c d", None, "", " \n\t", "x\nx\n \nx\ny", "# $ <a> | é&é", "one", "r " * 120, "ü" * 300, "a b c\na b c"]
@@ -90,3 +90,14 @@ def test_one_text_beyond_a_slice(spark):
     got = {r.doc_id: (r.n_words, r.n_repeat_words) for r in judged.collect()}
     assert got == {1: (600_000, 600_000), 2: (1, 0)}
     assert pa.array([text]).nbytes > 2 << 20
+
+
+def test_the_query_s_counts_match_brute_force_on_the_whole_table(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = Q.op10_quality_rules(spark, SF).collect()
+    assert {r.doc_id: tuple(r[n] for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")) for r in rows} == {d: brute(t) for d, t in docs.items()}
+    assert len(rows) == len(docs) and all(r.kept == (not r.base_failed and r.p_quality >= Q.MIN_PROBABILITY) for r in rows)
+    # The verdict is learned from labels; on labelled rows it agrees with most of them.
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    agree = [(r.p_quality >= Q.MIN_PROBABILITY) == bool(labels[r.doc_id]) for r in rows if r.doc_id in labels]
+    assert np.mean(agree) > 0.8
