@@ -9,7 +9,9 @@ one before it wrote.
 
 A stage is (name, function); a function takes (spark, docs, sf_dir) and returns
 a DataFrame, all but the last with the columns of documents. Clean documents
-pass the filtering stages unchanged.
+pass the filtering stages unchanged. Empty tables, nulls, repeated rows, extra
+columns and very long texts are the operators' cases, stated there; a stage adds
+none of its own.
 """
 
 from __future__ import annotations
@@ -25,22 +27,27 @@ from ridelens.llm.runtime import settle, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass; null, blank and short texts go. Without labels the rules decide alone."""
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated lines; a text that loses its last word goes, one without lines stays."""
     return drop_repeated_lines(docs)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group at 80 %; texts without words stand alone, rows without an id stay."""
     return one_per_group(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage; with an empty benchmark all of them."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents taken, with their size and the words taken; those that give no word go."""
     return take_mix(docs)
 
 
