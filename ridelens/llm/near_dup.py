@@ -50,8 +50,8 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 30, 6
 #: Comparisons of a node in a round.
 LOAD = 64
-#: Slots of a key in the later rounds, and the most tables of one.
-DEEPER_ROWS, MOST_TABLES = (12, 18, 24, 30), 4096
+#: Tables of the later rounds, at most: their keys have as many slots as that allows.
+MOST_TABLES = (256, 2048)
 #: The chance to miss a pair at the threshold, in each step.
 MISS = 1e-7
 #: Shingle hashes keep this many bits, so that one sort orders (text, shingle).
@@ -162,6 +162,14 @@ def tables_for(rows: int, percent: int) -> int:
     return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows)))
 
 
+def longest_rows(tables: int, percent: int) -> int:
+    """Slots of the longest key that needs no more ``tables``."""
+    rows = 1
+    while tables_for(rows + 1, percent) <= tables:
+        rows += 1
+    return rows
+
+
 def _set_digest(elements: np.ndarray, bounds: np.ndarray, seed: int) -> np.ndarray:
     spread = W.mix64(elements + W.salt(seed + 7))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(spread, dtype=np.uint64)))
@@ -269,7 +277,7 @@ def _deeper_keys(sets: DataFrame, rows: int, tables: int) -> DataFrame:
                 for first in range(0, tables, each):
                     some = min(each, tables - first)
                     own = W.mix64(elements + W.salt(1000 * rows + first))
-                    keys = W.mix64(band_keys(superminhash(own, bounds, some * rows), some, rows) + W.salt(rows * MOST_TABLES + first))
+                    keys = W.mix64(band_keys(superminhash(own, bounds, some * rows), some, rows) + W.salt((rows << 20) + first))
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node, some)), pa.array(W.signed(keys.ravel()))], names=["node", "key"])
 
     return sets.mapInArrow(run, "node bigint, key bigint")
@@ -321,8 +329,7 @@ def _link_rounds(members: DataFrame, classes: DataFrame, sets: DataFrame, links:
 
     keys = members.select("node", "key")
     nodes = keys.select("node").distinct()
-    depths = [r for r in DEEPER_ROWS if tables_for(r, percent) <= MOST_TABLES]
-    for depth in [0, *depths]:
+    for depth in [0, *[longest_rows(t, percent) for t in MOST_TABLES]]:
         if depth:
             some = sets.join(nodes, "node", "left_semi")
             keys = settle(_deeper_keys(some, depth, tables_for(depth, percent)), "keys")

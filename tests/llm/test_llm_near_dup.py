@@ -99,7 +99,7 @@ def compared(spark, monkeypatch, rows, percent=85, **how):
 
 def test_boilerplate_costs_comparisons_in_proportion_to_documents(spark, monkeypatch):
     per_document = []
-    for n in (150, 600, 1800):
+    for n in (100, 400, 1200):
         rows = boilerplate(n)
         found, counts = compared(spark, monkeypatch, rows)
         if n < 700:
@@ -109,15 +109,16 @@ def test_boilerplate_costs_comparisons_in_proportion_to_documents(spark, monkeyp
     assert max(per_document) <= N.LOAD + 8
 
 
-@pytest.mark.parametrize("load, depths", [(3, (8, 12)), (0, (8,)), (5, ())])
-def test_rounds_and_the_exact_rest_match_all_pairs(spark, monkeypatch, load, depths):
+@pytest.mark.parametrize("load, tables", [(3, (60, 200)), (0, (60,)), (5, ())])
+def test_rounds_and_the_exact_rest_match_all_pairs(spark, monkeypatch, load, tables):
     monkeypatch.setattr(N, "LOAD", load)
-    monkeypatch.setattr(N, "DEEPER_ROWS", depths)
+    monkeypatch.setattr(N, "MOST_TABLES", tables)
     rows = varied(3) + [(i + 2000, t) for i, t in boilerplate(40)]
     assert compared(spark, monkeypatch, rows)[0] == brute(rows, 85)
 
 
 def test_signature_bits_and_tables_keep_the_promised_chance():
+    assert [N.longest_rows(t, 85) for t in N.MOST_TABLES] == [17, 29] and N.longest_rows(2048, 80) == 21
     assert N.tables_for(12, 85) * 12 < 1300 and (1 - 0.85**12) ** N.tables_for(12, 85) <= N.MISS
     rng = np.random.default_rng(2)
     most = N.most_differing(180, 85)
