@@ -133,15 +133,30 @@ _CHECKED: dict[tuple[str, str], ZoneLookup] = {}
 _LOCK = threading.RLock()
 
 
-def _fingerprint(sf_dir: str) -> str:
-    parts = [os.path.abspath(sf_dir)]
-    for name in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
-        path = f"{sf_dir}/{name}.parquet"
+_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+
+
+def _file_states(spark: SparkSession, path: str) -> list[str]:
+    """Size and time of change of a table's files, wherever they are."""
+    local = path.removeprefix("file://")
+    if "://" not in local:
         try:
-            st = os.stat(path)
-            parts.append(f"{name}:{st.st_size}:{st.st_mtime_ns}")
+            seen = os.stat(local)
         except OSError:
-            parts.append(name)
+            return []
+        return [f"{seen.st_size}:{seen.st_mtime_ns}"]
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(at):
+        return []
+    return [f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in sorted(store.listStatus(at), key=lambda f: f.getPath().getName())]
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Changes whenever a table under ``sf_dir`` does."""
+    parts = [sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)]
+    for name in _TABLES:
+        parts += [name, *_file_states(spark, f"{sf_dir}/{name}.parquet")]
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -152,10 +167,12 @@ _FRAMES: dict[tuple, tuple[SparkSession, object]] = {}
 
 def cached_for(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], T]) -> T:
     """``build()``, once per session and state of the test tables."""
-    key = (id(spark), _fingerprint(sf_dir), name)
+    key = (id(spark), _fingerprint(spark, sf_dir), name)
     with _LOCK:
         entry = _FRAMES.get(key)
         if entry is None or entry[0] is not spark:
+            for old in [k for k, (session, _) in _FRAMES.items() if session.sparkContext._jsc is None]:
+                del _FRAMES[old]  # of stopped sessions
             entry = _FRAMES[key] = (spark, build())
     return entry[1]
 
@@ -164,7 +181,7 @@ def _materialize(spark: SparkSession, sf_dir: str, name: str, build) -> DataFram
     """``build``'s rows from a table written once per application and state of
     the inputs. Path and schema are kept, not the frame: each session gets a
     frame of its own."""
-    app_id, state = application_id(spark), _fingerprint(sf_dir)
+    app_id, state = application_id(spark), _fingerprint(spark, sf_dir)
     with _LOCK:
         if (app_id, state, name) not in _WRITTEN:
             path = f"{scratch_dir(spark)}/{name}-{app_id}-{state}"
@@ -211,7 +228,7 @@ def load_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLook
 
 def _prepare(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ZoneLookup]:
     trips, zones = load_inputs(spark, sf_dir)
-    key = (application_id(spark), _fingerprint(sf_dir))
+    key = (application_id(spark), _fingerprint(spark, sf_dir))
     with _LOCK:
         if key not in _CHECKED:
             _CHECKED[key] = prepare_lookup(zones)

@@ -214,3 +214,25 @@ def test_typed_parquet_trips_give_the_same_answers(spark, tmp_dir, trips, zones,
     ):
         assert rows(build(typed_merged), *cols) == rows(build(merged), *cols)
     assert rows(typed_merged, "date") == rows(merged, "date")
+
+
+def test_a_replaced_table_is_seen_by_path_and_by_uri(spark, tmp_dir):
+    from ridelens.sources.star import _fingerprint
+
+    for where in (tmp_dir, f"file://{tmp_dir}", f"file:///{tmp_dir}"):
+        spark.range(3).write.mode("overwrite").parquet(f"{tmp_dir}/lineitem.parquet")
+        before = _fingerprint(spark, where)
+        assert _fingerprint(spark, where) == before
+        spark.range(5).write.mode("overwrite").parquet(f"{tmp_dir}/lineitem.parquet")
+        assert _fingerprint(spark, where) != before
+
+
+def test_a_table_behind_another_file_system_is_seen(spark, tmp_dir):
+    """A URI that only Hadoop resolves."""
+    from ridelens.sources.star import _file_states
+
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.seen.link./in", f"file://{tmp_dir}")
+    spark.range(3).coalesce(1).write.parquet(f"{tmp_dir}/orders.parquet")
+    states = _file_states(spark, "viewfs://seen/in/orders.parquet")
+    assert len(states) == 2 and any(x.startswith("part-") for x in states)  # the part and the success mark
+    assert _file_states(spark, "viewfs://seen/in/none.parquet") == []
