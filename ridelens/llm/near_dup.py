@@ -16,12 +16,13 @@ it meets in any bucket, and what links is one component from then on.
 Buckets that still span several components are taken up in rounds. A node's load
 is the number of members of other components it meets. Light nodes are compared
 with all of them, so a node costs ``LOAD`` comparisons at most. Pairs of heavy
-nodes go to the next round: their keys are made anew, over more slots each and
-in as many tables as keep the chance to miss a pair under ``MISS``, so that
-texts which merely share boilerplate part ways, however many they are; they
-meet the most central member of those buckets first. What is left after the
-last round shares so much that it is paired by its rarest shingles (exact, and
-early enough to reach the overlap it needs).
+nodes are found by their rarest shingles (exact: similar sets share one early
+enough to reach the overlap they need), if that brings no more than ``MEETINGS``
+a node together, as with edited copies. Else they share boilerplate and go to
+the next round: their keys are made anew, over more slots each and in as many
+tables as keep the chance to miss a pair under ``MISS``, so that such texts part
+ways, however many they are; they meet the most central member of those buckets
+first. After the last round the rarest shingles are left.
 
 Before sets are fetched for a comparison, two bits per slot of both signatures
 are: a pair that differs in more of them than a pair at the threshold would but
@@ -52,6 +53,8 @@ BANDS, ROWS = 30, 6
 LOAD = 64
 #: Tables of the later rounds, at most: their keys have as many slots as that allows.
 MOST_TABLES = (256, 2048)
+#: Meetings in rare shingles that a heavy node may cost.
+MEETINGS = 4 * LOAD
 #: The chance to miss a pair at the threshold, in each step.
 MISS = 1e-7
 #: Shingle hashes keep this many bits, so that one sort orders (text, shingle).
@@ -229,17 +232,28 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", shared.alias("shared"), union.alias("joined")).where(f"100 * shared >= {percent} * joined").select("a", "b")
 
 
-def _prefix_pairs(loose: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of different components of ``loose`` that can still reach the
-    threshold. Shingles are ranked from the rarest among the open sets on; two
-    similar sets share one so early that the shingles after it suffice for the
-    overlap they need (which no other pair passes the join with)."""
+def _early_shingles(loose: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, component, shingle, after) of the open sets' first shingles,
+    ranked from the rarest among them on. Two similar sets share one so early
+    that the shingles after it suffice for the overlap they need."""
     pool = sets.join(loose, "node").select("node", "n", "component", F.explode("shingles").alias("shingle"))
     holders = pool.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders"))
     rarest_first = Window.partitionBy("node").orderBy("holders", "shingle")
     ranked = pool.join(holders, "shingle").withColumn("after", F.col("n") - F.row_number().over(rarest_first))
     # A set's partner has at least percent % of its size, so the overlap is at least that.
-    early = settle(ranked.where("holders > 1").where((F.col("after") + 1) * 100 >= F.col("n") * percent), "prefixes")
+    return ranked.where("holders > 1").where((F.col("after") + 1) * 100 >= F.col("n") * percent).drop("holders")
+
+
+def _meetings(early: DataFrame) -> int:
+    """Pairs of nodes of different components that meet in a shingle, over all shingles."""
+    own = early.groupBy("shingle", "component").agg(F.count(F.lit(1)).cast("double").alias("own"))
+    each = own.groupBy("shingle").agg(F.sum("own").alias("all"), F.sum(F.col("own") * F.col("own")).alias("inside"))
+    return int(each.agg(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2)).first()[0] or 0)
+
+
+def _prefix_pairs(early: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of different components that can still reach the
+    threshold, from their early shingles."""
     x, y = early.alias("x"), early.alias("y")
     most = F.least("x.after", "y.after") + 1
     enough = most * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
@@ -329,7 +343,8 @@ def _link_rounds(members: DataFrame, classes: DataFrame, sets: DataFrame, links:
 
     keys = members.select("node", "key")
     nodes = keys.select("node").distinct()
-    for depth in [0, *[longest_rows(t, percent) for t in MOST_TABLES]]:
+    depths = [longest_rows(t, percent) for t in MOST_TABLES]
+    for depth in [0, *depths]:
         if depth:
             some = sets.join(nodes, "node", "left_semi")
             keys = settle(_deeper_keys(some, depth, tables_for(depth, percent)), "keys")
@@ -338,9 +353,13 @@ def _link_rounds(members: DataFrame, classes: DataFrame, sets: DataFrame, links:
         loads = settle(rows.groupBy("node").agg(F.sum("others").alias("load")), "loads")
         links = link(_light_pairs(rows, loads))
         nodes = settle(loads.where(F.col("load") > LOAD).select("node"), "heavy")
-        if nodes.isEmpty():
+        heavy = nodes.count()
+        if not heavy:
             return links
-    return link(_prefix_pairs(placed(nodes), sets, percent))
+        # Edited copies have rare shingles of their own, boilerplate has not.
+        early = settle(_early_shingles(placed(nodes), sets, percent), "early")
+        if depth == depths[-1] or _meetings(early) <= MEETINGS * heavy:
+            return link(_prefix_pairs(early, percent))
 
 
 def near_duplicates(df: DataFrame, percent: int = 85, shingle: int = SHINGLE_WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

@@ -109,10 +109,11 @@ def test_boilerplate_costs_comparisons_in_proportion_to_documents(spark, monkeyp
     assert max(per_document) <= N.LOAD + 8
 
 
-@pytest.mark.parametrize("load, tables", [(3, (60, 200)), (0, (60,)), (5, ())])
+@pytest.mark.parametrize("load, tables", [(3, (60, 200)), (5, (60,)), (0, (60,))])
 def test_rounds_and_the_exact_rest_match_all_pairs(spark, monkeypatch, load, tables):
     monkeypatch.setattr(N, "LOAD", load)
     monkeypatch.setattr(N, "MOST_TABLES", tables)
+    monkeypatch.setattr(N, "MEETINGS", 0 if load else N.MEETINGS)
     rows = varied(3) + [(i + 2000, t) for i, t in boilerplate(40)]
     assert compared(spark, monkeypatch, rows)[0] == brute(rows, 85)
 
