@@ -54,7 +54,7 @@ LOAD = 64
 #: Tables of the later rounds, at most: their keys have as many slots as that allows.
 MOST_TABLES = (256, 2048)
 #: Meetings in rare shingles that a heavy node may cost.
-MEETINGS = 4 * LOAD
+MEETINGS = 256 * LOAD
 #: The chance to miss a pair at the threshold, in each step.
 MISS = 1e-7
 #: Shingle hashes keep this many bits, so that one sort orders (text, shingle).

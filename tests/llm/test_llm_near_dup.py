@@ -98,6 +98,7 @@ def compared(spark, monkeypatch, rows, percent=85, **how):
 
 
 def test_boilerplate_costs_comparisons_in_proportion_to_documents(spark, monkeypatch):
+    monkeypatch.setattr(N, "MEETINGS", 4 * N.LOAD)  # as if the crowds were larger
     per_document = []
     for n in (100, 400, 1200):
         rows = boilerplate(n)
