@@ -47,7 +47,7 @@ SHARE = 4e-6
 #: Keys in a task's summary; items that wait before they are put into it.
 KEPT, _WAITING = 500_000, 1 << 20
 #: Rows that a task scores.
-TASK_ROWS = 1 << 20
+TASK_ROWS = 1 << 21
 #: Tokens' worth of weight of the lower order in the higher one.
 PAIR_PRIOR, WORD_PRIOR = 20.0, 1.0
 #: Places in the uniform distribution for words that no document has.
