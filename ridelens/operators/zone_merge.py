@@ -16,8 +16,8 @@ never shuffled for the merge. The broadcast is only requested after one
 aggregate over the lookup (:func:`prepare_lookup`) proves it within
 ``broadcast_max_rows`` rows and ``broadcast_max_bytes`` of values. Beyond
 that, the lookup is joined by shuffle on ``(id, salt)``: an id with more trips
-than a task should hold is dealt over as many salts as its trip count needs,
-and only its lookup rows are copied once per salt. The counts of both roles
+than a task should hold is dealt over as many salts as its trip count needs
+(:func:`most_salts` at most), and only its lookup rows are copied once per salt. The counts of both roles
 come from one pass over the two id columns, written once to the shared folder
 (:func:`count_trip_ids`). Trips without an id match nothing and are dealt over
 as many salts as their count needs. So no task grows with one id, whatever its
@@ -41,7 +41,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelens.functions.dates import epoch_to_date
@@ -54,6 +54,9 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 # Beyond the broadcast bound: ids with more trips than this are dealt over
 # enough salts that a task gets about this many trips of one id.
 ROWS_PER_SALT_TASK = 2_000_000
+# Salts of one id, as a multiple of the shuffle's partitions: more would not
+# part its trips further, only copy its lookup rows more often.
+SALTS_PER_PARTITION = 8
 # Salts of every id in a stream.
 STREAM_BUCKETS = 32
 
@@ -208,13 +211,21 @@ def count_trip_ids(trips: DataFrame) -> TripIdCounts:
     return TripIdCounts(counts, total, {role: found[role]["none"] if role in found else 0 for role in ROLES})
 
 
-def hot_ids(counts: TripIdCounts, role: str, rows_per_task: int = ROWS_PER_SALT_TASK, salt_buckets: int | None = None) -> DataFrame:
+def most_salts(spark: SparkSession) -> int:
+    """Beyond so many salts an id's trips are in every shuffle partition anyway."""
+    return SALTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_ids(
+    counts: TripIdCounts, role: str, rows_per_task: int = ROWS_PER_SALT_TASK, salt_buckets: int | None = None, most: int | None = None
+) -> DataFrame:
     """``id, buckets`` of the role's ids with more than ``rows_per_task`` trips
     (or than a ``BROADCAST_MAX_ROWS``-th of all trips, if that is more: so at
     most that many ids can qualify, and the frame may be broadcast). ``buckets``
-    follows the id's trip count unless ``salt_buckets`` fixes it."""
+    follows the id's trip count, up to ``most``, unless ``salt_buckets`` fixes it."""
     least = max(rows_per_task, counts.total // BROADCAST_MAX_ROWS)
-    buckets = F.lit(salt_buckets) if salt_buckets else F.ceil(F.col("n") / rows_per_task)
+    by_count = F.ceil(F.col("n") / rows_per_task)
+    buckets = F.lit(salt_buckets) if salt_buckets else F.least(by_count, F.lit(most)) if most else by_count
     mine = counts.df.where((F.col("role") == role) & F.col("id").isNotNull() & (F.col("n") > least))
     # An id has one row; the aggregate tells Catalyst so, which lets it drop the join of an unread role.
     return mine.groupBy("id").agg(F.max(buckets.cast("int")).alias("buckets"))
@@ -281,13 +292,14 @@ def enrich(
     out = trips
     if not checked.broadcastable:
         counts = None if trips.isStreaming else count_trip_ids(trips)
+        most = most_salts(trips.sparkSession)
         out = out.withColumn(_ADDRESS, trip_address(trips))
     for role in ROLES:
         if checked.broadcastable:
             out = out.join(F.broadcast(roles[role]), _trip_id(role) == F.col(_key(role)), "left")
         else:
-            hot = counts and hot_ids(counts, role, rows_per_salt_task, salt_buckets)
-            null_buckets = -(-counts.without_id[role] // rows_per_salt_task) if counts else 1
+            hot = counts and hot_ids(counts, role, rows_per_salt_task, salt_buckets, most)
+            null_buckets = min(most, -(-counts.without_id[role] // rows_per_salt_task)) if counts else 1
             out = _shuffle_join(out, roles[role], role, unique, hot, max(1, null_buckets), salt_buckets or STREAM_BUCKETS)
     trip_cols = [epoch_to_date(_plain(c)).alias(c) if c.lower() == "date" else _plain(c) for c in trips.columns]
     zone_cols = [F.col(f"{role}_{a}") for role in ROLES for a in ZONE_ATTRIBUTES]

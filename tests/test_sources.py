@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import glob
 import os
 
@@ -119,6 +120,45 @@ def test_trips_keep_the_scan_unless_told(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def _exchanged_with(plan, column):
+    return sum("Exchange" in block.split("\n")[0] and column in block for block in plan.split("\n\n"))
+
+
+def test_line_items_are_shuffled_once_at_any_size_of_the_dimensions(spark):
+    from ridelens.sources import star
+
+    from conftest import SF_SMALL, plan_text
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(star.trips_from_star(spark, SF_SMALL, partitions=3))
+        assert _exchanged_with(plan, "l_extendedprice") == 1
+        supplier = star._table(spark, SF_SMALL, "supplier").select("s_suppkey")
+        few, many = (star._sent(supplier, supplier.count() - k) for k in (0, 1))
+        assert "BroadcastHashJoin" in plan_text(supplier.join(few, "s_suppkey"))
+        assert "Broadcast" not in plan_text(supplier.join(many, "s_suppkey"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_trips_of_repeated_and_missing_keys(spark, tmp_dir):
+    from ridelens.sources.star import trips_from_star
+
+    from conftest import rows
+
+    put = lambda name, rows, cols: spark.createDataFrame(rows, cols).write.parquet(f"{tmp_dir}/{name}.parquet")
+    put("customer", [(1, 10), (1, 11), (2, None), (None, 12)], "c_custkey long, c_nationkey int")
+    put("orders", [(1, 1, "1-URGENT"), (2, 2, "2-HIGH"), (2, None, None), (None, 1, None), (3, 9, None)], "o_orderkey long, o_custkey long, o_orderpriority string")
+    put("supplier", [(5, 7), (5, 8), (None, 9)], "s_suppkey long, s_nationkey int")
+    item = lambda order, supplier, line: (order, 1, supplier, line, 2.0, 10.0, 0.1, 0.0, "R", datetime.date(2024, 1, 2))
+    put("lineitem", [item(1, 5, 1), item(1, None, 2), item(2, 5, 3), item(None, 5, 4), item(3, 5, 5)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_shipdate date")
+    for partitions in (None, 3):
+        got = rows(trips_from_star(spark, tmp_dir, partitions), "pickup_location", "dropoff_location", "time_of_day")
+        assert got == [(p, d, t) for p, t in ((None, "afternoon"), ("10", "evening"), ("11", "evening")) for d in ("07", "8")]
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     from ridelens.session import _one_machine
 

@@ -299,3 +299,19 @@ spark.stop()
                     read += event["Task Metrics"]["Input Metrics"]["Records Read"] * (event["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"] == 0)
     # Once for the counts, once for the merge itself; the rest are the few rows of the counts.
     assert 8000 <= read < 8100
+
+
+def test_salts_stop_where_every_shuffle_partition_has_the_id(spark, zones, monkeypatch):
+    from ridelens.operators import zone_merge as Z
+
+    trips = _many(spark, "CASE WHEN id % 2 = 0 THEN '1' END", extra="id")
+    most = Z.SALTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen, salted = [], Z._salted
+    monkeypatch.setattr(Z, "_salted", lambda *a: seen.append(salted(*a)) or seen[-1])
+    merged = enrich(trips, zones, broadcast_max_rows=1, rows_per_salt_task=10)
+    # By the trip counts alone it would be 400 and 800 copies of the hot id's row.
+    assert [copies.count() for _, copies, *_ in seen] == [most + 2, most + 2]
+    drawn = seen[0][0].groupBy("pickup_location").agg(F.count_distinct("_pickup_salt").alias("n"))
+    assert {r["pickup_location"]: r["n"] for r in drawn.collect()} == {"1": most, None: most}
+    cols = ["id", "pickup_location", "dropoff_location", *ZONE_OUT]
+    assert rows(merged, *cols) == rows(enrich(trips, zones), *cols)
